@@ -112,5 +112,8 @@ def read_scales(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
     df = _reader(spark, fmt).load(path)
     base = ["cat_id", "cum_mean", "mean", "max"]
     extra = [c for c in df.columns if c not in base]
-    return df.select(*extra, F.col("cat_id").cast("double").cast("bigint").alias("cat_id"),
-                     *[F.col(c).cast("double").alias(c) for c in base[1:]])
+    out = df.select(*extra, F.col("cat_id").cast("double").cast("bigint").alias("cat_id"),
+                    *[F.col(c).cast("double").alias(c) for c in base[1:]])
+    if "cycle" in extra and out.schema["cycle"].dataType.typeName() != "timestamp":
+        out = out.withColumn("cycle", parse_stamp(F.col("cycle").cast("string")))
+    return out

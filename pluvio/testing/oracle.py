@@ -136,6 +136,61 @@ scales AS (
          CAST(sum(CAST(mean AS DECIMAL(18,1))) AS DOUBLE) AS cum_mean,
          max(mean) AS mean, max(max) AS max
   FROM results GROUP BY ALL),
+points AS (
+  SELECT event_id, '{REGION}' AS region, fmod(value, 16.0::DOUBLE) - 0.5::DOUBLE AS lon,
+         10.5::DOUBLE - CAST(event_id % 120 AS DOUBLE) / 10.0::DOUBLE AS lat
+  FROM events),
+fine_i AS (
+  SELECT region, model, x0, y_top, dx, dy, factor, n_cols,
+         unnest(range(0, n_rows * factor)) AS i FROM grid_def),
+fine AS (
+  SELECT region, model, factor, i, j,
+         x0 + (j + 0.5::DOUBLE) * (dx / factor) AS xc,
+         y_top - (i + 0.5::DOUBLE) * (dy / factor) AS yc
+  FROM (SELECT *, unnest(range(0, n_cols * factor)) AS j FROM fine_i)),
+bhits AS (
+  SELECT f.region, f.model, e.cat_id, f.i, f.j, f.factor
+  FROM fine f JOIN edges e ON e.region = f.region
+  WHERE (e.y1 > f.yc) != (e.y2 > f.yc)
+    AND f.xc < e.x1 + (f.yc - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1)),
+bweights AS (
+  SELECT region, model, cat_id, CAST(i // factor AS INTEGER) AS "row",
+         CAST(j // factor AS INTEGER) AS col, count(*) AS w
+  FROM (SELECT region, model, cat_id, i, j, factor FROM bhits GROUP BY ALL HAVING count(*) % 2 = 1)
+  GROUP BY ALL),
+zstats AS (
+  SELECT g.region, g.model, g.cycle_s, g.step_h, g.vt_s, w.cat_id,
+         CAST(sum(w.w) AS BIGINT) AS count, max(g.value) AS max,
+         CAST(sum(w.w * CAST(round_even(g.value * 1000.0::DOUBLE, 0) AS BIGINT)) AS BIGINT) AS wunits
+  FROM grid g JOIN bweights w
+    ON g.region = w.region AND g.model = w.model AND g."row" = w."row" AND g.col = w.col
+  GROUP BY ALL),
+deacc AS (
+  SELECT region, model, cycle_s, step_h, vt_s, "row", col,
+         CASE WHEN model = 'wrfpr' THEN
+              CASE WHEN row_number() OVER w = 1 THEN value ELSE value - lag(value) OVER w END
+              ELSE value END AS value
+  FROM raw_grid
+  WINDOW w AS (PARTITION BY region, model, cycle_s, "row", col ORDER BY vt_s)),
+complete AS (
+  SELECT region, model, cycle_s, count(DISTINCT step_h) AS n_steps_seen FROM grid GROUP BY ALL
+  HAVING count(DISTINCT step_h) >= CASE model WHEN 'gfs' THEN 28 ELSE 48 END),
+gated AS (
+  SELECT d.* FROM deacc d
+  WHERE EXISTS (SELECT 1 FROM complete c
+                WHERE c.region = d.region AND c.model = d.model AND c.cycle_s = d.cycle_s)),
+gstats AS (
+  SELECT g.region, g.model, g.cycle_s, g.step_h, g.vt_s, w.cat_id,
+         CAST(sum(w.w) AS BIGINT) AS count,
+         round_even(max(g.value) * 10.0::DOUBLE, 0) / 10.0::DOUBLE AS max,
+         CAST(sum(w.w * CAST(round_even(g.value * 1000.0::DOUBLE, 0) AS BIGINT)) AS BIGINT) AS wunits
+  FROM gated g JOIN bweights w
+    ON g.region = w.region AND g.model = w.model AND g."row" = w."row" AND g.col = w.col
+  GROUP BY ALL),
+gresults AS (
+  SELECT region, model, cycle_s, step_h, vt_s, cat_id, count, max,
+         CAST({hed('wunits', 'count * 100')} AS DOUBLE) / 10.0::DOUBLE AS mean
+  FROM gstats),
 running AS (
   SELECT *, CAST(sum(CAST(mean AS DECIMAL(18,1))) OVER (
               PARTITION BY region, model, cycle_s, cat_id ORDER BY vt_s

@@ -78,3 +78,666 @@ JOIN (SELECT cat_id, CASE WHEN threshold >= 0 THEN threshold END AS thr FROM thr
 def r4_threshold_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     scales = risk.catchment_summary(V.results(spark, sf_dir))
     return ms(risk.threshold_compare(scales, _thresholds(spark, sf_dir), V.PRODUCT))
+
+
+# --------------------------------------------------------------------------
+# shared pieces
+# --------------------------------------------------------------------------
+from pluvio.functions import classes as CL  # noqa: E402
+from pluvio.functions.rounding import py_round1 as _pyr  # noqa: E402
+from pluvio.functions.timefmt import (AXIS_ORIGIN, DAY, HOUR, STAMP, epoch_ms, fmt,  # noqa: E402
+                                      parse_stamp)
+from pluvio.operators import cycles as CY  # noqa: E402
+from pluvio.operators import grid as G  # noqa: E402
+from pluvio.operators import series as SE  # noqa: E402
+from pluvio.operators import zonal as Z  # noqa: E402
+from pluvio.plans import workflow as WF  # noqa: E402
+from pluvio.plans.catalog import models_df  # noqa: E402
+from pluvio.session import work_path  # noqa: E402
+from pluvio.sources import grids as GS  # noqa: E402
+from pluvio.sources import polygons as PG  # noqa: E402
+from pluvio.sources import sinks as SK  # noqa: E402
+from pluvio.streaming import ingest as ST  # noqa: E402
+
+
+def _scales(spark, sf_dir):
+    return risk.catchment_summary(V.results(spark, sf_dir))
+
+
+def _polys(spark, sf_dir):
+    p = V.polygons(spark, sf_dir)
+    return p.select("region", "cat_id", "props", F.col("geometry.coordinates").alias("coordinates"))
+
+
+def _weights(spark, sf_dir):
+    return Z.zonal_weights(PG.polygon_edges(_polys(spark, sf_dir)), V.grid_def(spark, sf_dir))
+
+
+def _grid_cells(spark, sf_dir):
+    return V.grid(spark, sf_dir).select("region", "model", "row", "col").distinct()
+
+
+def _cls_sql(v: str, k: int) -> str:
+    parts = " ".join(f"WHEN {v} >= {k} * {i} THEN {i}" for i in range(6, -1, -1))
+    return f"(CASE {parts} END)"
+
+
+def _colour_sql(c: str) -> str:
+    arr = ", ".join(f"'{x}'" for x in CL.COLOURS)
+    return f"list_extract([{arr}], {c} + 1)"
+
+
+RES_COLS = "region, model, cat_id, max, mean, count, cycle_s * 1000 AS cycle_ms, vt_s * 1000 AS ts_ms, step_h"
+GRID_COLS = ("region, model, cycle_s * 1000 AS cycle_ms, step_h, vt_s * 1000 AS ts_ms, var, level, "
+             '"row", col, value')
+THR_VALID = "(SELECT cat_id, CASE WHEN threshold >= 0 THEN threshold END AS thr FROM thresholds)"
+
+
+# --------------------------------------------------------------------------
+# S: sources
+# --------------------------------------------------------------------------
+@query("s1_results_scan", f"""
+SELECT region, model, cat_id, mean, max, {stamp('vt_s')} AS "Timestep" FROM results
+""")
+def s1_results_scan(spark, sf_dir):
+    path = work_path(spark, "s1-results-csv")
+    SK.write_table(src.to_reference_form(V.results(spark, sf_dir)), path,
+                   partition_by=["region", "model"], fmt="csv")
+    df = src.read_results(spark, path, "csv", columns=["region", "model", "cat_id", "mean", "max", "Timestep"])
+    return src.type_reference_columns(df)
+
+
+@query("s2_threshold_unpivot", "SELECT cat_id, product, threshold FROM thresholds")
+def s2_threshold_unpivot(spark, sf_dir):
+    return _thresholds(spark, sf_dir)
+
+
+@query("s3_scale_scan", "SELECT region, model, cycle_s * 1000 AS cycle_ms, cat_id, cum_mean, mean, max FROM scales")
+def s3_scale_scan(spark, sf_dir):
+    path = work_path(spark, "s3-scales-csv")
+    ref = _scales(spark, sf_dir).withColumn("cat_id", F.col("cat_id").cast("double"))   # prints 11111.0
+    SK.write_table(ref, path, fmt="csv")
+    return ms(src.read_scales(spark, path, "csv"))
+
+
+@query("s4_tile_explode", f"SELECT {GRID_COLS} FROM grid")
+def s4_tile_explode(spark, sf_dir):
+    tiles = GS.make_tiles(V.grid(spark, sf_dir), size=8)
+    return ms(GS.explode_tiles(tiles))
+
+
+@query("s5_geojson_edges", "SELECT region, cat_id, part, ring, seq, x1, y1, x2, y2 FROM edges")
+def s5_geojson_edges(spark, sf_dir):
+    path = work_path(spark, "s5-geojson")
+    PG.to_feature_lines(V.polygons(spark, sf_dir)).write.text(path)
+    polys = PG.read_geojson(spark, path, region=V.REGION)
+    return PG.polygon_edges(polys)
+
+
+@query("s6_file_listing", "SELECT DISTINCT region, model, cycle_s * 1000 AS cycle_ms FROM grid")
+def s6_file_listing(spark, sf_dir):
+    path = work_path(spark, "s6-grid")
+    SK.write_table(V.grid(spark, sf_dir), path)
+    files = GS.list_files(spark, path, "*.parquet")
+    parts = files.select(GS.partition_value(F.col("path"), "region").alias("region"),
+                         GS.partition_value(F.col("path"), "model").alias("model"),
+                         parse_stamp(GS.partition_value(F.col("path"), "cycle")).alias("cycle"))
+    return ms(parts.distinct())
+
+
+# --------------------------------------------------------------------------
+# K: sinks
+# --------------------------------------------------------------------------
+@query("k1_results_sink", f"SELECT {RES_COLS} FROM results")
+def k1_results_sink(spark, sf_dir):
+    path = work_path(spark, "k1-results")
+    SK.write_table(V.results(spark, sf_dir), path)
+    return ms(SK.read_table(spark, path))
+
+
+@query("k2_scale_sink", "SELECT region, model, cycle_s * 1000 AS cycle_ms, cat_id, cum_mean, mean, max FROM scales")
+def k2_scale_sink(spark, sf_dir):
+    path = work_path(spark, "k2-scales")
+    SK.write_table(_scales(spark, sf_dir), path)
+    return ms(SK.read_table(spark, path))
+
+
+CHARTS_SQL = f"""
+s1 AS (
+  SELECT r.region, r.model, r.cycle_s, r.cat_id, r.vt_s, {pyround1('r.mean')} AS value,
+         {pyround1('t.threshold')} AS threshold
+  FROM results r JOIN thresholds t ON r.cat_id = t.cat_id),
+r1 AS (
+  SELECT *, greatest(arg_max(value, vt_s) OVER (PARTITION BY region, model, cycle_s, cat_id), threshold)
+            AS chart_max
+  FROM s1),
+s2 AS (
+  SELECT r.region, r.model, r.cycle_s, r.cat_id, r.vt_s, r.cum AS value, {pyround1('t.threshold')} AS threshold
+  FROM running r JOIN thresholds t ON r.cat_id = t.cat_id),
+r2 AS (
+  SELECT *, greatest(arg_max(value, vt_s) OVER (PARTITION BY region, model, cycle_s, cat_id), threshold)
+            AS chart_max
+  FROM s2),
+charts AS (
+  SELECT *, 'intervals' AS chart_type FROM r1 UNION ALL SELECT *, 'cumulative' AS chart_type FROM r2)
+"""
+
+
+@query("k3_chart_json", f"""
+, {CHARTS_SQL.strip()}
+SELECT region, model, cycle_s * 1000 AS cycle_ms, cat_id, chart_type,
+       '{{"values":[' || string_agg('[' || CAST(vt_s * 1000 AS VARCHAR) || ',' || CAST(value AS VARCHAR) || ']',
+                                   ',' ORDER BY vt_s)
+       || '],"threshold":' || CAST(max(threshold) AS VARCHAR) || ',"max":' || CAST(max(chart_max) AS VARCHAR)
+       || '}}' AS json
+FROM charts GROUP BY region, model, cycle_s, cat_id, chart_type
+""")
+def k3_chart_json(spark, sf_dir):
+    series = SE.chart_types(V.results(spark, sf_dir), _thresholds(spark, sf_dir), V.PRODUCT)
+    return ms(SE.chart_json(series))
+
+
+@query("k4_scale_json", """
+SELECT region, model, cycle_s * 1000 AS cycle_ms, CAST(cat_id AS VARCHAR) || '.0' AS key,
+       '{"cum_mean":' || CAST(cum_mean AS VARCHAR) || ',"mean":' || CAST(mean AS VARCHAR)
+       || ',"max":' || CAST(max AS VARCHAR) || '}' AS json
+FROM scales
+""")
+def k4_scale_json(spark, sf_dir):
+    s = _scales(spark, sf_dir)
+    return ms(s.select("region", "model", "cycle",
+                       F.concat(F.col("cat_id").cast("string"), F.lit(".0")).alias("key"),
+                       F.to_json(F.struct("cum_mean", "mean", "max")).alias("json")))
+
+
+@query("k5_grid_sink", f"SELECT {GRID_COLS} FROM grid")
+def k5_grid_sink(spark, sf_dir):
+    path = work_path(spark, "k5-grid")
+    SK.write_table(V.grid(spark, sf_dir), path)
+    return ms(SK.read_table(spark, path))
+
+
+@query("k7_retention", f"""
+SELECT {RES_COLS} FROM results r
+WHERE cycle_s = (SELECT max(cycle_s) FROM results x WHERE x.region = r.region AND x.model = r.model)
+""")
+def k7_retention(spark, sf_dir):
+    src_path, dst = work_path(spark, "k7-all"), work_path(spark, "k7-kept")
+    SK.write_table(V.results(spark, sf_dir), src_path)
+    SK.apply_retention(spark, src_path, dst)
+    return ms(SK.read_table(spark, dst))
+
+
+# --------------------------------------------------------------------------
+# F: projections, filters
+# --------------------------------------------------------------------------
+@query("f1_point_filter", f"""
+SELECT {RES_COLS} FROM results r
+WHERE EXISTS (SELECT 1 FROM requests q WHERE q.req_model = r.model AND q.req_cat = r.cat_id)
+""")
+def f1_point_filter(spark, sf_dir):
+    req = SE.decode_requests(V.requests(spark, sf_dir))
+    return ms(SE.point_filter(V.results(spark, sf_dir), requests=req))
+
+
+@query("c10_request_decode", f"""
+SELECT request_id, '{V.REGION}' AS region, req_model AS model, req_cat AS cat_id FROM requests
+""")
+def c10_request_decode(spark, sf_dir):
+    return SE.decode_requests(V.requests(spark, sf_dir))
+
+
+@query("f2_bbox_subset", f"""
+SELECT * FROM (
+  SELECT {GRID_COLS}, 0.0::DOUBLE + (col + 0.5::DOUBLE) * 1.0::DOUBLE AS lon,
+         10.0::DOUBLE - ("row" + 0.5::DOUBLE) * 1.0::DOUBLE AS lat FROM grid)
+WHERE lon BETWEEN 2.0 AND 12.0 AND lat BETWEEN 1.0 AND 8.5
+""")
+def f2_bbox_subset(spark, sf_dir):
+    g = G.cell_geometry(V.grid(spark, sf_dir), V.grid_def(spark, sf_dir))
+    return ms(G.bbox_subset_by_region(g, V.bbox(spark)))
+
+
+@query("f3_variable_subset", f"""
+SELECT '{V.REGION}' AS region, 'gfs' AS model, vt_s * 1000 AS ts_ms, var, level, "row", col,
+       CAST(sum(cents) AS DOUBLE) / 100.0::DOUBLE AS value
+FROM (SELECT (us // 21600000000 + 1) * 21600 AS vt_s, upper(event_type) AS var,
+             CASE WHEN event_type IN ('click', 'view') THEN 'surface' ELSE 'heightAboveGround' END AS level,
+             CAST(user_id // 15 AS INTEGER) AS "row", CAST(user_id % 15 AS INTEGER) AS col, cents FROM ev)
+WHERE var = 'CLICK' AND level = 'surface'
+GROUP BY ALL
+""")
+def f3_variable_subset(spark, sf_dir):
+    return ms(G.variable_subset(V.grid_vars(spark, sf_dir), "CLICK", "surface"))
+
+
+@query("f4_normalise", """
+SELECT region, model, cycle_s * 1000 AS cycle_ms, "row", col,
+       10.0::DOUBLE - ("row" + 0.5::DOUBLE) * 1.0::DOUBLE AS lat,
+       0.0::DOUBLE + (col + 0.5::DOUBLE) * 1.0::DOUBLE AS lon,
+       vt_s * 1000 AS time_ms, CAST(value AS FLOAT) AS tp
+FROM grid
+""")
+def f4_normalise(spark, sf_dir):
+    g = G.cell_geometry(V.grid(spark, sf_dir), V.grid_def(spark, sf_dir))
+    decoded = g.select("region", "model", "cycle", "row", "col", "valid_time",
+                       F.col("step_h").alias("step"), F.lit(0).alias("surface"),
+                       F.col("lat").alias("latitude"), F.col("lon").alias("longitude"),
+                       F.col("value").alias("tp"))
+    return ms(G.normalise(decoded))
+
+
+@query("f5_result_type", """
+SELECT region, model, cycle_s * 1000 AS cycle_ms, cat_id, 'cum_mean' AS result_type, cum_mean AS value FROM scales
+UNION ALL
+SELECT region, model, cycle_s * 1000 AS cycle_ms, cat_id, 'mean' AS result_type, mean AS value FROM scales
+""")
+def f5_result_type(spark, sf_dir):
+    return ms(risk.result_type_long(_scales(spark, sf_dir)))
+
+
+@query("f6_metadata", f"""
+SELECT region, model, cat_id, max, mean, count, {stamp('cycle_s')} AS "Forecast Timestamp",
+       {stamp('vt_s')} AS "Timestep" FROM results
+""")
+def f6_metadata(spark, sf_dir):
+    return src.to_reference_form(V.results(spark, sf_dir))
+
+
+A4_SQL = f"""
+SELECT region, model, cycle_s, step_h, vt_s, cat_id, count, {nround1('max')} AS max,
+       CAST({hed('wunits', 'count * 100')} AS DOUBLE) / 10.0::DOUBLE AS mean
+FROM zstats
+"""
+
+
+@query("f7_properties", f"""
+SELECT s.region, s.model, p.name AS "NAME", s.cat_id, s.max, s.mean, s.count,
+       {stamp('s.cycle_s')} AS "Forecast Timestamp", {stamp('s.vt_s')} AS "Timestep"
+FROM ({A4_SQL}) s JOIN polygons p ON p.cat_id = s.cat_id
+""")
+def f7_properties(spark, sf_dir):
+    stats = Z.round_stats(Z.zonal_stats(V.grid(spark, sf_dir), _weights(spark, sf_dir)))
+    props = PG.properties(_polys(spark, sf_dir), ["NAME"])
+    return src.to_reference_form(stats.join(props, ["region", "cat_id"], "inner"), props=["NAME"])
+
+
+@query("f8_complete_cycles", "SELECT region, model, cycle_s * 1000 AS cycle_ms, n_steps_seen FROM complete")
+def f8_complete_cycles(spark, sf_dir):
+    return ms(G.complete_cycles(V.grid(spark, sf_dir), models_df(spark)))
+
+
+# --------------------------------------------------------------------------
+# G: grids
+# --------------------------------------------------------------------------
+@query("g1_deaccumulate", """
+SELECT region, model, cycle_s * 1000 AS cycle_ms, step_h, vt_s * 1000 AS ts_ms, "row", col, value
+FROM deacc WHERE model = 'wrfpr'
+""")
+def g1_deaccumulate(spark, sf_dir):
+    raw = V.raw_grid(spark, sf_dir).filter(F.col("model") == "wrfpr").drop("var", "level")
+    return ms(G.deaccumulate(raw))
+
+
+@query("g2_passthrough", """
+SELECT region, model, cycle_s * 1000 AS cycle_ms, step_h, vt_s * 1000 AS ts_ms, "row", col, value FROM deacc
+""")
+def g2_passthrough(spark, sf_dir):
+    return ms(G.by_accumulation(V.raw_grid(spark, sf_dir).drop("var", "level")))
+
+
+@query("g3_cell_geometry", """
+SELECT DISTINCT region, model, "row", col, 0.0::DOUBLE + (col + 0.5::DOUBLE) * 1.0::DOUBLE AS lon,
+       10.0::DOUBLE - ("row" + 0.5::DOUBLE) * 1.0::DOUBLE AS lat FROM grid
+""")
+def g3_cell_geometry(spark, sf_dir):
+    return G.cell_geometry(_grid_cells(spark, sf_dir), V.grid_def(spark, sf_dir))
+
+
+@query("g4_point_to_cell", """
+SELECT p.event_id, p.region, g.model, p.lon, p.lat,
+       CASE WHEN floor((p.lon - g.x0) / g.dx) BETWEEN 0 AND g.n_cols - 1
+             AND floor((g.y_top - p.lat) / g.dy) BETWEEN 0 AND g.n_rows - 1
+            THEN CAST(floor((g.y_top - p.lat) / g.dy) AS INTEGER) END AS "row",
+       CASE WHEN floor((p.lon - g.x0) / g.dx) BETWEEN 0 AND g.n_cols - 1
+             AND floor((g.y_top - p.lat) / g.dy) BETWEEN 0 AND g.n_rows - 1
+            THEN CAST(floor((p.lon - g.x0) / g.dx) AS INTEGER) END AS col
+FROM points p JOIN grid_def g ON p.region = g.region
+""")
+def g4_point_to_cell(spark, sf_dir):
+    return G.point_to_cell(V.points(spark, sf_dir), V.grid_def(spark, sf_dir))
+
+
+@query("g5_refine_nearest", """
+SELECT c.region, c.model, c."row", c.col, c."row" * 10 + a.fr AS fine_row, c.col * 10 + b.fc AS fine_col,
+       0.0::DOUBLE + ((c.col * 10 + b.fc) + 0.5::DOUBLE) * (1.0::DOUBLE / 10) AS fine_lon,
+       10.0::DOUBLE - ((c."row" * 10 + a.fr) + 0.5::DOUBLE) * (1.0::DOUBLE / 10) AS fine_lat
+FROM (SELECT DISTINCT region, model, "row", col FROM grid) c,
+     (SELECT CAST(range AS INTEGER) AS fr FROM range(0, 10)) a,
+     (SELECT CAST(range AS INTEGER) AS fc FROM range(0, 10)) b
+""")
+def g5_refine_nearest(spark, sf_dir):
+    return G.refine_nearest(_grid_cells(spark, sf_dir), V.grid_def(spark, sf_dir))
+
+
+@query("g6_time_axis", """
+SELECT region, model, cycle_s * 1000 AS cycle_ms, vt_s * 1000 AS ts_ms,
+       CAST(step_index AS INTEGER) AS step_index,
+       CAST(CASE model WHEN 'gfs' THEN 6 + (step_index - 1) * 6 ELSE 1 + (step_index - 1) * 1 END AS INTEGER) AS hours
+FROM (SELECT *, dense_rank() OVER (PARTITION BY region, model, cycle_s ORDER BY vt_s) AS step_index
+      FROM (SELECT DISTINCT region, model, cycle_s, vt_s FROM grid))
+""")
+def g6_time_axis(spark, sf_dir):
+    return ms(G.time_axis(V.grid(spark, sf_dir), models_df(spark)))
+
+
+# --------------------------------------------------------------------------
+# Z, A: zonal statistics and aggregations
+# --------------------------------------------------------------------------
+@query("z1_zonal_weights", "SELECT region, model, cat_id, \"row\", col, w FROM bweights")
+def z1_zonal_weights(spark, sf_dir):
+    return _weights(spark, sf_dir)
+
+
+@query("z2_zonal_stats", """
+SELECT region, model, cycle_s * 1000 AS cycle_ms, step_h, vt_s * 1000 AS ts_ms, cat_id, count, max,
+       CAST(wunits AS DOUBLE) / CAST(count * 1000 AS DOUBLE) AS mean
+FROM zstats
+""")
+def z2_zonal_stats(spark, sf_dir):
+    s = Z.zonal_stats(V.grid(spark, sf_dir), _weights(spark, sf_dir))
+    return ms(s.drop("wunits", "scale"))
+
+
+@query("a4_round_stats", f"""
+SELECT region, model, cycle_s * 1000 AS cycle_ms, step_h, vt_s * 1000 AS ts_ms, cat_id, count, max, mean
+FROM ({A4_SQL})
+""")
+def a4_round_stats(spark, sf_dir):
+    return ms(Z.round_stats(Z.zonal_stats(V.grid(spark, sf_dir), _weights(spark, sf_dir))))
+
+
+@query("a6_distinct_catchments", "SELECT DISTINCT region, model, cat_id FROM results")
+def a6_distinct_catchments(spark, sf_dir):
+    return risk.distinct_catchments(V.results(spark, sf_dir))
+
+
+@query("a7_chart_max", f"""
+, {CHARTS_SQL.strip()}
+SELECT region, model, cycle_s * 1000 AS cycle_ms, cat_id, greatest(arg_max(value, vt_s), max(threshold)) AS chart_max
+FROM s1 GROUP BY ALL
+""")
+def a7_chart_max(spark, sf_dir):
+    r = V.results(spark, sf_dir)
+    s = risk.threshold_lookup(r.select("region", "model", "cycle", "cat_id", "valid_time",
+                                       _pyr("mean").alias("value")), _thresholds(spark, sf_dir), V.PRODUCT)
+    return ms(SE.chart_max_agg(s))
+
+
+# --------------------------------------------------------------------------
+# J: joins
+# --------------------------------------------------------------------------
+@query("j2_colour_lookup", f"""
+SELECT p.region, p.cat_id, s.model, s.cycle_s * 1000 AS cycle_ms, s.cum_mean AS value,
+       {_cls_sql(_cls_sql('s.cum_mean', 5) + ' * 5', 5)} AS class,
+       {_colour_sql(_cls_sql(_cls_sql('s.cum_mean', 5) + ' * 5', 5))} AS colour
+FROM polygons p LEFT JOIN scales s ON p.region = s.region AND p.cat_id = s.cat_id
+""")
+def j2_colour_lookup(spark, sf_dir):
+    return ms(risk.colour_lookup(V.polygons(spark, sf_dir), _scales(spark, sf_dir), "cum_mean", 5))
+
+
+@query("j3_pending_cycles", """
+SELECT w.model, w.cycle_s * 1000 AS cycle_ms, coalesce(st.state, 'new') AS reason
+FROM (SELECT DISTINCT model, cycle_s FROM grid) w
+LEFT JOIN (SELECT model, cycle_s, arg_max(state, updated_s) AS state FROM runs GROUP BY ALL) st
+  ON w.model = st.model AND w.cycle_s = st.cycle_s
+WHERE st.state IS NULL OR st.state <> 'done'
+""")
+def j3_pending_cycles(spark, sf_dir):
+    wanted = V.grid(spark, sf_dir).select("model", "cycle").distinct()
+    return ms(CY.pending_cycles(wanted, V.runs(spark, sf_dir)))
+
+
+# --------------------------------------------------------------------------
+# W, O, U: windows, order, set operations
+# --------------------------------------------------------------------------
+@query("w1_running_total", """
+SELECT region, model, cycle_s * 1000 AS cycle_ms, cat_id, vt_s * 1000 AS ts_ms, cum FROM running
+""")
+def w1_running_total(spark, sf_dir):
+    r = V.results(spark, sf_dir).select("region", "model", "cycle", "cat_id", "valid_time", "mean")
+    return ms(SE.running_total(r).drop("mean"))
+
+
+@query("o1_time_order", """
+SELECT region, model, cycle_s * 1000 AS cycle_ms, cat_id, vt_s * 1000 AS ts_ms,
+       CAST(row_number() OVER (PARTITION BY region, model, cycle_s, cat_id ORDER BY vt_s) AS INTEGER) AS pos
+FROM results
+""")
+def o1_time_order(spark, sf_dir):
+    r = V.results(spark, sf_dir).select("region", "model", "cycle", "cat_id", "valid_time")
+    return ms(SE.time_order(r))
+
+
+@query("u1_append_steps", f"""
+SELECT s.region, s.model, s.cycle_s * 1000 AS cycle_ms, s.vt_s * 1000 AS ts_ms, s.cat_id, s.count, s.max, s.mean,
+       CASE WHEN s.model = 'gfs' THEN p.name END AS "NAME"
+FROM ({A4_SQL}) s JOIN polygons p ON p.cat_id = s.cat_id
+""")
+def u1_append_steps(spark, sf_dir):
+    stats = Z.round_stats(Z.zonal_stats(V.grid(spark, sf_dir), _weights(spark, sf_dir))).drop("step_h")
+    props = PG.properties(_polys(spark, sf_dir), ["NAME"])
+    gfs = stats.filter(F.col("model") == "gfs").join(props, ["region", "cat_id"], "inner")
+    wrf = stats.filter(F.col("model") == "wrfpr")
+    return ms(gfs.unionByName(wrf, allowMissingColumns=True))
+
+
+@query("u2_listing_difference", """
+SELECT DISTINCT region, model, cycle_s * 1000 AS cycle_ms FROM results r
+WHERE cycle_s < (SELECT max(cycle_s) FROM results x WHERE x.region = r.region AND x.model = r.model)
+""")
+def u2_listing_difference(spark, sf_dir):
+    return ms(SK.superseded(V.results(spark, sf_dir)))
+
+
+# --------------------------------------------------------------------------
+# C: time, string, math scalars
+# --------------------------------------------------------------------------
+@query("c1_step_expansion", """
+SELECT c.model, c.cycle_s * 1000 AS cycle_ms, CAST(s.step_h AS INTEGER) AS step_h,
+       (c.cycle_s + s.step_h * 3600) * 1000 AS ts_ms
+FROM (SELECT DISTINCT model, cycle_s FROM grid) c,
+     (SELECT 'gfs' AS model, unnest(range(6, 169, 6)) AS step_h
+      UNION ALL SELECT 'wrfpr' AS model, unnest(range(1, 49)) AS step_h) s
+WHERE c.model = s.model
+""")
+def c1_step_expansion(spark, sf_dir):
+    cyc = V.grid(spark, sf_dir).select("model", "cycle").distinct()
+    return ms(CY.step_expansion(cyc, models_df(spark)))
+
+
+def _c2_sql(model, rules):
+    whens = " ".join(f"WHEN hour(ts) > {h + 3} THEN date_trunc('day', ts) + INTERVAL {h} HOUR" for h in rules)
+    last = max(rules)
+    return (f"SELECT event_id, '{model}' AS model, epoch_ms(CASE {whens} "
+            f"ELSE date_trunc('day', ts) - INTERVAL 1 DAY + INTERVAL {last} HOUR END) AS cycle_ms FROM events")
+
+
+@query("c2_latest_cycle", _c2_sql("gfs", [18, 12, 6, 0]) + " UNION ALL " + _c2_sql("wrfpr", [18, 6]))
+def c2_latest_cycle(spark, sf_dir):
+    t = V.table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    return ms(CY.latest_cycle(t).drop("ts"))
+
+
+@query("c3_missing_steps", """
+SELECT c.model, c.cycle_s * 1000 AS cycle_ms, CAST(s.step_h AS INTEGER) AS step_h,
+       (c.cycle_s + s.step_h * 3600) * 1000 AS ts_ms
+FROM (SELECT DISTINCT model, cycle_s FROM grid) c
+JOIN (SELECT 'gfs' AS model, unnest(range(6, 169, 6)) AS step_h
+      UNION ALL SELECT 'wrfpr' AS model, unnest(range(1, 49)) AS step_h) s ON c.model = s.model
+WHERE NOT EXISTS (SELECT 1 FROM grid g WHERE g.model = c.model AND g.cycle_s = c.cycle_s AND g.step_h = s.step_h)
+""")
+def c3_missing_steps(spark, sf_dir):
+    g = V.grid(spark, sf_dir)
+    expected = CY.step_expansion(g.select("model", "cycle").distinct(), models_df(spark))
+    return ms(CY.missing_steps(expected, g.select("model", "cycle", "step_h")))
+
+
+@query("c4_parse_time", f"""
+SELECT region, model, cat_id, {stamp('vt_s')} AS "Timestep",
+       strftime(make_timestamp(vt_s * 1000000), '%Y-%m-%d %H:%M:%S') AS parsed
+FROM results
+""")
+def c4_parse_time(spark, sf_dir):
+    ref = src.to_reference_form(V.results(spark, sf_dir)).select("region", "model", "cat_id", "Timestep")
+    return ref.withColumn("parsed", F.date_format(parse_stamp("Timestep"), "yyyy-MM-dd HH:mm:ss"))
+
+
+@query("c5_format_time", """
+SELECT DISTINCT model, cycle_s * 1000 AS cycle_ms,
+       strftime(make_timestamp(cycle_s * 1000000), '%Y%m%d%H') AS stamp,
+       strftime(make_timestamp(cycle_s * 1000000), '%Y-%m-%d %H:00:00') AS axis_origin,
+       strftime(make_timestamp(cycle_s * 1000000), '%H') AS hour,
+       strftime(make_timestamp(cycle_s * 1000000), '%Y%m%d') AS day
+FROM results
+""")
+def c5_format_time(spark, sf_dir):
+    c = V.results(spark, sf_dir).select("model", "cycle").distinct()
+    return ms(c.select("model", "cycle", fmt("cycle", STAMP).alias("stamp"),
+                       fmt("cycle", AXIS_ORIGIN).alias("axis_origin"), fmt("cycle", HOUR).alias("hour"),
+                       fmt("cycle", DAY).alias("day")))
+
+
+@query("c6_epoch_ms", f"""
+SELECT region, model, cat_id, {stamp('vt_s')} AS "Timestep", vt_s * 1000 AS epoch_ms FROM results
+""")
+def c6_epoch_ms(spark, sf_dir):
+    ref = src.to_reference_form(V.results(spark, sf_dir))
+    return ref.select("region", "model", "cat_id", "Timestep",
+                      epoch_ms(parse_stamp("Timestep")).alias("epoch_ms"))
+
+
+@query("c7_cycle_label", """
+SELECT m.model, CASE WHEN d.cycle_s IS NULL THEN 'No ' || m.display || ' Timestamp Detected'
+                     ELSE m.display || ' data from ' || strftime(make_timestamp(d.cycle_s * 1000000), '%b %d, %I%p UTC')
+                END AS label
+FROM (VALUES ('gfs', 'GFS'), ('wrfpr', 'WRF-PR')) m(model, display)
+LEFT JOIN (SELECT model, max(cycle_s) AS cycle_s FROM
+             (SELECT model, cycle_s, arg_max(state, updated_s) AS state FROM runs GROUP BY ALL)
+           WHERE state = 'done' GROUP BY model) d ON m.model = d.model
+""")
+def c7_cycle_label(spark, sf_dir):
+    return CY.cycle_labels(models_df(spark), V.runs(spark, sf_dir))
+
+
+@query("c8_time_from_name", """
+SELECT DISTINCT model, strftime(make_timestamp(vt_s * 1000000), '%Y%m%d%H') || '.grb' AS name,
+       strftime(make_timestamp(vt_s * 1000000), '%Y%m%d%H') || '.tif' AS tif_name, vt_s * 1000 AS ts_ms
+FROM grid
+""")
+def c8_time_from_name(spark, sf_dir):
+    names = V.grid(spark, sf_dir).select("model", GS.step_file_name(F.col("valid_time")).alias("name")).distinct()
+    return names.select("model", "name", GS.replace_suffix(F.col("name"), ".grb", ".tif").alias("tif_name"),
+                        epoch_ms(GS.time_from_name(F.col("name"))).alias("ts_ms"))
+
+
+@query("c9_round_one", f"""
+SELECT cat_id, threshold AS threshold_raw, {pyround1('threshold')} AS threshold FROM thresholds
+""")
+def c9_round_one(spark, sf_dir):
+    t = _thresholds(spark, sf_dir)
+    return t.select("cat_id", F.col("threshold").alias("threshold_raw"), _pyr("threshold").alias("threshold"))
+
+
+# --------------------------------------------------------------------------
+# R: series, risk, classes
+# --------------------------------------------------------------------------
+@query("r1_interval_series", f"""
+, {CHARTS_SQL.strip()}
+SELECT region, model, cycle_s * 1000 AS cycle_ms, cat_id, vt_s * 1000 AS ts_ms, value, threshold, chart_max FROM r1
+""")
+def r1_interval_series(spark, sf_dir):
+    s = SE.interval_series(V.results(spark, sf_dir), _thresholds(spark, sf_dir), V.PRODUCT)
+    return ms(s.drop("ts_ms"))
+
+
+@query("r2_cumulative_series", f"""
+, {CHARTS_SQL.strip()}
+SELECT region, model, cycle_s * 1000 AS cycle_ms, cat_id, vt_s * 1000 AS ts_ms, value, threshold, chart_max FROM r2
+""")
+def r2_cumulative_series(spark, sf_dir):
+    s = SE.cumulative_series(V.results(spark, sf_dir), _thresholds(spark, sf_dir), V.PRODUCT)
+    return ms(s.drop("ts_ms"))
+
+
+@query("r3_chart_types", f"""
+, {CHARTS_SQL.strip()}
+SELECT region, model, cycle_s * 1000 AS cycle_ms, cat_id, vt_s * 1000 AS ts_ms, value, threshold, chart_max,
+       chart_type FROM charts
+""")
+def r3_chart_types(spark, sf_dir):
+    s = SE.chart_types(V.results(spark, sf_dir), _thresholds(spark, sf_dir), V.PRODUCT)
+    return ms(s.drop("ts_ms"))
+
+
+@query("r5_time_to_threshold", f"""
+SELECT r.region, r.model, r.cycle_s * 1000 AS cycle_ms, r.cat_id, t.thr AS threshold,
+       min(CASE WHEN r.cum >= t.thr THEN r.vt_s END) * 1000 AS reached_at_ms,
+       CAST((min(CASE WHEN r.cum >= t.thr THEN r.vt_s END) - r.cycle_s) // 3600 AS INTEGER) AS lead_h
+FROM running r JOIN {THR_VALID} t ON r.cat_id = t.cat_id
+GROUP BY r.region, r.model, r.cycle_s, r.cat_id, t.thr
+""")
+def r5_time_to_threshold(spark, sf_dir):
+    run = SE.running_total(V.results(spark, sf_dir))
+    return ms(risk.time_to_threshold(run, _thresholds(spark, sf_dir), V.PRODUCT))
+
+
+def _rt_sql(cls_fn):
+    return f"""
+SELECT region, model, cycle_ms, cat_id, result_type, value, {cls_fn('value')} AS class,
+       {_colour_sql(cls_fn('value'))} AS colour
+FROM (SELECT region, model, cycle_s * 1000 AS cycle_ms, cat_id, 'cum_mean' AS result_type, cum_mean AS value FROM scales
+      UNION ALL
+      SELECT region, model, cycle_s * 1000 AS cycle_ms, cat_id, 'mean' AS result_type, mean AS value FROM scales)
+"""
+
+
+@query("r6_class_bins", _rt_sql(lambda v: _cls_sql(v, 5)))
+def r6_class_bins(spark, sf_dir):
+    return ms(risk.class_bins(risk.result_type_long(_scales(spark, sf_dir)), interval=5))
+
+
+R7_INTERVAL = 3
+
+
+@query("r7_reference_colour", _rt_sql(lambda v: _cls_sql(_cls_sql(v, R7_INTERVAL) + " * 5", R7_INTERVAL)))
+def r7_reference_colour(spark, sf_dir):
+    return ms(risk.reference_colour(risk.result_type_long(_scales(spark, sf_dir)), interval=R7_INTERVAL))
+
+
+@query("r9_multi_model", """
+SELECT region, model, cycle_s * 1000 AS cycle_ms, cat_id,
+       CAST(sum(CAST(mean AS DECIMAL(18,1))) AS DOUBLE) AS cum_mean, max(mean) AS mean, max(max) AS max
+FROM gresults GROUP BY ALL
+""")
+def r9_multi_model(spark, sf_dir):
+    _, scales = WF.run(spark, V.raw_grid(spark, sf_dir).drop("var", "level"), _polys(spark, sf_dir),
+                       V.grid_def(spark, sf_dir))
+    return ms(scales)
+
+
+# --------------------------------------------------------------------------
+# T: streaming
+# --------------------------------------------------------------------------
+@query("t1_incremental_ingest", """
+SELECT region, model, cycle_s * 1000 AS cycle_ms, step_h, vt_s * 1000 AS ts_ms, cat_id, count, max, mean
+FROM gresults
+""")
+def t1_incremental_ingest(spark, sf_dir):
+    landing, out, ck = (work_path(spark, "t1-landing"), work_path(spark, "t1-results"),
+                        work_path(spark, "t1-checkpoint"))
+    SK.write_table(V.raw_grid(spark, sf_dir), landing)
+    weights, n = WF.materialise_weights(spark, _polys(spark, sf_dir), V.grid_def(spark, sf_dir))
+    ST.ingest(spark, landing, out, ck, weights, max_files_per_trigger=4, weight_rows=n)
+    return ms(SK.read_table(spark, out))

@@ -188,7 +188,7 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gauge points (lon, lat), one per event."""
     ev = table(spark, sf_dir, "events")
-    return ev.select("event_id",
+    return ev.select("event_id", F.lit(REGION).alias("region"),
                      (F.col("value") % F.lit(16.0) - F.lit(0.5)).alias("lon"),
                      (F.lit(10.5) - F.pmod(F.col("event_id"), F.lit(120)).cast("double") / F.lit(10.0)).alias("lat"))
 
