@@ -32,7 +32,10 @@ def class_of(value, interval) -> Column:
 
 def colour_of(cls) -> Column:
     """Class index -> colour; null class -> null (the reference's empty fill)."""
-    return F.element_at(F.array(*[F.lit(c) for c in COLOURS]), _c(cls) + 1)
+    c = _c(cls)
+    # explicit null guard: an array-literal lookup with a null index is not
+    # reliably null after optimisation
+    return F.when(c.isNotNull(), F.element_at(F.array(*[F.lit(x) for x in COLOURS]), c + 1))
 
 
 def reference_class(value, interval) -> Column:
