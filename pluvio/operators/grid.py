@@ -159,6 +159,11 @@ def complete_cycles(grid: DataFrame, models_df: DataFrame) -> DataFrame:
 
 
 def only_complete(grid: DataFrame, models_df: DataFrame) -> DataFrame:
-    """Gate a grid on F8 (semi join on the complete cycles)."""
+    """Gate a grid on F8 (semi join on the complete cycles).
+
+    The gate table has one row per forecast run (region, model, cycle): a
+    few thousand rows per model-year whatever the grid size, so it is
+    broadcast and the grid is not shuffled for the gate.
+    """
     done = complete_cycles(grid, models_df).select("region", "model", "cycle")
-    return grid.join(done, ["region", "model", "cycle"], "left_semi")
+    return grid.join(F.broadcast(done), ["region", "model", "cycle"], "left_semi")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pluvio.operators.grid import by_accumulation, only_complete
 from pluvio.operators.risk import catchment_summary
 from pluvio.operators.zonal import round_stats, zonal_stats, zonal_weights
-from pluvio.plans.catalog import MODELS, models_df
+from pluvio.plans.catalog import MODELS, bounded, models_df, region_models_df
 from pluvio.sources.polygons import polygon_edges
 from pluvio.sources.sinks import read_table, write_table
 from pluvio.session import work_path
@@ -43,10 +43,19 @@ def materialise_weights(spark: SparkSession, polygons: DataFrame, grid_def: Data
     return back, back.count()
 
 
+def configured(raw_grid: DataFrame, region_models: DataFrame) -> DataFrame:
+    """Keep the (region, model) pairs the catalog runs (registry-sized broadcast)."""
+    return raw_grid.join(bounded(region_models.select("region", "model")), ["region", "model"], "left_semi")
+
+
 def run(spark: SparkSession, raw_grid: DataFrame, polygons: DataFrame, grid_def: DataFrame,
-        model_specs: dict | None = None) -> tuple[DataFrame, DataFrame]:
+        model_specs: dict | None = None, region_models: DataFrame | None = None
+        ) -> tuple[DataFrame, DataFrame]:
     """Every region and model in one job -> (results, colour scales)."""
     specs = model_specs or MODELS
+    if region_models is None:
+        region_models = region_models_df(spark)
     weights, n = materialise_weights(spark, polygons, grid_def)
-    results = zonal_results(raw_grid, weights, models_df(spark, specs), specs, broadcast_rows=n)
+    grid = configured(raw_grid, region_models)
+    results = zonal_results(grid, weights, models_df(spark, specs), specs, broadcast_rows=n)
     return results, catchment_summary(results)

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pluvio.operators.cycles import record_runs
 from pluvio.plans.catalog import MODELS, models_df
 from pluvio.plans.workflow import zonal_results
 from pluvio.sources.sinks import read_table, write_table
@@ -41,8 +42,13 @@ def _typed(df: DataFrame) -> DataFrame:
 
 def ingest(spark: SparkSession, landing: str, results_path: str, checkpoint: str,
            weights: DataFrame, model_specs: dict | None = None,
-           max_files_per_trigger: int = 64, weight_rows: int | None = None):
-    """Run the stream until all landed files are processed; returns the query."""
+           max_files_per_trigger: int = 64, weight_rows: int | None = None,
+           runs_path: str | None = None):
+    """Run the stream until all landed files are processed; returns the query.
+
+    With ``runs_path`` the cycles written are appended to the state table
+    (K6) after the stream has finished — the run's last action.
+    """
     specs = model_specs or MODELS
     mdf = models_df(spark, specs)
 
@@ -61,6 +67,9 @@ def ingest(spark: SparkSession, landing: str, results_path: str, checkpoint: str
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    if runs_path is not None:
+        done = read_table(spark, results_path).select("model", "cycle").distinct()
+        record_runs(spark, done, runs_path)
     return q
 
 

@@ -92,7 +92,7 @@ from pluvio.operators import grid as G  # noqa: E402
 from pluvio.operators import series as SE  # noqa: E402
 from pluvio.operators import zonal as Z  # noqa: E402
 from pluvio.plans import workflow as WF  # noqa: E402
-from pluvio.plans.catalog import models_df  # noqa: E402
+from pluvio.plans.catalog import RegionSpec, models_df, region_models_df  # noqa: E402
 from pluvio.session import work_path  # noqa: E402
 from pluvio.sources import grids as GS  # noqa: E402
 from pluvio.sources import polygons as PG  # noqa: E402
@@ -722,8 +722,10 @@ SELECT region, model, cycle_s * 1000 AS cycle_ms, cat_id,
 FROM gresults GROUP BY ALL
 """)
 def r9_multi_model(spark, sf_dir):
+    test_region = {V.REGION: RegionSpec(V.REGION, "Test basin", V.X0, V.X0 + V.N_COLS * V.DX, -90.0, V.Y_TOP,
+                                        ("gfs", "wrfpr"))}
     _, scales = WF.run(spark, V.raw_grid(spark, sf_dir).drop("var", "level"), _polys(spark, sf_dir),
-                       V.grid_def(spark, sf_dir))
+                       V.grid_def(spark, sf_dir), region_models=region_models_df(spark, test_region))
     return ms(scales)
 
 
@@ -739,5 +741,6 @@ def t1_incremental_ingest(spark, sf_dir):
                         work_path(spark, "t1-checkpoint"))
     SK.write_table(V.raw_grid(spark, sf_dir), landing)
     weights, n = WF.materialise_weights(spark, _polys(spark, sf_dir), V.grid_def(spark, sf_dir))
-    ST.ingest(spark, landing, out, ck, weights, max_files_per_trigger=4, weight_rows=n)
+    runs = work_path(spark, "t1-runs")
+    ST.ingest(spark, landing, out, ck, weights, max_files_per_trigger=4, weight_rows=n, runs_path=runs)
     return ms(SK.read_table(spark, out))
