@@ -67,10 +67,21 @@ def py_round1(x) -> Column:
 
 
 def decimal1(x) -> Column:
-    """A one-decimal double as an exact decimal (after A4 rounding)."""
-    return _c(x).cast("decimal(18,1)")
+    """A one-decimal double as an exact decimal (after A4 rounding); NaN -> null."""
+    c = _c(x)
+    return F.when(~F.isnan(c), c).cast("decimal(18,1)")
 
 
-def decimal_sum1(x) -> Column:
-    """``round(sum(values), 1)`` of one-decimal values, order independent."""
-    return F.sum(decimal1(x)).cast("double")
+def decimal_sum1(x, poison: bool = True) -> Column:
+    """``round(sum(values), 1)`` of one-decimal values, order independent.
+
+    ``poison``: like the reference's Python ``sum``, one missing (NaN/null)
+    value makes the total missing (null); otherwise missing values are
+    skipped.
+    """
+    c = _c(x)
+    total = F.sum(decimal1(c)).cast("double")
+    if not poison:
+        return total
+    missing = F.sum(F.when(c.isNull() | F.isnan(c), 1).otherwise(0))
+    return F.when(missing == 0, total)

@@ -20,17 +20,18 @@ def _keys(df: DataFrame, keys=RUN_KEYS) -> list[str]:
     return [k for k in keys if k in df.columns]
 
 
-def catchment_summary(results: DataFrame) -> DataFrame:
+def catchment_summary(results: DataFrame, semantics: str = "reference") -> DataFrame:
     """A5: per catchment ``cum_mean = round(sum(mean), 1)``, ``mean = max(mean)``,
     ``max = max(max)``.
 
     Algebraic aggregates: partial aggregation runs before the shuffle, so a
     catchment holding a third of all rows costs one partial row per task.
-    The sum is exact (decimal), independent of row order.
+    The sum is exact (decimal), independent of row order.  Reference form: a
+    missing mean makes ``cum_mean`` missing; ``'clean'`` skips it.
     """
     keys = _keys(results) + ["cat_id"]
     return results.groupBy(*keys).agg(
-        decimal_sum1("mean").alias("cum_mean"),
+        decimal_sum1("mean", poison=(semantics == "reference")).alias("cum_mean"),
         F.max("mean").alias("mean"),
         F.max("max").alias("max"))
 
