@@ -95,6 +95,21 @@ def join_weights(grid: DataFrame, weights: DataFrame, broadcast_rows: int | None
 BROADCAST_WEIGHT_ROWS = 2_000_000   # ~ 80 MB of (keys, cat_id, w) rows
 
 
+def covered_cells(grid: DataFrame, weights: DataFrame, broadcast_rows: int | None = None) -> DataFrame:
+    """Keep only grid cells some catchment covers (semi join on the cell key).
+
+    Applied before any per-cell shuffle (de-accumulation), so the shuffle
+    carries only cells that can reach a statistic.  The distinct cells are
+    at most the weight rows, so the counted size check of the weights covers
+    the broadcast.
+    """
+    keys = ["region", "model", "row", "col"]
+    cells = weights.select(*keys).distinct()
+    if broadcast_rows is not None and broadcast_rows <= BROADCAST_WEIGHT_ROWS:
+        cells = F.broadcast(cells)
+    return grid.join(cells, keys, "left_semi")
+
+
 def zonal_stats(grid: DataFrame, weights: DataFrame, value: str = "value", scale: int = 3,
                 broadcast_rows: int | None = None) -> DataFrame:
     """Z2 + A1-A3: per (region, model, cycle, valid_time, cat_id): count, max, mean.

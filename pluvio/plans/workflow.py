@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pluvio.operators.grid import by_accumulation, only_complete
 from pluvio.operators.risk import catchment_summary
-from pluvio.operators.zonal import round_stats, zonal_stats, zonal_weights
+from pluvio.operators.zonal import covered_cells, round_stats, zonal_stats, zonal_weights
 from pluvio.plans.catalog import MODELS, bounded, models_df, region_models_df
 from pluvio.sources.polygons import polygon_edges
 from pluvio.sources.sinks import read_table, write_table
@@ -22,10 +22,20 @@ from pluvio.session import work_path
 def zonal_results(raw_grid: DataFrame, weights: DataFrame, models: DataFrame,
                   model_specs: dict | None = None, gate: bool = True,
                   broadcast_rows: int | None = None) -> DataFrame:
-    """Raw grids -> rounded zonal results."""
-    grid = by_accumulation(raw_grid, model_specs or MODELS)
+    """Raw grids -> rounded zonal results.
+
+    Order matters at scale: the completeness gate (counted on distinct steps,
+    partially aggregated) and the covered-cell filter run first, so the one
+    per-cell shuffle — the de-accumulation window — carries only complete
+    cycles and cells inside catchments.  The weights join then needs no
+    shuffle of the grid (broadcast weights) and the statistics aggregate
+    partially before theirs.
+    """
+    grid = raw_grid
     if gate:
         grid = only_complete(grid, models)
+    grid = covered_cells(grid, weights, broadcast_rows)
+    grid = by_accumulation(grid, model_specs or MODELS)
     return round_stats(zonal_stats(grid, weights, broadcast_rows=broadcast_rows))
 
 
