@@ -87,18 +87,22 @@ def normalise(df: DataFrame, time_col: str | None = "valid_time", value: str = "
     return out.withColumn(value, F.col(value).cast("float"))
 
 
-def deaccumulate(raw: DataFrame, value: str = "value") -> DataFrame:
+def deaccumulate(raw: DataFrame, value: str = "value", clamp_negative: bool = False) -> DataFrame:
     """G1: running totals -> per-step amounts.
 
     ``v(t) - v(previous available step)`` per cell and cycle; the first step
     keeps its value (even a null).  The window holds one cell's steps of one
-    cycle, bounded by the model's step count.
+    cycle, bounded by the model's step count.  Differences can be negative
+    (as in the reference); ``clamp_negative`` floors them at 0.
     """
     keys = [k for k in CELL_KEYS if k in raw.columns]
     w = Window.partitionBy(*keys).orderBy("valid_time")
     prev = F.lag(value).over(w)
     first = F.row_number().over(w) == 1
-    return raw.withColumn(value, F.when(first, F.col(value)).otherwise(F.col(value) - prev))
+    diff = F.col(value) - prev
+    if clamp_negative:
+        diff = F.greatest(diff, F.lit(0.0))
+    return raw.withColumn(value, F.when(first, F.col(value)).otherwise(diff))
 
 
 def passthrough(raw: DataFrame) -> DataFrame:

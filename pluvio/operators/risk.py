@@ -36,9 +36,16 @@ def catchment_summary(results: DataFrame, semantics: str = "reference") -> DataF
         F.max("max").alias("max"))
 
 
-def distinct_catchments(results: DataFrame) -> DataFrame:
-    """The catchments present, per region and model."""
-    return results.select(*_keys(results, ["region", "model"]), "cat_id").distinct()
+def distinct_catchments(results: DataFrame, first_seen: bool = False) -> DataFrame:
+    """The catchments present, per region and model.
+
+    ``first_seen`` adds each catchment's first valid time, the order in which
+    the reference met them (sort by it only where the order is wanted).
+    """
+    keys = _keys(results, ["region", "model"]) + ["cat_id"]
+    if first_seen:
+        return results.groupBy(*keys).agg(F.min("valid_time").alias("first_seen"))
+    return results.select(*keys).distinct()
 
 
 def first_thresholds(thresholds: DataFrame, product: str | None = None) -> DataFrame:
@@ -79,6 +86,20 @@ def missing_thresholds(keyed: DataFrame, thresholds: DataFrame, product: str | N
     return keyed.join(t, _join_keys(keyed, t), "left_anti")
 
 
+def require_thresholds(keyed: DataFrame, thresholds: DataFrame, product: str | None = None,
+                       show: int = 10) -> None:
+    """J1's strict form: raise if any catchment has no threshold.
+
+    Only a count and a few example ids reach the driver.
+    """
+    miss = missing_thresholds(keyed.select(*_keys(keyed, ["region"]), "cat_id").distinct(),
+                              thresholds, product)
+    n = miss.count()
+    if n:
+        ids = [r["cat_id"] for r in miss.select("cat_id").orderBy("cat_id").limit(show).collect()]
+        raise ValueError(f"{n} catchment(s) without a threshold, e.g. {ids}")
+
+
 def valid_threshold(col="threshold"):
     """Sentinels (negative values such as -999, -333) mean "no threshold"."""
     c = F.col(col)

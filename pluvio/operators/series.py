@@ -10,6 +10,8 @@ the data grows.
 
 from __future__ import annotations
 
+import numbers
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -83,11 +85,36 @@ def cumulative_series(results: DataFrame, thresholds: DataFrame, product: str |
     return s.withColumn("ts_ms", F.unix_millis("valid_time"))
 
 
-def chart_types(results: DataFrame, thresholds: DataFrame, product: str | None = None) -> DataFrame:
-    """Both chart types, tagged, so the page's choice is a filter."""
-    a = interval_series(results, thresholds, product).withColumn("chart_type", F.lit("intervals"))
-    b = cumulative_series(results, thresholds, product).withColumn("chart_type", F.lit("cumulative"))
-    return a.unionByName(b)
+def chart_types(results: DataFrame, thresholds: DataFrame, product: str | None = None,
+                semantics: str = "reference") -> DataFrame:
+    """Both chart types, tagged, so the page's choice is a filter.
+
+    One threshold join and one window partitioning (by catchment) feed both
+    series; each step then becomes two tagged rows.  One shuffle of the
+    results instead of one per chart type.
+    """
+    keys = _keys(results)
+    s = threshold_lookup(results.select(*keys, "valid_time", "mean"), thresholds, product)
+    run = _by_catchment(s).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    s = (s.withColumn("v_int", py_round1("mean"))
+         .withColumn("v_cum", F.sum(decimal1("mean")).over(run).cast("double")))
+    whole = Window.partitionBy(*keys)
+    if semantics == "reference":
+        top = F.max(F.struct("valid_time", "v_int", "v_cum")).over(whole)
+        top_int, top_cum = top["v_int"], top["v_cum"]
+    else:
+        top_int, top_cum = F.max("v_int").over(whole), F.max("v_cum").over(whole)
+    s = (s.withColumn("m_int", F.greatest(top_int, F.col("threshold")))
+         .withColumn("m_cum", F.greatest(top_cum, F.col("threshold"))))
+    two = F.explode(F.array(
+        F.struct(F.lit("intervals").alias("chart_type"), F.col("v_int").alias("value"),
+                 F.col("m_int").alias("chart_max")),
+        F.struct(F.lit("cumulative").alias("chart_type"), F.col("v_cum").alias("value"),
+                 F.col("m_cum").alias("chart_max"))))
+    out = s.select(*keys, "valid_time", "threshold", two.alias("t"))
+    return out.select(*keys, "valid_time", F.col("t.value").alias("value"), "threshold",
+                      F.col("t.chart_max").alias("chart_max"), F.col("t.chart_type").alias("chart_type"),
+                      F.unix_millis("valid_time").alias("ts_ms"))
 
 
 def _num_text(c):
@@ -127,6 +154,9 @@ def point_filter(results: DataFrame, cat_id=None, requests: DataFrame | None = N
     requests do not multiply rows.
     """
     if requests is None:
-        return results.filter(F.col("cat_id") == F.lit(cat_id).cast("bigint"))
+        if isinstance(cat_id, bool) or not isinstance(cat_id, numbers.Integral):
+            # typed comparison as in the reference: a text id equals no catchment
+            return results.filter(F.lit(False))
+        return results.filter(F.col("cat_id") == F.lit(int(cat_id)).cast("bigint"))
     keys = [k for k in ("region", "model", "cat_id") if k in requests.columns and k in results.columns]
     return results.join(requests.select(*keys).distinct(), keys, "left_semi")

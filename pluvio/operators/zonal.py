@@ -27,6 +27,7 @@ from pluvio.functions.rounding import half_even_div, numpy_round1
 from pluvio.plans.catalog import bounded
 
 WEIGHT_KEYS = ["region", "model", "cat_id", "row", "col"]
+BROADCAST_WEIGHT_ROWS = 2_000_000   # counted weight rows broadcast at most (~80 MB)
 
 
 def zonal_weights(edges: DataFrame, grid_def: DataFrame) -> DataFrame:
@@ -92,9 +93,6 @@ def join_weights(grid: DataFrame, weights: DataFrame, broadcast_rows: int | None
     return grid.join(wt, keys, "inner")
 
 
-BROADCAST_WEIGHT_ROWS = 2_000_000   # ~ 80 MB of (keys, cat_id, w) rows
-
-
 def covered_cells(grid: DataFrame, weights: DataFrame, broadcast_rows: int | None = None) -> DataFrame:
     """Keep only grid cells some catchment covers (semi join on the cell key).
 

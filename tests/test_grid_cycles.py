@@ -60,3 +60,29 @@ def test_complete_cycles_needs_all_steps(spark):
     g = spark.createDataFrame(rows, "region string, model string, cycle timestamp, step_h int")
     out = grid.complete_cycles(g, models_df(spark)).collect()
     assert [r["cycle"].day for r in out] == [1]
+
+
+def test_deaccumulate_clamp(spark):
+    rows = [("r", "wrfpr", dt.datetime(2024, 1, 1, 6), s, dt.datetime(2024, 1, 1, 6 + s), 0, 0, v)
+            for s, v in ((1, 2.0), (2, 1.5), (3, 4.0))]
+    raw = spark.createDataFrame(rows, "region string, model string, cycle timestamp, step_h int, "
+                                      "valid_time timestamp, row int, col int, value double")
+    keep = [r["value"] for r in grid.deaccumulate(raw).orderBy("step_h").collect()]
+    clamp = [r["value"] for r in grid.deaccumulate(raw, clamp_negative=True).orderBy("step_h").collect()]
+    assert keep == [2.0, -0.5, 2.5] and clamp == [2.0, 0.0, 2.5]
+
+
+def test_point_filter_is_typed(spark):
+    from pluvio.operators.series import point_filter
+    df = spark.createDataFrame([(1, 1.0), (2, 2.0)], "cat_id long, mean double")
+    assert point_filter(df, 2).count() == 1
+    assert point_filter(df, "2").count() == 0
+
+
+def test_require_thresholds(spark):
+    import pytest
+    from pluvio.operators.risk import require_thresholds
+    keyed = spark.createDataFrame([(1,), (2,), (3,)], "cat_id long")
+    thr = spark.createDataFrame([(1, "p", 5.0), (3, "p", -999.0)], "cat_id long, product string, threshold double")
+    with pytest.raises(ValueError, match=r"1 catchment\(s\) without a threshold, e.g. \[2\]"):
+        require_thresholds(keyed, thr)
