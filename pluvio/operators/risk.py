@@ -132,7 +132,7 @@ def time_to_threshold(running: DataFrame, thresholds: DataFrame, product: str |
     j = running.join(t, _join_keys(running, t), "inner")
     keys = _keys(running) + ["cat_id"]
     hit = F.when(F.col(value) >= F.col("threshold"), F.col("valid_time"))
-    out = j.groupBy(*keys).agg(F.first("threshold", ignorenulls=True).alias("threshold"),
+    out = j.groupBy(*keys).agg(F.max("threshold").alias("threshold"),
                                F.min(hit).alias("reached_at"))
     if "cycle" in out.columns:
         out = out.withColumn(

@@ -42,7 +42,15 @@ def running_total(results: DataFrame, value: str = "mean", out: str = "cum") ->
     step-by-step rounded total for any summation order.
     """
     w = _by_catchment(results).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return results.withColumn(out, F.sum(decimal1(value)).over(w).cast("double"))
+    return results.withColumn(out, _running(value, w))
+
+
+def _running(value: str, w) -> "F.Column":
+    """Exact running total; like the reference's float sum, a missing value
+    (NaN/null) makes this and every later total missing."""
+    c = F.col(value)
+    missing = F.sum(F.when(c.isNull() | F.isnan(c), 1).otherwise(0)).over(w)
+    return F.when(missing == 0, F.sum(decimal1(value)).over(w).cast("double"))
 
 
 def chart_max(df: DataFrame, value: str = "value", threshold: str = "threshold",
@@ -97,7 +105,7 @@ def chart_types(results: DataFrame, thresholds: DataFrame, product: str | None =
     s = threshold_lookup(results.select(*keys, "valid_time", "mean"), thresholds, product)
     run = _by_catchment(s).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     s = (s.withColumn("v_int", py_round1("mean"))
-         .withColumn("v_cum", F.sum(decimal1("mean")).over(run).cast("double")))
+         .withColumn("v_cum", _running("mean", run)))
     whole = Window.partitionBy(*keys)
     if semantics == "reference":
         top = F.max(F.struct("valid_time", "v_int", "v_cum")).over(whole)

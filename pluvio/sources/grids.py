@@ -56,6 +56,20 @@ def list_files(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataF
                      F.element_at(F.split("path", "/"), -1).alias("file_name"))
 
 
+def read_step_files(spark: SparkSession, path: str, glob: str = "*.parquet",
+                    schema=None) -> DataFrame:
+    """S6 + C8 on landed files: one file per step named ``yyyyMMddHH.<ext>``.
+
+    The suffix filter is ``pathGlobFilter``; each row's valid time comes from
+    its file's name (``_metadata.file_name``), so no listing order is needed.
+    """
+    r = spark.read.option("pathGlobFilter", glob)
+    if schema is not None:
+        r = r.schema(schema)
+    df = r.parquet(path)
+    return df.select("*", time_from_name(F.col("_metadata.file_name")).alias("valid_time"))
+
+
 def partition_value(path_col, key: str):
     """``key=value`` directory component of a path (``None`` when absent)."""
     v = F.regexp_extract(path_col, rf"/{key}=([^/]+)/", 1)

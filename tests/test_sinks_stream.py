@@ -91,3 +91,23 @@ def test_stream_equals_batch_and_is_replay_safe(spark):
     batch = round_stats(zonal_stats(g, weights)).select("model", "cycle", "valid_time", "cat_id",
                                                        "count", "max", "mean")
     assert sorted(map(tuple, batch.collect())) == first
+
+
+def test_step_files_time_from_name(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    for stamp in ("2024010106", "2024010112", "2024010118"):
+        pq.write_table(pa.table({"row": [0, 1], "col": [2, 3], "value": [1.5, 2.5]}),
+                       str(tmp_path / f"{stamp}.parquet"))
+    (tmp_path / "notes.txt").write_text("not a grid")
+    df = grids.read_step_files(spark, str(tmp_path))
+    times = sorted({r["valid_time"].hour for r in df.collect()})
+    assert times == [6, 12, 18] and df.count() == 6
+
+
+def test_running_total_missing_propagates(spark):
+    from pluvio.operators.series import running_total
+    rows = [(1, T0 + dt.timedelta(hours=h), v) for h, v in ((6, 1.0), (12, float("nan")), (18, 2.0))]
+    df = spark.createDataFrame(rows, "cat_id long, valid_time timestamp, mean double")
+    got = [r["cum"] for r in running_total(df).orderBy("valid_time").collect()]
+    assert got == [1.0, None, None]
