@@ -16,21 +16,34 @@ from pluvio.functions.timefmt import STAMP, parse_stamp
 PARTS = ["region", "model", "cycle"]
 
 
+MAX_RECORDS_PER_FILE = 5_000_000
+
+
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                mode: str = "overwrite", fmt: str = "parquet") -> str:
+                mode: str = "overwrite", fmt: str = "parquet",
+                files_per_partition: int | None = None) -> str:
     """K1/K2/K5: write partitioned by region/model/cycle (dynamic overwrite).
 
-    Rows are clustered by the partition keys first, so each task writes few
-    files per partition.
+    By default no shuffle: each task sorts its rows by the partition keys and
+    writes one file per partition value it holds (files capped at
+    ``MAX_RECORDS_PER_FILE`` rows).  A partition value is never funnelled
+    into one task, so a region or cycle holding a third of all rows is still
+    written by every task.  ``files_per_partition`` clusters rows first by
+    the keys plus a deterministic hash salt (retry-safe), for fewer files.
     """
     parts = [p for p in (partition_by or PARTS) if p in df.columns]
     out = df
     for f in df.schema.fields:
         if f.name in parts and f.dataType.typeName() == "timestamp":
             out = out.withColumn(f.name, F.date_format(F.col(f.name), STAMP))
+    if parts and files_per_partition:
+        rest = [c for c in out.columns if c not in parts]
+        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rest]), F.lit(files_per_partition))
+        out = out.repartition(*parts, salt)
     if parts:
-        out = out.repartition(*parts)
-    w = out.write.mode(mode).option("partitionOverwriteMode", "dynamic").format(fmt)
+        out = out.sortWithinPartitions(*parts)
+    w = (out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).format(fmt))
     if fmt == "csv":
         w = w.option("header", True)
     if parts:
@@ -58,14 +71,18 @@ def latest_cycles(df: DataFrame) -> DataFrame:
 
 
 def retain_latest(df: DataFrame) -> DataFrame:
-    """K7: keep only each (region, model)'s current cycle (semi join)."""
-    return df.join(latest_cycles(df), ["region", "model", "cycle"], "left_semi")
+    """K7: keep only each (region, model)'s current cycle (semi join).
+
+    The latest-cycle table has one row per (region, model) — registry-sized,
+    so it is broadcast and the table itself is not shuffled.
+    """
+    return df.join(F.broadcast(latest_cycles(df)), ["region", "model", "cycle"], "left_semi")
 
 
 def superseded(df: DataFrame) -> DataFrame:
     """Every (region, model, cycle) but the current one — what retention removes."""
     cycles = df.select("region", "model", "cycle").distinct()
-    return cycles.join(latest_cycles(df), ["region", "model", "cycle"], "left_anti")
+    return cycles.join(F.broadcast(latest_cycles(df)), ["region", "model", "cycle"], "left_anti")
 
 
 def apply_retention(spark: SparkSession, src: str, dst: str) -> str:
