@@ -75,7 +75,7 @@ def test_stream_equals_batch_and_is_replay_safe(spark):
     sf = "/root/testdata/sf0.001"
     raw = V.raw_grid(spark, sf)
     landing, out, ck = work_path(spark, "t-land"), work_path(spark, "t-out"), work_path(spark, "t-ck")
-    sinks.write_table(raw, landing)
+    sinks.write_table(raw, landing, files_per_partition=1)
     weights, n = materialise_weights(spark, _polys(spark, sf), V.grid_def(spark, sf))
     ingest(spark, landing, out, ck, weights, max_files_per_trigger=3, weight_rows=n)
     first = sorted(map(tuple, sinks.read_table(spark, out).select("model", "cycle", "valid_time", "cat_id",
