@@ -130,7 +130,8 @@ def _num_text(c):
 
 
 def chart_json(series: DataFrame) -> DataFrame:
-    """K3: one JSON document per chart: ``{"values":[[ms,v],…],"threshold":t,"max":m}``.
+    """K3: one JSON document per chart, laid out as the reference's reply:
+    ``{"values": [[ms, v], …], "threshold": t, "max": m}``.
 
     The group is one catchment's steps of one cycle (bounded by the step
     count).  Pairs are sorted by time inside the group.
@@ -140,12 +141,26 @@ def chart_json(series: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("ts_ms", _num_text("value").alias("v")))).alias("pts"),
         F.max("threshold").alias("threshold"), F.max("chart_max").alias("chart_max"))
     pairs = F.array_join(F.transform("pts", lambda p: F.concat(
-        F.lit("["), p["ts_ms"].cast("string"), F.lit(","), p["v"], F.lit("]"))), ",")
-    doc = F.concat(F.lit('{"values":['), pairs, F.lit('],"threshold":'), _num_text("threshold"),
-                   F.lit(',"max":'), _num_text("chart_max"), F.lit("}"))
+        F.lit("["), p["ts_ms"].cast("string"), F.lit(", "), p["v"], F.lit("]"))), ", ")
+    doc = F.concat(F.lit('{"values": ['), pairs, F.lit('], "threshold": '), _num_text("threshold"),
+                   F.lit(', "max": '), _num_text("chart_max"), F.lit("}"))
     return g.select(*keys, doc.alias("json"))
 
 
+def scale_json(scales: DataFrame) -> DataFrame:
+    """K4: the colour scales as JSON lines keyed like the reference's reply.
+
+    One line per catchment: key ``"<cat_id>.0"`` (the id printed as a
+    float) and ``{"cum_mean": …, "mean": …, "max": …}``.  One document for the
+    whole table would pass it through a single task, so it is not built.
+    """
+    keys = [k for k in ("region", "model", "cycle") if k in scales.columns]
+    body = F.concat(F.lit('{"cum_mean": '), _num_text("cum_mean"), F.lit(', "mean": '), _num_text("mean"),
+                    F.lit(', "max": '), _num_text("max"), F.lit("}"))
+    return scales.select(*keys, F.concat(F.col("cat_id").cast("string"), F.lit(".0")).alias("key"),
+                         body.alias("json"))
+
+
 def decode_requests(requests: DataFrame, body: str = "body") -> DataFrame:
     """Request bodies (JSON text) -> typed fields."""
     r = F.from_json(F.col(body), REQUEST_SCHEMA)

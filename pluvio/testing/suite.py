@@ -226,9 +226,9 @@ charts AS (
 @query("k3_chart_json", f"""
 , {CHARTS_SQL.strip()}
 SELECT region, model, cycle_s * 1000 AS cycle_ms, cat_id, chart_type,
-       '{{"values":[' || string_agg('[' || CAST(vt_s * 1000 AS VARCHAR) || ',' || CAST(value AS VARCHAR) || ']',
-                                   ',' ORDER BY vt_s)
-       || '],"threshold":' || CAST(max(threshold) AS VARCHAR) || ',"max":' || CAST(max(chart_max) AS VARCHAR)
+       '{{"values": [' || string_agg('[' || CAST(vt_s * 1000 AS VARCHAR) || ', ' || CAST(value AS VARCHAR) || ']',
+                                    ', ' ORDER BY vt_s)
+       || '], "threshold": ' || CAST(max(threshold) AS VARCHAR) || ', "max": ' || CAST(max(chart_max) AS VARCHAR)
        || '}}' AS json
 FROM charts GROUP BY region, model, cycle_s, cat_id, chart_type
 """)
@@ -239,15 +239,12 @@ def k3_chart_json(spark, sf_dir):
 
 @query("k4_scale_json", """
 SELECT region, model, cycle_s * 1000 AS cycle_ms, CAST(cat_id AS VARCHAR) || '.0' AS key,
-       '{"cum_mean":' || CAST(cum_mean AS VARCHAR) || ',"mean":' || CAST(mean AS VARCHAR)
-       || ',"max":' || CAST(max AS VARCHAR) || '}' AS json
+       '{"cum_mean": ' || CAST(cum_mean AS VARCHAR) || ', "mean": ' || CAST(mean AS VARCHAR)
+       || ', "max": ' || CAST(max AS VARCHAR) || '}' AS json
 FROM scales
 """)
 def k4_scale_json(spark, sf_dir):
-    s = _scales(spark, sf_dir)
-    return ms(s.select("region", "model", "cycle",
-                       F.concat(F.col("cat_id").cast("string"), F.lit(".0")).alias("key"),
-                       F.to_json(F.struct("cum_mean", "mean", "max")).alias("json")))
+    return ms(SE.scale_json(_scales(spark, sf_dir)))
 
 
 @query("k5_grid_sink", f"SELECT {GRID_COLS} FROM grid")

@@ -81,3 +81,14 @@ def test_reference_colour_equals_bins_at_five(spark):
     assert a == b
     c = [r["class"] for r in risk.reference_colour(df, interval=3).orderBy("value").collect()]
     assert c != a
+
+
+def test_chart_json_text_matches_python_json(spark):
+    import json
+    rows = _results(spark)
+    docs = series.chart_json(series.chart_types(rows, _thresholds(spark))).collect()
+    for d in docs:
+        parsed = json.loads(d["json"])
+        assert json.dumps(parsed) == d["json"]          # same text as a Python JSON reply
+        assert parsed["threshold"] == THRESHOLD
+        assert len(parsed["values"]) == len(ROWS)

@@ -44,4 +44,4 @@ def test_chart_documents_and_lookup(spark):
     req = V.requests(spark, SF)
     got = charts.lookup_charts(docs, req, "cumulative")
     assert got.count() > 0
-    assert got.filter(~F.col("json").startswith('{"values":[[')).count() == 0
+    assert got.filter(~F.col("json").startswith('{"values": [[')).count() == 0
