@@ -9,7 +9,8 @@ again (the reference wrote its state *before* the work on a first run).
 
 Command line::
 
-    python -m pluvio.plans.run_cycles --grid PATH --polygons PATH --grid-def PATH --out PATH
+    python -m pluvio.plans.run_cycles --grid PATH --polygons PATH --grid-def PATH --out PATH \
+        [--thresholds CSV --product COLUMN] [--csv]
 """
 
 from __future__ import annotations
@@ -24,9 +25,15 @@ from pluvio.plans import workflow
 from pluvio.plans.catalog import MODELS
 from pluvio.session import build_session, exists
 from pluvio.sources.polygons import read_geojson
-from pluvio.sources.sinks import read_table, write_table
+from pluvio.operators.risk import threshold_compare, time_to_threshold
+from pluvio.operators.series import running_total
+from pluvio.plans.charts import chart_documents
+from pluvio.sources.results import read_thresholds, thresholds_long, to_reference_form
+from pluvio.sources.sinks import read_table, to_reference_scales, write_table
 
 RUNS_SCHEMA = "model string, cycle timestamp, state string, updated_at timestamp"
+GRID_DEF_SCHEMA = ("region string, model string, x0 double, y_top double, dx double, dy double, "
+                   "n_rows int, n_cols int, factor int")
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
@@ -36,8 +43,16 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def run_cycles(spark: SparkSession, raw_grid: DataFrame, polygons: DataFrame, grid_def: DataFrame,
-               out: str, model_specs: dict | None = None, region_models: DataFrame | None = None) -> DataFrame:
-    """Process every pending cycle of ``raw_grid``; returns the cycles recorded done."""
+               out: str, model_specs: dict | None = None, region_models: DataFrame | None = None,
+               thresholds: DataFrame | None = None, product: str | None = None,
+               reference_csv: bool = False) -> DataFrame:
+    """Process every pending cycle of ``raw_grid``; returns the cycles recorded done.
+
+    With ``thresholds`` (long form, S2) the run also writes the threshold
+    comparison (R4), the time to threshold (R5) and every chart (K3);
+    ``reference_csv`` adds the results and colour scales in the reference's
+    CSV layout (F6, K2).
+    """
     runs_path = f"{out}/runs"
     wanted = raw_grid.select("model", "cycle").distinct()
     todo = pending_cycles(wanted, read_runs(spark, runs_path)).select("model", "cycle")
@@ -46,6 +61,16 @@ def run_cycles(spark: SparkSession, raw_grid: DataFrame, polygons: DataFrame, gr
     results, scales = workflow.run(spark, grid, polygons, grid_def, model_specs or MODELS, region_models)
     write_table(results, f"{out}/results")
     write_table(scales, f"{out}/scales")
+    # downstream tables read the written results back: the lineage is cut
+    results_w, scales_w = read_table(spark, f"{out}/results"), read_table(spark, f"{out}/scales")
+    if thresholds is not None:
+        write_table(threshold_compare(scales_w, thresholds, product), f"{out}/exceedance")
+        write_table(time_to_threshold(running_total(results_w), thresholds, product), f"{out}/time_to_threshold")
+        write_table(chart_documents(results_w, thresholds, product), f"{out}/charts")
+    if reference_csv:
+        write_table(to_reference_form(results_w), f"{out}/csv/results", ["region", "model"], fmt="csv")
+        write_table(to_reference_scales(scales_w).drop("cycle"), f"{out}/csv/colorscales",
+                    ["region", "model"], fmt="csv")
     # only the cycles that produced results (complete ones) are recorded, last
     done = scales.select("model", "cycle").distinct()
     written = read_table(spark, f"{out}/scales").join(done, ["model", "cycle"], "left_semi") \
@@ -59,16 +84,23 @@ def main(argv=None) -> None:
     ap.add_argument("--grid", required=True, help="grid table (Parquet, partitioned region/model/cycle)")
     ap.add_argument("--polygons", required=True, help="GeoJSON, one Feature per line")
     ap.add_argument("--region", default=None, help="region of the polygons (else the 'region' property)")
-    ap.add_argument("--grid-def", required=True, help="grid geometry table (JSON lines or Parquet)")
+    ap.add_argument("--grid-def", required=True, help="grid geometry table")
+    ap.add_argument("--grid-def-format", default="parquet", choices=["parquet", "json", "csv"])
     ap.add_argument("--out", required=True, help="output folder: results/, scales/, runs/")
+    ap.add_argument("--thresholds", default=None, help="threshold CSV (BASIN + product columns)")
+    ap.add_argument("--product", default=None, help="threshold column to use (default: all)")
+    ap.add_argument("--csv", action="store_true", help="also export the reference's CSV layout")
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
     spark = build_session(a.master)
-    fmt = "json" if a.grid_def.endswith((".json", ".jsonl")) else "parquet"
-    grid_def = spark.read.format(fmt).load(a.grid_def)
+    reader = spark.read.format(a.grid_def_format)
+    if a.grid_def_format == "csv":
+        reader = reader.option("header", True).schema(GRID_DEF_SCHEMA)
+    grid_def = reader.load(a.grid_def)
     raw = read_table(spark, a.grid)
     polys = read_geojson(spark, a.polygons, region=a.region)
-    run_cycles(spark, raw, polys, grid_def, a.out)
+    thr = thresholds_long(read_thresholds(spark, a.thresholds)) if a.thresholds else None
+    run_cycles(spark, raw, polys, grid_def, a.out, thresholds=thr, product=a.product, reference_csv=a.csv)
 
 
 if __name__ == "__main__":

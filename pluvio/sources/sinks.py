@@ -89,3 +89,10 @@ def apply_retention(spark: SparkSession, src: str, dst: str) -> str:
     """K7 on storage: copy the current cycles of ``src`` to ``dst``."""
     write_table(retain_latest(read_table(spark, src)), dst)
     return dst
+
+
+def to_reference_scales(scales: DataFrame) -> DataFrame:
+    """K2 in the reference's CSV layout: ``cat_id`` printed as a float
+    (``11111.0``), then ``cum_mean, mean, max``."""
+    keys = [k for k in ("region", "model", "cycle") if k in scales.columns]
+    return scales.select(*keys, F.col("cat_id").cast("double").alias("cat_id"), "cum_mean", "mean", "max")

@@ -45,3 +45,31 @@ def test_chart_documents_and_lookup(spark):
     got = charts.lookup_charts(docs, req, "cumulative")
     assert got.count() > 0
     assert got.filter(~F.col("json").startswith('{"values": [[')).count() == 0
+
+
+def test_cli_full_run(spark):
+    """The command line over files: grid table, GeoJSON lines, grid geometry, threshold CSV.
+
+    The test data is labelled as a catalog region so the default catalog runs it.
+    """
+    from pluvio.plans.run_cycles import main
+    from pluvio.sources.polygons import to_feature_lines
+    base = work_path(spark, "cli")
+    grid_p, poly_p, gd_p, thr_p, out = (f"{base}/grid", f"{base}/polys", f"{base}/gd", f"{base}/thr", f"{base}/out")
+    hisp = F.lit("hispaniola")
+    sinks.write_table(V.raw_grid(spark, SF).drop("var", "level").withColumn("region", hisp), grid_p)
+    to_feature_lines(V.polygons(spark, SF)).write.text(poly_p)
+    V.grid_def(spark, SF).withColumn("region", hisp).write.json(gd_p)
+    V.thresholds_wide(spark, SF).write.option("header", True).csv(thr_p)
+    args = ["--grid", grid_p, "--polygons", poly_p, "--region", "hispaniola", "--grid-def", gd_p,
+            "--grid-def-format", "json", "--out", out, "--thresholds", thr_p, "--product", V.PRODUCT, "--csv"]
+    main(args)
+    n = read_runs(spark, f"{out}/runs").count()
+    assert n > 0
+    for sub in ("results", "scales", "exceedance", "time_to_threshold", "charts"):
+        assert sinks.read_table(spark, f"{out}/{sub}").count() > 0, sub
+    csv = spark.read.option("header", True).csv(f"{out}/csv/colorscales")
+    assert set(csv.columns) >= {"cat_id", "cum_mean", "mean", "max"}
+    assert csv.filter(~F.col("cat_id").endswith(".0")).count() == 0
+    main(args)                                           # nothing pending: nothing new recorded
+    assert read_runs(spark, f"{out}/runs").count() == n
