@@ -45,7 +45,8 @@ def py_round1(x) -> Column:
 
     ``20*x`` is formed exactly as ``16x + 4x`` (both exact) plus the TwoSum
     error term; comparing it with the odd integers around ``rint(10x)``
-    decides the rounding on the exact binary value, ties to even.
+    decides the rounding on the exact binary value, ties to even.  Exact for
+    |x| < 4.5e14 and for |x| >= 2^49 (where the result is x itself).
     """
     x = _c(x).cast("double")
     n = F.rint(x * F.lit(10.0))
@@ -63,7 +64,9 @@ def py_round1(x) -> Column:
          .when((s < dn) | ((s == dn) & (err < 0)), n - 1)
          .when((s == dn) & (err == 0), even_dn)
          .otherwise(n))
-    return F.when(F.isnan(x) | x.isNull(), x).otherwise(r / F.lit(10.0))
+    # |x| >= 2^49: the spacing of doubles is >= 1/8, so Python returns x itself
+    big = F.abs(x) >= F.lit(float(2 ** 49))
+    return F.when(F.isnan(x) | x.isNull() | big, x).otherwise(r / F.lit(10.0))
 
 
 def decimal1(x) -> Column:

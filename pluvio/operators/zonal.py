@@ -130,9 +130,10 @@ def zonal_stats(grid: DataFrame, weights: DataFrame, value: str = "value", scale
         F.sum(F.when(valid, F.col("w"))).alias("count"),
         F.max(F.when(valid, v)).alias("max"),
         F.sum(F.when(valid, F.col("w") * units)).alias("wunits"))
-    return agg.select(*keys, F.col("count").cast("bigint").alias("count"), "max",
-                      (F.col("wunits").cast("double") / (F.col("count") * F.lit(10 ** scale)).cast("double"))
-                      .alias("mean"),
+    n = F.coalesce(F.col("count"), F.lit(0)).cast("bigint")
+    mean = F.when(n > 0, F.col("wunits").cast("double") / (n * F.lit(10 ** scale)).cast("double"))
+    # a catchment with no valid cell this step: count 0, no mean, no max
+    return agg.select(*keys, n.alias("count"), "max", mean.alias("mean"),
                       "wunits", F.lit(scale).alias("scale"))
 
 
@@ -146,7 +147,8 @@ def round_stats(stats: DataFrame, exact: bool = True) -> DataFrame:
     out = stats.withColumn("max", numpy_round1("max"))
     if exact and "wunits" in stats.columns:
         den = F.col("count") * F.pow(F.lit(10), F.col("scale") - 1).cast("long")
-        out = out.withColumn("mean", half_even_div(F.col("wunits"), den) / F.lit(10.0))
+        out = out.withColumn("mean", F.when(F.col("count") > 0,
+                                            half_even_div(F.col("wunits"), den) / F.lit(10.0)))
     else:
         out = out.withColumn("mean", numpy_round1("mean"))
     return out.drop("wunits", "scale")

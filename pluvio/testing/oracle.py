@@ -37,7 +37,7 @@ def pyround1(x: str) -> str:
          f"WHEN {s} = {up} AND {err} = 0 THEN {even_up} "
          f"WHEN {s} < {dn} OR ({s} = {dn} AND {err} < 0) THEN {n} - 1 "
          f"WHEN {s} = {dn} AND {err} = 0 THEN {even_dn} ELSE {n} END)")
-    return f"({r} / 10.0::DOUBLE)"
+    return f"(CASE WHEN abs({x}) >= {float(2 ** 49)}::DOUBLE THEN {x} ELSE {r} / 10.0::DOUBLE END)"
 
 
 def nround1(x: str) -> str:

@@ -48,3 +48,10 @@ def test_half_even_div(spark):
     from fractions import Fraction
     for (n, d), g in zip(pairs, got):
         assert g == round(Fraction(n, d)), (n, d, g)
+
+
+def test_py_round1_large_magnitudes(spark):
+    xs = [1e15 + 0.5, 4.6e15, 1e300, -(2.0 ** 50) - 0.25, 3.0e14 + 0.25, -1.2e14 - 0.35]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    got = [r[0] for r in df.select(py_round1("x")).collect()]
+    assert got == [round(x, 1) for x in xs]

@@ -102,3 +102,12 @@ def test_stats_equal_refined_grid(spark):
         assert s["count"] == len(vs)
         assert s["max"] == np.round(max(vs), 1)
         assert abs(s["mean"] - round(sum(vs) / len(vs), 1)) < 1e-9
+
+
+def test_no_valid_cell_gives_zero_count(spark):
+    grid = spark.createDataFrame([("r", "m", 0, 0, float("nan")), ("r", "m", 0, 1, None)],
+                                 "region string, model string, row int, col int, value double")
+    w = spark.createDataFrame([("r", "m", 7, 0, 0, 3), ("r", "m", 7, 0, 1, 2)],
+                              "region string, model string, cat_id long, row int, col int, w long")
+    r = round_stats(zonal_stats(grid, w)).collect()[0]
+    assert (r["count"], r["max"], r["mean"]) == (0, None, None)
