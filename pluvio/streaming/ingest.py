@@ -54,7 +54,7 @@ def ingest(spark: SparkSession, landing: str, results_path: str, checkpoint: str
 
     def batch(df: DataFrame, epoch_id: int) -> None:
         touched = df.select("region", "model", "cycle").distinct()
-        landed = spark.read.schema(LANDING_SCHEMA).parquet(landing)
+        landed = df.sparkSession.read.schema(LANDING_SCHEMA).parquet(landing)
         whole = landed.join(touched, ["region", "model", "cycle"], "left_semi")
         res = zonal_results(_typed(whole).drop("var", "level"), weights, mdf, specs,
                             broadcast_rows=weight_rows)
