@@ -66,6 +66,37 @@ def bbox_subset_by_region(df: DataFrame, boxes: DataFrame, lon: str = "lon", lat
     return j.filter(keep).drop("left", "right", "bottom", "top")
 
 
+def box_cell_ranges(geom: dict, left: float, right: float, bottom: float, top: float) -> tuple:
+    """Row and column index ranges whose cell centres can lie in the box.
+
+    ``geom`` is one grid_def row (x0, y_top, dx, dy, n_rows, n_cols).  One
+    cell of slack each side; the exact lon/lat test decides membership.
+    """
+    import math
+    x0, y_top, dx, dy = geom["x0"], geom["y_top"], geom["dx"], geom["dy"]
+    c0 = max(math.ceil((left - x0) / dx - 0.5) - 1, 0)
+    c1 = min(math.floor((right - x0) / dx - 0.5) + 1, geom["n_cols"] - 1)
+    r0 = max(math.ceil((y_top - top) / dy - 0.5) - 1, 0)
+    r1 = min(math.floor((y_top - bottom) / dy - 0.5) + 1, geom["n_rows"] - 1)
+    return (r0, r1), (c0, c1)
+
+
+def bbox_subset_pushdown(grid: DataFrame, geom: dict, left: float, right: float,
+                         bottom: float, top: float) -> DataFrame:
+    """F2 on a stored grid of one (region, model): the box as index ranges.
+
+    ``row``/``col`` range predicates reach the Parquet scan (row groups
+    outside the box are skipped when files are clustered by row); the
+    centre-in-box test on lon/lat then keeps exactly the cells F2 keeps.
+    """
+    (r0, r1), (c0, c1) = box_cell_ranges(geom, left, right, bottom, top)
+    g = grid.filter(F.col("row").between(r0, r1) & F.col("col").between(c0, c1))
+    lon = F.lit(float(geom["x0"])) + (F.col("col") + F.lit(0.5)) * F.lit(float(geom["dx"]))
+    lat = F.lit(float(geom["y_top"])) - (F.col("row") + F.lit(0.5)) * F.lit(float(geom["dy"]))
+    return (g.withColumn("lon", lon).withColumn("lat", lat)
+            .filter(F.col("lon").between(left, right) & F.col("lat").between(bottom, top)))
+
+
 def variable_subset(df: DataFrame, var: str = "APCP", level: str = "surface") -> DataFrame:
     """keep one variable at one level (pushed down to the scan)."""
     return df.filter((F.col("var") == var) & (F.col("level") == level))

@@ -86,3 +86,23 @@ def test_require_thresholds(spark):
     thr = spark.createDataFrame([(1, "p", 5.0), (3, "p", -999.0)], "cat_id long, product string, threshold double")
     with pytest.raises(ValueError, match=r"1 catchment\(s\) without a threshold, e.g. \[2\]"):
         require_thresholds(keyed, thr)
+
+
+def test_bbox_pushdown_equals_join_form(spark):
+    from pluvio.session import work_path
+    from pluvio.sources import sinks
+    from pluvio.testing import views as V
+    sf = "/root/testdata/sf0.01"
+    path = work_path(spark, "bbox-grid")
+    sinks.write_table(V.grid(spark, sf).filter(F.col("model") == "gfs"), path)
+    g = sinks.read_table(spark, path)
+    gd = V.grid_def(spark, sf).filter(F.col("model") == "gfs")
+    geom = gd.first().asDict()
+    box = (2.0, 12.0, 1.0, 8.5)
+    a = grid.bbox_subset_by_region(grid.cell_geometry(g, gd), V.bbox(spark))
+    b = grid.bbox_subset_pushdown(g, geom, *box)
+    cols = ["cycle", "valid_time", "row", "col", "value", "lon", "lat"]
+    assert sorted(map(tuple, a.select(cols).collect())) == sorted(map(tuple, b.select(cols).collect()))
+    plan = b._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "PushedFilters" in plan and "GreaterThanOrEqual(row" in plan
