@@ -250,7 +250,7 @@ def k4_scale_json(spark, sf_dir):
 @query("k5_grid_sink", f"SELECT {GRID_COLS} FROM grid")
 def k5_grid_sink(spark, sf_dir):
     path = work_path(spark, "k5-grid")
-    SK.write_table(V.grid(spark, sf_dir), path)
+    SK.write_grid(V.grid(spark, sf_dir), path)
     return ms(SK.read_table(spark, path))
 
 
@@ -736,7 +736,7 @@ FROM gresults
 def t1_incremental_ingest(spark, sf_dir):
     landing, out, ck = (work_path(spark, "t1-landing"), work_path(spark, "t1-results"),
                         work_path(spark, "t1-checkpoint"))
-    SK.write_table(V.raw_grid(spark, sf_dir), landing, files_per_partition=1)   # files as they land
+    SK.write_grid(V.raw_grid(spark, sf_dir), landing, files_per_partition=1)   # files as they land
     weights, n = WF.materialise_weights(spark, _polys(spark, sf_dir), V.grid_def(spark, sf_dir))
     runs = work_path(spark, "t1-runs")
     ST.ingest(spark, landing, out, ck, weights, max_files_per_trigger=4, weight_rows=n, runs_path=runs)
