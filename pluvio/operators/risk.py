@@ -49,7 +49,8 @@ def distinct_catchments(results: DataFrame, first_seen: bool = False) -> DataFra
 
 
 def first_thresholds(thresholds: DataFrame, product: str | None = None) -> DataFrame:
-    """One threshold per catchment (J1's first match).
+    """One threshold per catchment (J1's first match), per product when no
+    product is chosen.
 
     With an ``ordinal`` column (source order) the first row wins; otherwise
     the smallest value, which is deterministic.
@@ -58,6 +59,8 @@ def first_thresholds(thresholds: DataFrame, product: str | None = None) -> DataF
     if product is not None:
         t = t.filter(F.col("product") == product)
     keys = _keys(t, ["region"]) + ["cat_id"]
+    if product is None and "product" in t.columns:
+        keys.append("product")          # every product: one threshold row per product
     pick = (F.min_by("threshold", "ordinal") if "ordinal" in t.columns else F.min("threshold"))
     return t.groupBy(*keys).agg(pick.alias("threshold"))
 
@@ -130,7 +133,7 @@ def time_to_threshold(running: DataFrame, thresholds: DataFrame, product: str |
     """
     t = first_thresholds(thresholds, product).withColumn("threshold", valid_threshold())
     j = running.join(t, _join_keys(running, t), "inner")
-    keys = _keys(running) + ["cat_id"]
+    keys = _keys(running) + ["cat_id"] + (["product"] if "product" in t.columns else [])
     hit = F.when(F.col(value) >= F.col("threshold"), F.col("valid_time"))
     out = j.groupBy(*keys).agg(F.max("threshold").alias("threshold"),
                                F.min(hit).alias("reached_at"))

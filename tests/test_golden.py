@@ -92,3 +92,14 @@ def test_chart_json_text_matches_python_json(spark):
         assert json.dumps(parsed) == d["json"]          # same text as a Python JSON reply
         assert parsed["threshold"] == THRESHOLD
         assert len(parsed["values"]) == len(ROWS)
+
+
+def test_all_products_keep_product_key(spark):
+    wide = spark.createDataFrame([(CAT, 25.0, 50.0)], "BASIN long, p1 double, p2 double")
+    thr = thresholds_long(wide)
+    scales = risk.catchment_summary(_results(spark))
+    cmp = {r["product"]: r["cum_exceeds"] for r in risk.threshold_compare(scales, thr).collect()}
+    assert cmp == {"p1": True, "p2": False}                # cum_mean 42.3
+    run = series.running_total(_results(spark))
+    t = {r["product"]: r["lead_h"] for r in risk.time_to_threshold(run, thr).collect()}
+    assert t == {"p1": 114, "p2": None}
