@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pluvio.functions.rounding import decimal1, py_round1
 from pluvio.operators.risk import threshold_lookup
 
-SERIES_KEYS = ["region", "model", "cycle", "cat_id"]
+SERIES_KEYS = ["region", "model", "cycle", "cat_id", "product"]   # product: when several thresholds
 REQUEST_SCHEMA = "region string, model string, watershedID bigint"
 
 
@@ -101,8 +101,8 @@ def chart_types(results: DataFrame, thresholds: DataFrame, product: str | None =
     series; each step then becomes two tagged rows.  One shuffle of the
     results instead of one per chart type.
     """
-    keys = _keys(results)
-    s = threshold_lookup(results.select(*keys, "valid_time", "mean"), thresholds, product)
+    s = threshold_lookup(results.select(*_keys(results), "valid_time", "mean"), thresholds, product)
+    keys = _keys(s)                      # with ``product`` when several thresholds apply
     run = _by_catchment(s).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     s = (s.withColumn("v_int", py_round1("mean"))
          .withColumn("v_cum", _running("mean", run)))

@@ -103,3 +103,10 @@ def test_all_products_keep_product_key(spark):
     run = series.running_total(_results(spark))
     t = {r["product"]: r["lead_h"] for r in risk.time_to_threshold(run, thr).collect()}
     assert t == {"p1": 114, "p2": None}
+
+
+def test_chart_types_per_product(spark):
+    wide = spark.createDataFrame([(CAT, 25.0, 50.0)], "BASIN long, p1 double, p2 double")
+    ct = series.chart_types(_results(spark), thresholds_long(wide))
+    last = {(r["product"], r["chart_type"]): r["value"] for r in ct.orderBy("valid_time").collect()}
+    assert last[("p1", "cumulative")] == last[("p2", "cumulative")] == SUMMARY[0]
