@@ -61,9 +61,8 @@ def zonal_weights(edges: DataFrame, grid_def: DataFrame) -> DataFrame:
     c = c.withColumn("rn", F.row_number().over(w)).withColumn("nx", F.lead("x").over(w))
     spans = c.filter((F.col("rn") % 2 == 1) & F.col("nx").isNotNull())
 
-    fdx2 = F.col("dx") / F.col("factor")
-    ja = F.greatest(F.ceil((F.col("x") - F.col("x0")) / fdx2 - F.lit(0.5)), F.lit(0))
-    jb = F.least(F.ceil((F.col("nx") - F.col("x0")) / fdx2 - F.lit(0.5)) - 1,
+    ja = F.greatest(F.ceil((F.col("x") - F.col("x0")) / fdx - F.lit(0.5)), F.lit(0))
+    jb = F.least(F.ceil((F.col("nx") - F.col("x0")) / fdx - F.lit(0.5)) - 1,
                  F.col("n_cols") * F.col("factor") - 1)
     spans = (spans.select("region", "model", "cat_id", "i", "factor",
                           ja.cast("long").alias("ja"), jb.cast("long").alias("jb"))

@@ -11,8 +11,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pluvio.functions import classes as CL
+from pluvio.functions.rounding import py_round1 as _pyr
+from pluvio.functions.timefmt import AXIS_ORIGIN, DAY, HOUR, STAMP, epoch_ms, fmt, parse_stamp
+from pluvio.operators import cycles as CY
+from pluvio.operators import grid as G
+from pluvio.operators import risk
+from pluvio.operators import series as SE
+from pluvio.operators import zonal as Z
+from pluvio.plans import workflow as WF
+from pluvio.plans.catalog import RegionSpec, models_df, region_models_df
+from pluvio.session import work_path
+from pluvio.sources import grids as GS
+from pluvio.sources import polygons as PG
+from pluvio.sources import results as src
+from pluvio.sources import sinks as SK
+from pluvio.streaming import ingest as ST
 from pluvio.testing import views as V
-from pluvio.testing.oracle import D, hed, nround1, pyround1, q, stamp  # noqa: F401
+from pluvio.testing.oracle import hed, nround1, pyround1, q, stamp
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -42,8 +58,6 @@ def ms(df: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 # minimum slice: results -> A5 -> J1 -> R4
 # --------------------------------------------------------------------------
-from pluvio.operators import risk  # noqa: E402
-from pluvio.sources import results as src  # noqa: E402
 
 
 def _thresholds(spark, sf_dir):
@@ -83,21 +97,6 @@ def r4_threshold_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------------------
 # shared pieces
 # --------------------------------------------------------------------------
-from pluvio.functions import classes as CL  # noqa: E402
-from pluvio.functions.rounding import py_round1 as _pyr  # noqa: E402
-from pluvio.functions.timefmt import (AXIS_ORIGIN, DAY, HOUR, STAMP, epoch_ms, fmt,  # noqa: E402
-                                      parse_stamp)
-from pluvio.operators import cycles as CY  # noqa: E402
-from pluvio.operators import grid as G  # noqa: E402
-from pluvio.operators import series as SE  # noqa: E402
-from pluvio.operators import zonal as Z  # noqa: E402
-from pluvio.plans import workflow as WF  # noqa: E402
-from pluvio.plans.catalog import RegionSpec, models_df, region_models_df  # noqa: E402
-from pluvio.session import work_path  # noqa: E402
-from pluvio.sources import grids as GS  # noqa: E402
-from pluvio.sources import polygons as PG  # noqa: E402
-from pluvio.sources import sinks as SK  # noqa: E402
-from pluvio.streaming import ingest as ST  # noqa: E402
 
 
 def _scales(spark, sf_dir):
