@@ -51,6 +51,7 @@ def stamp(sec: str) -> str:
 
 
 REGION = "testbasin"
+REGION2 = "testbasin2"    # the same data on a grid shifted half a cell west (R9)
 
 VIEWS = f"""
 ev AS (
@@ -191,6 +192,62 @@ gresults AS (
   SELECT region, model, cycle_s, step_h, vt_s, cat_id, count, max,
          CAST({hed('wunits', 'count * 100')} AS DOUBLE) / 10.0::DOUBLE AS mean
   FROM gstats),
+grid_def_mr AS (
+  SELECT * FROM grid_def UNION ALL
+  SELECT '{REGION2}' AS region, model, -0.5::DOUBLE AS x0, y_top, dx, dy, n_rows, n_cols, factor FROM grid_def),
+edges_mr AS (
+  SELECT * FROM edges UNION ALL
+  SELECT '{REGION2}' AS region, cat_id, part, ring, seq, x1, y1, x2, y2 FROM edges),
+raw_grid_mr AS (
+  SELECT * FROM raw_grid UNION ALL
+  SELECT '{REGION2}' AS region, model, cycle_s, step_h, vt_s, var, level, "row", col, value FROM raw_grid),
+grid_mr AS (
+  SELECT * FROM grid UNION ALL
+  SELECT '{REGION2}' AS region, model, cycle_s, step_h, vt_s, var, level, "row", col, value FROM grid),
+fine_i_mr AS (
+  SELECT region, model, x0, y_top, dx, dy, factor, n_cols,
+         unnest(range(0, n_rows * factor)) AS i FROM grid_def_mr),
+fine_mr AS (
+  SELECT region, model, factor, i, j,
+         x0 + (j + 0.5::DOUBLE) * (dx / factor) AS xc,
+         y_top - (i + 0.5::DOUBLE) * (dy / factor) AS yc
+  FROM (SELECT *, unnest(range(0, n_cols * factor)) AS j FROM fine_i_mr)),
+bhits_mr AS (
+  SELECT f.region, f.model, e.cat_id, f.i, f.j, f.factor
+  FROM fine_mr f JOIN edges_mr e ON e.region = f.region
+  WHERE (e.y1 > f.yc) != (e.y2 > f.yc)
+    AND f.xc < e.x1 + (f.yc - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1)),
+bweights_mr AS (
+  SELECT region, model, cat_id, CAST(i // factor AS INTEGER) AS "row",
+         CAST(j // factor AS INTEGER) AS col, count(*) AS w
+  FROM (SELECT region, model, cat_id, i, j, factor FROM bhits_mr GROUP BY ALL HAVING count(*) % 2 = 1)
+  GROUP BY ALL),
+deacc_mr AS (
+  SELECT region, model, cycle_s, step_h, vt_s, "row", col,
+         CASE WHEN model = 'wrfpr' THEN
+              CASE WHEN row_number() OVER w = 1 THEN value ELSE value - lag(value) OVER w END
+              ELSE value END AS value
+  FROM raw_grid_mr
+  WINDOW w AS (PARTITION BY region, model, cycle_s, "row", col ORDER BY vt_s)),
+complete_mr AS (
+  SELECT region, model, cycle_s, count(DISTINCT step_h) AS n_steps_seen FROM grid_mr GROUP BY ALL
+  HAVING count(DISTINCT step_h) >= CASE model WHEN 'gfs' THEN 28 ELSE 48 END),
+gated_mr AS (
+  SELECT d.* FROM deacc_mr d
+  WHERE EXISTS (SELECT 1 FROM complete_mr c
+                WHERE c.region = d.region AND c.model = d.model AND c.cycle_s = d.cycle_s)),
+gstats_mr AS (
+  SELECT g.region, g.model, g.cycle_s, g.step_h, g.vt_s, w.cat_id,
+         CAST(sum(w.w) AS BIGINT) AS count,
+         round_even(max(g.value) * 10.0::DOUBLE, 0) / 10.0::DOUBLE AS max,
+         CAST(sum(w.w * CAST(round_even(g.value * 1000.0::DOUBLE, 0) AS BIGINT)) AS BIGINT) AS wunits
+  FROM gated_mr g JOIN bweights_mr w
+    ON g.region = w.region AND g.model = w.model AND g."row" = w."row" AND g.col = w.col
+  GROUP BY ALL),
+gresults_mr AS (
+  SELECT region, model, cycle_s, step_h, vt_s, cat_id, count, max,
+         CAST({hed('wunits', 'count * 100')} AS DOUBLE) / 10.0::DOUBLE AS mean
+  FROM gstats_mr),
 running AS (
   SELECT *, CAST(sum(CAST(mean AS DECIMAL(18,1))) OVER (
               PARTITION BY region, model, cycle_s, cat_id ORDER BY vt_s

@@ -715,13 +715,24 @@ def r7_reference_colour(spark, sf_dir):
 @query("r9_multi_model", """
 SELECT region, model, cycle_s * 1000 AS cycle_ms, cat_id,
        CAST(sum(CAST(mean AS DECIMAL(18,1))) AS DOUBLE) AS cum_mean, max(mean) AS mean, max(max) AS max
-FROM gresults GROUP BY ALL
+FROM gresults_mr GROUP BY ALL
 """)
 def r9_multi_model(spark, sf_dir):
-    test_region = {V.REGION: RegionSpec(V.REGION, "Test basin", V.X0, V.X0 + V.N_COLS * V.DX, -90.0, V.Y_TOP,
-                                        ("gfs", "wrfpr"))}
-    _, scales = WF.run(spark, V.raw_grid(spark, sf_dir).drop("var", "level"), _polys(spark, sf_dir),
-                       V.grid_def(spark, sf_dir), region_models=region_models_df(spark, test_region))
+    """Every region and model in one job: the test data twice, the second
+    region on a grid shifted half a cell west (other weights, clipped edge)."""
+    r2 = V.REGION + "2"
+
+    def as_r2(df):
+        return df.withColumn("region", F.when(F.col("region").isNotNull(), F.lit(r2)))
+
+    raw = V.raw_grid(spark, sf_dir).drop("var", "level")
+    polys = _polys(spark, sf_dir)
+    gd = V.grid_def(spark, sf_dir)
+    regions = {name: RegionSpec(name, name, V.X0, V.X0 + V.N_COLS * V.DX, -90.0, V.Y_TOP, ("gfs", "wrfpr"))
+               for name in (V.REGION, r2)}
+    _, scales = WF.run(spark, raw.unionByName(as_r2(raw)), polys.unionByName(as_r2(polys)),
+                       gd.unionByName(as_r2(gd).withColumn("x0", F.lit(-0.5))),
+                       region_models=region_models_df(spark, regions))
     return ms(scales)
 
 
