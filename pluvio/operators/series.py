@@ -19,7 +19,6 @@ from pluvio.functions.rounding import decimal1, py_round1
 from pluvio.operators.risk import threshold_lookup
 
 SERIES_KEYS = ["region", "model", "cycle", "cat_id", "product"]   # product: when several thresholds
-REQUEST_SCHEMA = "region string, model string, watershedID bigint"
 
 
 def _keys(df: DataFrame) -> list[str]:
@@ -162,11 +161,17 @@ def scale_json(scales: DataFrame) -> DataFrame:
 
 
 def decode_requests(requests: DataFrame, body: str = "body") -> DataFrame:
-    """Request bodies (JSON text) -> typed fields."""
-    r = F.from_json(F.col(body), REQUEST_SCHEMA)
+    """Request bodies (JSON text) -> typed fields.
+
+    ``json_tuple`` parses each body once for all three fields (a typed
+    ``from_json`` is split by the optimizer into one parse per field).  The
+    id may arrive as ``11111`` or ``11111.0``; anything else matches nothing.
+    """
     others = [c for c in requests.columns if c != body]
-    return requests.select(*others, r["region"].alias("region"), r["model"].alias("model"),
-                           r["watershedID"].alias("cat_id"))
+    t = F.json_tuple(F.col(body), "region", "model", "watershedID").alias("region", "model", "_wid")
+    wid = F.col("_wid")
+    cat = F.coalesce(wid.try_cast("bigint"), wid.try_cast("double").try_cast("bigint"))
+    return requests.select(*others, t).select(*others, "region", "model", cat.alias("cat_id"))
 
 
 def point_filter(results: DataFrame, cat_id=None, requests: DataFrame | None = None) -> DataFrame:

@@ -106,3 +106,13 @@ def test_bbox_pushdown_equals_join_form(spark):
     plan = b._jdf.queryExecution().explainString(
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
     assert "PushedFilters" in plan and "GreaterThanOrEqual(row" in plan
+
+
+def test_decode_requests_ids(spark):
+    from pluvio.operators.series import decode_requests
+    bodies = ['{"region": "a", "model": "gfs", "watershedID": 11111}',
+              '{"region": "a", "model": "gfs", "watershedID": 11111.0}',
+              '{"region": "a", "model": "gfs", "watershedID": "x"}']
+    df = spark.createDataFrame(list(enumerate(bodies)), "request_id long, body string")
+    got = [r["cat_id"] for r in decode_requests(df).orderBy("request_id").collect()]
+    assert got == [11111, 11111, None]
