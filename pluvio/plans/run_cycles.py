@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pluvio.operators.cycles import pending_cycles, record_runs
 from pluvio.plans import workflow
 from pluvio.plans.catalog import MODELS
-from pluvio.session import build_session, exists
+from pluvio.session import build_session, read_parquet_or_none
 from pluvio.sources.polygons import read_geojson
 from pluvio.operators.risk import threshold_compare, time_to_threshold
 from pluvio.operators.series import running_total
@@ -37,9 +37,8 @@ GRID_DEF_SCHEMA = ("region string, model string, x0 double, y_top double, dx dou
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    if exists(path):
-        return spark.read.parquet(path)
-    return spark.createDataFrame([], RUNS_SCHEMA)
+    runs = read_parquet_or_none(spark, path)
+    return runs if runs is not None else spark.createDataFrame([], RUNS_SCHEMA)
 
 
 def run_cycles(spark: SparkSession, raw_grid: DataFrame, polygons: DataFrame, grid_def: DataFrame,
@@ -58,7 +57,8 @@ def run_cycles(spark: SparkSession, raw_grid: DataFrame, polygons: DataFrame, gr
     todo = pending_cycles(wanted, read_runs(spark, runs_path)).select("model", "cycle")
     # one row per forecast run: bounded by the number of cycles, broadcast
     grid = raw_grid.join(F.broadcast(todo), ["model", "cycle"], "left_semi")
-    results, scales = workflow.run(spark, grid, polygons, grid_def, model_specs or MODELS, region_models)
+    results, scales = workflow.run(spark, grid, polygons, grid_def, model_specs or MODELS, region_models,
+                                   weights_root=f"{out}/weights")
     write_table(results, f"{out}/results")
     write_table(scales, f"{out}/scales")
     # downstream tables read the written results back: the lineage is cut

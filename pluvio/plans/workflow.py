@@ -9,6 +9,7 @@ totals, keep complete cycles, join the weights, aggregate, round, summarise.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pluvio.operators.grid import by_accumulation, only_complete
 from pluvio.operators.risk import catchment_summary
@@ -16,7 +17,7 @@ from pluvio.operators.zonal import covered_cells, round_stats, zonal_stats, zona
 from pluvio.plans.catalog import MODELS, bounded, models_df, region_models_df
 from pluvio.sources.polygons import polygon_edges
 from pluvio.sources.sinks import read_table, write_table
-from pluvio.session import work_path
+from pluvio.session import read_parquet_or_none, work_path
 
 
 def zonal_results(raw_grid: DataFrame, weights: DataFrame, models: DataFrame,
@@ -39,6 +40,33 @@ def zonal_results(raw_grid: DataFrame, weights: DataFrame, models: DataFrame,
     return round_stats(zonal_stats(grid, weights, broadcast_rows=broadcast_rows))
 
 
+def weights_fingerprint(polygons: DataFrame, grid_def: DataFrame) -> str:
+    """Content hash of the inputs of Z1 (polygon edges and grid geometry).
+
+    An order-independent sum of row hashes, computed by Spark; only the
+    number reaches the driver.
+    """
+    e = polygon_edges(polygons)
+    eh = e.select(F.xxhash64("region", "cat_id", "part", "ring", "seq", "x1", "y1", "x2", "y2").alias("h"))
+    gh = grid_def.select(F.xxhash64("region", "model", F.col("x0").cast("double"), F.col("y_top").cast("double"),
+                                    F.col("dx").cast("double"), F.col("dy").cast("double"),
+                                    F.col("n_rows").cast("int"), F.col("n_cols").cast("int"),
+                                    F.col("factor").cast("int")).alias("h"))
+    total = eh.unionByName(gh).agg(F.sum(F.col("h").cast("decimal(38,0)")).alias("s")).first()["s"]
+    return format(int(total) % (1 << 64), "016x")
+
+
+def cached_weights(spark: SparkSession, polygons: DataFrame, grid_def: DataFrame,
+                   root: str) -> tuple[DataFrame, int]:
+    """Z1 reused across runs: weights live under ``root/fp=<fingerprint>``
+    and are recomputed only when polygons or grid geometry change."""
+    path = f"{root}/fp={weights_fingerprint(polygons, grid_def)}"
+    found = read_parquet_or_none(spark, path)
+    if found is not None:
+        return found, found.count()
+    return materialise_weights(spark, polygons, grid_def, path)
+
+
 def materialise_weights(spark: SparkSession, polygons: DataFrame, grid_def: DataFrame,
                         path: str | None = None) -> tuple[DataFrame, int]:
     """Z1 once per (region, model, polygon set): write, read back, count.
@@ -59,13 +87,20 @@ def configured(raw_grid: DataFrame, region_models: DataFrame) -> DataFrame:
 
 
 def run(spark: SparkSession, raw_grid: DataFrame, polygons: DataFrame, grid_def: DataFrame,
-        model_specs: dict | None = None, region_models: DataFrame | None = None
-        ) -> tuple[DataFrame, DataFrame]:
-    """Every region and model in one job -> (results, colour scales)."""
+        model_specs: dict | None = None, region_models: DataFrame | None = None,
+        weights_root: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Every region and model in one job -> (results, colour scales).
+
+    ``weights_root``: keep the weights there and reuse them while the
+    polygons and grid geometry are unchanged.
+    """
     specs = model_specs or MODELS
     if region_models is None:
         region_models = region_models_df(spark)
-    weights, n = materialise_weights(spark, polygons, grid_def)
+    if weights_root is not None:
+        weights, n = cached_weights(spark, polygons, grid_def, weights_root)
+    else:
+        weights, n = materialise_weights(spark, polygons, grid_def)
     grid = configured(raw_grid, region_models)
     results = zonal_results(grid, weights, models_df(spark, specs), specs, broadcast_rows=n)
     return results, catchment_summary(results)

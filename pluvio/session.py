@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -78,10 +77,18 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{base}/pluvio/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (for os-level checks in tests only)."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def exists(path: str) -> bool:
-    return os.path.exists(local_path(path))
+def read_parquet_or_none(spark: SparkSession, path: str, schema=None):
+    """A Parquet table at ``path`` on any storage Spark reads, or ``None``
+    when nothing is there yet (no local file-system checks)."""
+    from pyspark.errors import AnalysisException
+    try:
+        r = spark.read
+        if schema is not None:
+            r = r.schema(schema)
+        df = r.parquet(path)
+        df.schema  # resolves the path
+        return df
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return None
+        raise

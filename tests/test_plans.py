@@ -73,3 +73,18 @@ def test_cli_full_run(spark):
     assert csv.filter(~F.col("cat_id").endswith(".0")).count() == 0
     main(args)                                           # nothing pending: nothing new recorded
     assert read_runs(spark, f"{out}/runs").count() == n
+
+
+def test_weights_reused_until_inputs_change(spark):
+    from pluvio.plans.workflow import cached_weights, weights_fingerprint
+    root = work_path(spark, "wcache")
+    polys, gd = _polys(spark, SF), V.grid_def(spark, SF)
+    a, n = cached_weights(spark, polys, gd, root)
+    b, m = cached_weights(spark, polys, gd, root)
+    assert n == m and n > 0
+    assert weights_fingerprint(polys, gd) == weights_fingerprint(polys, gd)
+    moved = gd.withColumn("x0", F.lit(-0.5))
+    assert weights_fingerprint(polys, moved) != weights_fingerprint(polys, gd)
+    from pluvio.session import read_parquet_or_none
+    assert read_parquet_or_none(spark, f"{root}/fp={weights_fingerprint(polys, gd)}") is not None
+    assert read_parquet_or_none(spark, f"{root}/nothing-here") is None
