@@ -137,6 +137,42 @@ scales AS (
          CAST(sum(CAST(mean AS DECIMAL(18,1))) AS DOUBLE) AS cum_mean,
          max(mean) AS mean, max(max) AS max
   FROM results GROUP BY ALL),
+cpoly AS (
+  SELECT '{REGION}' AS region, c_custkey AS cat_id,
+         CAST(c_custkey % 15 AS DOUBLE) + 0.5::DOUBLE + CAST((c_custkey // 15) % 7 AS DOUBLE) * 0.0371::DOUBLE AS cx,
+         9.5::DOUBLE - CAST((c_custkey // 15) % 10 AS DOUBLE) - CAST(c_custkey % 11 AS DOUBLE) * 0.0293::DOUBLE AS cy,
+         0.45::DOUBLE + CAST(c_custkey % 5 AS DOUBLE) * 0.173::DOUBLE AS hw,
+         0.35::DOUBLE + CAST(c_custkey % 3 AS DOUBLE) * 0.141::DOUBLE AS hh
+  FROM customer),
+cvert AS (
+  SELECT region, cat_id, v.i AS i,
+         CASE v.i WHEN 0 THEN cx - hw WHEN 1 THEN cx WHEN 2 THEN cx + hw WHEN 3 THEN cx ELSE cx - hw END AS x,
+         CASE v.i WHEN 0 THEN cy WHEN 1 THEN cy + hh WHEN 2 THEN cy WHEN 3 THEN cy - hh ELSE cy END AS y
+  FROM cpoly, (VALUES (0), (1), (2), (3), (4)) v(i)),
+cedges AS (
+  SELECT a.region, a.cat_id, 0 AS part, 0 AS ring, a.i AS seq, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2
+  FROM cvert a JOIN cvert b ON a.cat_id = b.cat_id AND b.i = a.i + 1),
+cbox AS (
+  SELECT p.region, g.model, p.cat_id, g.x0, g.y_top, g.dx, g.dy, g.factor,
+         greatest(CAST(floor((g.y_top - (p.cy + p.hh)) / (g.dy / g.factor)) AS BIGINT) - 1, 0) AS i0,
+         least(CAST(ceil((g.y_top - (p.cy - p.hh)) / (g.dy / g.factor)) AS BIGINT) + 1, g.n_rows * g.factor) AS i1,
+         greatest(CAST(floor(((p.cx - p.hw) - g.x0) / (g.dx / g.factor)) AS BIGINT) - 1, 0) AS j0,
+         least(CAST(ceil(((p.cx + p.hw) - g.x0) / (g.dx / g.factor)) AS BIGINT) + 1, g.n_cols * g.factor) AS j1
+  FROM cpoly p JOIN grid_def g ON p.region = g.region),
+cfine AS (
+  SELECT region, model, cat_id, factor, i, j,
+         x0 + (j + 0.5::DOUBLE) * (dx / factor) AS xc, y_top - (i + 0.5::DOUBLE) * (dy / factor) AS yc
+  FROM (SELECT *, unnest(range(j0, greatest(j1, j0))) AS j
+        FROM (SELECT *, unnest(range(i0, greatest(i1, i0))) AS i FROM cbox))),
+cweights AS (
+  SELECT region, model, cat_id, CAST(i // factor AS INTEGER) AS "row", CAST(j // factor AS INTEGER) AS col,
+         count(*) AS w
+  FROM (SELECT f.region, f.model, f.cat_id, f.i, f.j, f.factor
+        FROM cfine f JOIN cedges e ON e.cat_id = f.cat_id AND e.region = f.region
+        WHERE (e.y1 > f.yc) != (e.y2 > f.yc)
+          AND f.xc < e.x1 + (f.yc - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1)
+        GROUP BY ALL HAVING count(*) % 2 = 1)
+  GROUP BY ALL),
 points AS (
   SELECT event_id, '{REGION}' AS region, fmod(value, 16.0::DOUBLE) - 0.5::DOUBLE AS lon,
          10.5::DOUBLE - CAST(event_id % 120 AS DOUBLE) / 10.0::DOUBLE AS lat

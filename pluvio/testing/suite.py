@@ -165,10 +165,13 @@ def s4_tile_explode(spark, sf_dir):
     return ms(GS.explode_tiles(tiles))
 
 
-@query("s5_geojson_edges", "SELECT region, cat_id, part, ring, seq, x1, y1, x2, y2 FROM edges")
+@query("s5_geojson_edges", "SELECT region, cat_id, part, ring, seq, x1, y1, x2, y2 FROM cedges")
 def s5_geojson_edges(spark, sf_dir):
     path = work_path(spark, "s5-geojson")
-    PG.to_feature_lines(V.polygons(spark, sf_dir)).write.text(path)
+    c = V.catchments(spark, sf_dir)
+    feats = c.withColumn("geometry", F.struct(F.lit("MultiPolygon").alias("type"),
+                                              F.col("coordinates").alias("coordinates")))
+    PG.to_feature_lines(feats).write.text(path)
     polys = PG.read_geojson(spark, path, region=V.REGION)
     return PG.polygon_edges(polys)
 
@@ -430,9 +433,10 @@ def g6_time_axis(spark, sf_dir):
 # --------------------------------------------------------------------------
 # Z, A: zonal statistics and aggregations
 # --------------------------------------------------------------------------
-@query("z1_zonal_weights", "SELECT region, model, cat_id, \"row\", col, w FROM bweights")
+@query("z1_zonal_weights", "SELECT region, model, cat_id, \"row\", col, w FROM cweights")
 def z1_zonal_weights(spark, sf_dir):
-    return _weights(spark, sf_dir)
+    """Weights of one catchment per customer (the set grows with the data)."""
+    return Z.zonal_weights(PG.polygon_edges(V.catchments(spark, sf_dir)), V.grid_def(spark, sf_dir))
 
 
 @query("z2_zonal_stats", """

@@ -171,6 +171,27 @@ def polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
                     geometry.alias("geometry"))
 
 
+def catchments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catchment set that grows with the data: one diamond per customer.
+
+    Centres follow the grid cells of ``c_custkey`` with irregular offsets
+    and sizes (no crossing falls on a fine-cell centre); many overlap.
+    """
+    cu = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    q = fdiv(k, 15)
+    cx = F.pmod(k, F.lit(15)).cast("double") + F.lit(0.5) + F.pmod(q, F.lit(7)).cast("double") * F.lit(0.0371)
+    cy = (F.lit(9.5) - F.pmod(q, F.lit(10)).cast("double")
+          - F.pmod(k, F.lit(11)).cast("double") * F.lit(0.0293))
+    hw = F.lit(0.45) + F.pmod(k, F.lit(5)).cast("double") * F.lit(0.173)
+    hh = F.lit(0.35) + F.pmod(k, F.lit(3)).cast("double") * F.lit(0.141)
+    ring = F.array(F.array(cx - hw, cy), F.array(cx, cy + hh), F.array(cx + hw, cy),
+                   F.array(cx, cy - hh), F.array(cx - hw, cy))
+    return cu.select(region_of(k).alias("region"), k.cast("bigint").alias("cat_id"),
+                     F.create_map(F.lit("NAME"), F.col("c_name")).alias("props"),
+                     F.array(F.array(ring)).alias("coordinates"))
+
+
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chart requests as the web page sends them (JSON text bodies)."""
     o = table(spark, sf_dir, "orders")
