@@ -110,3 +110,28 @@ def test_chart_types_per_product(spark):
     ct = series.chart_types(_results(spark), thresholds_long(wide))
     last = {(r["product"], r["chart_type"]): r["value"] for r in ct.orderBy("valid_time").collect()}
     assert last[("p1", "cumulative")] == last[("p2", "cumulative")] == SUMMARY[0]
+
+
+def test_reference_csv_layout_roundtrip(spark, tmp_path):
+    """Results, thresholds and scales read from files in the reference's CSV layout."""
+    from pluvio.sources.results import read_results, read_scales, read_thresholds
+    res_csv = tmp_path / "gfsresults.csv"
+    lines = ["ISO3,NAME,cat_id,max,mean,count,Forecast Timestamp,Timestep"]
+    lines += [f"BLZ,Belize,{CAT},{mx},{mn},300988,2019062112,{ts}" for mx, mn, ts in ROWS]
+    res_csv.write_text("\n".join(lines) + "\n")
+    thr_csv = tmp_path / "thresholds.csv"
+    thr_csv.write_text(f"BASIN,01FFG2018021312\n{CAT},25\n")
+    sc_csv = tmp_path / "gfscolorscales.csv"
+    sc_csv.write_text(f"cat_id,cum_mean,mean,max\n{CAT}.0,{SUMMARY[0]},{SUMMARY[1]},{SUMMARY[2]}\n")
+
+    res = normalise_results(read_results(spark, str(res_csv), "csv"), region="centralamerica", model="gfs")
+    assert res.count() == len(ROWS) and dict(res.dtypes)["valid_time"] == "timestamp"
+    mine = risk.catchment_summary(res).collect()[0]
+    ref = read_scales(spark, str(sc_csv), "csv").collect()[0]
+    assert (mine["cat_id"], mine["cum_mean"], mine["mean"], mine["max"]) == \
+        (ref["cat_id"], ref["cum_mean"], ref["mean"], ref["max"])
+    thr = thresholds_long(read_thresholds(spark, str(thr_csv)))
+    out = risk.time_to_threshold(series.running_total(res), thr).collect()[0]
+    assert out["lead_h"] == 114
+    proj = read_results(spark, str(res_csv), "csv", columns=["cat_id", "mean", "max", "Timestep"])
+    assert proj.columns == ["cat_id", "mean", "max", "Timestep"]
