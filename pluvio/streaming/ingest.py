@@ -4,9 +4,9 @@ New grid files land in a folder partitioned by ``region/model/cycle``.  A
 file stream with ``availableNow`` processes each file exactly once (the
 checkpoint replaces the reference's timestamp file).  A micro-batch may hold
 part of a cycle, and de-accumulation needs a step's predecessor, so each
-batch recomputes the *whole* cycles it touched: it semi-joins the landing
-table with the touched (region, model, cycle) keys, keeps complete cycles,
-and overwrites those result partitions dynamically.  Re-running a batch after
+batch recomputes the *whole* cycles it touched: it reads the landing table
+pruned to the touched (region, model, cycle) partitions, keeps complete
+cycles, and overwrites those result partitions dynamically.  Re-running a batch after
 a failure writes the same partitions again (idempotent).
 """
 
@@ -36,6 +36,15 @@ LANDING_SCHEMA = T.StructType([
 ])
 
 
+def _partition_filter(keys: list[tuple]):
+    """``(region, model, cycle) in keys`` as a predicate on partition columns."""
+    cond = None
+    for region, model, cycle in keys:
+        c = (F.col("region") == region) & (F.col("model") == model) & (F.col("cycle") == cycle)
+        cond = c if cond is None else (cond | c)
+    return cond
+
+
 def _typed(df: DataFrame) -> DataFrame:
     return df.withColumn("cycle", parse_stamp(F.col("cycle")))
 
@@ -53,9 +62,16 @@ def ingest(spark: SparkSession, landing: str, results_path: str, checkpoint: str
     mdf = models_df(spark, specs)
 
     def batch(df: DataFrame, epoch_id: int) -> None:
-        touched = df.select("region", "model", "cycle").distinct()
+        # The cycles of this micro-batch: at most one per landed file of the
+        # trigger (maxFilesPerTrigger), so this key list is bounded.  As a
+        # literal filter on the partition columns it prunes the landing scan
+        # to those cycles: each batch reads its own cycles, not every cycle
+        # ever landed.
+        keys = [tuple(r) for r in df.select("region", "model", "cycle").distinct().collect()]
+        if not keys:
+            return
         landed = df.sparkSession.read.schema(LANDING_SCHEMA).parquet(landing)
-        whole = landed.join(touched, ["region", "model", "cycle"], "left_semi")
+        whole = landed.filter(_partition_filter(keys))
         res = zonal_results(_typed(whole).drop("var", "level"), weights, mdf, specs,
                             broadcast_rows=weight_rows)
         write_table(res, results_path)

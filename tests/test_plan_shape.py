@@ -59,3 +59,17 @@ def test_stored_grid_prunes_and_filters_before_window(spark):
     assert "dynamicpruning" in formatted                 # only complete cycles' files are read
     assert "BroadcastHashJoin LeftSemi" in formatted or "LeftSemi" in plan
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_stream_batch_reads_only_touched_cycles(spark):
+    from pluvio.sources.sinks import write_grid
+    from pluvio.streaming.ingest import LANDING_SCHEMA, _partition_filter
+    landing = work_path(spark, "shape-landing")
+    write_grid(V.raw_grid(spark, SF), landing, files_per_partition=1)
+    scan = spark.read.schema(LANDING_SCHEMA).parquet(landing)
+    keys = [tuple(r) for r in scan.select("region", "model", "cycle").distinct().orderBy("cycle").limit(1).collect()]
+    pruned = scan.filter(_partition_filter(keys))
+    formatted = pruned._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    line = [x for x in formatted.splitlines() if "PartitionFilters" in x][0]
+    assert f"cycle#" in line and keys[0][2] in line
