@@ -54,9 +54,18 @@ def run_cycles(spark: SparkSession, raw_grid: DataFrame, polygons: DataFrame, gr
     """
     runs_path = f"{out}/runs"
     wanted = raw_grid.select("model", "cycle").distinct()
-    todo = pending_cycles(wanted, read_runs(spark, runs_path)).select("model", "cycle")
-    # one row per forecast run: bounded by the number of cycles, broadcast
-    grid = raw_grid.join(F.broadcast(todo), ["model", "cycle"], "left_semi")
+    todo = pending_cycles(wanted, read_runs(spark, runs_path))
+    # The pending cycles are the runs awaiting work (a few, a backlog at
+    # most): read back as keys, they become a partition filter, so the grid
+    # scan reads only those cycles — not the whole history of the table.
+    keys = [(r["model"], r["s"]) for r in todo.select("model", F.unix_seconds("cycle").alias("s")).collect()]
+    if not keys:
+        return spark.createDataFrame([], "model string, cycle timestamp")
+    cond = None
+    for model, sec in keys:
+        c = (F.col("model") == model) & (F.col("cycle") == F.timestamp_seconds(F.lit(sec)))
+        cond = c if cond is None else (cond | c)
+    grid = raw_grid.filter(cond)
     results, scales = workflow.run(spark, grid, polygons, grid_def, model_specs or MODELS, region_models,
                                    weights_root=f"{out}/weights")
     write_table(results, f"{out}/results")
