@@ -41,6 +41,16 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
     return runs if runs is not None else spark.createDataFrame([], RUNS_SCHEMA)
 
 
+def pending_filter(keys: list[tuple]):
+    """``(model, cycle)`` in the pending keys (cycle as epoch seconds): a
+    predicate on partition columns only, so it prunes the grid scan."""
+    cond = None
+    for model, sec in keys:
+        c = (F.col("model") == model) & (F.col("cycle") == F.timestamp_seconds(F.lit(sec)))
+        cond = c if cond is None else (cond | c)
+    return cond
+
+
 def run_cycles(spark: SparkSession, raw_grid: DataFrame, polygons: DataFrame, grid_def: DataFrame,
                out: str, model_specs: dict | None = None, region_models: DataFrame | None = None,
                thresholds: DataFrame | None = None, product: str | None = None,
@@ -61,11 +71,7 @@ def run_cycles(spark: SparkSession, raw_grid: DataFrame, polygons: DataFrame, gr
     keys = [(r["model"], r["s"]) for r in todo.select("model", F.unix_seconds("cycle").alias("s")).collect()]
     if not keys:
         return spark.createDataFrame([], "model string, cycle timestamp")
-    cond = None
-    for model, sec in keys:
-        c = (F.col("model") == model) & (F.col("cycle") == F.timestamp_seconds(F.lit(sec)))
-        cond = c if cond is None else (cond | c)
-    grid = raw_grid.filter(cond)
+    grid = raw_grid.filter(pending_filter(keys))
     results, scales = workflow.run(spark, grid, polygons, grid_def, model_specs or MODELS, region_models,
                                    weights_root=f"{out}/weights")
     write_table(results, f"{out}/results")

@@ -73,3 +73,17 @@ def test_stream_batch_reads_only_touched_cycles(spark):
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
     line = [x for x in formatted.splitlines() if "PartitionFilters" in x][0]
     assert f"cycle#" in line and keys[0][2] in line
+
+
+def test_scheduled_run_reads_only_pending_cycles(spark):
+    from pyspark.sql import functions as F
+    from pluvio.plans.run_cycles import pending_filter
+    path = work_path(spark, "shape-pending")
+    sinks.write_grid(V.raw_grid(spark, SF).drop("var", "level"), path)
+    raw = sinks.read_table(spark, path)
+    keys = [(r["model"], r["s"]) for r in
+            raw.select("model", F.unix_seconds("cycle").alias("s")).distinct().orderBy("s").limit(1).collect()]
+    formatted = raw.filter(pending_filter(keys))._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    line = [x for x in formatted.splitlines() if "PartitionFilters" in x][0]
+    assert f"(model#" in line and "gettimestamp(cast(cycle#" in line
