@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pluvio.llm import quality_rules
+from pluvio.llm import line_dedup, mixing, near_dup, quality_rules
 from pluvio.llm.common import materialise, table
+from pluvio.llm.queries import encoding_digests
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,7 +19,33 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.passing(docs)
 
 
-STAGES = [("quality rules", quality)]
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that stand elsewhere already."""
+    return line_dedup.deduped(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return near_dup.one_of_each(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixing.mixed_documents(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of the encoded texts."""
+    return encoding_digests(docs)
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("line dedup", lines),
+    ("MinHash near-dedup", near_duplicates),
+    ("mixing sources", mix),
+    ("byte-level BPE", encode),
+]
 
 #: Near-duplicate groups and BPE digests are beyond SQL on whole tables; the
 #: tests hold ``run`` against a brute-force version instead.

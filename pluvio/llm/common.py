@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -19,6 +22,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once for each context, the way
+    ``--py-files`` does: Spark's own file server carries it to the executors."""
+    sc = spark.sparkContext
+    if getattr(sc, "_pluvio_shipped", False):
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    folder = tempfile.TemporaryDirectory(prefix="pluvio-ship-")      # the file server reads from here until the end
+    path = os.path.join(folder.name, "pluvio_package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for at, _, names in os.walk(top):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    z.write(os.path.join(at, n), os.path.relpath(os.path.join(at, n), os.path.dirname(top)))
+    sc.addPyFile(path)
+    sc._pluvio_shipped = folder
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the shared folder and read it back: cuts the lineage
     with files that outlive any executor."""

@@ -12,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvio.llm import mixing, quality_rules, sharding
-from pluvio.llm.common import table
+from pluvio.llm import ann, byte_bpe, language_id, line_dedup, mixing, near_dup, quality_rules, sharding, token_counts, toxicity
+from pluvio.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -80,6 +80,54 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op3_minhash_near_dedup")
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def encoding_digests(docs: DataFrame) -> DataFrame:
+    """Digests of every text's token ids and of what they decode to."""
+    out = byte_bpe.decode(byte_bpe.encode(docs))
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op4_byte_level_bpe")
+def op4_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoding_digests(table(spark, sf_dir, "documents"))
+
+
+@query("op5_toxicity")
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                      (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op6_line_dedup")
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "removed_lines", "removed_chunks", "text")
+
+
+@query("op7_token_counts")
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every text before and after a revision that touches it in
+    three places: some characters replaced, a line break put in, the first
+    character taken out."""
+    n = F.coalesce(F.length("text"), F.lit(0))
+    edit = lambda at, length, new: F.struct(at.cast("int").alias("at"), F.lit(length).alias("len"), F.lit(new).alias("new"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text", F.array(
+        edit(F.floor(n / 3), 7, " revised "), edit(F.floor(n / 3 * 2), 0, "\n"), edit(F.lit(0), 1, "")).alias("edits"))
+    return token_counts.edited_counts(rows)
+
+
+@query("op8_language_id")
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = language_id.identify(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 OP9_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
@@ -120,3 +168,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.judge(table(spark, sf_dir, "documents"))
     return out.select(F.col("r.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       "base_failed", "kept")
+
+
+@query("op10_approximate_nearest_neighbours")
+def op10_approximate_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
