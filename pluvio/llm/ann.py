@@ -188,7 +188,8 @@ def nearest(vectors: DataFrame, n: int = 20, every: int = 20) -> DataFrame:
                                 by_block.setdefault(k, []).append(cell)
                         q = int(ids[i]) // every % spread
                         rows.extend((t, k, q, True, int(ids[i]), x[i], cells) for k, cells in by_block.items())
-                yield pd.DataFrame(rows, columns=["t", "block", "portion", "query", "id", "x", "cells"])
+                if rows:
+                    yield pd.DataFrame(rows, columns=["t", "block", "portion", "query", "id", "x", "cells"])
 
     schema = "t int, block int, portion int, query boolean, id long, x array<double>, cells array<int>"
     stored = index.mapInPandas(to_blocks, schema)

@@ -1,7 +1,8 @@
 """Byte-level BPE by dynamic programming over prefixes.
 
-A sequence of tokens is the BPE encoding of its bytes exactly when every two
-neighbours are, taken alone, the encoding of theirs.  So each prefix of a
+In a vocabulary that merges have built, a sequence of tokens is the BPE
+encoding of its bytes exactly when every two neighbours are, taken alone, the
+encoding of theirs.  So each prefix of a
 piece has one valid last token: the one that ends there and fits the last
 token of the prefix before it.  ``Prefixes`` stores that token for each
 prefix.  Appending bytes extends the table; an edit recomputes it from the

@@ -106,7 +106,8 @@ def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             c: Counter = Counter()
             for t in part["text"]:
                 c.update(_WORDS(t.lower()))
-            yield pd.DataFrame({"lang": lang, "gram": list(c), "n": 0, "c": list(c.values())})
+            if c:
+                yield pd.DataFrame({"lang": lang, "gram": list(c), "n": 0, "c": list(c.values())})
 
 
 def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

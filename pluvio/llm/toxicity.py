@@ -158,7 +158,8 @@ def _count_features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for t in part["text"]:
                 for f in {f for w in distinct_words(t) for f in features_of(w)}:
                     c[f] = c.get(f, 0) + 1
-            yield pd.DataFrame({"feature": list(c), "pos": list(c.values()) if y else 0, "neg": 0 if y else list(c.values())})
+            if c:
+                yield pd.DataFrame({"feature": list(c), "pos": list(c.values()) if y else 0, "neg": 0 if y else list(c.values())})
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Classifier:

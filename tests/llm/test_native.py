@@ -1,0 +1,168 @@
+"""Sharding, mixing, quality rules: laws, brute force, odd rows, native plans."""
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from pluvio.llm import mixing, quality_rules, queries, sharding
+from pluvio.llm.common import table
+
+SF = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def _plan(df):
+    return df._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("n_shards", [1, 16, 7])
+def test_shards_match_the_mixture(spark, n_shards):
+    docs = table(spark, SF, "documents")
+    rows = sharding.interleaved_shards(docs, n_shards).collect()
+    given = {r["doc_id"]: r for r in docs.collect()}
+    assert sorted(r["doc_id"] for r in rows) == sorted(given)
+    shards = defaultdict(list)
+    for r in rows:
+        raw = (given[r["doc_id"]]["text"] or "").encode()
+        assert (r["size"], r["text_crc32"]) == (len(raw) + 1, zlib.crc32(raw))
+        shards[r["shard"]].append(r)
+    sizes = [len(x) for x in shards.values()]
+    assert len(shards) == n_shards and max(sizes) - min(sizes) <= 1
+    share = Counter(r["source"] for r in rows)
+    for x in shards.values():
+        assert sorted(r["slot"] for r in x) == list(range(len(x)))
+        have = Counter(r["source"] for r in x)
+        for s, n in share.items():          # each cut is within two rows of its share of a source
+            assert abs(have[s] - n * len(x) / len(rows)) <= 2
+
+
+def test_shards_do_not_depend_on_buckets_or_order(spark):
+    docs = table(spark, SF, "documents")
+    key = lambda df: sorted(tuple(r) for r in df.select("doc_id", "shard", "slot").collect())
+    a = key(sharding.interleaved_shards(docs, 16, buckets=3))
+    assert a == key(sharding.interleaved_shards(docs.orderBy(F.rand(1)).repartition(5), 16, buckets=64))
+    assert a != key(sharding.interleaved_shards(docs, 16, seed=18))
+
+
+def test_shards_of_odd_rows(spark, odd, docs_of):
+    rows = sharding.interleaved_shards(odd, 4).collect()
+    assert len(rows) == 12 and sorted(r["shard"] for r in rows) == [0] * 3 + [1] * 3 + [2] * 3 + [3] * 3
+    null = [r for r in rows if r["doc_id"] == 1][0]
+    assert (null["size"], null["text_crc32"]) == (1, 0)
+    assert sharding.interleaved_shards(docs_of([]), 4).count() == 0
+    one = sharding.interleaved_shards(docs_of([(1, "a"), (2, "b")]), 16).collect()
+    assert sorted(r["slot"] for r in one) == [0, 0]
+
+
+def _targets(size):
+    """Reshare the excess round by round."""
+    names = sorted(size, key=lambda s: (s is None, s or ""))
+    w = {s: 1 + i % 3 for i, s in enumerate(names)}
+    total, fixed = sum(size.values()), {}
+    while True:
+        free = [s for s in names if s not in fixed]
+        left, weight = total - sum(fixed.values()), sum(w[s] for s in free)
+        t = {s: left * w[s] / weight for s in free}
+        over = [s for s in free if t[s] > 3 * size[s]]
+        if not over:
+            return fixed | t
+        fixed |= {s: 3 * size[s] for s in over}
+
+
+def test_mix_reaches_targets(spark):
+    docs = table(spark, SF, "documents")
+    given = {r["doc_id"]: r for r in docs.collect()}
+    rows = mixing.mix_sources(docs).collect()
+    size = Counter()
+    for r in rows:
+        n = len(WORD.findall(given[r["doc_id"]]["text"] or ""))
+        assert r["size"] == n and r["taken"] <= 3 * n and (n == 0 or r["taken"] % n == 0)
+        size[r["source"]] += n
+    want, taken, longest = _targets(size), Counter(), Counter()
+    for r in rows:
+        assert r["source_size"] == size[r["source"]] and math.isclose(r["target"], want[r["source"]], rel_tol=1e-9)
+        taken[r["source"]] += r["taken"]
+        longest[r["source"]] = max(longest[r["source"]], r["size"])
+    assert all(abs(taken[s] - want[s]) <= longest[s] / 2 + 1e-6 for s in size)
+    again = mixing.mix_sources(docs.repartition(3), buckets=5).select("doc_id", "taken").collect()
+    assert sorted(map(tuple, again)) == sorted((r["doc_id"], r["taken"]) for r in rows)
+
+
+def test_complete_epochs_come_first(spark, docs_of):
+    docs = docs_of([(i, "w " * (3 + i % 5), s) for s, k in (("a", 40), ("b", 4), ("c", 6)) for i in range(k)])
+    per = defaultdict(list)
+    for r in mixing.mix_sources(docs).collect():
+        per[r["source"]].append((r["taken"] // r["size"], r["target"] / r["source_size"]))
+    for rows in per.values():
+        epochs = math.floor(rows[0][1] + 1e-9)
+        assert {t for t, _ in rows} <= {epochs, epochs + 1} and epochs <= 3
+
+
+def test_mix_follows_weights(spark, docs_of):
+    """Of equal documents those of greater weight are taken more often."""
+    good, bad = "plain words of some length", "### $$$ %%% &&& ###"
+    docs = docs_of([(i, good if i % 2 else bad, "a") for i in range(2000)] + [(9000 + i, good, "b") for i in range(400)])
+    taken = Counter((r["doc_id"] % 2) for r in mixing.mix_sources(docs).collect() if r["source"] == "a" and r["taken"])
+    assert taken[1] > 2 * taken[0]
+
+
+def test_mix_of_odd_rows(spark, odd, docs_of):
+    rows = mixing.mix_sources(odd).collect()
+    assert len(rows) == 12 and all(r["taken"] == 0 for r in rows if r["size"] == 0)
+    assert mixing.mix_sources(docs_of([])).count() == 0
+    empty = mixing.mix_sources(docs_of([(1, None), (2, "")])).collect()
+    assert [(r["target"], r["taken"]) for r in empty] == [(0.0, 0)] * 2
+    out = mixing.mixed_documents(odd)
+    assert out.columns == odd.columns
+    total = sum(r["taken"] for r in rows)
+    assert out.select(F.sum(mixing.word_count(F.col("text")))).first()[0] == total
+
+
+def _brute_quality(text):
+    w = WORD.findall(text or "")
+    grams = Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
+    rep = {i + k for i in range(len(w) - 2) if grams[tuple(w[i : i + 3])] > 1 for k in range(3)}
+    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+    return (len(w), sum(map(len, w)), sum((text or "").count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(rep))
+
+
+def test_quality_measures_against_brute_force(spark, odd):
+    for docs in (table(spark, SF, "documents"), odd):
+        for r in quality_rules.judge(docs).collect():
+            got = (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"])
+            assert got == _brute_quality(r["r"]["text"])
+            assert r["base_failed"] == (got[0] < 50 or 100 * got[4] > 50 * got[0])
+            assert not (r["kept"] and r["base_failed"])
+
+
+def test_rules_keep_clean_and_reject_junk(spark):
+    sf = "/root/testdata/sf0.01"
+    j = quality_rules.judge(table(spark, sf, "documents")).filter("not base_failed").select(F.col("r.doc_id").alias("doc_id"), "kept")
+    rows = j.join(table(spark, sf, "labels"), "doc_id").collect()
+    assert all(r["kept"] for r in rows if r["quality"] == 1)
+    junk = [r["kept"] for r in rows if r["quality"] == 0]
+    assert junk and sum(junk) <= 0.05 * len(junk)
+
+
+def test_a_rule_table_is_one_projection(spark, odd):
+    rule = (quality_rules.Rule("long words", "mean_word_chars", None, 3.0),)
+    kept = quality_rules.judge(odd, rule)
+    assert "Exchange" not in _plan(kept) and "Python" not in _plan(kept) and "UDF" not in _plan(kept)
+    out = quality_rules.passing(odd, rule)
+    assert out.columns == odd.columns and out.count() == 0
+
+
+def test_native_queries_run_no_python(spark):
+    for name in ("op1_sharding", "op2_mixing", "op9_quality_rules"):
+        text = _plan(queries.QUERIES[name](spark, SF))
+        assert not re.search("Python|Pandas|Arrow(?!Reader)", text), name
+
+
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_queries_match_sql(spark, name):
+    from compare import compare, duck
+    ok, _, _, detail = compare(spark, duck(SF), name, queries.QUERIES[name], queries.SQL[name], SF)
+    assert ok, detail
