@@ -134,8 +134,8 @@ def may_link(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
     return (100 * least >= PERCENT * most) & (differ <= allowed)
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, SKETCH_BITS // 64)
+def _matrix(column: pa.Array, width: int = SKETCH_BITS // 64) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, width)
 
 
 def _pairs(u: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
@@ -153,12 +153,14 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of different components within each pair of blocks of a key that
     may be linked.  Rows come sorted by key and blocks; one pair of blocks is
-    held at a time."""
+    held at a time.  A pair that shares several keys is looked at, and given
+    out, under its first band only: every key it shares is open, for it holds
+    two components."""
     names = ("key", "i", "j", "right", "nid", "label", "n")
     held: list[np.ndarray] | None = None
 
     def search(rows: list[np.ndarray]) -> pa.RecordBatch | None:
-        _, i, j, right, nid, label, n, sketch = rows
+        key, i, j, right, nid, label, n, sketch, bands = rows
         x, y = np.flatnonzero(~right), np.flatnonzero(right)
         found = []
         for at in range(0, len(x), 128):
@@ -169,6 +171,9 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             r, c = np.nonzero(mask)
             if len(r):
                 r, c = p[r], y[c]
+                same = bands[r] == bands[c]
+                first = bands[r, same.argmax(axis=1)] == key[:1].view(np.uint64)
+                r, c = r[first], c[first]
                 ok = may_link(sketch[r], sketch[c], n[r], n[c])
                 found.append((nid[r[ok]], nid[c[ok]]))
         if found:
@@ -176,7 +181,7 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return None
 
     for b in batches:
-        rows = [b.column(c).to_numpy(zero_copy_only=False) for c in names] + [_matrix(b.column("sketch"))]
+        rows = [b.column(c).to_numpy(zero_copy_only=False) for c in names] + [_matrix(b.column("sketch")), _matrix(b.column("bands"), BANDS)]
         if held is not None:
             rows = [np.concatenate([h, r]) for h, r in zip(held, rows)]
         if not len(rows[0]):
@@ -271,14 +276,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     labelled = materialise(labelled, "near-members")
     open_keys = (labelled.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count(F.lit(1)).alias("c"))
                  .filter("a < b").select("key", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks")))
-    split = labelled.join(open_keys, "key").join(sketches, "nid").withColumn("block", F.expr("int(pmod(xxhash64(nid), blocks))"))
+    split = labelled.join(open_keys, "key").join(classes.select("nid", "n", "sketch", "bands"), "nid").withColumn("block", F.expr("int(pmod(xxhash64(nid), blocks))"))
     split = materialise(split, "near-open")
     if not split.isEmpty():
-        own = [F.col(c) for c in ("nid", "label", "n", "sketch")]
+        own = [F.col(c) for c in ("nid", "label", "n", "sketch", "bands")]
         left = split.select("key", F.col("block").alias("i"), F.explode(F.expr("sequence(block, blocks - 1)")).alias("j"), F.lit(False).alias("right"), *own)
         right = split.select("key", F.explode(F.expr("sequence(0, block)")).alias("i"), F.col("block").alias("j"), F.lit(True).alias("right"), *own)
         met = (left.unionAll(right).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-               .mapInArrow(_across, "u long, v long").distinct())
+               .mapInArrow(_across, "u long, v long"))
         pairs = materialise(met.join(near, ["u", "v"], "left_anti"), "near-pairs")
         if not pairs.isEmpty():
             label = components(links.unionAll(materialise(confirmed(pairs, texts), "near-links")))
