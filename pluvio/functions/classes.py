@@ -21,7 +21,7 @@ def class_of(value, interval) -> Column:
 
     A chain of comparisons (not ``floor(v/k)``) so boundaries are exact.
     """
-    v = _c(value)
+    v = F.nanvl(_c(value).cast("double"), F.lit(None).cast("double"))   # NaN sorts above every number
     k = _c(interval) if not isinstance(interval, (int, float)) else F.lit(interval)
     expr = None
     for i in range(6, -1, -1):

@@ -1,6 +1,8 @@
 """Time scalars (C4-C7): ``yyyyMMddHH`` stamps, epoch milliseconds, labels.
 
-All patterns are fixed values that must equal the reference's formats.
+All patterns are fixed values that must equal the reference's formats.  Every
+expression here works on epoch seconds and dates, never on the session's
+clock, so results are UTC whatever ``spark.sql.session.timeZone`` says.
 """
 
 from __future__ import annotations
@@ -21,18 +23,46 @@ def _c(x) -> Column:
 
 
 def parse_stamp(x) -> Column:
-    """C4: ``yyyyMMddHH`` (int or string) -> timestamp (UTC session)."""
-    return F.to_timestamp(_c(x).cast("string"), STAMP)
+    """C4: ``yyyyMMddHH`` (int or string) -> timestamp; null when it is no such stamp."""
+    s = _c(x).cast("string")
+    hour = F.substring(s, 9, 2).try_cast("int")
+    ok = s.rlike(r"^[0-9]{10}$") & (hour < 24)
+    day = F.unix_date(F.try_to_date(F.when(ok, F.substring(s, 1, 8)), DAY))
+    return F.timestamp_seconds(day.cast("long") * 86400 + hour * 3600)
+
+
+def utc_day(ts) -> Column:
+    """The UTC date of a timestamp."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(_c(ts)) / 86400).cast("int"))
+
+
+def utc_hour(ts) -> Column:
+    """The UTC hour of a timestamp, 0 to 23."""
+    return F.floor(F.pmod(F.unix_seconds(_c(ts)), F.lit(86400)) / 3600).cast("int")
+
+
+def _two(n: Column) -> Column:
+    return F.lpad(n.cast("string"), 2, "0")
 
 
 def to_stamp(ts) -> Column:
     """Timestamp -> ``yyyyMMddHH`` as bigint (the reference CSV form)."""
-    return F.date_format(_c(ts), STAMP).cast("bigint")
+    return fmt(ts, STAMP).cast("bigint")
 
 
 def fmt(ts, pattern: str) -> Column:
     """Timestamp -> text in one of the patterns above."""
-    return F.date_format(_c(ts), pattern)
+    day, hour = utc_day(ts), utc_hour(ts)
+    h12 = _two(F.pmod(hour + 11, F.lit(12)) + 1)
+    forms = {
+        STAMP: lambda: F.concat(F.date_format(day, DAY), _two(hour)),
+        AXIS_ORIGIN: lambda: F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(" "), _two(hour), F.lit(":00:00")),
+        HOUR: lambda: _two(hour),
+        DAY: lambda: F.date_format(day, DAY),
+        LABEL: lambda: F.concat(F.date_format(day, "MMM dd"), F.lit(", "), h12,
+                                F.when(hour < 12, F.lit("AM")).otherwise(F.lit("PM")), F.lit(" UTC")),
+    }
+    return forms[pattern]()
 
 
 def epoch_ms(ts) -> Column:
@@ -49,7 +79,7 @@ def cycle_label(display_name, ts) -> Column:
     name = _c(display_name)
     return F.when(_c(ts).isNull(),
                   F.concat(F.lit("No "), name, F.lit(" Timestamp Detected"))) \
-        .otherwise(F.concat(name, F.lit(" data from "), F.date_format(_c(ts), LABEL)))
+        .otherwise(F.concat(name, F.lit(" data from "), fmt(ts, LABEL)))
 
 
 def add_hours(ts, hours) -> Column:

@@ -1,8 +1,10 @@
 """Forecast cycles: steps, availability, state.
 
 The reference keeps one timestamp file per model and decides from the wall
-clock.  Here cycle state is a table ``runs(model, cycle, state, updated_at)``
-(state ``'done'`` or ``'clobbered'``) and every decision is a join.
+clock.  Here cycle state is a table ``runs(region, model, cycle, state,
+updated_at)`` (state ``'done'`` or ``'clobbered'``) and every decision is a
+join.  The region is part of the key: a cycle that is complete in one region
+and late in another is done in the first and pending in the second.
 """
 
 from __future__ import annotations
@@ -10,9 +12,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pluvio.functions.timefmt import add_hours, cycle_label
+from pluvio.functions.timefmt import add_hours, cycle_label, utc_day, utc_hour
 from pluvio.plans.catalog import MODELS, bounded
 
+RUN_KEYS = ["region", "model", "cycle"]
+
 
 def step_expansion(cycles: DataFrame, models_df: DataFrame) -> DataFrame:
     """Each (model, cycle) -> its forecast steps and valid times."""
@@ -40,11 +44,11 @@ def latest_cycle(times: DataFrame, ts: str = "ts", models: dict | None = None) -
     """
     models = models or MODELS
     t = times.withColumn("_m", F.explode(_model_array(models)))
-    hour = F.hour(F.col(ts))
+    hour = utc_hour(ts)
     ready = F.filter(F.col("_m.hours"), lambda h: hour > h + F.col("_m.lag"))
-    day = F.date_trunc("DAY", F.col(ts))
-    cycle = (F.when(F.size(ready) > 0, add_hours(day, F.array_max(ready)))
-             .otherwise(add_hours(day - F.make_dt_interval(F.lit(1)), F.array_max(F.col("_m.hours")))))
+    day = F.unix_date(utc_day(ts)).cast("long") * 24
+    cycle = F.timestamp_seconds(F.when(F.size(ready) > 0, day + F.array_max(ready))
+                                .otherwise(day - 24 + F.array_max(F.col("_m.hours"))) * 3600)
     return t.withColumn("model", F.col("_m.model")).withColumn("cycle", cycle).drop("_m")
 
 
@@ -56,8 +60,8 @@ def missing_steps(expected: DataFrame, arrived: DataFrame,
 
 
 def run_state(runs: DataFrame) -> DataFrame:
-    """The last recorded state of each (model, cycle)."""
-    return runs.groupBy("model", "cycle").agg(F.max_by("state", "updated_at").alias("state"))
+    """The last recorded state of each (region, model, cycle)."""
+    return runs.groupBy(*RUN_KEYS).agg(F.max_by("state", "updated_at").alias("state"))
 
 
 def pending_cycles(wanted: DataFrame, runs: DataFrame) -> DataFrame:
@@ -67,21 +71,21 @@ def pending_cycles(wanted: DataFrame, runs: DataFrame) -> DataFrame:
     -> new.  ``reason`` says which.
     """
     st = run_state(runs)
-    j = wanted.select("model", "cycle").distinct().join(st, ["model", "cycle"], "left")
+    j = wanted.select(*RUN_KEYS).distinct().join(st, RUN_KEYS, "left")
     return (j.filter(F.col("state").isNull() | (F.col("state") != "done"))
-            .select("model", "cycle", F.coalesce(F.col("state"), F.lit("new")).alias("reason")))
+            .select(*RUN_KEYS, F.coalesce(F.col("state"), F.lit("new")).alias("reason")))
 
 
 def record_runs(spark, done: DataFrame, path: str, state: str = "done") -> None:
     """K6: append the finished cycles to the state table — the job's last action."""
-    (done.select("model", "cycle", F.lit(state).alias("state"),
+    (done.select(*RUN_KEYS, F.lit(state).alias("state"),
                  F.current_timestamp().alias("updated_at"))
      .write.mode("append").parquet(path))
 
 
 def cycle_labels(models_df: DataFrame, runs: DataFrame) -> DataFrame:
     """``GFS data from Jun 21, 12PM UTC`` per model, from its last done cycle."""
-    st = run_state(runs).filter(F.col("state") == "done")
+    st = run_state(runs).filter(F.col("state") == "done")      # done in any region
     last = st.groupBy("model").agg(F.max("cycle").alias("cycle"))
     j = models_df.select("model", "display").join(last, ["model"], "left")
     return j.select("model", cycle_label(F.col("display"), F.col("cycle")).alias("label"))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from pluvio.plans.catalog import MODELS, bounded
 
-CELL_KEYS = ["region", "model", "cycle", "row", "col"]
+CELL_KEYS = ["region", "model", "cycle", "var", "level", "row", "col"]
 
 
 def _common(a: DataFrame, b: DataFrame, keys=("region", "model")) -> list[str]:
@@ -122,9 +122,10 @@ def deaccumulate(raw: DataFrame, value: str = "value", clamp_negative: bool = Fa
     """G1: running totals -> per-step amounts.
 
     ``v(t) - v(previous available step)`` per cell and cycle; the first step
-    keeps its value (even a null).  The window holds one cell's steps of one
-    cycle, bounded by the model's step count.  Differences can be negative
-    (as in the reference); ``clamp_negative`` floors them at 0.
+    keeps its value (even a null).  A missing value, or a missing predecessor,
+    leaves the difference missing.  The window holds one cell's steps of one
+    variable and cycle, bounded by the model's step count.  Differences can be
+    negative (as in the reference); ``clamp_negative`` floors them at 0.
     """
     keys = [k for k in CELL_KEYS if k in raw.columns]
     w = Window.partitionBy(*keys).orderBy("valid_time")
@@ -132,7 +133,7 @@ def deaccumulate(raw: DataFrame, value: str = "value", clamp_negative: bool = Fa
     first = F.row_number().over(w) == 1
     diff = F.col(value) - prev
     if clamp_negative:
-        diff = F.greatest(diff, F.lit(0.0))
+        diff = F.when(diff.isNotNull(), F.greatest(diff, F.lit(0.0)))     # greatest() alone skips nulls
     return raw.withColumn(value, F.when(first, F.col(value)).otherwise(diff))
 
 
@@ -184,8 +185,26 @@ def time_axis(grid: DataFrame, models_df: DataFrame) -> DataFrame:
                     (F.col("step_start") + (F.col("step_index") - 1) * F.col("step_inc")).alias("hours"))
 
 
-def complete_cycles(grid: DataFrame, models_df: DataFrame) -> DataFrame:
-    """F8: cycles whose distinct steps reach the model's count (28 / 48)."""
+def step_manifest(grid: DataFrame) -> DataFrame:
+    """The steps present per (region, model, cycle): what the gate needs of a
+    grid.  Written beside a stored grid (``sinks.write_grid``), it spares the
+    gate the scan of every cell."""
+    return grid.groupBy("region", "model", "cycle", "step_h").agg(F.count(F.lit(1)).alias("n_cells"))
+
+
+def complete_cycles(grid: DataFrame, models_df: DataFrame, exact: bool = False) -> DataFrame:
+    """F8: cycles whose distinct steps reach the model's count (28 / 48).
+
+    ``grid`` is the grid or its step manifest.  With ``exact`` only steps of
+    the model's own sequence count, so a stray step cannot stand in for a
+    missing one.
+    """
+    if exact:
+        m = bounded(models_df.select("model", "step_start", "step_inc", "n_steps"))
+        k = F.col("step_h") - F.col("step_start")
+        grid = (grid.join(m, ["model"], "inner")
+                .filter((k >= 0) & (F.pmod(k, F.col("step_inc")) == 0) & (k < F.col("step_inc") * F.col("n_steps")))
+                .select("region", "model", "cycle", "step_h"))
     seen = grid.groupBy("region", "model", "cycle").agg(F.count_distinct("step_h").alias("n_steps_seen"))
     m = bounded(models_df.select("model", "n_steps"))
     return (seen.join(m, ["model"], "inner")
@@ -193,12 +212,13 @@ def complete_cycles(grid: DataFrame, models_df: DataFrame) -> DataFrame:
             .select("region", "model", "cycle", "n_steps_seen"))
 
 
-def only_complete(grid: DataFrame, models_df: DataFrame) -> DataFrame:
+def only_complete(grid: DataFrame, models_df: DataFrame, manifest: DataFrame | None = None,
+                  exact: bool = False) -> DataFrame:
     """Gate a grid on F8 (semi join on the complete cycles).
 
-    The gate table has one row per forecast run (region, model, cycle): a
-    few thousand rows per model-year whatever the grid size, so it is
-    broadcast and the grid is not shuffled for the gate.
+    The gate table has one row per forecast run (region, model, cycle).  No
+    hint: Spark broadcasts it while its size is below the threshold, and
+    prunes the partitions of a stored grid by it.
     """
-    done = complete_cycles(grid, models_df).select("region", "model", "cycle")
-    return grid.join(F.broadcast(done), ["region", "model", "cycle"], "left_semi")
+    done = complete_cycles(grid if manifest is None else manifest, models_df, exact)
+    return grid.join(done.select("region", "model", "cycle"), ["region", "model", "cycle"], "left_semi")

@@ -32,8 +32,8 @@ def catchment_summary(results: DataFrame, semantics: str = "reference") -> DataF
     keys = _keys(results) + ["cat_id"]
     return results.groupBy(*keys).agg(
         decimal_sum1("mean", poison=(semantics == "reference")).alias("cum_mean"),
-        F.max("mean").alias("mean"),
-        F.max("max").alias("max"))
+        F.max(number("mean")).alias("mean"),
+        F.max(number("max")).alias("max"))
 
 
 def distinct_catchments(results: DataFrame, first_seen: bool = False) -> DataFrame:
@@ -103,9 +103,15 @@ def require_thresholds(keyed: DataFrame, thresholds: DataFrame, product: str | N
         raise ValueError(f"{n} catchment(s) without a threshold, e.g. {ids}")
 
 
+def number(c) -> "F.Column":
+    """NaN to null: Spark orders NaN above every number, so it would reach any threshold."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.nanvl(c.cast("double"), F.lit(None).cast("double"))
+
+
 def valid_threshold(col="threshold"):
     """Sentinels (negative values such as -999, -333) mean "no threshold"."""
-    c = F.col(col)
+    c = number(col)
     return F.when(c >= 0, c)
 
 
@@ -113,14 +119,14 @@ def threshold_compare(scales: DataFrame, thresholds: DataFrame, product: str | N
     """Which catchments reach their flash-flood threshold.
 
     Compares total (``cum_mean``), largest interval mean and largest cell
-    maximum with the threshold; sentinel thresholds give nulls.
+    maximum with the threshold; sentinel thresholds and missing rain give nulls.
     """
     t = first_thresholds(thresholds, product).withColumn("threshold", valid_threshold())
     j = scales.join(t, _join_keys(scales, t), "inner")
     return j.select("*",
-                    (F.col("cum_mean") >= F.col("threshold")).alias("cum_exceeds"),
-                    (F.col("mean") >= F.col("threshold")).alias("mean_exceeds"),
-                    (F.col("max") >= F.col("threshold")).alias("max_exceeds"))
+                    (number("cum_mean") >= F.col("threshold")).alias("cum_exceeds"),
+                    (number("mean") >= F.col("threshold")).alias("mean_exceeds"),
+                    (number("max") >= F.col("threshold")).alias("max_exceeds"))
 
 
 def time_to_threshold(running: DataFrame, thresholds: DataFrame, product: str | None = None,
@@ -134,7 +140,7 @@ def time_to_threshold(running: DataFrame, thresholds: DataFrame, product: str |
     t = first_thresholds(thresholds, product).withColumn("threshold", valid_threshold())
     j = running.join(t, _join_keys(running, t), "inner")
     keys = _keys(running) + ["cat_id"] + (["product"] if "product" in t.columns else [])
-    hit = F.when(F.col(value) >= F.col("threshold"), F.col("valid_time"))
+    hit = F.when(number(value) >= F.col("threshold"), F.col("valid_time"))
     out = j.groupBy(*keys).agg(F.max("threshold").alias("threshold"),
                                F.min(hit).alias("reached_at"))
     if "cycle" in out.columns:

@@ -125,7 +125,8 @@ def chart_types(results: DataFrame, thresholds: DataFrame, product: str | None =
 
 
 def _num_text(c):
-    return F.col(c).cast("string")
+    """A number as JSON text; missing (null or NaN) is ``null``, never a gap."""
+    return F.coalesce(F.nanvl(F.col(c), F.lit(None).cast("double")).cast("string"), F.lit("null"))
 
 
 def chart_json(series: DataFrame) -> DataFrame:

@@ -14,7 +14,8 @@ computed once for all steps and cycles.
 Z1 builds the weights with a scan-line fill written in Spark SQL: each polygon
 edge is exploded to the fine rows whose centre it crosses (half-open rule),
 crossings are paired along each row by a ``lead`` window (even-odd rule, so
-holes subtract), and each span is cut into coarse columns.  Work grows with
+holes subtract), spans of overlapping parts are merged, and each span is cut
+into coarse columns.  Work grows with
 edge length x k, not with area x k^2.
 """
 
@@ -23,11 +24,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pluvio.functions.rounding import half_even_div, numpy_round1
+from pluvio.functions.rounding import numpy_round1
 from pluvio.plans.catalog import bounded
 
 WEIGHT_KEYS = ["region", "model", "cat_id", "row", "col"]
-BROADCAST_WEIGHT_ROWS = 2_000_000   # counted weight rows broadcast at most (~80 MB)
 
 
 def zonal_weights(edges: DataFrame, grid_def: DataFrame) -> DataFrame:
@@ -56,16 +56,24 @@ def zonal_weights(edges: DataFrame, grid_def: DataFrame) -> DataFrame:
     x = F.col("x1") + (F.col("yc") - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))
     c = e.select("region", "model", "cat_id", "part", "i", "x0", "dx", "n_cols", "factor", x.alias("x"))
 
+    # one shuffle for both windows below: hashing by (catchment, fine row) also
+    # keeps the crossings of one part together
+    keys = ["region", "model", "cat_id", "i"]
+    c = c.repartition(*keys)
     # even-odd pairing of the crossings along each fine row of each part
-    w = Window.partitionBy("region", "model", "cat_id", "part", "i").orderBy("x")
+    w = Window.partitionBy(*keys, "part").orderBy("x")
     c = c.withColumn("rn", F.row_number().over(w)).withColumn("nx", F.lead("x").over(w))
     spans = c.filter((F.col("rn") % 2 == 1) & F.col("nx").isNotNull())
 
     ja = F.greatest(F.ceil((F.col("x") - F.col("x0")) / fdx - F.lit(0.5)), F.lit(0))
     jb = F.least(F.ceil((F.col("nx") - F.col("x0")) / fdx - F.lit(0.5)) - 1,
                  F.col("n_cols") * F.col("factor") - 1)
-    spans = (spans.select("region", "model", "cat_id", "i", "factor",
-                          ja.cast("long").alias("ja"), jb.cast("long").alias("jb"))
+    spans = (spans.select(*keys, "factor", ja.cast("long").alias("ja"), jb.cast("long").alias("jb"))
+             .filter(F.col("ja") <= F.col("jb")))
+    # parts may overlap: a fine cell counts once, so a span starts after all
+    # that earlier spans of its row have covered
+    before = Window.partitionBy(*keys).orderBy("ja", "jb").rowsBetween(Window.unboundedPreceding, -1)
+    spans = (spans.withColumn("ja", F.greatest("ja", F.coalesce(F.max("jb").over(before) + 1, F.lit(0))))
              .filter(F.col("ja") <= F.col("jb")))
     f = F.col("factor")
     cc = F.explode(F.sequence((F.col("ja") / f).cast("long"), (F.col("jb") / f).cast("long")))
@@ -83,76 +91,73 @@ def zonal_weights(edges: DataFrame, grid_def: DataFrame) -> DataFrame:
     return cells.groupBy(*WEIGHT_KEYS).agg(F.sum("w").alias("w"))
 
 
-def join_weights(grid: DataFrame, weights: DataFrame, broadcast_rows: int | None = None) -> DataFrame:
+def join_weights(grid: DataFrame, weights: DataFrame) -> DataFrame:
     """Z2 join: grid cells with the catchments that cover them.
 
-    With ``broadcast_rows`` (the weights' counted size) under the limit the
-    weights are broadcast and the grid is never shuffled; otherwise both
-    sides are shuffled on the cell key (and AQE still may broadcast).
+    No hint: Spark's size estimate, and AQE's measured bytes, decide whether
+    the weights are broadcast (the grid is then never shuffled) or both sides
+    are shuffled on the cell key.
     """
     keys = ["region", "model", "row", "col"]
-    wt = weights.select(*keys, "cat_id", "w")
-    if broadcast_rows is not None and broadcast_rows <= BROADCAST_WEIGHT_ROWS:
-        wt = F.broadcast(wt)
-    return grid.join(wt, keys, "inner")
+    return grid.join(weights.select(*keys, "cat_id", "w"), keys, "inner")
 
 
-def covered_cells(grid: DataFrame, weights: DataFrame, broadcast_rows: int | None = None) -> DataFrame:
+def covered_cells(grid: DataFrame, weights: DataFrame) -> DataFrame:
     """Keep only grid cells some catchment covers (semi join on the cell key).
 
-    Applied before any per-cell shuffle (de-accumulation), so the shuffle
-    carries only cells that can reach a statistic.  The distinct cells are
-    at most the weight rows, so the counted size check of the weights covers
-    the broadcast.
+    Applied before the per-cell shuffle of the de-accumulation, so that it
+    carries only cells that can reach a statistic.
     """
     keys = ["region", "model", "row", "col"]
-    cells = weights.select(*keys).distinct()
-    if broadcast_rows is not None and broadcast_rows <= BROADCAST_WEIGHT_ROWS:
-        cells = F.broadcast(cells)
-    return grid.join(cells, keys, "left_semi")
+    return grid.join(weights.select(*keys).distinct(), keys, "left_semi")
+
+
+STEP_KEYS = ["region", "model", "cycle", "step_h", "valid_time"]
+UNIT = 1_000_000_000          # sums run in whole and billionth units, the rest in doubles
 
 
-def zonal_stats(grid: DataFrame, weights: DataFrame, value: str = "value", scale: int = 3,
-                broadcast_rows: int | None = None) -> DataFrame:
+def zonal_stats(grid: DataFrame, weights: DataFrame, value: str = "value",
+                catchments: DataFrame | None = None) -> DataFrame:
     """Z2 + A1-A3: per (region, model, cycle, valid_time, cat_id): count, max, mean.
 
     * count = sum of weights over valid (non-null, non-NaN) cells (A1);
     * max   = largest valid value over covered cells (A2);
-    * mean  = sum(w * v) / sum(w) (A3), accumulated in fixed point with
-      ``scale`` decimals (a long), so it is exact and independent of the
-      order Spark sums in.
+    * mean  = sum(w * v) / sum(w) (A3).  Each value is split into a whole
+      part, billionths and a remainder.  The first two are summed as longs,
+      which is exact in any order; the remainder, beyond the ninth decimal, is
+      summed as doubles.  Nothing is cut off.
 
-    All three are algebraic: partial aggregation runs before the shuffle, so
-    a catchment holding a third of all cells costs one row per task.
+    With ``catchments`` (``region, cat_id``) every catchment of a region has a
+    row for each of its steps: one that no valid cell covers has count 0, no
+    mean and no max.  The result is as large as steps x catchments by nature.
+
+    All aggregates are algebraic: partial aggregation runs before the
+    shuffle, so a catchment holding a third of all cells costs one row per task.
     """
-    j = join_weights(grid, weights, broadcast_rows)
+    j = join_weights(grid, weights)
     v = F.col(value)
     valid = v.isNotNull() & ~F.isnan(v)
-    units = F.rint(v * F.lit(10.0 ** scale)).cast("long")
-    keys = [k for k in ("region", "model", "cycle", "step_h", "valid_time") if k in grid.columns] + ["cat_id"]
-    agg = j.groupBy(*keys).agg(
-        F.sum(F.when(valid, F.col("w"))).alias("count"),
+    whole = F.floor(v)
+    units = F.rint((v - whole) * UNIT)
+    rest = v - (whole + units / F.lit(float(UNIT)))
+    w = F.col("w")
+    keys = [k for k in STEP_KEYS if k in grid.columns] + ["cat_id"]
+    stats = j.groupBy(*keys).agg(
+        F.sum(F.when(valid, w)).alias("count"),
         F.max(F.when(valid, v)).alias("max"),
-        F.sum(F.when(valid, F.col("w") * units)).alias("wunits"))
+        F.sum(F.when(valid, w * whole.cast("long"))).alias("_whole"),
+        F.sum(F.when(valid, w * units.cast("long"))).alias("_units"),
+        F.sum(F.when(valid, w * rest)).alias("_rest"))
+    if catchments is not None:
+        steps = grid.select(*keys[:-1]).distinct()
+        every = steps.join(catchments.select("region", F.col("cat_id").cast("bigint").alias("cat_id")).distinct(), ["region"])
+        stats = every.join(stats, keys, "left")
     n = F.coalesce(F.col("count"), F.lit(0)).cast("bigint")
-    mean = F.when(n > 0, F.col("wunits").cast("double") / (n * F.lit(10 ** scale)).cast("double"))
-    # a catchment with no valid cell this step: count 0, no mean, no max
-    return agg.select(*keys, n.alias("count"), "max", mean.alias("mean"),
-                      "wunits", F.lit(scale).alias("scale"))
-
+    total = F.col("_whole").cast("decimal(38,0)") * F.lit(UNIT) + F.col("_units")
+    mean = F.when(n > 0, total.cast("double") / (n.cast("double") * F.lit(float(UNIT))) + F.col("_rest") / n)
+    return stats.select(*keys, n.alias("count"), "max", mean.alias("mean"))
 
-def round_stats(stats: DataFrame, exact: bool = True) -> DataFrame:
-    """A4: ``max`` and ``mean`` to one decimal.
 
-    ``exact``: the mean from its fixed-point sum (half to even on the exact
-    quotient); otherwise, and always for ``max``, as a numpy frame rounds:
-    ``rint(x * 10) / 10``.
-    """
-    out = stats.withColumn("max", numpy_round1("max"))
-    if exact and "wunits" in stats.columns:
-        den = F.col("count") * F.pow(F.lit(10), F.col("scale") - 1).cast("long")
-        out = out.withColumn("mean", F.when(F.col("count") > 0,
-                                            half_even_div(F.col("wunits"), den) / F.lit(10.0)))
-    else:
-        out = out.withColumn("mean", numpy_round1("mean"))
-    return out.drop("wunits", "scale")
+def round_stats(stats: DataFrame) -> DataFrame:
+    """A4: ``max`` and ``mean`` to one decimal as a numpy frame rounds: ``rint(x * 10) / 10``."""
+    return stats.withColumn("max", numpy_round1("max")).withColumn("mean", numpy_round1("mean"))

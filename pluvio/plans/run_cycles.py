@@ -9,8 +9,8 @@ again (the reference wrote its state *before* the work on a first run).
 
 Command line::
 
-    python -m pluvio.plans.run_cycles --grid PATH --polygons PATH --grid-def PATH --out PATH \
-        [--thresholds CSV --product COLUMN] [--csv]
+    python -m pluvio.plans.run_cycles --grid PATH [--manifest PATH] --polygons [REGION=]PATH ... [--collection]
+        --grid-def PATH --out PATH [--thresholds CSV --product COLUMN] [--csv]
 """
 
 from __future__ import annotations
@@ -20,18 +20,20 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvio.operators.cycles import pending_cycles, record_runs
-from pluvio.plans import workflow
-from pluvio.plans.catalog import MODELS
-from pluvio.session import build_session, read_parquet_or_none
-from pluvio.sources.polygons import read_geojson
-from pluvio.operators.risk import threshold_compare, time_to_threshold
+from pluvio.operators.cycles import RUN_KEYS, pending_cycles, record_runs
+from pluvio.operators.grid import complete_cycles
+from pluvio.operators.risk import catchment_summary, threshold_compare, time_to_threshold
 from pluvio.operators.series import running_total
+from pluvio.plans import workflow
+from pluvio.plans.catalog import MODELS, models_df, region_models_df
 from pluvio.plans.charts import chart_documents
+from pluvio.session import build_session, ensure_utc, read_parquet_or_none, work_path
+from pluvio.sources.polygons import read_geojson
 from pluvio.sources.results import read_thresholds, thresholds_long, to_reference_form
-from pluvio.sources.sinks import read_table, to_reference_scales, write_table
+from pluvio.sources.sinks import (apply_retention, in_partitions, partition_listing, read_table, retain_latest,
+                                  to_reference_scales, write_table)
 
-RUNS_SCHEMA = "model string, cycle timestamp, state string, updated_at timestamp"
+RUNS_SCHEMA = "region string, model string, cycle timestamp, state string, updated_at timestamp"
 GRID_DEF_SCHEMA = ("region string, model string, x0 double, y_top double, dx double, dy double, "
                    "n_rows int, n_cols int, factor int")
 
@@ -41,64 +43,83 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
     return runs if runs is not None else spark.createDataFrame([], RUNS_SCHEMA)
 
 
-def pending_filter(keys: list[tuple]):
-    """``(model, cycle)`` in the pending keys (cycle as epoch seconds): a
-    predicate on partition columns only, so it prunes the grid scan."""
-    cond = None
-    for model, sec in keys:
-        c = (F.col("model") == model) & (F.col("cycle") == F.timestamp_seconds(F.lit(sec)))
-        cond = c if cond is None else (cond | c)
-    return cond
-
-
 def run_cycles(spark: SparkSession, raw_grid: DataFrame, polygons: DataFrame, grid_def: DataFrame,
                out: str, model_specs: dict | None = None, region_models: DataFrame | None = None,
                thresholds: DataFrame | None = None, product: str | None = None,
-               reference_csv: bool = False) -> DataFrame:
-    """Process every pending cycle of ``raw_grid``; returns the cycles recorded done.
+               reference_csv: bool = False, regions: DataFrame | None = None,
+               manifest: DataFrame | None = None, wanted: DataFrame | None = None) -> DataFrame:
+    """Process every pending cycle of ``raw_grid``; returns the (region, model,
+    cycle) rows recorded done.
+
+    The pending cycles are a small written table that the grid is joined with,
+    so Spark prunes the stored partitions by it, however many are pending;
+    nothing of it passes through the driver.  Results are written once; all
+    that follows reads the partitions this run has written.  A cycle is
+    recorded, last of all, in the regions whose results were written.
 
     With ``thresholds`` (long form, S2) the run also writes the threshold
     comparison (R4), the time to threshold (R5) and every chart (K3);
-    ``reference_csv`` adds the results and colour scales in the reference's
-    CSV layout (F6, K2).
+    ``reference_csv`` exports the current cycle's results and colour scales in
+    the reference's CSV layout (F6, K2), one row per catchment in the scales.
+    ``current/`` holds the results of each region's and model's current cycle
+    (K7).  ``manifest``: the grid's step manifest (F8); ``wanted``: its
+    partition listing, else the distinct keys are read from the grid.
     """
+    ensure_utc(spark)
     runs_path = f"{out}/runs"
-    wanted = raw_grid.select("model", "cycle").distinct()
-    todo = pending_cycles(wanted, read_runs(spark, runs_path))
-    # The pending cycles are the runs awaiting work (a few, a backlog at
-    # most): read back as keys, they become a partition filter, so the grid
-    # scan reads only those cycles — not the whole history of the table.
-    keys = [(r["model"], r["s"]) for r in todo.select("model", F.unix_seconds("cycle").alias("s")).collect()]
-    if not keys:
-        return spark.createDataFrame([], "model string, cycle timestamp")
-    grid = raw_grid.filter(pending_filter(keys))
-    results, scales = workflow.run(spark, grid, polygons, grid_def, model_specs or MODELS, region_models,
-                                   weights_root=f"{out}/weights")
+    wanted = raw_grid.select(*RUN_KEYS).distinct() if wanted is None else wanted
+    todo_path = work_path(spark, "pending")
+    pending_cycles(wanted, read_runs(spark, runs_path)).coalesce(1).write.parquet(todo_path)
+    todo = spark.read.parquet(todo_path).select(*RUN_KEYS)
+    if todo.isEmpty():
+        return spark.createDataFrame([], "region string, model string, cycle timestamp")
+    specs = model_specs or MODELS
+    mdf = models_df(spark, specs)
+    grid = workflow.prepared(spark, in_partitions(raw_grid, todo), grid_def, region_models, regions)
+    # the cycles that this run can do: pending, configured and complete
+    ready_path = work_path(spark, "ready")
+    steps = grid if manifest is None else workflow.configured(
+        in_partitions(manifest, todo), region_models_df(spark) if region_models is None else region_models)
+    complete_cycles(steps, mdf).select(*RUN_KEYS).coalesce(1).write.parquet(ready_path)
+    ready = spark.read.parquet(ready_path)
+    if ready.isEmpty():
+        return ready
+    weights = workflow.cached_weights(spark, polygons, grid_def, f"{out}/weights")
+    results = workflow.zonal_results(in_partitions(grid, ready), weights, mdf, specs, gate=False,
+                                     catchments=polygons.select("region", "cat_id"))
     write_table(results, f"{out}/results")
-    write_table(scales, f"{out}/scales")
-    # downstream tables read the written results back: the lineage is cut
-    results_w, scales_w = read_table(spark, f"{out}/results"), read_table(spark, f"{out}/scales")
+
+    # all that follows reads this run's partitions back, nothing is computed twice
+    results_w = in_partitions(read_table(spark, f"{out}/results"), ready)
+    write_table(catchment_summary(results_w), f"{out}/scales")
+    scales_w = in_partitions(read_table(spark, f"{out}/scales"), ready)
     if thresholds is not None:
         write_table(threshold_compare(scales_w, thresholds, product), f"{out}/exceedance")
         write_table(time_to_threshold(running_total(results_w), thresholds, product), f"{out}/time_to_threshold")
         write_table(chart_documents(results_w, thresholds, product), f"{out}/charts")
+    listing = partition_listing(spark, f"{out}/results")
+    apply_retention(spark, f"{out}/results", f"{out}/current")
     if reference_csv:
-        write_table(to_reference_form(results_w), f"{out}/csv/results", ["region", "model"], fmt="csv")
-        write_table(to_reference_scales(scales_w).drop("cycle"), f"{out}/csv/colorscales",
-                    ["region", "model"], fmt="csv")
-    # only the cycles that produced results (complete ones) are recorded, last
-    done = scales.select("model", "cycle").distinct()
-    written = read_table(spark, f"{out}/scales").join(done, ["model", "cycle"], "left_semi") \
-        .select("model", "cycle").distinct()
-    record_runs(spark, written, runs_path)
-    return written
+        write_table(to_reference_form(read_table(spark, f"{out}/current")), f"{out}/csv/results",
+                    ["region", "model"], fmt="csv", replace="static")
+        now = retain_latest(read_table(spark, f"{out}/scales"), listing)
+        write_table(to_reference_scales(now).drop("cycle"), f"{out}/csv/colorscales",
+                    ["region", "model"], fmt="csv", replace="static")
+    done_path = work_path(spark, "done")
+    scales_w.select(*RUN_KEYS).distinct().write.parquet(done_path)
+    done = spark.read.parquet(done_path)
+    record_runs(spark, done, runs_path)
+    return done
 
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(description="zonal rainfall statistics for pending forecast cycles")
     ap.add_argument("--grid", required=True, help="grid table (Parquet, partitioned region/model/cycle)")
-    ap.add_argument("--polygons", required=True, help="GeoJSON, one Feature per line")
-    ap.add_argument("--region", default=None, help="region of the polygons (else the 'region' property)")
+    ap.add_argument("--manifest", default=None, help="step manifest of the grid table (write_grid)")
+    ap.add_argument("--polygons", required=True, nargs="+", metavar="[REGION=]PATH",
+                    help="GeoJSON, one path or one per region")
+    ap.add_argument("--collection", action="store_true", help="each GeoJSON file is one FeatureCollection")
+    ap.add_argument("--region", default=None, help="region of polygons named without one (else the 'region' property)")
     ap.add_argument("--grid-def", required=True, help="grid geometry table")
     ap.add_argument("--grid-def-format", default="parquet", choices=["parquet", "json", "csv"])
     ap.add_argument("--out", required=True, help="output folder: results/, scales/, runs/")
@@ -113,9 +134,15 @@ def main(argv=None) -> None:
         reader = reader.option("header", True).schema(GRID_DEF_SCHEMA)
     grid_def = reader.load(a.grid_def)
     raw = read_table(spark, a.grid)
-    polys = read_geojson(spark, a.polygons, region=a.region)
+    polys = None
+    for p in a.polygons:
+        region, _, path = p.rpartition("=") if "=" in p.split("/")[0] else (a.region, "", p)
+        one = read_geojson(spark, path, region=region, collection=a.collection)
+        polys = one if polys is None else polys.unionByName(one)
+    manifest = read_table(spark, a.manifest) if a.manifest else None
     thr = thresholds_long(read_thresholds(spark, a.thresholds)) if a.thresholds else None
-    run_cycles(spark, raw, polys, grid_def, a.out, thresholds=thr, product=a.product, reference_csv=a.csv)
+    run_cycles(spark, raw, polys, grid_def, a.out, thresholds=thr, product=a.product, reference_csv=a.csv,
+               manifest=manifest, wanted=partition_listing(spark, a.grid))
 
 
 if __name__ == "__main__":

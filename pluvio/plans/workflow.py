@@ -2,8 +2,9 @@
 
 The reference loops over regions and models and runs each stage on files.
 Here region and model are ordinary keys: one plan covers every (region,
-model, cycle) present — de-accumulate where the model delivers running
-totals, keep complete cycles, join the weights, aggregate, round, summarise.
+model, cycle) present — subset to the rain variable and the region's box,
+keep complete cycles, de-accumulate where the model delivers running totals,
+join the weights, aggregate, round, summarise.
 """
 
 from __future__ import annotations
@@ -11,33 +12,50 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvio.operators.grid import by_accumulation, only_complete
+from pluvio.operators.grid import deaccumulate, only_complete, passthrough, variable_subset
 from pluvio.operators.risk import catchment_summary
 from pluvio.operators.zonal import covered_cells, round_stats, zonal_stats, zonal_weights
-from pluvio.plans.catalog import MODELS, bounded, models_df, region_models_df
+from pluvio.plans.catalog import MODELS, bounded, models_df, region_models_df, regions_df
+from pluvio.session import ensure_utc, read_parquet_or_none, work_path
 from pluvio.sources.polygons import polygon_edges
 from pluvio.sources.sinks import read_table, write_table
-from pluvio.session import read_parquet_or_none, work_path
+
+
+def subset(raw_grid: DataFrame, grid_def: DataFrame, regions: DataFrame | None = None) -> DataFrame:
+    """F3 and F2 before any statistic: the rain variable at the surface, and
+    the cells whose centres lie in the region's box.
+
+    A grid without ``var`` holds one variable already.  A region without a
+    box keeps all its cells.  Geometry and boxes meet first, one row per
+    (region, model); the grid then joins them once.
+    """
+    grid = variable_subset(raw_grid).drop("var", "level") if "var" in raw_grid.columns else raw_grid
+    if regions is None:
+        return grid
+    geometry = grid_def.select("region", "model", "x0", "y_top", "dx", "dy")
+    box = geometry.join(regions.select("region", "left", "right", "bottom", "top"), ["region"], "left")
+    lon = F.col("x0") + (F.col("col") + F.lit(0.5)) * F.col("dx")
+    lat = F.col("y_top") - (F.col("row") + F.lit(0.5)) * F.col("dy")
+    inside = lon.between(F.col("left"), F.col("right")) & lat.between(F.col("bottom"), F.col("top"))
+    return grid.join(box, ["region", "model"], "left").filter(F.col("left").isNull() | inside).select(*grid.columns)
 
 
 def zonal_results(raw_grid: DataFrame, weights: DataFrame, models: DataFrame,
-                  model_specs: dict | None = None, gate: bool = True,
-                  broadcast_rows: int | None = None) -> DataFrame:
+                  model_specs: dict | None = None, gate: bool = True, manifest: DataFrame | None = None,
+                  catchments: DataFrame | None = None) -> DataFrame:
     """Raw grids -> rounded zonal results.
 
-    Order matters at scale: the completeness gate (counted on distinct steps,
-    partially aggregated) and the covered-cell filter run first, so the one
-    per-cell shuffle — the de-accumulation window — carries only complete
-    cycles and cells inside catchments.  The weights join then needs no
-    shuffle of the grid (broadcast weights) and the statistics aggregate
-    partially before theirs.
+    The completeness gate runs first (from the step manifest where there is
+    one).  Running-total models pass the covered-cell filter before their
+    per-cell shuffle, the de-accumulation window; interval models go straight
+    to the weights join, which makes the same test.  Each stored row is read
+    by one of the two branches.
     """
-    grid = raw_grid
-    if gate:
-        grid = only_complete(grid, models)
-    grid = covered_cells(grid, weights, broadcast_rows)
-    grid = by_accumulation(grid, model_specs or MODELS)
-    return round_stats(zonal_stats(grid, weights, broadcast_rows=broadcast_rows))
+    grid = only_complete(raw_grid, models, manifest) if gate else raw_grid
+    running = [m.name for m in (model_specs or MODELS).values() if m.accumulation == "running"]
+    run = deaccumulate(covered_cells(grid.filter(F.col("model").isin(running)), weights))
+    rest = passthrough(grid.filter(~F.col("model").isin(running)))
+    return round_stats(zonal_stats(run.unionByName(rest), weights, catchments=catchments))
 
 
 def weights_fingerprint(polygons: DataFrame, grid_def: DataFrame) -> str:
@@ -53,32 +71,38 @@ def weights_fingerprint(polygons: DataFrame, grid_def: DataFrame) -> str:
                                     F.col("n_rows").cast("int"), F.col("n_cols").cast("int"),
                                     F.col("factor").cast("int")).alias("h"))
     total = eh.unionByName(gh).agg(F.sum(F.col("h").cast("decimal(38,0)")).alias("s")).first()["s"]
-    return format(int(total) % (1 << 64), "016x")
+    return format(int(total or 0) % (1 << 64), "016x")
 
 
-def cached_weights(spark: SparkSession, polygons: DataFrame, grid_def: DataFrame,
-                   root: str) -> tuple[DataFrame, int]:
+def cached_weights(spark: SparkSession, polygons: DataFrame, grid_def: DataFrame, root: str) -> DataFrame:
     """Z1 reused across runs: weights live under ``root/fp=<fingerprint>``
-    and are recomputed only when polygons or grid geometry change."""
-    path = f"{root}/fp={weights_fingerprint(polygons, grid_def)}"
-    found = read_parquet_or_none(spark, path)
+    and are recomputed only when polygons or grid geometry change.
+
+    The row count is written beside them, last.  Weights whose manifest is
+    missing, or whose rows are not as many as it says, are a write that did
+    not end: they are written anew.
+    """
+    base = f"{root}/fp={weights_fingerprint(polygons, grid_def)}"
+    said = read_parquet_or_none(spark, f"{base}/manifest", "n long")
+    found = read_parquet_or_none(spark, f"{base}/data") if said is not None else None
     if found is not None:
-        return found, found.count()
-    return materialise_weights(spark, polygons, grid_def, path)
+        n = said.first()
+        if n is not None and found.count() == n["n"]:
+            return found
+    weights = materialise_weights(spark, polygons, grid_def, f"{base}/data")
+    weights.agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{base}/manifest")
+    return weights
 
 
 def materialise_weights(spark: SparkSession, polygons: DataFrame, grid_def: DataFrame,
-                        path: str | None = None) -> tuple[DataFrame, int]:
-    """Z1 once per (region, model, polygon set): write, read back, count.
-
-    The written table cuts the lineage (and survives executor loss); the row
-    count is the size check that decides whether Z2 broadcasts the weights.
-    """
+                        path: str | None = None) -> DataFrame:
+    """Z1 once per (region, model, polygon set), written and read back: the
+    table cuts the lineage, survives executor loss, and has a known size that
+    joins with it are planned by."""
     path = path or work_path(spark, "weights")
     w = zonal_weights(polygon_edges(polygons), grid_def)
-    write_table(w, path, partition_by=["region", "model"])
-    back = read_table(spark, path)
-    return back, back.count()
+    write_table(w, path, partition_by=["region", "model"], replace="static")
+    return read_table(spark, path)
 
 
 def configured(raw_grid: DataFrame, region_models: DataFrame) -> DataFrame:
@@ -86,21 +110,43 @@ def configured(raw_grid: DataFrame, region_models: DataFrame) -> DataFrame:
     return raw_grid.join(bounded(region_models.select("region", "model")), ["region", "model"], "left_semi")
 
 
+def prepared(spark: SparkSession, raw_grid: DataFrame, grid_def: DataFrame, region_models: DataFrame | None = None,
+             regions: DataFrame | None = None) -> DataFrame:
+    """The configured regions and models of a grid (S9), subset to the rain
+    variable and the region's box (F3, F2; default: the catalog's boxes)."""
+    region_models = region_models_df(spark) if region_models is None else region_models
+    regions = regions_df(spark) if regions is None else regions
+    return subset(configured(raw_grid, region_models), grid_def, regions)
+
+
+def run_results(spark: SparkSession, raw_grid: DataFrame, polygons: DataFrame, grid_def: DataFrame,
+                model_specs: dict | None = None, region_models: DataFrame | None = None,
+                weights_root: str | None = None, regions: DataFrame | None = None,
+                manifest: DataFrame | None = None) -> DataFrame:
+    """R9 up to the results table: every region, model and cycle of
+    ``raw_grid``, one row per catchment and step.
+
+    ``regions``: boxes to subset by (default: the catalog's, for the regions
+    it knows).  ``weights_root``: keep the weights there and reuse them while
+    the polygons and grid geometry are unchanged.
+    """
+    ensure_utc(spark)
+    specs = model_specs or MODELS
+    weights = (cached_weights(spark, polygons, grid_def, weights_root) if weights_root is not None
+               else materialise_weights(spark, polygons, grid_def))
+    grid = prepared(spark, raw_grid, grid_def, region_models, regions)
+    return zonal_results(grid, weights, models_df(spark, specs), specs, manifest=manifest,
+                         catchments=polygons.select("region", "cat_id"))
+
+
 def run(spark: SparkSession, raw_grid: DataFrame, polygons: DataFrame, grid_def: DataFrame,
-        model_specs: dict | None = None, region_models: DataFrame | None = None,
-        weights_root: str | None = None) -> tuple[DataFrame, DataFrame]:
+        **options) -> tuple[DataFrame, DataFrame]:
     """Every region and model in one job -> (results, colour scales).
 
-    ``weights_root``: keep the weights there and reuse them while the
-    polygons and grid geometry are unchanged.
+    Results are written once to the shared folder; the colour scales read
+    them back.  Options are those of ``run_results``.
     """
-    specs = model_specs or MODELS
-    if region_models is None:
-        region_models = region_models_df(spark)
-    if weights_root is not None:
-        weights, n = cached_weights(spark, polygons, grid_def, weights_root)
-    else:
-        weights, n = materialise_weights(spark, polygons, grid_def)
-    grid = configured(raw_grid, region_models)
-    results = zonal_results(grid, weights, models_df(spark, specs), specs, broadcast_rows=n)
+    path = work_path(spark, "results")
+    write_table(run_results(spark, raw_grid, polygons, grid_def, **options), path)
+    results = read_table(spark, path)
     return results, catchment_summary(results)

@@ -57,14 +57,16 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 
     On a cluster this names shared storage and is always read from the
-    session.  Only when it is unset (local tests) is a folder created here and
-    registered as the session's checkpoint directory.
+    session; without it there is no folder that all executors see, and this
+    raises.  Only a ``local`` master (tests) gets a folder of its own.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
         d = jdir.get() if jdir.isDefined() else None
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="pluvio-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
         spark.conf.set("spark.checkpoint.dir", d)

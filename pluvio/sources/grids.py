@@ -11,20 +11,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvio.functions.timefmt import STAMP, parse_stamp
+from pluvio.functions.timefmt import STAMP, fmt, parse_stamp
 
 STEP_KEYS = ["region", "model", "cycle", "step_h", "valid_time"]
 
 
 def explode_tiles(tiles: DataFrame, values: str = "values") -> DataFrame:
-    """Tile rows -> ``(…, row, col, value)``; nodata (null/NaN) dropped.
+    """Tile rows -> ``(…, row, col, value)``, one row per tile cell.
 
-    ``tiles``: step keys, ``tile_row0``, ``tile_col0`` and a 2-D array.
+    ``tiles``: step keys, ``tile_row0``, ``tile_col0`` and a 2-D array.  A
+    nodata cell (null/NaN) stays as a row with a null value: its step exists,
+    so de-accumulation does not difference across it.
     """
     keys = [k for k in tiles.columns if k not in (values, "tile_row0", "tile_col0")]
     a = tiles.select(*keys, "tile_row0", "tile_col0", F.posexplode(values).alias("ri", "rowvals"))
     b = a.select(*keys, "tile_row0", "tile_col0", "ri", F.posexplode("rowvals").alias("ci", "value"))
-    b = b.filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    b = b.withColumn("value", F.nanvl("value", F.lit(None).cast("double")))
     return b.select(*keys, (F.col("tile_row0") + F.col("ri")).cast("int").alias("row"),
                     (F.col("tile_col0") + F.col("ci")).cast("int").alias("col"), "value")
 
@@ -88,4 +90,4 @@ def replace_suffix(name_col, old: str, new: str):
 
 def step_file_name(ts_col, suffix: str = ".grb"):
     """The reference's per-step file name: ``yyyyMMddHH`` + suffix."""
-    return F.concat(F.date_format(ts_col, STAMP), F.lit(suffix))
+    return F.concat(fmt(ts_col, STAMP), F.lit(suffix))

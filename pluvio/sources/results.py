@@ -82,12 +82,22 @@ def to_reference_form(results: DataFrame, props: list[str] | None = None) -> Dat
 
 
 def read_thresholds(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """S2 (scan): the threshold table as stored (wide: BASIN + products)."""
+    """S2 (scan): the threshold table as stored (wide: BASIN + products, and
+    the region where the table or its folders name one).
+
+    ``ordinal`` is the row's place in its file, so that the first of several
+    rows of a catchment can be told (J1).
+    """
     df = _reader(spark, fmt).load(path)
-    if fmt == "csv":
-        df = df.select(*[F.col(f"`{c}`").cast("bigint" if c == "BASIN" else "double").alias(c)
-                         for c in df.columns])
-    return df
+    if fmt != "csv":
+        return df
+    kinds = {"BASIN": "bigint", "region": "string", "ordinal": "bigint"}
+    out = df.select(*[F.col(f"`{c}`").cast(kinds.get(c, "double")).alias(c) for c in df.columns],
+                    F.struct("_metadata.file_path", "_metadata.file_block_start").alias("_at"))
+    if "ordinal" not in df.columns:
+        # ids rise within a task, and a task reads a file's range in order
+        out = out.withColumn("ordinal", F.struct("_at", F.monotonically_increasing_id().alias("row")))
+    return out.drop("_at")
 
 
 def thresholds_long(wide: DataFrame, key: str = "BASIN", products: list[str] | None = None,
@@ -97,7 +107,7 @@ def thresholds_long(wide: DataFrame, key: str = "BASIN", products: list[str] | N
     Negative thresholds are the reference's sentinels (-999, -333) and are
     kept here; operators that compare against thresholds treat them as none.
     """
-    keep = keep or [c for c in ("region",) if c in wide.columns]
+    keep = keep or [c for c in ("region", "ordinal") if c in wide.columns]
     products = products or [c for c in wide.columns if c not in (key, *keep)]
     longf = wide.unpivot([key, *keep], products, "product", "threshold")
     return longf.select(F.col(key).cast("bigint").alias("cat_id"), *keep, "product",

@@ -18,9 +18,10 @@ from pyspark.sql import types as T
 
 from pluvio.operators.cycles import record_runs
 from pluvio.plans.catalog import MODELS, models_df
-from pluvio.plans.workflow import zonal_results
-from pluvio.sources.sinks import read_table, write_table
 from pluvio.functions.timefmt import parse_stamp
+from pluvio.plans.workflow import subset, zonal_results
+from pluvio.session import ensure_utc, read_parquet_or_none, work_path
+from pluvio.sources.sinks import in_partitions, read_table, write_table
 
 LANDING_SCHEMA = T.StructType([
     T.StructField("step_h", T.IntegerType()),
@@ -36,45 +37,41 @@ LANDING_SCHEMA = T.StructType([
 ])
 
 
-def _partition_filter(keys: list[tuple]):
-    """``(region, model, cycle) in keys`` as a predicate on partition columns."""
-    cond = None
-    for region, model, cycle in keys:
-        c = (F.col("region") == region) & (F.col("model") == model) & (F.col("cycle") == cycle)
-        cond = c if cond is None else (cond | c)
-    return cond
-
-
 def _typed(df: DataFrame) -> DataFrame:
     return df.withColumn("cycle", parse_stamp(F.col("cycle")))
 
 
 def ingest(spark: SparkSession, landing: str, results_path: str, checkpoint: str,
            weights: DataFrame, model_specs: dict | None = None,
-           max_files_per_trigger: int = 64, weight_rows: int | None = None,
-           runs_path: str | None = None):
+           max_files_per_trigger: int = 64, runs_path: str | None = None,
+           catchments: DataFrame | None = None, grid_def: DataFrame | None = None,
+           regions: DataFrame | None = None):
     """Run the stream until all landed files are processed; returns the query.
 
-    With ``runs_path`` the cycles written are appended to the state table
-    (K6) after the stream has finished — the run's last action.
+    Only the rain variable at the surface, and with ``grid_def`` and
+    ``regions`` only the cells of the region's box, reach the statistics.
+    With ``runs_path`` each micro-batch appends to the state table (K6), as
+    its last action, the cycles whose results it has written, and no others.
     """
+    ensure_utc(spark)
     specs = model_specs or MODELS
     mdf = models_df(spark, specs)
 
     def batch(df: DataFrame, epoch_id: int) -> None:
-        # The cycles of this micro-batch: at most one per landed file of the
-        # trigger (maxFilesPerTrigger), so this key list is bounded.  As a
-        # literal filter on the partition columns it prunes the landing scan
-        # to those cycles: each batch reads its own cycles, not every cycle
-        # ever landed.
-        keys = [tuple(r) for r in df.select("region", "model", "cycle").distinct().collect()]
-        if not keys:
-            return
-        landed = df.sparkSession.read.schema(LANDING_SCHEMA).parquet(landing)
-        whole = landed.filter(_partition_filter(keys))
-        res = zonal_results(_typed(whole).drop("var", "level"), weights, mdf, specs,
-                            broadcast_rows=weight_rows)
-        write_table(res, results_path)
+        session = df.sparkSession
+        # the cycles of this micro-batch, as a table: it prunes the landing
+        # scan to their partitions, so a batch reads its own cycles only
+        touched_path = work_path(session, "touched")
+        df.select("region", "model", "cycle").distinct().write.parquet(touched_path)
+        touched = session.read.parquet(touched_path)
+        whole = in_partitions(session.read.schema(LANDING_SCHEMA).parquet(landing), touched)
+        grid = subset(_typed(whole), grid_def, regions if grid_def is not None else None)
+        write_table(zonal_results(grid, weights, mdf, specs, catchments=catchments), results_path)
+        if runs_path is not None:
+            written = read_parquet_or_none(session, results_path)
+            if written is not None and "cycle" in written.columns:
+                done = _typed(in_partitions(written.withColumn("cycle", F.col("cycle").cast("string")), touched))
+                record_runs(session, done.select("region", "model", "cycle").distinct(), runs_path)
 
     stream = (spark.readStream.schema(LANDING_SCHEMA)
               .option("maxFilesPerTrigger", max_files_per_trigger)
@@ -83,9 +80,6 @@ def ingest(spark: SparkSession, landing: str, results_path: str, checkpoint: str
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    if runs_path is not None:
-        done = read_table(spark, results_path).select("model", "cycle").distinct()
-        record_runs(spark, done, runs_path)
     return q
 
 

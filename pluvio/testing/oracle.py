@@ -45,6 +45,12 @@ def nround1(x: str) -> str:
     return f"(round_even(CAST({x} AS DOUBLE) * 10.0::DOUBLE, 0) / 10.0::DOUBLE)"
 
 
+def cell_value(cents: str) -> str:
+    """Rain of a test cell: many decimals, no data in one cell-step of 101."""
+    return (f"CASE WHEN (cat_id * 13 + vt_s // 3600) % 101 <> 0 THEN CAST({cents} AS DOUBLE) / 100.0::DOUBLE "
+            f"+ CAST((cat_id * 31) % 997 AS DOUBLE) / 1000003.0::DOUBLE END")
+
+
 def stamp(sec: str) -> str:
     """epoch seconds -> yyyyMMddHH bigint."""
     return f"CAST(strftime(make_timestamp(({sec}) * 1000000), '%Y%m%d%H') AS BIGINT)"
@@ -53,6 +59,44 @@ def stamp(sec: str) -> str:
 REGION = "testbasin"
 REGION2 = "testbasin2"    # the same data on a grid shifted half a cell west (R9)
 
+
+def weights_ctes(p: str, polys: str, grid_def: str) -> str:
+    """Fine-cell weights by brute force: every fine centre of a part's box is
+    tested against the part's edges, and counts once however many parts of
+    its catchment hold it."""
+    return f"""
+{p}vert AS (
+  SELECT region, cat_id, part, v.i AS i,
+         CASE v.i WHEN 0 THEN cx - hw WHEN 1 THEN cx WHEN 2 THEN cx + hw WHEN 3 THEN cx ELSE cx - hw END AS x,
+         CASE v.i WHEN 0 THEN cy WHEN 1 THEN cy + hh WHEN 2 THEN cy WHEN 3 THEN cy - hh ELSE cy END AS y
+  FROM {polys}, (VALUES (0), (1), (2), (3), (4)) v(i)),
+{p}edges AS (
+  SELECT a.region, a.cat_id, a.part, 0 AS ring, a.i AS seq, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2
+  FROM {p}vert a JOIN {p}vert b ON a.region = b.region AND a.cat_id = b.cat_id AND a.part = b.part AND b.i = a.i + 1),
+{p}box AS (
+  SELECT p.region, g.model, p.cat_id, p.part, g.x0, g.y_top, g.dx, g.dy, g.factor,
+         greatest(CAST(floor((g.y_top - (p.cy + p.hh)) / (g.dy / g.factor)) AS BIGINT) - 1, 0) AS i0,
+         least(CAST(ceil((g.y_top - (p.cy - p.hh)) / (g.dy / g.factor)) AS BIGINT) + 1, g.n_rows * g.factor) AS i1,
+         greatest(CAST(floor(((p.cx - p.hw) - g.x0) / (g.dx / g.factor)) AS BIGINT) - 1, 0) AS j0,
+         least(CAST(ceil(((p.cx + p.hw) - g.x0) / (g.dx / g.factor)) AS BIGINT) + 1, g.n_cols * g.factor) AS j1
+  FROM {polys} p JOIN {grid_def} g ON p.region = g.region),
+{p}fine AS (
+  SELECT region, model, cat_id, part, factor, i, j,
+         x0 + (j + 0.5::DOUBLE) * (dx / factor) AS xc, y_top - (i + 0.5::DOUBLE) * (dy / factor) AS yc
+  FROM (SELECT *, unnest(range(j0, greatest(j1, j0))) AS j
+        FROM (SELECT *, unnest(range(i0, greatest(i1, i0))) AS i FROM {p}box))),
+{p}weights AS (
+  SELECT region, model, cat_id, CAST(i // factor AS INTEGER) AS "row", CAST(j // factor AS INTEGER) AS col,
+         count(*) AS w
+  FROM (SELECT DISTINCT region, model, cat_id, i, j, factor
+        FROM (SELECT f.region, f.model, f.cat_id, f.part, f.i, f.j, f.factor
+              FROM {p}fine f JOIN {p}edges e ON e.cat_id = f.cat_id AND e.region = f.region AND e.part = f.part
+              WHERE (e.y1 > f.yc) != (e.y2 > f.yc)
+                AND f.xc < e.x1 + (f.yc - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1)
+              GROUP BY ALL HAVING count(*) % 2 = 1))
+  GROUP BY ALL)"""
+
+
 VIEWS = f"""
 ev AS (
   SELECT event_id, user_id, event_type, value, epoch_us(ts) AS us,
@@ -76,7 +120,7 @@ cells AS (SELECT *, CAST((vt_s - cycle_s) // 3600 AS INTEGER) AS step_h FROM cel
 results AS (
   SELECT '{REGION}' AS region, model, cat_id,
          {D(hed('mx_cents', '10'))} / 10.0::DOUBLE AS max,
-         {D(hed('cents', 'n * 10'))} / 10.0::DOUBLE AS mean,
+         CASE WHEN (cat_id * 7 + vt_s // 3600) % 41 <> 0 THEN {D(hed('cents', 'n * 10'))} / 10.0::DOUBLE END AS mean,
          n AS count, cycle_s, vt_s, step_h
   FROM cells),
 thresholds_wide AS (
@@ -87,15 +131,15 @@ thresholds AS (
 grid AS (
   SELECT '{REGION}' AS region, model, cycle_s, step_h, vt_s, 'APCP' AS var, 'surface' AS level,
          CAST(cat_id // 15 AS INTEGER) AS "row", CAST(cat_id % 15 AS INTEGER) AS col,
-         CAST(cents AS DOUBLE) / 100.0::DOUBLE AS value
+         {cell_value('cents')} AS value
   FROM cells),
 raw_grid AS (
   SELECT '{REGION}' AS region, model, cycle_s, step_h, vt_s, 'APCP' AS var, 'surface' AS level,
          CAST(cat_id // 15 AS INTEGER) AS "row", CAST(cat_id % 15 AS INTEGER) AS col,
-         CAST(CASE WHEN model = 'wrfpr'
+         {cell_value("""CASE WHEN model = 'wrfpr'
                    THEN sum(cents) OVER (PARTITION BY model, cycle_s, cat_id ORDER BY vt_s
                                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-                   ELSE cents END AS DOUBLE) / 100.0::DOUBLE AS value
+                   ELSE cents END""")} AS value
   FROM cells),
 grid_def AS (
   SELECT '{REGION}' AS region, m.model, 0.0::DOUBLE AS x0, 10.0::DOUBLE AS y_top,
@@ -104,20 +148,14 @@ grid_def AS (
          15 AS n_cols, 10 AS factor
   FROM (VALUES ('gfs'), ('wrfpr')) m(model)),
 polygons AS (
-  SELECT '{REGION}' AS region, CAST(n_nationkey AS BIGINT) AS cat_id, n_name AS name,
-         CAST(n_nationkey % 5 AS DOUBLE) * 3 + 1.5::DOUBLE AS cx,
-         CAST(n_nationkey // 5 AS DOUBLE) * 2 + 1.0::DOUBLE AS cy
-  FROM nation),
-vertices AS (
-  SELECT region, cat_id, v.i AS i,
-         CASE v.i WHEN 0 THEN cx - 1.4::DOUBLE WHEN 1 THEN cx WHEN 2 THEN cx + 1.4::DOUBLE
-                  WHEN 3 THEN cx ELSE cx - 1.4::DOUBLE END AS x,
-         CASE v.i WHEN 0 THEN cy WHEN 1 THEN cy + 0.9::DOUBLE WHEN 2 THEN cy
-                  WHEN 3 THEN cy - 0.9::DOUBLE ELSE cy END AS y
-  FROM polygons, (VALUES (0), (1), (2), (3), (4)) v(i)),
-edges AS (
-  SELECT a.region, a.cat_id, 0 AS part, 0 AS ring, a.i AS seq, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2
-  FROM vertices a JOIN vertices b ON a.cat_id = b.cat_id AND b.i = a.i + 1),
+  SELECT '{REGION}' AS region, CAST(s_suppkey AS BIGINT) AS cat_id, s_name AS name,
+         CAST(s_suppkey % 10 AS DOUBLE) * 1.5::DOUBLE + 0.7671::DOUBLE AS cx,
+         9.5::DOUBLE - CAST(s_suppkey // 10 AS DOUBLE) + 0.0213::DOUBLE AS cy,
+         CASE WHEN s_suppkey % 7 = 3 THEN 0.01::DOUBLE
+              ELSE 0.9::DOUBLE + CAST(s_suppkey % 5 AS DOUBLE) * 0.13::DOUBLE END AS hw,
+         CASE WHEN s_suppkey % 7 = 3 THEN 0.01::DOUBLE
+              ELSE 0.7::DOUBLE + CAST(s_suppkey % 3 AS DOUBLE) * 0.17::DOUBLE END AS hh
+  FROM supplier),
 requests AS (
   SELECT o_orderkey AS request_id,
          '{{"region":"{REGION}","model":"' || CASE WHEN o_orderstatus = 'F' THEN 'wrfpr' ELSE 'gfs' END
@@ -129,79 +167,54 @@ cycles_ranked AS (
   SELECT model, cycle_s, dense_rank() OVER (PARTITION BY model ORDER BY cycle_s DESC) AS rk
   FROM (SELECT DISTINCT model, cycle_s FROM cells)),
 runs AS (
-  SELECT model, cycle_s, 'done' AS state, cycle_s + 86400 AS updated_s FROM cycles_ranked WHERE rk > 1
+  SELECT r.region, model, cycle_s, 'done' AS state, cycle_s + 86400 AS updated_s
+  FROM cycles_ranked, (VALUES ('{REGION}', 1), ('{REGION2}', 2)) r(region, n) WHERE rk > r.n
   UNION ALL
-  SELECT model, cycle_s, 'clobbered' AS state, cycle_s + 90000 AS updated_s FROM cycles_ranked WHERE rk = 2),
+  SELECT '{REGION}', model, cycle_s, 'clobbered' AS state, cycle_s + 90000 AS updated_s FROM cycles_ranked WHERE rk = 2),
 scales AS (
   SELECT region, model, cycle_s, cat_id,
-         CAST(sum(CAST(mean AS DECIMAL(18,1))) AS DOUBLE) AS cum_mean,
+         CASE WHEN count(*) = count(mean) THEN CAST(sum(CAST(mean AS DECIMAL(18,1))) AS DOUBLE) END AS cum_mean,
          max(mean) AS mean, max(max) AS max
   FROM results GROUP BY ALL),
+gap_scales AS (
+  SELECT region, model, cycle_s, cat_id,
+         CASE WHEN cat_id % 7 = 2 THEN 'NaN'::DOUBLE WHEN cat_id % 11 = 5 THEN NULL ELSE cum_mean END AS cum_mean,
+         CASE WHEN cat_id % 7 = 3 THEN 'NaN'::DOUBLE WHEN cat_id % 11 = 6 THEN NULL ELSE mean END AS mean,
+         max FROM scales),
+clean_scales AS (
+  SELECT region, model, cycle_s, cat_id, CASE WHEN NOT isnan(cum_mean) THEN cum_mean END AS cum_mean,
+         CASE WHEN NOT isnan(mean) THEN mean END AS mean, max FROM gap_scales),
 cpoly AS (
-  SELECT '{REGION}' AS region, c_custkey AS cat_id,
-         CAST(c_custkey % 15 AS DOUBLE) + 0.5::DOUBLE + CAST((c_custkey // 15) % 7 AS DOUBLE) * 0.0371::DOUBLE AS cx,
-         9.5::DOUBLE - CAST((c_custkey // 15) % 10 AS DOUBLE) - CAST(c_custkey % 11 AS DOUBLE) * 0.0293::DOUBLE AS cy,
+  SELECT '{REGION}' AS region, c_custkey AS cat_id, p.part AS part,
+         CAST(c_custkey % 15 AS DOUBLE) + 0.5::DOUBLE + CAST((c_custkey // 15) % 7 AS DOUBLE) * 0.0371::DOUBLE + p.sx AS cx,
+         9.5::DOUBLE - CAST(c_custkey // 15 AS DOUBLE) * 0.1::DOUBLE - CAST(c_custkey % 11 AS DOUBLE) * 0.0293::DOUBLE + p.sy AS cy,
          0.45::DOUBLE + CAST(c_custkey % 5 AS DOUBLE) * 0.173::DOUBLE AS hw,
          0.35::DOUBLE + CAST(c_custkey % 3 AS DOUBLE) * 0.141::DOUBLE AS hh
-  FROM customer),
-cvert AS (
-  SELECT region, cat_id, v.i AS i,
-         CASE v.i WHEN 0 THEN cx - hw WHEN 1 THEN cx WHEN 2 THEN cx + hw WHEN 3 THEN cx ELSE cx - hw END AS x,
-         CASE v.i WHEN 0 THEN cy WHEN 1 THEN cy + hh WHEN 2 THEN cy WHEN 3 THEN cy - hh ELSE cy END AS y
-  FROM cpoly, (VALUES (0), (1), (2), (3), (4)) v(i)),
-cedges AS (
-  SELECT a.region, a.cat_id, 0 AS part, 0 AS ring, a.i AS seq, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2
-  FROM cvert a JOIN cvert b ON a.cat_id = b.cat_id AND b.i = a.i + 1),
-cbox AS (
-  SELECT p.region, g.model, p.cat_id, g.x0, g.y_top, g.dx, g.dy, g.factor,
-         greatest(CAST(floor((g.y_top - (p.cy + p.hh)) / (g.dy / g.factor)) AS BIGINT) - 1, 0) AS i0,
-         least(CAST(ceil((g.y_top - (p.cy - p.hh)) / (g.dy / g.factor)) AS BIGINT) + 1, g.n_rows * g.factor) AS i1,
-         greatest(CAST(floor(((p.cx - p.hw) - g.x0) / (g.dx / g.factor)) AS BIGINT) - 1, 0) AS j0,
-         least(CAST(ceil(((p.cx + p.hw) - g.x0) / (g.dx / g.factor)) AS BIGINT) + 1, g.n_cols * g.factor) AS j1
-  FROM cpoly p JOIN grid_def g ON p.region = g.region),
-cfine AS (
-  SELECT region, model, cat_id, factor, i, j,
-         x0 + (j + 0.5::DOUBLE) * (dx / factor) AS xc, y_top - (i + 0.5::DOUBLE) * (dy / factor) AS yc
-  FROM (SELECT *, unnest(range(j0, greatest(j1, j0))) AS j
-        FROM (SELECT *, unnest(range(i0, greatest(i1, i0))) AS i FROM cbox))),
-cweights AS (
-  SELECT region, model, cat_id, CAST(i // factor AS INTEGER) AS "row", CAST(j // factor AS INTEGER) AS col,
-         count(*) AS w
-  FROM (SELECT f.region, f.model, f.cat_id, f.i, f.j, f.factor
-        FROM cfine f JOIN cedges e ON e.cat_id = f.cat_id AND e.region = f.region
-        WHERE (e.y1 > f.yc) != (e.y2 > f.yc)
-          AND f.xc < e.x1 + (f.yc - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1)
-        GROUP BY ALL HAVING count(*) % 2 = 1)
-  GROUP BY ALL),
+  FROM customer, (VALUES (0, 0.0::DOUBLE, 0.0::DOUBLE), (1, 0.2137::DOUBLE, 0.1319::DOUBLE)) p(part, sx, sy)),
+grid_def_mr AS (
+  SELECT * FROM grid_def UNION ALL
+  SELECT '{REGION2}' AS region, model, -0.5::DOUBLE AS x0, y_top, dx, dy, n_rows, n_cols, factor FROM grid_def),
+polygons_mr AS (
+  SELECT region, cat_id, name, 0 AS part, cx, cy, hw, hh FROM polygons UNION ALL
+  SELECT '{REGION2}' AS region, cat_id, name, 0 AS part, cx, cy, hw, hh FROM polygons),
+{weights_ctes('c', 'cpoly', 'grid_def')},
+{weights_ctes('b', 'polygons_mr', 'grid_def_mr')},
 points AS (
   SELECT event_id, '{REGION}' AS region, fmod(value, 16.0::DOUBLE) - 0.5::DOUBLE AS lon,
          10.5::DOUBLE - CAST(event_id % 120 AS DOUBLE) / 10.0::DOUBLE AS lat
   FROM events),
-fine_i AS (
-  SELECT region, model, x0, y_top, dx, dy, factor, n_cols,
-         unnest(range(0, n_rows * factor)) AS i FROM grid_def),
-fine AS (
-  SELECT region, model, factor, i, j,
-         x0 + (j + 0.5::DOUBLE) * (dx / factor) AS xc,
-         y_top - (i + 0.5::DOUBLE) * (dy / factor) AS yc
-  FROM (SELECT *, unnest(range(0, n_cols * factor)) AS j FROM fine_i)),
-bhits AS (
-  SELECT f.region, f.model, e.cat_id, f.i, f.j, f.factor
-  FROM fine f JOIN edges e ON e.region = f.region
-  WHERE (e.y1 > f.yc) != (e.y2 > f.yc)
-    AND f.xc < e.x1 + (f.yc - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1)),
-bweights AS (
-  SELECT region, model, cat_id, CAST(i // factor AS INTEGER) AS "row",
-         CAST(j // factor AS INTEGER) AS col, count(*) AS w
-  FROM (SELECT region, model, cat_id, i, j, factor FROM bhits GROUP BY ALL HAVING count(*) % 2 = 1)
-  GROUP BY ALL),
-zstats AS (
-  SELECT g.region, g.model, g.cycle_s, g.step_h, g.vt_s, w.cat_id,
-         CAST(sum(w.w) AS BIGINT) AS count, max(g.value) AS max,
-         CAST(sum(w.w * CAST(round_even(g.value * 1000.0::DOUBLE, 0) AS BIGINT)) AS BIGINT) AS wunits
+zframe AS (
+  SELECT g.*, p.cat_id FROM (SELECT DISTINCT region, model, cycle_s, step_h, vt_s FROM grid) g
+  JOIN polygons p ON p.region = g.region),
+zcells AS (
+  SELECT g.region, g.model, g.cycle_s, g.step_h, g.vt_s, w.cat_id, sum(w.w) AS n, max(g.value) AS max,
+         fsum(w.w * g.value) / sum(w.w) AS mean
   FROM grid g JOIN bweights w
     ON g.region = w.region AND g.model = w.model AND g."row" = w."row" AND g.col = w.col
-  GROUP BY ALL),
+  WHERE g.value IS NOT NULL GROUP BY ALL),
+zstats AS (
+  SELECT f.region, f.model, f.cycle_s, f.step_h, f.vt_s, f.cat_id, CAST(coalesce(z.n, 0) AS BIGINT) AS count, z.max, z.mean
+  FROM zframe f LEFT JOIN zcells z USING (region, model, cycle_s, step_h, vt_s, cat_id)),
 deacc AS (
   SELECT region, model, cycle_s, step_h, vt_s, "row", col,
          CASE WHEN model = 'wrfpr' THEN
@@ -212,83 +225,35 @@ deacc AS (
 complete AS (
   SELECT region, model, cycle_s, count(DISTINCT step_h) AS n_steps_seen FROM grid GROUP BY ALL
   HAVING count(DISTINCT step_h) >= CASE model WHEN 'gfs' THEN 28 ELSE 48 END),
-gated AS (
-  SELECT d.* FROM deacc d
-  WHERE EXISTS (SELECT 1 FROM complete c
-                WHERE c.region = d.region AND c.model = d.model AND c.cycle_s = d.cycle_s)),
-gstats AS (
-  SELECT g.region, g.model, g.cycle_s, g.step_h, g.vt_s, w.cat_id,
-         CAST(sum(w.w) AS BIGINT) AS count,
-         round_even(max(g.value) * 10.0::DOUBLE, 0) / 10.0::DOUBLE AS max,
-         CAST(sum(w.w * CAST(round_even(g.value * 1000.0::DOUBLE, 0) AS BIGINT)) AS BIGINT) AS wunits
-  FROM gated g JOIN bweights w
-    ON g.region = w.region AND g.model = w.model AND g."row" = w."row" AND g.col = w.col
-  GROUP BY ALL),
-gresults AS (
-  SELECT region, model, cycle_s, step_h, vt_s, cat_id, count, max,
-         CAST({hed('wunits', 'count * 100')} AS DOUBLE) / 10.0::DOUBLE AS mean
-  FROM gstats),
-grid_def_mr AS (
-  SELECT * FROM grid_def UNION ALL
-  SELECT '{REGION2}' AS region, model, -0.5::DOUBLE AS x0, y_top, dx, dy, n_rows, n_cols, factor FROM grid_def),
-edges_mr AS (
-  SELECT * FROM edges UNION ALL
-  SELECT '{REGION2}' AS region, cat_id, part, ring, seq, x1, y1, x2, y2 FROM edges),
-raw_grid_mr AS (
-  SELECT * FROM raw_grid UNION ALL
-  SELECT '{REGION2}' AS region, model, cycle_s, step_h, vt_s, var, level, "row", col, value FROM raw_grid),
-grid_mr AS (
-  SELECT * FROM grid UNION ALL
-  SELECT '{REGION2}' AS region, model, cycle_s, step_h, vt_s, var, level, "row", col, value FROM grid),
-fine_i_mr AS (
-  SELECT region, model, x0, y_top, dx, dy, factor, n_cols,
-         unnest(range(0, n_rows * factor)) AS i FROM grid_def_mr),
-fine_mr AS (
-  SELECT region, model, factor, i, j,
-         x0 + (j + 0.5::DOUBLE) * (dx / factor) AS xc,
-         y_top - (i + 0.5::DOUBLE) * (dy / factor) AS yc
-  FROM (SELECT *, unnest(range(0, n_cols * factor)) AS j FROM fine_i_mr)),
-bhits_mr AS (
-  SELECT f.region, f.model, e.cat_id, f.i, f.j, f.factor
-  FROM fine_mr f JOIN edges_mr e ON e.region = f.region
-  WHERE (e.y1 > f.yc) != (e.y2 > f.yc)
-    AND f.xc < e.x1 + (f.yc - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1)),
-bweights_mr AS (
-  SELECT region, model, cat_id, CAST(i // factor AS INTEGER) AS "row",
-         CAST(j // factor AS INTEGER) AS col, count(*) AS w
-  FROM (SELECT region, model, cat_id, i, j, factor FROM bhits_mr GROUP BY ALL HAVING count(*) % 2 = 1)
-  GROUP BY ALL),
 deacc_mr AS (
-  SELECT region, model, cycle_s, step_h, vt_s, "row", col,
-         CASE WHEN model = 'wrfpr' THEN
-              CASE WHEN row_number() OVER w = 1 THEN value ELSE value - lag(value) OVER w END
-              ELSE value END AS value
-  FROM raw_grid_mr
-  WINDOW w AS (PARTITION BY region, model, cycle_s, "row", col ORDER BY vt_s)),
+  SELECT d.* FROM (SELECT * FROM deacc UNION ALL
+                   SELECT '{REGION2}' AS region, model, cycle_s, step_h, vt_s, "row", col, value FROM deacc) d
+  JOIN (VALUES ('{REGION}', 0.0::DOUBLE, 1.2::DOUBLE, 13.4::DOUBLE), ('{REGION2}', -0.5::DOUBLE, 0.4::DOUBLE, 12.0::DOUBLE))
+       b(region, x0, "left", "right") ON b.region = d.region
+  WHERE b.x0 + (d.col + 0.5::DOUBLE) * 1.0::DOUBLE BETWEEN b."left" AND b."right"),
 complete_mr AS (
-  SELECT region, model, cycle_s, count(DISTINCT step_h) AS n_steps_seen FROM grid_mr GROUP BY ALL
+  SELECT region, model, cycle_s, count(DISTINCT step_h) AS n_steps_seen FROM deacc_mr GROUP BY ALL
   HAVING count(DISTINCT step_h) >= CASE model WHEN 'gfs' THEN 28 ELSE 48 END),
 gated_mr AS (
-  SELECT d.* FROM deacc_mr d
-  WHERE EXISTS (SELECT 1 FROM complete_mr c
-                WHERE c.region = d.region AND c.model = d.model AND c.cycle_s = d.cycle_s)),
-gstats_mr AS (
-  SELECT g.region, g.model, g.cycle_s, g.step_h, g.vt_s, w.cat_id,
-         CAST(sum(w.w) AS BIGINT) AS count,
-         round_even(max(g.value) * 10.0::DOUBLE, 0) / 10.0::DOUBLE AS max,
-         CAST(sum(w.w * CAST(round_even(g.value * 1000.0::DOUBLE, 0) AS BIGINT)) AS BIGINT) AS wunits
-  FROM gated_mr g JOIN bweights_mr w
+  SELECT d.* FROM deacc_mr d SEMI JOIN complete_mr c USING (region, model, cycle_s)),
+gcells_mr AS (
+  SELECT g.region, g.model, g.cycle_s, g.step_h, g.vt_s, w.cat_id, sum(w.w) AS n, max(g.value) AS max,
+         fsum(w.w * g.value) / sum(w.w) AS mean
+  FROM gated_mr g JOIN bweights w
     ON g.region = w.region AND g.model = w.model AND g."row" = w."row" AND g.col = w.col
-  GROUP BY ALL),
+  WHERE g.value IS NOT NULL GROUP BY ALL),
 gresults_mr AS (
-  SELECT region, model, cycle_s, step_h, vt_s, cat_id, count, max,
-         CAST({hed('wunits', 'count * 100')} AS DOUBLE) / 10.0::DOUBLE AS mean
-  FROM gstats_mr),
+  SELECT f.region, f.model, f.cycle_s, f.step_h, f.vt_s, f.cat_id, CAST(coalesce(z.n, 0) AS BIGINT) AS count,
+         {nround1('z.max')} AS max, {nround1('z.mean')} AS mean
+  FROM (SELECT s.*, p.cat_id FROM (SELECT DISTINCT region, model, cycle_s, step_h, vt_s FROM gated_mr) s
+        JOIN polygons_mr p ON p.region = s.region) f
+  LEFT JOIN gcells_mr z USING (region, model, cycle_s, step_h, vt_s, cat_id)),
 running AS (
-  SELECT *, CAST(sum(CAST(mean AS DECIMAL(18,1))) OVER (
-              PARTITION BY region, model, cycle_s, cat_id ORDER BY vt_s
-              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS cum
-  FROM results)
+  SELECT *, CASE WHEN count(*) OVER upto = count(mean) OVER upto
+                 THEN CAST(sum(CAST(mean AS DECIMAL(18,1))) OVER upto AS DOUBLE) END AS cum
+  FROM results
+  WINDOW upto AS (PARTITION BY region, model, cycle_s, cat_id ORDER BY vt_s
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
 """
 
 

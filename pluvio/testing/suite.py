@@ -19,6 +19,7 @@ from pluvio.operators import grid as G
 from pluvio.operators import risk
 from pluvio.operators import series as SE
 from pluvio.operators import zonal as Z
+from pluvio.plans import run_cycles as RC
 from pluvio.plans import workflow as WF
 from pluvio.plans.catalog import RegionSpec, models_df, region_models_df
 from pluvio.session import work_path
@@ -28,7 +29,7 @@ from pluvio.sources import results as src
 from pluvio.sources import sinks as SK
 from pluvio.streaming import ingest as ST
 from pluvio.testing import views as V
-from pluvio.testing.oracle import hed, nround1, pyround1, q, stamp
+from pluvio.testing.oracle import nround1, pyround1, q, stamp
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -72,26 +73,27 @@ def a5_catchment_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("j1_threshold_lookup", f"""
-SELECT k.region, k.model, k.cycle_s * 1000 AS cycle_ms, k.cat_id, {pyround1('t.threshold')} AS threshold
-FROM (SELECT DISTINCT region, model, cycle_s, cat_id FROM results) k
-JOIN thresholds t ON k.cat_id = t.cat_id
+SELECT r.region, k.model, k.cycle_s * 1000 AS cycle_ms, k.cat_id, {pyround1('t.threshold * r.f')} AS threshold
+FROM (SELECT DISTINCT model, cycle_s, cat_id FROM results) k
+JOIN thresholds t ON k.cat_id = t.cat_id, (VALUES ('{V.REGION}', 1), ('{V.REGION2}', 2)) r(region, f)
 """)
 def j1_threshold_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keyed = V.results(spark, sf_dir).select("region", "model", "cycle", "cat_id").distinct()
-    return ms(risk.threshold_lookup(keyed, _thresholds(spark, sf_dir), V.PRODUCT))
+    """Two regions share their ids, not their thresholds; of several rows the first counts."""
+    keyed = V.both_regions(V.results(spark, sf_dir).select("region", "model", "cycle", "cat_id").distinct())
+    return ms(risk.threshold_lookup(keyed, src.thresholds_long(V.region_thresholds(spark, sf_dir)), V.PRODUCT))
 
 
 @query("r4_threshold_compare", """
 SELECT s.region, s.model, s.cycle_s * 1000 AS cycle_ms, s.cat_id, s.cum_mean, s.mean, s.max,
        t.thr AS threshold, s.cum_mean >= t.thr AS cum_exceeds, s.mean >= t.thr AS mean_exceeds,
        s.max >= t.thr AS max_exceeds
-FROM scales s
+FROM clean_scales s
 JOIN (SELECT cat_id, CASE WHEN threshold >= 0 THEN threshold END AS thr FROM thresholds) t
   ON s.cat_id = t.cat_id
 """)
 def r4_threshold_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scales = risk.catchment_summary(V.results(spark, sf_dir))
-    return ms(risk.threshold_compare(scales, _thresholds(spark, sf_dir), V.PRODUCT))
+    out = risk.threshold_compare(_gap_scales(spark, sf_dir), _thresholds(spark, sf_dir), V.PRODUCT)
+    return ms(_no_nan(out, "cum_mean", "mean"))
 
 
 # --------------------------------------------------------------------------
@@ -103,6 +105,23 @@ def _scales(spark, sf_dir):
     return risk.catchment_summary(V.results(spark, sf_dir))
 
 
+def _gap_scales(spark, sf_dir):
+    """Summaries with missing values in both forms, NaN and null."""
+    def gaps(c, nan, null):
+        k = F.col("cat_id")
+        return F.when(F.pmod(k, F.lit(7)) == nan, F.lit(float("nan"))).when(F.pmod(k, F.lit(11)) != null, F.col(c))
+    return _scales(spark, sf_dir).withColumn("cum_mean", gaps("cum_mean", 2, 5)).withColumn("mean", gaps("mean", 3, 6))
+
+
+def _no_nan(df, *cols):
+    """NaN to null in a query's output, where the engines print it differently."""
+    return df.withColumns({c: F.nanvl(c, F.lit(None).cast("double")) for c in cols})
+
+
+def _zonal(spark, sf_dir):
+    return Z.zonal_stats(V.grid(spark, sf_dir), _weights(spark, sf_dir), catchments=_polys(spark, sf_dir))
+
+
 def _polys(spark, sf_dir):
     p = V.polygons(spark, sf_dir)
     return p.select("region", "cat_id", "props", F.col("geometry.coordinates").alias("coordinates"))
@@ -159,7 +178,13 @@ def s3_scale_scan(spark, sf_dir):
     return ms(src.read_scales(spark, path, "csv"))
 
 
-@query("s4_tile_explode", f"SELECT {GRID_COLS} FROM grid")
+@query("s4_tile_explode", """
+SELECT t.region, t.model, t.cycle_s * 1000 AS cycle_ms, t.step_h, t.vt_s * 1000 AS ts_ms, t.var, t.level, t."row", t.col, g.value
+FROM (SELECT DISTINCT region, model, cycle_s, step_h, vt_s, var, level,
+             CAST("row" - "row" % 8 + a.range AS INTEGER) AS "row", CAST(col - col % 8 + b.range AS INTEGER) AS col
+      FROM grid, range(0, 8) a, range(0, 8) b) t
+LEFT JOIN grid g USING (region, model, cycle_s, step_h, vt_s, var, level, "row", col)
+""")
 def s4_tile_explode(spark, sf_dir):
     tiles = GS.make_tiles(V.grid(spark, sf_dir), size=8)
     return ms(GS.explode_tiles(tiles))
@@ -210,14 +235,14 @@ s1 AS (
          {pyround1('t.threshold')} AS threshold
   FROM results r JOIN thresholds t ON r.cat_id = t.cat_id),
 r1 AS (
-  SELECT *, greatest(arg_max(value, vt_s) OVER (PARTITION BY region, model, cycle_s, cat_id), threshold)
+  SELECT *, greatest(arg_max_null(value, vt_s) OVER (PARTITION BY region, model, cycle_s, cat_id), threshold)
             AS chart_max
   FROM s1),
 s2 AS (
   SELECT r.region, r.model, r.cycle_s, r.cat_id, r.vt_s, r.cum AS value, {pyround1('t.threshold')} AS threshold
   FROM running r JOIN thresholds t ON r.cat_id = t.cat_id),
 r2 AS (
-  SELECT *, greatest(arg_max(value, vt_s) OVER (PARTITION BY region, model, cycle_s, cat_id), threshold)
+  SELECT *, greatest(arg_max_null(value, vt_s) OVER (PARTITION BY region, model, cycle_s, cat_id), threshold)
             AS chart_max
   FROM s2),
 charts AS (
@@ -228,10 +253,10 @@ charts AS (
 @query("k3_chart_json", f"""
 , {CHARTS_SQL.strip()}
 SELECT region, model, cycle_s * 1000 AS cycle_ms, cat_id, chart_type,
-       '{{"values": [' || string_agg('[' || CAST(vt_s * 1000 AS VARCHAR) || ', ' || CAST(value AS VARCHAR) || ']',
+       '{{"values": [' || string_agg('[' || CAST(vt_s * 1000 AS VARCHAR) || ', ' || coalesce(CAST(value AS VARCHAR), 'null') || ']',
                                     ', ' ORDER BY vt_s)
-       || '], "threshold": ' || CAST(max(threshold) AS VARCHAR) || ', "max": ' || CAST(max(chart_max) AS VARCHAR)
-       || '}}' AS json
+       || '], "threshold": ' || coalesce(CAST(max(threshold) AS VARCHAR), 'null')
+       || ', "max": ' || coalesce(CAST(max(chart_max) AS VARCHAR), 'null') || '}}' AS json
 FROM charts GROUP BY region, model, cycle_s, cat_id, chart_type
 """)
 def k3_chart_json(spark, sf_dir):
@@ -241,8 +266,8 @@ def k3_chart_json(spark, sf_dir):
 
 @query("k4_scale_json", """
 SELECT region, model, cycle_s * 1000 AS cycle_ms, CAST(cat_id AS VARCHAR) || '.0' AS key,
-       '{"cum_mean": ' || CAST(cum_mean AS VARCHAR) || ', "mean": ' || CAST(mean AS VARCHAR)
-       || ', "max": ' || CAST(max AS VARCHAR) || '}' AS json
+       '{"cum_mean": ' || coalesce(CAST(cum_mean AS VARCHAR), 'null') || ', "mean": '
+       || coalesce(CAST(mean AS VARCHAR), 'null') || ', "max": ' || coalesce(CAST(max AS VARCHAR), 'null') || '}' AS json
 FROM scales
 """)
 def k4_scale_json(spark, sf_dir):
@@ -344,8 +369,7 @@ def f6_metadata(spark, sf_dir):
 
 
 A4_SQL = f"""
-SELECT region, model, cycle_s, step_h, vt_s, cat_id, count, {nround1('max')} AS max,
-       CAST({hed('wunits', 'count * 100')} AS DOUBLE) / 10.0::DOUBLE AS mean
+SELECT region, model, cycle_s, step_h, vt_s, cat_id, count, {nround1('max')} AS max, {nround1('mean')} AS mean
 FROM zstats
 """
 
@@ -356,7 +380,7 @@ SELECT s.region, s.model, p.name AS "NAME", s.cat_id, s.max, s.mean, s.count,
 FROM ({A4_SQL}) s JOIN polygons p ON p.cat_id = s.cat_id
 """)
 def f7_properties(spark, sf_dir):
-    stats = Z.round_stats(Z.zonal_stats(V.grid(spark, sf_dir), _weights(spark, sf_dir)))
+    stats = Z.round_stats(_zonal(spark, sf_dir))
     props = PG.properties(_polys(spark, sf_dir), ["NAME"])
     return src.to_reference_form(stats.join(props, ["region", "cat_id"], "inner"), props=["NAME"])
 
@@ -366,23 +390,37 @@ def f8_complete_cycles(spark, sf_dir):
     return ms(G.complete_cycles(V.grid(spark, sf_dir), models_df(spark)))
 
 
+@query("f8_manifest_gate", f"SELECT {GRID_COLS} FROM grid SEMI JOIN complete USING (region, model, cycle_s)")
+def f8_manifest_gate(spark, sf_dir):
+    """A stored grid gated by its step manifest, exact steps only."""
+    path, manifest = work_path(spark, "f8-grid"), work_path(spark, "f8-steps")
+    SK.write_grid(V.grid(spark, sf_dir), path, manifest=manifest)
+    return ms(G.only_complete(SK.read_table(spark, path), models_df(spark), SK.read_table(spark, manifest), exact=True))
+
+
 # --------------------------------------------------------------------------
 # G: grids
 # --------------------------------------------------------------------------
 @query("g1_deaccumulate", """
-SELECT region, model, cycle_s * 1000 AS cycle_ms, step_h, vt_s * 1000 AS ts_ms, "row", col, value
+SELECT region, model, cycle_s * 1000 AS cycle_ms, step_h, vt_s * 1000 AS ts_ms, 'APCP' AS var, 'surface' AS level,
+       "row", col, value
 FROM deacc WHERE model = 'wrfpr'
+UNION ALL
+SELECT region, model, cycle_s * 1000 AS cycle_ms, step_h, vt_s * 1000 AS ts_ms, 'TMP' AS var, 'heightAboveGround' AS level,
+       "row", col, CASE WHEN row_number() OVER (PARTITION BY cycle_s, "row", col ORDER BY vt_s) = 1
+                        THEN 99999.0::DOUBLE ELSE 0.0::DOUBLE END AS value
+FROM raw_grid WHERE model = 'wrfpr'
 """)
 def g1_deaccumulate(spark, sf_dir):
-    raw = V.raw_grid(spark, sf_dir).filter(F.col("model") == "wrfpr").drop("var", "level")
-    return ms(G.deaccumulate(raw))
+    """Two variables in each cell; cells without data at some steps."""
+    return ms(G.deaccumulate(V.raw_grid_vars(spark, sf_dir).filter(F.col("model") == "wrfpr")))
 
 
 @query("g2_passthrough", """
 SELECT region, model, cycle_s * 1000 AS cycle_ms, step_h, vt_s * 1000 AS ts_ms, "row", col, value FROM deacc
 """)
 def g2_passthrough(spark, sf_dir):
-    return ms(G.by_accumulation(V.raw_grid(spark, sf_dir).drop("var", "level")))
+    return ms(G.by_accumulation(G.variable_subset(V.raw_grid_vars(spark, sf_dir)).drop("var", "level")))
 
 
 @query("g3_cell_geometry", """
@@ -441,12 +479,13 @@ def z1_zonal_weights(spark, sf_dir):
 
 @query("z2_zonal_stats", """
 SELECT region, model, cycle_s * 1000 AS cycle_ms, step_h, vt_s * 1000 AS ts_ms, cat_id, count, max,
-       CAST(wunits AS DOUBLE) / CAST(count * 1000 AS DOUBLE) AS mean
+       CAST(round(mean * 1e9::DOUBLE) AS BIGINT) AS mean_e9
 FROM zstats
 """)
 def z2_zonal_stats(spark, sf_dir):
-    s = Z.zonal_stats(V.grid(spark, sf_dir), _weights(spark, sf_dir))
-    return ms(s.drop("wunits", "scale"))
+    """The mean leaves in billionths: the oracle averages plain doubles."""
+    s = _zonal(spark, sf_dir)
+    return ms(s.withColumn("mean_e9", F.round(F.col("mean") * 1e9).cast("bigint")).drop("mean"))
 
 
 @query("a4_round_stats", f"""
@@ -454,7 +493,7 @@ SELECT region, model, cycle_s * 1000 AS cycle_ms, step_h, vt_s * 1000 AS ts_ms,
 FROM ({A4_SQL})
 """)
 def a4_round_stats(spark, sf_dir):
-    return ms(Z.round_stats(Z.zonal_stats(V.grid(spark, sf_dir), _weights(spark, sf_dir))))
+    return ms(Z.round_stats(_zonal(spark, sf_dir)))
 
 
 @query("a6_distinct_catchments", "SELECT DISTINCT region, model, cat_id FROM results")
@@ -464,7 +503,7 @@ def a6_distinct_catchments(spark, sf_dir):
 
 @query("a7_chart_max", f"""
 , {CHARTS_SQL.strip()}
-SELECT region, model, cycle_s * 1000 AS cycle_ms, cat_id, greatest(arg_max(value, vt_s), max(threshold)) AS chart_max
+SELECT region, model, cycle_s * 1000 AS cycle_ms, cat_id, greatest(arg_max_null(value, vt_s), max(threshold)) AS chart_max
 FROM s1 GROUP BY ALL
 """)
 def a7_chart_max(spark, sf_dir):
@@ -481,24 +520,74 @@ def a7_chart_max(spark, sf_dir):
 SELECT p.region, p.cat_id, s.model, s.cycle_s * 1000 AS cycle_ms, s.cum_mean AS value,
        {_cls_sql(_cls_sql('s.cum_mean', 5) + ' * 5', 5)} AS class,
        {_colour_sql(_cls_sql(_cls_sql('s.cum_mean', 5) + ' * 5', 5))} AS colour
-FROM polygons p LEFT JOIN scales s ON p.region = s.region AND p.cat_id = s.cat_id
+FROM polygons p LEFT JOIN clean_scales s ON p.region = s.region AND p.cat_id = s.cat_id
 """)
 def j2_colour_lookup(spark, sf_dir):
-    return ms(risk.colour_lookup(V.polygons(spark, sf_dir), _scales(spark, sf_dir), "cum_mean", 5))
+    out = risk.colour_lookup(V.polygons(spark, sf_dir), _gap_scales(spark, sf_dir), "cum_mean", 5)
+    return ms(_no_nan(out, "value"))
 
 
 @query("j3_pending_cycles", """
-SELECT w.model, w.cycle_s * 1000 AS cycle_ms, coalesce(st.state, 'new') AS reason
-FROM (SELECT DISTINCT model, cycle_s FROM grid) w
-LEFT JOIN (SELECT model, cycle_s, arg_max(state, updated_s) AS state FROM runs GROUP BY ALL) st
-  ON w.model = st.model AND w.cycle_s = st.cycle_s
+SELECT w.region, w.model, w.cycle_s * 1000 AS cycle_ms, coalesce(st.state, 'new') AS reason
+FROM (SELECT DISTINCT r.region, model, cycle_s FROM grid, (SELECT DISTINCT region FROM runs) r) w
+LEFT JOIN (SELECT region, model, cycle_s, arg_max(state, updated_s) AS state FROM runs GROUP BY ALL) st
+  ON w.region = st.region AND w.model = st.model AND w.cycle_s = st.cycle_s
 WHERE st.state IS NULL OR st.state <> 'done'
 """)
 def j3_pending_cycles(spark, sf_dir):
-    wanted = V.grid(spark, sf_dir).select("model", "cycle").distinct()
+    wanted = V.both_regions(V.grid(spark, sf_dir).select("region", "model", "cycle").distinct())
     return ms(CY.pending_cycles(wanted, V.runs(spark, sf_dir)))
 
 
+#: Second-region cycles from here on lack their later steps in the first run of k6.
+LATE_FROM = "2024011500"
+
+
+@query("k6_run_state", f"""
+SELECT region, model, cycle_s * 1000 AS cycle_ms, 'done' AS state,
+       CAST(CASE WHEN region = '{V.REGION}' AND cycle_s = min(cycle_s) OVER (PARTITION BY region, model) THEN 2 ELSE 1 END
+            AS BIGINT) AS n_done,
+       region = '{V.REGION}' OR strftime(make_timestamp(cycle_s * 1000000), '%Y%m%d%H') < '{LATE_FROM}' AS in_first
+FROM complete_mr
+""")
+def k6_run_state(spark, sf_dir):
+    """Two scheduled runs over stored grids: at the first the second region's
+    newer cycles are late; before the second the oldest cycle of each model is
+    marked clobbered in the first region.  Every complete cycle ends up done,
+    recorded by the run that wrote it and by no other."""
+    grid_path, out = work_path(spark, "k6-grid"), work_path(spark, "k6-out")
+    SK.write_grid(V.both_regions(V.raw_grid_vars(spark, sf_dir)), grid_path)
+    raw = SK.read_table(spark, grid_path)
+    late = (F.col("region") == V.REGION2) & (F.col("cycle") >= parse_stamp(F.lit(LATE_FROM))) & (F.col("step_h") > 20)
+    polys, gd, options = _two_regions(spark, sf_dir)
+    RC.run_cycles(spark, raw.filter(~late), polys, gd, out, **options)
+    first = CY.run_state(RC.read_runs(spark, f"{out}/runs")).select("region", "model", "cycle")
+    first_path = work_path(spark, "k6-first")
+    first.write.parquet(first_path)
+    first = spark.read.parquet(first_path)
+    oldest = (first.filter(F.col("region") == V.REGION).groupBy("region", "model").agg(F.min("cycle").alias("cycle")))
+    CY.record_runs(spark, oldest, f"{out}/runs", "clobbered")
+    RC.run_cycles(spark, raw, polys, gd, out, **options)
+    runs = RC.read_runs(spark, f"{out}/runs")
+    n = runs.filter("state = 'done'").groupBy("region", "model", "cycle").agg(F.count(F.lit(1)).alias("n_done"))
+    keys = ["region", "model", "cycle"]
+    return ms(CY.run_state(runs).join(n, keys).join(first.withColumn("seen", F.lit(True)), keys, "left")
+              .select(*keys, "state", "n_done", F.coalesce("seen", F.lit(False)).alias("in_first")))
+
+
+@query("s9_region_models", f"""
+SELECT region, model, cycle_s * 1000 AS cycle_ms, count(*) AS n_cells
+FROM (SELECT region, model, cycle_s FROM grid UNION ALL
+      SELECT '{V.REGION2}' AS region, model, cycle_s FROM grid WHERE model = 'gfs') GROUP BY ALL
+""")
+def s9_region_models(spark, sf_dir):
+    """The catalog runs one of the models in the first region only."""
+    regions = {V.REGION: RegionSpec(V.REGION, "1", 0.0, 15.0, -1e6, 20.0, ("gfs", "wrfpr")),
+               V.REGION2: RegionSpec(V.REGION2, "2", 0.0, 15.0, -1e6, 20.0, ("gfs",))}
+    grid = WF.configured(V.both_regions(V.grid(spark, sf_dir)), region_models_df(spark, regions))
+    return ms(grid.groupBy("region", "model", "cycle").agg(F.count(F.lit(1)).alias("n_cells")))
+
+
 # --------------------------------------------------------------------------
 # W, O, U: windows, order, set operations
 # --------------------------------------------------------------------------
@@ -526,7 +615,7 @@ SELECT s.region, s.model, s.cycle_s * 1000 AS cycle_ms, s.vt_s * 1000 AS ts_ms,
 FROM ({A4_SQL}) s JOIN polygons p ON p.cat_id = s.cat_id
 """)
 def u1_append_steps(spark, sf_dir):
-    stats = Z.round_stats(Z.zonal_stats(V.grid(spark, sf_dir), _weights(spark, sf_dir))).drop("step_h")
+    stats = Z.round_stats(_zonal(spark, sf_dir)).drop("step_h")
     props = PG.properties(_polys(spark, sf_dir), ["NAME"])
     gfs = stats.filter(F.col("model") == "gfs").join(props, ["region", "cat_id"], "inner")
     wrf = stats.filter(F.col("model") == "wrfpr")
@@ -566,7 +655,7 @@ def _c2_sql(model, rules):
 
 @query("c2_latest_cycle", _c2_sql("gfs", [18, 12, 6, 0]) + " UNION ALL " + _c2_sql("wrfpr", [18, 6]))
 def c2_latest_cycle(spark, sf_dir):
-    t = V.table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    t = V.table(spark, sf_dir, "events").select("event_id", F.timestamp_micros(V.micros("ts")).alias("ts"))
     return ms(CY.latest_cycle(t).drop("ts"))
 
 
@@ -624,7 +713,7 @@ SELECT m.model, CASE WHEN d.cycle_s IS NULL THEN 'No ' || m.display || ' Timesta
                 END AS label
 FROM (VALUES ('gfs', 'GFS'), ('wrfpr', 'WRF-PR')) m(model, display)
 LEFT JOIN (SELECT model, max(cycle_s) AS cycle_s FROM
-             (SELECT model, cycle_s, arg_max(state, updated_s) AS state FROM runs GROUP BY ALL)
+             (SELECT region, model, cycle_s, arg_max(state, updated_s) AS state FROM runs GROUP BY ALL)
            WHERE state = 'done' GROUP BY model) d ON m.model = d.model
 """)
 def c7_cycle_label(spark, sf_dir):
@@ -697,15 +786,15 @@ def _rt_sql(cls_fn):
     return f"""
 SELECT region, model, cycle_ms, cat_id, result_type, value, {cls_fn('value')} AS class,
        {_colour_sql(cls_fn('value'))} AS colour
-FROM (SELECT region, model, cycle_s * 1000 AS cycle_ms, cat_id, 'cum_mean' AS result_type, cum_mean AS value FROM scales
+FROM (SELECT region, model, cycle_s * 1000 AS cycle_ms, cat_id, 'cum_mean' AS result_type, cum_mean AS value FROM clean_scales
       UNION ALL
-      SELECT region, model, cycle_s * 1000 AS cycle_ms, cat_id, 'mean' AS result_type, mean AS value FROM scales)
+      SELECT region, model, cycle_s * 1000 AS cycle_ms, cat_id, 'mean' AS result_type, mean AS value FROM clean_scales)
 """
 
 
 @query("r6_class_bins", _rt_sql(lambda v: _cls_sql(v, 5)))
 def r6_class_bins(spark, sf_dir):
-    return ms(risk.class_bins(risk.result_type_long(_scales(spark, sf_dir)), interval=5))
+    return ms(_no_nan(risk.class_bins(risk.result_type_long(_gap_scales(spark, sf_dir)), interval=5), "value"))
 
 
 R7_INTERVAL = 3
@@ -713,45 +802,46 @@ R7_INTERVAL = 3
 
 @query("r7_reference_colour", _rt_sql(lambda v: _cls_sql(_cls_sql(v, R7_INTERVAL) + " * 5", R7_INTERVAL)))
 def r7_reference_colour(spark, sf_dir):
-    return ms(risk.reference_colour(risk.result_type_long(_scales(spark, sf_dir)), interval=R7_INTERVAL))
+    return ms(_no_nan(risk.reference_colour(risk.result_type_long(_gap_scales(spark, sf_dir)), interval=R7_INTERVAL), "value"))
 
 
 @query("r9_multi_model", """
 SELECT region, model, cycle_s * 1000 AS cycle_ms, cat_id,
-       CAST(sum(CAST(mean AS DECIMAL(18,1))) AS DOUBLE) AS cum_mean, max(mean) AS mean, max(max) AS max
+       CASE WHEN count(*) = count(mean) THEN CAST(sum(CAST(mean AS DECIMAL(18,1))) AS DOUBLE) END AS cum_mean,
+       max(mean) AS mean, max(max) AS max
 FROM gresults_mr GROUP BY ALL
 """)
 def r9_multi_model(spark, sf_dir):
     """Every region and model in one job: the test data twice, the second
-    region on a grid shifted half a cell west (other weights, clipped edge)."""
-    r2 = V.REGION + "2"
-
-    def as_r2(df):
-        return df.withColumn("region", F.when(F.col("region").isNotNull(), F.lit(r2)))
-
-    raw = V.raw_grid(spark, sf_dir).drop("var", "level")
-    polys = _polys(spark, sf_dir)
-    gd = V.grid_def(spark, sf_dir)
-    regions = {name: RegionSpec(name, name, V.X0, V.X0 + V.N_COLS * V.DX, -90.0, V.Y_TOP, ("gfs", "wrfpr"))
-               for name in (V.REGION, r2)}
-    _, scales = WF.run(spark, raw.unionByName(as_r2(raw)), polys.unionByName(as_r2(polys)),
-                       gd.unionByName(as_r2(gd).withColumn("x0", F.lit(-0.5))),
-                       region_models=region_models_df(spark, regions))
+    region on a grid shifted half a cell west (other weights, clipped edge);
+    a second variable on the grid and cells outside each region's box."""
+    polys, gd, options = _two_regions(spark, sf_dir)
+    _, scales = WF.run(spark, V.both_regions(V.raw_grid_vars(spark, sf_dir)), polys, gd, **options)
     return ms(scales)
 
 
+def _two_regions(spark, sf_dir):
+    """Polygons, grid geometry and run options of both test regions."""
+    regions = {name: RegionSpec(name, name, 0.0, 15.0, -1e6, 20.0, ("gfs", "wrfpr")) for name in (V.REGION, V.REGION2)}
+    gd = V.both_regions(V.grid_def(spark, sf_dir))
+    gd = gd.withColumn("x0", F.when(F.col("region") == V.REGION2, F.lit(-0.5)).otherwise(F.col("x0")))
+    return V.both_regions(_polys(spark, sf_dir)), gd, {
+        "region_models": region_models_df(spark, regions), "regions": V.boxes(spark)}
+
+
 # --------------------------------------------------------------------------
 # T: streaming
 # --------------------------------------------------------------------------
-@query("t1_incremental_ingest", """
+@query("t1_incremental_ingest", f"""
 SELECT region, model, cycle_s * 1000 AS cycle_ms, step_h, vt_s * 1000 AS ts_ms, cat_id, count, max, mean
-FROM gresults
+FROM gresults_mr WHERE region = '{V.REGION}'
 """)
 def t1_incremental_ingest(spark, sf_dir):
     landing, out, ck = (work_path(spark, "t1-landing"), work_path(spark, "t1-results"),
                         work_path(spark, "t1-checkpoint"))
-    SK.write_grid(V.raw_grid(spark, sf_dir), landing, files_per_partition=1)   # files as they land
-    weights, n = WF.materialise_weights(spark, _polys(spark, sf_dir), V.grid_def(spark, sf_dir))
-    runs = work_path(spark, "t1-runs")
-    ST.ingest(spark, landing, out, ck, weights, max_files_per_trigger=4, weight_rows=n, runs_path=runs)
+    SK.write_grid(V.raw_grid_vars(spark, sf_dir), landing)          # files as they land
+    polys, gd = _polys(spark, sf_dir), V.grid_def(spark, sf_dir)
+    weights = WF.materialise_weights(spark, polys, gd)
+    ST.ingest(spark, landing, out, ck, weights, max_files_per_trigger=4, runs_path=work_path(spark, "t1-runs"),
+              catchments=polys, grid_def=gd, regions=V.boxes(spark))
     return ms(SK.read_table(spark, out))

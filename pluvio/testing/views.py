@@ -10,7 +10,13 @@ derive everything from the given tables, so the work grows with them:
   (48 steps) from 06 UTC.
 * ``results`` -> zonal-results table; ``grid``/``raw_grid`` -> forecast grids
   (cell = ``(user_id div 15, user_id % 15)``); ``customer`` -> thresholds;
-  ``nation`` -> catchment polygons (diamonds); ``orders`` -> chart requests.
+  ``supplier`` -> the catchments of the zonal queries and ``customer`` -> a
+  larger set for the weights (both grow with the data and spread over the
+  whole grid); ``orders`` -> chart requests.
+
+The data holds what real runs hold: means that are missing, cells without
+data, values of many decimals, a second variable on the grid, cells outside
+the region's box, catchments smaller than a fine cell, and parts that overlap.
 """
 
 from __future__ import annotations
@@ -19,9 +25,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pluvio.functions.rounding import half_even_div
-from pluvio.session import ensure_utc
 
 REGION = "testbasin"
+REGION2 = "testbasin2"             # the same data on a grid shifted half a cell west
 PRODUCT = "01FFG2018021312"
 N_COLS = 15
 FACTOR = 10                         # refinement of the test grid
@@ -44,13 +50,18 @@ def region_of(key) -> "F.Column":
     return F.when(k.isNotNull(), F.lit(REGION))
 
 
+def micros(ts: str):
+    """Microseconds since 1970 of a zone-less time column, read as UTC."""
+    since = f"cast(cast({ts} - timestamp_ntz'1970-01-01 00:00:00' as interval second) as decimal(20, 6))"
+    return F.expr(f"cast({since} * 1000000 as bigint)")
+
+
 def fdiv(x, n: int):
     """Exact floor division of a long column by a positive constant."""
     return ((x - F.pmod(x, F.lit(n))) / F.lit(n)).cast("long")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    ensure_utc(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -58,7 +69,7 @@ def _cells(spark: SparkSession, sf_dir: str, model: str) -> DataFrame:
     """One row per (catchment, step): cents, max cents, event count."""
     bucket, cyc, off = BUCKETS[model]
     ev = table(spark, sf_dir, "events").select("user_id", "ts", "value")
-    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    us = micros("ts")
     cents = F.round(F.col("value") * 100).cast("long")
     cells = (ev.select(F.col("user_id").alias("cat_id"),
                        ((fdiv(us, bucket * 1_000_000) + 1) * bucket).alias("vt_s"),
@@ -83,7 +94,8 @@ def results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(
         region_of("cat_id").alias("region"), "model", "cat_id",
         (half_even_div(F.col("mx_cents"), F.lit(10)) / F.lit(10.0)).alias("max"),
-        (half_even_div(F.col("cents"), F.col("n") * 10) / F.lit(10.0)).alias("mean"),
+        F.when(F.pmod(F.col("cat_id") * 7 + fdiv(F.col("vt_s"), 3600), F.lit(41)) != 0,
+               half_even_div(F.col("cents"), F.col("n") * 10) / F.lit(10.0)).alias("mean"),
         F.col("n").alias("count"),
         F.timestamp_seconds("cycle_s").alias("cycle"),
         F.timestamp_seconds("vt_s").alias("valid_time"),
@@ -97,6 +109,12 @@ def thresholds_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
                      (F.col("c_acctbal") / F.lit(20.0)).alias(PRODUCT))
 
 
+def _value(cents) -> "F.Column":
+    """Rain of a cell: many decimals, and no data in one cell-step of 101."""
+    v = cents / F.lit(100.0) + F.pmod(F.col("cat_id") * 31, F.lit(997)).cast("double") / F.lit(1000003.0)
+    return F.when(F.pmod(F.col("cat_id") * 13 + fdiv(F.col("vt_s"), 3600), F.lit(101)) != 0, v)
+
+
 def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forecast grid, interval values (what G1 recovers from ``raw_grid``)."""
     c = cells(spark, sf_dir)
@@ -107,7 +125,7 @@ def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("APCP").alias("var"), F.lit("surface").alias("level"),
         fdiv(F.col("cat_id"), N_COLS).cast("int").alias("row"),
         F.pmod(F.col("cat_id"), F.lit(N_COLS)).cast("int").alias("col"),
-        (F.col("cents") / F.lit(100.0)).alias("value"))
+        _value(F.col("cents")).alias("value"))
 
 
 def raw_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,13 +141,21 @@ def raw_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("APCP").alias("var"), F.lit("surface").alias("level"),
         fdiv(F.col("cat_id"), N_COLS).cast("int").alias("row"),
         F.pmod(F.col("cat_id"), F.lit(N_COLS)).cast("int").alias("col"),
-        (cents / F.lit(100.0)).alias("value"))
+        _value(cents).alias("value"))
+
+
+def raw_grid_vars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The delivered grid with a second variable in every cell and step."""
+    raw = raw_grid(spark, sf_dir)
+    tmp = raw.withColumn("var", F.lit("TMP")).withColumn("level", F.lit("heightAboveGround")) \
+             .withColumn("value", F.lit(99999.0))
+    return raw.unionByName(tmp)
 
 
 def grid_vars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A multi-variable decoded grid: one variable per event type (for F3)."""
     ev = table(spark, sf_dir, "events").select("user_id", "ts", "value", "event_type")
-    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    us = micros("ts")
     vt = (fdiv(us, 21600 * 1_000_000) + 1) * 21600
     g = (ev.select(vt.alias("vt_s"), F.upper("event_type").alias("var"),
                    F.when(F.col("event_type").isin("click", "view"), F.lit("surface"))
@@ -155,41 +181,45 @@ def grid_def(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(FACTOR).alias("factor"))
 
 
-def polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Catchment polygons: one diamond per nation, as GeoJSON MultiPolygons."""
-    n = table(spark, sf_dir, "nation")
-    k = F.col("n_nationkey")
-    cx = F.pmod(k, F.lit(5)).cast("double") * 3 + 1.5
-    cy = fdiv(k.cast("long"), 5).cast("double") * 2 + 1
-    hw, hh = F.lit(1.4), F.lit(0.9)
-    ring = F.array(F.array(cx - hw, cy), F.array(cx, cy + hh), F.array(cx + hw, cy),
+def _diamond(cx, cy, hw, hh):
+    return F.array(F.array(cx - hw, cy), F.array(cx, cy + hh), F.array(cx + hw, cy),
                    F.array(cx, cy - hh), F.array(cx - hw, cy))
-    geometry = F.struct(F.lit("MultiPolygon").alias("type"),
-                        F.array(F.array(ring)).alias("coordinates"))
-    return n.select(region_of(k).alias("region"), k.cast("bigint").alias("cat_id"),
-                    F.create_map(F.lit("NAME"), F.col("n_name")).alias("props"),
-                    geometry.alias("geometry"))
+
+
+def polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catchment polygons of the zonal queries: one diamond per supplier, ten
+    to a grid row, over all rows of the grid.  One in seven is smaller than
+    the distance of two fine-cell centres and holds none."""
+    su = table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey")
+    tiny = F.pmod(k, F.lit(7)) == 3
+    cx = F.pmod(k, F.lit(10)).cast("double") * 1.5 + 0.7671
+    cy = F.lit(9.5) - fdiv(k.cast("long"), 10).cast("double") + 0.0213
+    hw = F.when(tiny, 0.01).otherwise(F.lit(0.9) + F.pmod(k, F.lit(5)).cast("double") * F.lit(0.13))
+    hh = F.when(tiny, 0.01).otherwise(F.lit(0.7) + F.pmod(k, F.lit(3)).cast("double") * F.lit(0.17))
+    geometry = F.struct(F.lit("MultiPolygon").alias("type"), F.array(F.array(_diamond(cx, cy, hw, hh))).alias("coordinates"))
+    return su.select(region_of(k).alias("region"), k.cast("bigint").alias("cat_id"),
+                     F.create_map(F.lit("NAME"), F.col("s_name")).alias("props"), geometry.alias("geometry"))
 
 
 def catchments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A catchment set that grows with the data: one diamond per customer.
+    """A larger catchment set: two overlapping diamonds per customer.
 
-    Centres follow the grid cells of ``c_custkey`` with irregular offsets
-    and sizes (no crossing falls on a fine-cell centre); many overlap.
+    Centres run down the whole grid with irregular offsets and sizes (no
+    crossing falls on a fine-cell centre); many catchments overlap too.
     """
     cu = table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
     q = fdiv(k, 15)
     cx = F.pmod(k, F.lit(15)).cast("double") + F.lit(0.5) + F.pmod(q, F.lit(7)).cast("double") * F.lit(0.0371)
-    cy = (F.lit(9.5) - F.pmod(q, F.lit(10)).cast("double")
+    cy = (F.lit(9.5) - q.cast("double") * F.lit(0.1)
           - F.pmod(k, F.lit(11)).cast("double") * F.lit(0.0293))
     hw = F.lit(0.45) + F.pmod(k, F.lit(5)).cast("double") * F.lit(0.173)
     hh = F.lit(0.35) + F.pmod(k, F.lit(3)).cast("double") * F.lit(0.141)
-    ring = F.array(F.array(cx - hw, cy), F.array(cx, cy + hh), F.array(cx + hw, cy),
-                   F.array(cx, cy - hh), F.array(cx - hw, cy))
+    second = _diamond(cx + F.lit(0.2137), cy + F.lit(0.1319), hw, hh)
     return cu.select(region_of(k).alias("region"), k.cast("bigint").alias("cat_id"),
                      F.create_map(F.lit("NAME"), F.col("c_name")).alias("props"),
-                     F.array(F.array(ring)).alias("coordinates"))
+                     F.array(F.array(_diamond(cx, cy, hw, hh)), F.array(second)).alias("coordinates"))
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,20 +232,47 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cycle-state log: every cycle but the newest is done; the second newest
-    was later marked 'clobbered' (forced re-run)."""
+    """Cycle-state log of two regions: in the first every cycle but the newest
+    is done and the second newest was later marked 'clobbered' (forced
+    re-run); the second region, late, has done only up to the third newest."""
     cyc = cells(spark, sf_dir).select("model", "cycle_s").distinct()
     rk = F.dense_rank().over(Window.partitionBy("model").orderBy(F.col("cycle_s").desc()))
-    ranked = cyc.withColumn("rk", rk).filter(F.col("rk") > 1)
-    done = ranked.select("model", F.timestamp_seconds("cycle_s").alias("cycle"),
+    ranked = (cyc.withColumn("rk", rk).withColumn("r", F.explode(F.array(F.lit(1), F.lit(2))))
+              .filter(F.col("rk") > F.col("r"))
+              .withColumn("region", F.when(F.col("r") == 1, F.lit(REGION)).otherwise(F.lit(REGION2))))
+    done = ranked.select("region", "model", F.timestamp_seconds("cycle_s").alias("cycle"),
                          F.lit("done").alias("state"),
                          F.timestamp_seconds(F.col("cycle_s") + 86400).alias("updated_at"))
-    clob = ranked.filter(F.col("rk") == 2).select(
-        "model", F.timestamp_seconds("cycle_s").alias("cycle"), F.lit("clobbered").alias("state"),
+    clob = ranked.filter((F.col("rk") == 2) & (F.col("r") == 1)).select(
+        "region", "model", F.timestamp_seconds("cycle_s").alias("cycle"), F.lit("clobbered").alias("state"),
         F.timestamp_seconds(F.col("cycle_s") + 90000).alias("updated_at"))
     return done.unionByName(clob)
 
 
+def both_regions(df: DataFrame) -> DataFrame:
+    """``df`` for the test region and again for a second one."""
+    return df.unionByName(df.withColumn("region", F.when(F.col("region").isNotNull(), F.lit(REGION2))))
+
+
+def boxes(spark: SparkSession) -> DataFrame:
+    """Subset boxes of both regions: the outer columns of the grid lie outside."""
+    return spark.createDataFrame([(REGION, 1.2, 13.4, -1e6, 20.0), (REGION2, 0.4, 12.0, -1e6, 20.0)],
+                                 "region string, left double, right double, bottom double, top double")
+
+
+def region_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide thresholds of two regions that share ids: the second has twice
+    the first's values, every third id has a later row as well."""
+    w = thresholds_wide(spark, sf_dir)
+    v = F.col(PRODUCT)
+    rows = (w.select("BASIN", v, F.explode(F.array(F.lit(1), F.lit(2))).alias("r"))
+            .withColumn("ordinal", F.explode(F.when(F.pmod("BASIN", F.lit(3)) == 0, F.array(F.lit(1), F.lit(2)))
+                                             .otherwise(F.array(F.lit(1))))))
+    return rows.select(F.when(F.col("r") == 1, F.lit(REGION)).otherwise(F.lit(REGION2)).alias("region"), "BASIN",
+                       F.col("ordinal").cast("bigint").alias("ordinal"),
+                       F.when(F.col("ordinal") == 2, F.lit(-999.0)).otherwise(v * F.col("r")).alias(PRODUCT))
+
+
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gauge points (lon, lat), one per event."""
     ev = table(spark, sf_dir, "events")

@@ -43,15 +43,16 @@ def test_latest_cycle_clock_rules(spark):
 
 
 def test_pending_cycles_states(spark):
-    wanted = spark.createDataFrame([("gfs", dt.datetime(2024, 1, d)) for d in (1, 2, 3)],
-                                   "model string, cycle timestamp")
+    wanted = spark.createDataFrame([(r, "gfs", dt.datetime(2024, 1, d)) for r in ("a", "b") for d in (1, 2, 3)],
+                                   "region string, model string, cycle timestamp")
     runs = spark.createDataFrame([
-        ("gfs", dt.datetime(2024, 1, 1), "done", dt.datetime(2024, 1, 2)),
-        ("gfs", dt.datetime(2024, 1, 2), "done", dt.datetime(2024, 1, 3)),
-        ("gfs", dt.datetime(2024, 1, 2), "clobbered", dt.datetime(2024, 1, 4)),
-    ], "model string, cycle timestamp, state string, updated_at timestamp")
-    got = {r["cycle"].day: r["reason"] for r in cycles.pending_cycles(wanted, runs).collect()}
-    assert got == {2: "clobbered", 3: "new"}
+        ("a", "gfs", dt.datetime(2024, 1, 1), "done", dt.datetime(2024, 1, 2)),
+        ("a", "gfs", dt.datetime(2024, 1, 2), "done", dt.datetime(2024, 1, 3)),
+        ("a", "gfs", dt.datetime(2024, 1, 2), "clobbered", dt.datetime(2024, 1, 4)),
+        ("b", "gfs", dt.datetime(2024, 1, 3), "done", dt.datetime(2024, 1, 4)),
+    ], "region string, model string, cycle timestamp, state string, updated_at timestamp")
+    got = {(r["region"], r["cycle"].day): r["reason"] for r in cycles.pending_cycles(wanted, runs).collect()}
+    assert got == {("a", 2): "clobbered", ("a", 3): "new", ("b", 1): "new", ("b", 2): "new"}
 
 
 def test_complete_cycles_needs_all_steps(spark):

@@ -19,20 +19,19 @@ def _weights(spark):
     return WF.materialise_weights(spark, _polys(spark, SF), V.grid_def(spark, SF))
 
 
-def test_counted_weights_are_broadcast(spark):
-    w, n = _weights(spark)
-    p = _plan(zonal_stats(V.grid(spark, SF), w, broadcast_rows=n))
+def test_small_weights_are_broadcast_by_size(spark):
+    p = _plan(zonal_stats(V.grid(spark, SF), _weights(spark)))
     assert "BroadcastHashJoin" in p
 
 
 def test_large_weights_shuffle_instead(spark):
-    w, _ = _weights(spark)
+    w = _weights(spark)
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     aqe = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        p = _plan(zonal_stats(V.grid(spark, SF), w, broadcast_rows=10 ** 9))
+        p = _plan(zonal_stats(V.grid(spark, SF), w))
         assert "SortMergeJoin" in p and "BroadcastHashJoin" not in p
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
@@ -42,8 +41,7 @@ def test_large_weights_shuffle_instead(spark):
 def test_aggregations_are_partial_before_shuffle(spark):
     p = _plan(catchment_summary(V.results(spark, SF)))
     assert "partial_sum" in p and "partial_max" in p
-    w, n = _weights(spark)
-    p = _plan(zonal_stats(V.grid(spark, SF), w, broadcast_rows=n))
+    p = _plan(zonal_stats(V.grid(spark, SF), _weights(spark)))
     assert "partial_sum" in p and "partial_max" in p
 
 
@@ -51,8 +49,7 @@ def test_stored_grid_prunes_and_filters_before_window(spark):
     path = work_path(spark, "shape-raw")
     sinks.write_table(V.raw_grid(spark, SF).drop("var", "level"), path)
     raw = sinks.read_table(spark, path)
-    w, n = _weights(spark)
-    df = WF.zonal_results(raw, w, models_df(spark), broadcast_rows=n)
+    df = WF.zonal_results(raw, _weights(spark), models_df(spark))
     plan = df._jdf.queryExecution().executedPlan().toString()
     formatted = df._jdf.queryExecution().explainString(
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
@@ -61,29 +58,47 @@ def test_stored_grid_prunes_and_filters_before_window(spark):
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
 
 
-def test_stream_batch_reads_only_touched_cycles(spark):
-    from pluvio.sources.sinks import write_grid
-    from pluvio.streaming.ingest import LANDING_SCHEMA, _partition_filter
-    landing = work_path(spark, "shape-landing")
-    write_grid(V.raw_grid(spark, SF), landing, files_per_partition=1)
-    scan = spark.read.schema(LANDING_SCHEMA).parquet(landing)
-    keys = [tuple(r) for r in scan.select("region", "model", "cycle").distinct().orderBy("cycle").limit(1).collect()]
-    pruned = scan.filter(_partition_filter(keys))
-    formatted = pruned._jdf.queryExecution().explainString(
+def _formatted(spark, df):
+    return df._jdf.queryExecution().explainString(
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
-    line = [x for x in formatted.splitlines() if "PartitionFilters" in x][0]
-    assert f"cycle#" in line and keys[0][2] in line
 
 
-def test_scheduled_run_reads_only_pending_cycles(spark):
-    from pyspark.sql import functions as F
-    from pluvio.plans.run_cycles import pending_filter
-    path = work_path(spark, "shape-pending")
+def test_pending_cycles_prune_the_stored_grid(spark):
+    """The pending table reaches the scan as a partition filter, whatever its size."""
+    path, todo_path = work_path(spark, "shape-pending"), work_path(spark, "shape-todo")
     sinks.write_grid(V.raw_grid(spark, SF).drop("var", "level"), path)
     raw = sinks.read_table(spark, path)
-    keys = [(r["model"], r["s"]) for r in
-            raw.select("model", F.unix_seconds("cycle").alias("s")).distinct().orderBy("s").limit(1).collect()]
-    formatted = raw.filter(pending_filter(keys))._jdf.queryExecution().explainString(
-        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
-    line = [x for x in formatted.splitlines() if "PartitionFilters" in x][0]
-    assert f"(model#" in line and "gettimestamp(cast(cycle#" in line
+    keys = ["region", "model", "cycle"]
+    raw.select(*keys).distinct().orderBy("cycle").limit(1).write.parquet(todo_path)
+    todo = spark.read.parquet(todo_path)
+    line = [x for x in _formatted(spark, sinks.in_partitions(raw, todo)).splitlines() if "PartitionFilters" in x][0]
+    assert "dynamicpruning" in line
+
+
+def test_run_reads_each_grid_row_once(spark):
+    """With a step manifest the grid is scanned by two branches, running-total
+    models in one and the others in the other: their partitions do not meet."""
+    from pluvio.operators.grid import complete_cycles
+    path, manifest = work_path(spark, "shape-once"), work_path(spark, "shape-steps")
+    sinks.write_grid(V.raw_grid(spark, SF).drop("var", "level"), path, manifest=manifest)
+    ready_path = work_path(spark, "shape-ready")
+    keys = ["region", "model", "cycle"]
+    complete_cycles(sinks.read_table(spark, manifest), models_df(spark)).select(*keys).write.parquet(ready_path)
+    grid = sinks.in_partitions(sinks.read_table(spark, path), spark.read.parquet(ready_path))
+    df = WF.zonal_results(grid, _weights(spark), models_df(spark), gate=False)
+    text = _formatted(spark, df).split("===== Subqueries =====")[0]      # those only reuse broadcasts
+    scans = [part for part in text.split("\n\n") if "shape-once" in part and "Scan parquet" in part]
+    assert len(scans) == 2
+    filters = sorted(next(x for x in part.splitlines() if "PartitionFilters" in x) for part in scans)
+    assert sum("NOT (model" in f for f in filters) == 1 and all("wrfpr" in f and "dynamicpruning" in f for f in filters)
+
+
+def test_retention_learns_cycles_from_the_listing(spark):
+    src, dst = work_path(spark, "ret-src"), work_path(spark, "ret-dst")
+    sinks.write_table(V.results(spark, SF), src)
+    listing = sinks.partition_listing(spark, src)
+    assert "ReadSchema: struct<path:string>" in _formatted(spark, listing)      # names only, no contents
+    sinks.apply_retention(spark, src, dst)
+    kept = sinks.read_table(spark, dst).select("region", "model", "cycle").distinct().collect()
+    want = sinks.latest_cycles(listing).select("region", "model", "cycle").collect()
+    assert sorted(map(tuple, kept)) == sorted(map(tuple, want))

@@ -3,9 +3,10 @@ import pytest
 
 import __spark_entry__ as E
 from compare import compare, duck
+from pluvio.testing import suite
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(E.queries())
+NAMES = sorted(suite.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -14,7 +15,8 @@ def con():
 
 
 def test_every_query_has_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(suite.SQL) == set(suite.QUERIES)
+    assert set(suite.QUERIES) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)

@@ -111,3 +111,34 @@ def test_no_valid_cell_gives_zero_count(spark):
                               "region string, model string, cat_id long, row int, col int, w long")
     r = round_stats(zonal_stats(grid, w)).collect()[0]
     assert (r["count"], r["max"], r["mean"]) == (0, None, None)
+
+
+def test_overlapping_parts_count_once(spark):
+    sq = [[1.0, 1.0], [3.0, 1.0], [3.0, 3.0], [1.0, 3.0], [1.0, 1.0]]
+    far = [[2.0, 2.0], [4.0, 2.0], [4.0, 4.0], [2.0, 4.0], [2.0, 2.0]]
+    once, _ = _weights(spark, [(1, [[sq]])])
+    twice, _ = _weights(spark, [(1, [[sq], [sq]])])
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
+    both, _ = _weights(spark, [(1, [[sq], [far]])])
+    k = GD[8]
+    assert sum(r["w"] for r in both.collect()) == (4 + 4 - 1) * k * k
+
+
+def test_mean_is_not_cut(spark):
+    """Values of more than three decimals, and tiny ones, reach the mean whole."""
+    grid = spark.createDataFrame([("r", "m", 0, 0, 0.1496), ("r", "m", 0, 1, 1e-12)],
+                                 "region string, model string, row int, col int, value double")
+    w = spark.createDataFrame([("r", "m", 7, 0, 0, 3), ("r", "m", 8, 0, 1, 2)],
+                              "region string, model string, cat_id long, row int, col int, w long")
+    got = {r["cat_id"]: r["mean"] for r in zonal_stats(grid, w).collect()}
+    assert abs(got[7] - 0.1496) < 1e-15 and abs(got[8] - 1e-12) < 1e-20
+    assert round_stats(zonal_stats(grid, w)).filter("cat_id = 7").first()["mean"] == 0.1
+
+
+def test_every_catchment_has_a_row_for_every_step(spark):
+    grid = spark.createDataFrame([("r", "m", s, 0, 0, 1.0) for s in (1, 2)],
+                                 "region string, model string, step_h int, row int, col int, value double")
+    w = spark.createDataFrame([("r", "m", 7, 0, 0, 3)], "region string, model string, cat_id long, row int, col int, w long")
+    cats = spark.createDataFrame([("r", 7), ("r", 9), ("other", 1)], "region string, cat_id long")
+    got = sorted((r["step_h"], r["cat_id"], r["count"], r["mean"]) for r in zonal_stats(grid, w, catchments=cats).collect())
+    assert [g[:3] for g in got] == [(1, 7, 3), (1, 9, 0), (2, 7, 3), (2, 9, 0)]
