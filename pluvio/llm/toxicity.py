@@ -1,11 +1,12 @@
 """Toxicity by weak supervision.
 
 Many voters look at a text: lexicons of insults, patterns, and word families
-found in the labelled rows that may be learned from.  A generative label model
-estimates how often each voter fires on toxic and on clean texts (expectation
-maximisation over all sampled rows, labelled or not) and how strongly voters
-depend on one another within a class; dependent votes count for less.  Its
-posterior labels train a linear classifier over words, word beginnings and
+found in the labelled rows that may be learned from.  The mark of a labelled
+row is one more voter, of a set accuracy, that is silent elsewhere.  A
+generative label model estimates how often each voter fires on toxic and on
+clean texts (expectation maximisation over all sampled rows, labelled or not)
+and how strongly voters depend on one another within a class; dependent votes
+count for less.  Its posterior labels train a linear classifier over words, word beginnings and
 votes, and the classifier scores every text.
 
 The sample, the number of voters and the number of features are bounded by
@@ -28,10 +29,12 @@ from pluvio.llm.language_id import sampled
 SAMPLE_LABELLED = 16_000      # labelled rows that voters and features are found in (expected number)
 SAMPLE_UNLABELLED = 8_000     # further rows that the label model reads (expected number)
 MAX_FEATURES = 4_000
+LEAST_GAIN = 15.0             # log likelihood ratio of a feature; chance seldom reaches it
 MAX_FAMILIES = 64             # voters found in labelled rows
 BEGINNINGS = (4, 5, 6)        # lengths of word beginnings
 ROUNDS = 40                   # of expectation maximisation
-STEPS = 300                   # of the classifier's descent
+STEPS = 500                   # of the classifier's descent
+MARK_ACCURACY = 0.98          # of the mark of a labelled row, as a voter
 REMEMBERED = 300_000          # words a worker remembers
 
 #: Lexicon voters: words that insult, by kind and language.
@@ -100,11 +103,13 @@ class Reader:
         return votes, found
 
 
-def label_model(votes: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def label_model(votes: np.ndarray, start: np.ndarray, marks: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Posterior of the toxic class for each row of a 0/1 vote matrix, the
-    firing rates (2, voters) for clean and toxic, and each voter's dependence.
-    ``start`` are first guesses of the posterior."""
+    firing rates (2, voters) for clean and toxic, and each voter's weight, less
+    than one for dependent voters.  ``start`` are first guesses of the
+    posterior; ``marks`` are 1 and 0 for labelled rows, -1 for others."""
     p = start.astype(float)
+    marked = 0.0 if marks is None else np.where(marks < 0, 0.0, np.where(marks > 0, 1.0, -1.0) * np.log(MARK_ACCURACY / (1 - MARK_ACCURACY)))
     weight = np.ones(votes.shape[1])
     for turn in range(ROUNDS):
         prior = np.clip(p.mean(), 1e-3, 0.5)
@@ -117,14 +122,15 @@ def label_model(votes: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.nd
             sd = np.sqrt(np.maximum(np.diag(cov), 1e-12))
             corr = np.abs(cov / sd[:, None] / sd[None, :])
             np.fill_diagonal(corr, 0.0)
-            weight = 1.0 / (1.0 + np.where(corr > 0.2, corr, 0.0).sum(axis=1))
+            # k copies of a voter count as one; a slight dependence costs little
+            weight = 1.0 / (1.0 + (corr ** 2).sum(axis=1))
         fired, silent = weight * np.log(on / off), weight * np.log((1 - on) / (1 - off))
-        score = np.log(prior / (1 - prior)) + votes @ (fired - silent) + silent.sum()
+        score = np.log(prior / (1 - prior)) + votes @ (fired - silent) + silent.sum() + marked
         p = 1.0 / (1.0 + np.exp(-np.clip(score, -30, 30)))
     return p, np.vstack([off, on]), weight
 
 
-def train_linear(rows: np.ndarray, cols: np.ndarray, y: np.ndarray, n_cols: int, ridge: float = 1e-4) -> tuple[np.ndarray, float]:
+def train_linear(rows: np.ndarray, cols: np.ndarray, y: np.ndarray, n_cols: int, ridge: float = 3e-5) -> tuple[np.ndarray, float]:
     """Logistic regression on 0/1 features given as (row, column) pairs with
     soft labels ``y``; full-batch descent with a step of its own for each weight."""
     w, b = np.zeros(n_cols), float(np.log(np.clip(y.mean(), 1e-3, 0.999) / (1 - np.clip(y.mean(), 1e-3, 0.999))))
@@ -134,7 +140,7 @@ def train_linear(rows: np.ndarray, cols: np.ndarray, y: np.ndarray, n_cols: int,
         d = 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30))) - y
         g = np.bincount(cols, weights=d[rows], minlength=n_cols) / n + ridge * w
         gw += g * g
-        w -= 0.5 * g / np.sqrt(gw)
+        w -= g / np.sqrt(gw)
         g0 = d.mean()
         gb += g0 * g0
         b -= 0.1 * g0 / np.sqrt(gb)
@@ -168,23 +174,28 @@ def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
     ship(docs.sparkSession)
     rows = docs.select("doc_id", "text").filter(learning_row(F.col("doc_id")) & F.col("text").isNotNull())
     marks = labels.select("doc_id", "toxic").filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    known = sampled(rows.join(marks, "doc_id"), SAMPLE_LABELLED, "toxic").persist()
+    known = sampled(rows.join(marks, "doc_id"), SAMPLE_LABELLED, "toxic")
+    known = known.groupBy("text").agg(F.max("toxic").alias("toxic")).persist()       # copies teach nothing more
     try:
         n = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
         pos, neg = n.get(1, 0), n.get(0, 0)
         counted = (known.select("text", "toxic").mapInPandas(_count_features, "feature string, pos long, neg long")
-                   .groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).filter("pos + neg >= 5"))
+                   .groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).filter("pos + neg >= 3"))
         ratio = F.log(((F.col("pos") + 0.5) / (pos + 1)) / ((F.col("neg") + 0.5) / (neg + 1)))
-        spread = F.sqrt(1 / (F.col("pos") + 0.5) + 1 / (F.col("neg") + 0.5))
-        top = (counted.withColumn("ratio", ratio).withColumn("z", ratio / spread)
-               .orderBy(F.desc(F.abs("z")), "feature").limit(MAX_FEATURES).collect())
+        share = pos / max(1, pos + neg)
+        part = lambda c, p: F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / ((F.col("pos") + F.col("neg")) * max(p, 1e-9)))).otherwise(0.0)
+        gain = 2.0 * (part("pos", share) + part("neg", 1.0 - share))
+        top = (counted.withColumn("ratio", ratio).withColumn("gain", gain).filter(F.col("gain") >= LEAST_GAIN)
+               .orderBy(F.desc("gain"), "feature").limit(MAX_FEATURES).collect())
         features = [r["feature"] for r in top]
         families: list[str] = []
         for r in sorted(top, key=lambda r: (-r["ratio"], len(r["feature"]), r["feature"])):
             stem = r["feature"].rstrip("*")
-            if r["ratio"] < 3 or r["pos"] < 8 or len(families) >= MAX_FAMILIES:
+            if r["ratio"] < 3 or r["pos"] < 4 or len(families) >= MAX_FAMILIES:
                 continue
-            if not any(stem.startswith(f[:-1]) for f in families if f.endswith("*")):
+            known_stem = any(stem.startswith(f.rstrip("*")) for f in families) or any(
+                w.startswith(stem) if r["feature"].endswith("*") else w == stem for s in _LEXICON_SETS for w in s)
+            if not known_stem:
                 families.append(r["feature"])
         reader = Reader(families, features)
         shared = docs.sparkSession.sparkContext.broadcast(reader)
@@ -195,20 +206,21 @@ def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
                 yield pd.DataFrame({"toxic": b["toxic"], "votes": [sorted(v) for v, _ in got], "found": [sorted(f) for _, f in got]})
 
         other = sampled(rows.join(marks, "doc_id", "left_anti"), SAMPLE_UNLABELLED, "others").withColumn("toxic", F.lit(-1))
-        seen = known.unionByName(other).select("text", "toxic").mapInPandas(read, "toxic int, votes array<int>, found array<int>").toPandas()
+        seen = known.select("text", "toxic").unionByName(other.select("text", "toxic")).mapInPandas(read, "toxic int, votes array<int>, found array<int>").toPandas()
     finally:
         known.unpersist()
+    if not len(seen):
+        return Classifier(reader, np.zeros(reader.voters + len(features)), -3.0)
     votes = np.zeros((len(seen), reader.voters))
     for i, v in enumerate(seen["votes"]):
         votes[i, list(v)] = 1.0
     # first guess: labelled rows as marked, others by whether a lexicon voter fires
     label = seen["toxic"].to_numpy()
-    start = np.where(label >= 0, label, (votes[:, : len(LEXICONS)].max(axis=1, initial=0.0) if len(seen) else 0.0)) * 0.9 + 0.05
-    y, _, _ = label_model(votes, start)
+    start = np.where(label >= 0, label, votes[:, : len(LEXICONS)].max(axis=1)) * 0.9 + 0.05
+    y, _, _ = label_model(votes, start, label)
     lists = [np.concatenate([np.asarray(v, np.int64), np.asarray(f, np.int64) + reader.voters]) for v, f in zip(seen["votes"], seen["found"])]
     at = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    cols = np.concatenate(lists).astype(np.int64) if lists else np.empty(0, np.int64)
-    weights, bias = train_linear(at, cols, y, reader.voters + len(features)) if len(seen) else (np.zeros(reader.voters), -3.0)
+    weights, bias = train_linear(at, np.concatenate(lists), y, reader.voters + len(features))
     return Classifier(reader, weights, bias)
 
 
