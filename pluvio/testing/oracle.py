@@ -48,7 +48,7 @@ def nround1(x: str) -> str:
 def cell_value(cents: str) -> str:
     """Rain of a test cell: many decimals, no data in one cell-step of 101."""
     return (f"CASE WHEN (cat_id * 13 + vt_s // 3600) % 101 <> 0 THEN CAST({cents} AS DOUBLE) / 100.0::DOUBLE "
-            f"+ CAST((cat_id * 31) % 997 AS DOUBLE) / 1000003.0::DOUBLE END")
+            f"+ CAST((cat_id * 31) % 997 + 1 AS DOUBLE) / 1000003.0::DOUBLE * step_h END")
 
 
 def stamp(sec: str) -> str:

@@ -110,8 +110,8 @@ def thresholds_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _value(cents) -> "F.Column":
-    """Rain of a cell: many decimals, and no data in one cell-step of 101."""
-    v = cents / F.lit(100.0) + F.pmod(F.col("cat_id") * 31, F.lit(997)).cast("double") / F.lit(1000003.0)
+    """Rain of a cell: many decimals, also after differencing, and no data in one cell-step of 101."""
+    v = cents / F.lit(100.0) + (F.pmod(F.col("cat_id") * 31, F.lit(997)) + 1).cast("double") / F.lit(1000003.0) * F.col("step_h")
     return F.when(F.pmod(F.col("cat_id") * 13 + fdiv(F.col("vt_s"), 3600), F.lit(101)) != 0, v)
 
 
