@@ -1,20 +1,23 @@
-"""Line dedup by content-defined chunks of lines.
-
-The lines of a text are hashed and a rolling hash over the last two line
-hashes sets the chunk boundaries, so a boundary depends on its own
-neighbourhood only: text put in front of a passage moves no boundary inside
-it.  A line as long as a paragraph bounds itself on both sides.  Chunks of at
-least two lines, and paragraph lines, are removed wherever they are repeated
-anywhere in the table, but for the first place; equal chunk hashes are only a
-hint, the bytes decide.
-
-Hashes are shuffled first; texts are shuffled once, and of the texts only
-those that hold a repeated chunk take part in the byte comparison.
+"""Line dedup by content-defined chunks of lines and shortest runs of lines.
+
+Two kinds of runs of lines are keyed by the hash of their bytes.  From every
+line, forwards and backwards, the shortest run with at least PARAGRAPH_WORDS
+words: a passage with so many words that stands in two places holds, around
+each of its lines, such a run that lies wholly inside it, whatever stands next
+to it, so it is found and covered from its first line to its last.  And the
+content-defined chunks of at least two lines with fewer words: a rolling hash
+over two line hashes sets their boundaries; as the hash begins anew at each
+boundary, they fall into step some lines into a passage.
+
+Runs are removed wherever they are repeated anywhere in the table, but for the
+first place; equal hashes are only a hint, the bytes decide.  Hashes are
+shuffled first; texts are shuffled once, and then only the repeated stretches.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -23,7 +26,7 @@ from pyspark.sql import functions as F
 
 from pluvio.llm.common import WORD, materialise, pieces, ship
 
-PARAGRAPH_WORDS = 50          # a line of so many words is a chunk of its own
+PARAGRAPH_WORDS = 50          # a line of so many words is a chunk of its own, lines that hold so many a passage
 ROLL = 2                      # lines that the rolling hash covers
 DIVISOR = 2                   # one in so many lines ends a chunk
 
@@ -88,19 +91,75 @@ def _text_key(text: str | None) -> int:
     return xxhash.xxh3_64_intdigest((text or "").encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def _hash_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _runs(lines: list[str], text: str) -> list[tuple[int, int]]:
+    """(first line, line after the last) of the runs that are keyed."""
+    words = [len(x.encode("utf-8", "surrogatepass").split()) for x in lines]
+    upto = [0, *accumulate(words)]
+    n, out = len(lines), set()
+    z = 0
+    for a in range(n):
+        while z < n and upto[z] - upto[a] < PARAGRAPH_WORDS:
+            z += 1
+        if upto[z] - upto[a] < PARAGRAPH_WORDS:
+            break
+        out.add((a, z))
+    a = n
+    for z in range(n, 0, -1):
+        while a > 0 and upto[z] - upto[a] < PARAGRAPH_WORDS:
+            a -= 1
+        if upto[z] - upto[a] < PARAGRAPH_WORDS:
+            break
+        out.add((a, z))
+    # a chunk of more words is covered by the runs inside it
+    out.update((a, z) for a, z, counts in chunks(text) if counts and upto[z] - upto[a] < PARAGRAPH_WORDS)
+    return sorted(out)
+
+
+def _hash_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in pieces(batches, 4000):
-        ids, texts, at, keys = [], [], [], []
+        ids, texts, starts, ends, keys = [], [], [], [], []
         for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-            h = None
-            for k, p in _passages(t):
+            if not t:
+                continue
+            lines, h = t.split("\n"), None
+            for a, z in _runs(lines, t):
                 h = _text_key(t) if h is None else h
                 ids.append(d)
                 texts.append(h)
-                at.append(k)
-                keys.append(_key(p))
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.int64()), pa.array(at, pa.int32()), pa.array(keys, pa.binary())],
-                                         names=["doc_id", "tkey", "chunk", "key"])
+                starts.append(a)
+                ends.append(z)
+                keys.append(_key("\n".join(lines[a:z])))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids, pa.int64()), pa.array(texts, pa.int64()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32()), pa.array(keys, pa.binary())],
+            names=["doc_id", "tkey", "a", "z", "key"])
+
+
+_RUN = pa.struct([("a", pa.int32()), ("z", pa.int32()), ("lo", pa.int32()), ("f_id", pa.int64()), ("f_key", pa.int64()), ("f_a", pa.int32())])
+_RUN_SQL = "struct<a:int,z:int,lo:int,f_id:bigint,f_key:bigint,f_a:int>"
+
+
+def _joined(d: int | None, h: int, marks: list[dict]) -> list[dict]:
+    """Repeated runs of one text that overlap or touch, and whose first places
+    do so in the same way, as one.  ``lo``: the first line to remove; a run
+    that overlaps its own first place loses only what goes beyond that."""
+    out: list[dict] = []
+    for m in sorted(marks, key=lambda m: (m["f_id"] is None, m["f_id"] or 0, m["f_key"], m["a"] - m["f_a"], m["a"], m["z"])):
+        run = {**m, "lo": m["a"]}
+        if (m["f_id"], m["f_key"]) == (d, h):
+            run["lo"] = max(m["a"], m["f_a"] + m["z"] - m["a"])
+        last = out[-1] if out else None
+        if (last and run["lo"] == run["a"] and last["lo"] == last["a"] and run["a"] <= last["z"]
+                and all(run[c] == last[c] for c in ("f_id", "f_key")) and run["a"] - run["f_a"] == last["a"] - last["f_a"]):
+            last["z"] = max(last["z"], run["z"])
+        else:
+            out.append(run)
+    return out
+
+
+def _join_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in pieces(batches):
+        runs = [_joined(*x) for x in zip(*(b.column(c).to_pylist() for c in ("m_id", "m_key", "marks")))]
+        yield pa.RecordBatch.from_arrays([b.column("m_id"), b.column("m_key"), pa.array(runs, pa.list_(_RUN))], names=["m_id", "m_key", "runs"])
 
 
 def _add_text_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,41 +168,53 @@ def _add_text_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text"), keys, b.column("r")], names=["doc_id", "text", "tkey", "r"])
 
 
-def _show_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The chunks that are listed in ``marks``, with their texts."""
+def _show_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts of each row's repeated runs, with their first places."""
+    for b in pieces(batches):
+        rows, texts = [], []
+        for d, h, t, runs in zip(*(b.column(c).to_pylist() for c in ("doc_id", "tkey", "text", "runs"))):
+            lines = t.split("\n")
+            for x in runs:
+                rows.append((d, h, x["a"], x["z"], x["f_id"], x["f_key"], x["f_a"], x["z"] - x["a"]))
+                texts.append("\n".join(lines[x["a"]:x["z"]]))
+        names = ["doc_id", "tkey", "a", "z", "f_id", "f_key", "f_a", "size"]
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+        columns = zip(*rows) if rows else [()] * len(names)
+        yield pa.RecordBatch.from_arrays([*map(pa.array, columns, kinds), pa.array(texts, pa.string())], names=[*names, "passage"])
+
+
+def _show_asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts of the first places that runs are compared with."""
     for b in pieces(batches):
-        ids, tkeys, at, keys, first, texts = [], [], [], [], [], []
-        for d, h, t, marks in zip(*(b.column(c).to_pylist() for c in ("doc_id", "tkey", "text", "marks"))):
-            own = dict(_passages(t))
-            for m in marks:
+        ids, tkeys, starts, sizes, texts = [], [], [], [], []
+        for d, h, t, asked in zip(*(b.column(c).to_pylist() for c in ("doc_id", "tkey", "text", "asked"))):
+            lines = t.split("\n")
+            for x in asked:
                 ids.append(d)
                 tkeys.append(h)
-                at.append(m["chunk"])
-                keys.append(m["key"])
-                first.append(m["first"])
-                texts.append(own[m["chunk"]])
+                starts.append(x["a"])
+                sizes.append(x["size"])
+                texts.append("\n".join(lines[x["a"]:x["a"] + x["size"]]))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(tkeys, pa.int64()), pa.array(at, pa.int32()), pa.array(keys, pa.binary()),
-             pa.array(first, pa.bool_()), pa.array(texts, pa.string())], names=["doc_id", "tkey", "chunk", "key", "first", "passage"])
+            [pa.array(ids, pa.int64()), pa.array(tkeys, pa.int64()), pa.array(starts, pa.int32()), pa.array(sizes, pa.int32()), pa.array(texts, pa.string())],
+            names=["g_id", "g_key", "g_a", "g_size", "first_passage"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts without the chunks listed in ``gone``."""
+    """Texts without the lines of ``runs``, but for the runs in ``unequal``."""
     for b in pieces(batches):
         texts, lines_out, chunks_out = [], [], []
-        for t, gone in zip(b.column("text").to_pylist(), b.column("gone").to_pylist()):
-            n = 0
-            if t and gone:
-                out, drop, lines = [], set(gone), t.split("\n")
-                for k, (a, z, _) in enumerate(chunks(t)):
-                    if k in drop:
-                        n += z - a
-                    else:
-                        out.extend(lines[a:z])
-                t = "\n".join(out)
-            texts.append(t)
+        for t, runs, unequal in zip(*(b.column(c).to_pylist() for c in ("text", "runs", "unequal"))):
+            stay = {tuple(x.values()) for x in unequal or ()}
+            lines = t.split("\n")
+            drop = bytearray(len(lines))
+            for x in runs:
+                if (x["a"], x["z"], x["f_id"], x["f_key"], x["f_a"]) not in stay:
+                    drop[x["lo"]:x["z"]] = b"\1" * (x["z"] - x["lo"])
+            n = sum(drop)
+            texts.append("\n".join(x for x, gone in zip(lines, drop) if not gone))
             lines_out.append(n)
-            chunks_out.append(len(set(gone or ())))
+            chunks_out.append(sum(gone and not before for before, gone in zip(b"\0" + drop, drop)))
         yield pa.RecordBatch.from_arrays(
             [b.column("doc_id"), pa.array(texts, pa.string()), pa.array(lines_out, pa.int32()), pa.array(chunks_out, pa.int32()), b.column("r")],
             names=["doc_id", "text", "removed_lines", "removed_chunks", "r"])
@@ -152,42 +223,58 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``doc_id, text, removed_lines, removed_chunks, r`` for every row of
     ``docs``; ``r`` is a struct of the row's own columns but for the text.
-
-    The first place of a passage is the one with the smallest id (null last),
-    then the smallest text hash, then the first in the text; it stays.  Rows
-    equal in id and text are one place and keep or lose the same chunks.  A
-    text that loses all its chunks becomes empty; a null text stays null and an
-    empty one empty.  An empty table gives no rows.
+    ``removed_chunks`` counts the stretches of lines that were removed.
+
+    The first place of a run is the one with the smallest id (null last), then
+    the smallest text hash, then the first in the text; it stays, but for lines
+    of other runs that stand at still earlier places.  Rows equal in id and
+    text are one place and keep or lose the same lines.  A text that loses all
+    its lines becomes empty; a null text stays null and an empty one empty.  An
+    empty table gives no rows.
     """
     ship(docs.sparkSession)
     own = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), own.alias("r"))
     r_type = rows.schema["r"].dataType.simpleString()
-    place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "tkey", "chunk")
-    found = rows.select("doc_id", "text").mapInArrow(_hash_chunks, "doc_id long, tkey long, chunk int, key binary")
-    found = materialise(found.distinct(), "line-chunks")
-    repeated = found.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min(place).alias("p")).filter("c > 1")
-    marks = (found.join(repeated, "key")
+    place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "tkey", "a")
+    found = materialise(rows.select("doc_id", "text").mapInArrow(_hash_runs, "doc_id long, tkey long, a int, z int, key binary"), "line-runs")
+    at = F.xxhash64(F.col("doc_id").isNull(), "doc_id", "tkey", "a")
+    repeated = found.groupBy("key").agg(F.min(at).alias("least"), F.max(at).alias("most")).filter("least <> most").select("key")
+    places = materialise(found.join(repeated, "key"), "line-places")
+    firsts = places.groupBy("key").agg(F.min(place).alias("p"))
+    marks = (places.join(firsts, "key").filter(place != F.col("p"))
              .select(F.col("doc_id").alias("m_id"), F.col("tkey").alias("m_key"),
-                     F.struct("chunk", "key", (place == F.col("p")).alias("first")).alias("mark"))
-             .groupBy("m_id", "m_key").agg(F.collect_list("mark").alias("marks")))
+                     F.struct("a", "z", F.col("p.doc_id").alias("f_id"), F.col("p.tkey").alias("f_key"), F.col("p.a").alias("f_a")).alias("mark"))
+             .groupBy("m_id", "m_key").agg(F.collect_set("mark").alias("marks")))
+    runs = materialise(marks.mapInArrow(_join_runs, f"m_id long, m_key long, runs array<{_RUN_SQL}>"), "line-repeats")
+    asked = (runs.select(F.explode("runs").alias("x"))
+             .groupBy(F.col("x.f_id").alias("m_id"), F.col("x.f_key").alias("m_key"))
+             .agg(F.collect_set(F.struct(F.col("x.f_a").alias("a"), F.expr("x.z - x.a").alias("size"))).alias("asked")))
+    wanted = (runs.select("m_id", "m_key", "runs", F.lit(None).cast(asked.schema["asked"].dataType).alias("asked"))
+              .unionByName(asked.withColumn("runs", F.lit(None).cast(runs.schema["runs"].dataType)))
+              .groupBy("m_id", "m_key").agg(F.first("runs", True).alias("runs"), F.first("asked", True).alias("asked")))
     keyed = rows.mapInArrow(_add_text_key, f"doc_id long, text string, tkey long, r {r_type}")
     marked = materialise(
-        keyed.join(marks, F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("tkey") == F.col("m_key")), "left")
-        .select("doc_id", "text", "tkey", "r", "marks"), "line-marked")
-
-    # byte comparison of every repeated chunk with the first of its key
-    touched = marked.filter("marks is not null")
-    shown = (touched.select("doc_id", "tkey", "text", "marks").dropDuplicates(["doc_id", "tkey"])
-             .mapInArrow(_show_chunks, "doc_id long, tkey long, chunk int, key binary, first boolean, passage string"))
-    shown = materialise(shown, "line-passages")
-    firsts = shown.filter("first").select("key", F.col("passage").alias("first_passage"))
-    gone = (shown.filter("not first").join(firsts, "key").filter("passage = first_passage")
-            .groupBy(F.col("doc_id").alias("g_id"), F.col("tkey").alias("g_key")).agg(F.collect_list("chunk").alias("gone")))
-    cut = (touched.join(gone, F.col("doc_id").eqNullSafe(F.col("g_id")) & (F.col("tkey") == F.col("g_key")), "left")
-           .select("doc_id", "text", "gone", "r")
+        keyed.join(wanted, F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("tkey") == F.col("m_key")), "left")
+        .select("doc_id", "text", "tkey", "r", "runs", "asked"), "line-marked")
+
+    # byte comparison of every repeated run with its first place
+    touched = marked.filter("runs is not null")
+    shown = touched.select("doc_id", "tkey", "text", "runs").mapInArrow(
+        _show_runs, "doc_id long, tkey long, a int, z int, f_id long, f_key long, f_a int, size int, passage string")
+    given = (marked.filter("asked is not null").select("doc_id", "tkey", "text", "asked")
+             .mapInArrow(_show_asked, "g_id long, g_key long, g_a int, g_size int, first_passage string")
+             .dropDuplicates(["g_id", "g_key", "g_a", "g_size"]))
+    unequal = (shown.join(given, F.col("f_id").eqNullSafe(F.col("g_id")) & (F.col("f_key") == F.col("g_key"))
+                          & (F.col("f_a") == F.col("g_a")) & (F.col("size") == F.col("g_size")), "left")
+               .filter(~F.col("passage").eqNullSafe(F.col("first_passage")))
+               .groupBy(F.col("doc_id").alias("u_id"), F.col("tkey").alias("u_key"))
+               .agg(F.collect_set(F.struct("a", "z", "f_id", "f_key", "f_a")).alias("unequal")))
+    unequal = materialise(unequal, "line-unequal")           # next to nothing, so the texts need not be shuffled again
+    cut = (touched.join(unequal, F.col("doc_id").eqNullSafe(F.col("u_id")) & (F.col("tkey") == F.col("u_key")), "left")
+           .select("doc_id", "text", "runs", "unequal", "r")
            .mapInArrow(_cut, f"doc_id long, text string, removed_lines int, removed_chunks int, r {r_type}"))
-    rest = marked.filter("marks is null").select("doc_id", "text", F.lit(0).alias("removed_lines"), F.lit(0).alias("removed_chunks"), "r")
+    rest = marked.filter("runs is null").select("doc_id", "text", F.lit(0).alias("removed_lines"), F.lit(0).alias("removed_chunks"), "r")
     return cut.unionAll(rest)
 
 
