@@ -1,0 +1,34 @@
+"""Nearest neighbours with the constants of the registered query, where tables are not searched whole."""
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from pluvio.llm import ann
+
+ROWS, DIM = 12_000, 64
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_recall_with_production_constants(spark, hot):
+    """12 000 Gaussian vectors, with ``hot`` a third of them one vector's copies, against brute force."""
+    assert ann.SHARE * ROWS > ann.LEAST
+    df = spark.range(0, ROWS, 1, 4).select(F.col("id").alias("vec_id"), F.array(*[F.randn(seed=i) for i in range(DIM)]).alias("embedding"))
+    if hot:
+        df = df.withColumn("embedding", F.when(F.col("vec_id") % 3 == 0, F.transform(F.sequence(F.lit(1), F.lit(DIM)), lambda i: F.cos(i * i)))
+                           .otherwise(F.col("embedding")))
+    rows = df.orderBy("vec_id").toPandas()
+    ids, x = rows["vec_id"].to_numpy(), np.stack(rows["embedding"].to_numpy())
+    found = {}
+    for r in ann.nearest(df).collect():
+        found.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    assert sorted(found) == [i for i in ids.tolist() if i % 20 == 0]
+    share = {}
+    for q, got in found.items():
+        score = x @ x[q]
+        assert len({i for i, _ in got}) == 20 and all(abs(score[i] - s) < 1e-9 for i, s in got)
+        score[q] = -np.inf
+        least = np.partition(score, ROWS - 20)[ROWS - 20]
+        share[q] = sum(s >= least - 1e-9 for _, s in got) / 20
+    others = [s for q, s in share.items() if not hot or q % 3]
+    print(f"recall hot={hot}: all {np.mean(list(share.values())):.3f}, queries that are no copies {np.mean(others):.3f}")
+    assert np.mean(others) >= 0.9
