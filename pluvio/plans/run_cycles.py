@@ -69,7 +69,7 @@ def run_cycles(spark: SparkSession, raw_grid: DataFrame, polygons: DataFrame, gr
     runs_path = f"{out}/runs"
     wanted = raw_grid.select(*RUN_KEYS).distinct() if wanted is None else wanted
     todo_path = work_path(spark, "pending")
-    pending_cycles(wanted, read_runs(spark, runs_path)).coalesce(1).write.parquet(todo_path)
+    pending_cycles(wanted, read_runs(spark, runs_path)).write.parquet(todo_path)
     todo = spark.read.parquet(todo_path).select(*RUN_KEYS)
     if todo.isEmpty():
         return spark.createDataFrame([], "region string, model string, cycle timestamp")
@@ -80,7 +80,7 @@ def run_cycles(spark: SparkSession, raw_grid: DataFrame, polygons: DataFrame, gr
     ready_path = work_path(spark, "ready")
     steps = grid if manifest is None else workflow.configured(
         in_partitions(manifest, todo), region_models_df(spark) if region_models is None else region_models)
-    complete_cycles(steps, mdf).select(*RUN_KEYS).coalesce(1).write.parquet(ready_path)
+    complete_cycles(steps, mdf).select(*RUN_KEYS).write.parquet(ready_path)
     ready = spark.read.parquet(ready_path)
     if ready.isEmpty():
         return ready
