@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvio.llm import ann, byte_bpe, language_id, line_dedup, mixing, near_dup, quality_rules, sharding, token_counts, toxicity
+from pluvio.llm import (ann, byte_bpe, hard_negatives, language_id, line_dedup, mixing, near_dup, periodic_runs, quality_rules,
+                        sharding, token_counts, toxicity)
 from pluvio.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -173,3 +174,24 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_approximate_nearest_neighbours")
 def op10_approximate_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(periodic_runs.with_cycles(table(spark, sf_dir, "documents")))
+    # the longest run; among equals the smallest start, then period
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("l"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    lines = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","),
+                                                   r["period"].cast("string"), F.lit("\n")))
+    return (found.withColumn("best", best)
+            .select("doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.s")).alias("start"), F.col("best.l").alias("length"),
+                    (-F.col("best.p")).alias("period"), F.expr("floor(1000 * best.l / -best.p)").cast("long").alias("exponent_milli"),
+                    F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+                    F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256")))
+
+
+@query("op13_hard_negatives")
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(hard_negatives.quantised(vectors, label=label))
