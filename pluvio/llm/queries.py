@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pluvio.llm import (ann, byte_bpe, hard_negatives, language_id, line_dedup, mixing, near_dup, periodic_runs, quality_rules,
-                        sharding, token_counts, toxicity)
+                        sharding, suffix_dedup, token_counts, toxicity)
 from pluvio.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -176,6 +176,14 @@ def op10_approximate_nearest_neighbours(spark: SparkSession, sf_dir: str) -> Dat
     return ann.nearest(table(spark, sf_dir, "embeddings"))
 
 
+@query("op11_suffix_array_dedup")
+def op11_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op12_periodic_runs")
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = periodic_runs.find_runs(periodic_runs.with_cycles(table(spark, sf_dir, "documents")))
