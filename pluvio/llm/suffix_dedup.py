@@ -153,10 +153,10 @@ def _find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 class Shard:
     """The Burrows-Wheeler transform of strings on end, ``data`` cut at ``ends``,
-    read in symbols of STEP bytes.  Each string is STEP chains of symbols that
-    end in 0.  ``order``: suffixes by their first STEPS symbols; ``before``: the
-    symbol in front of each suffix in that order (in front of a chain's first,
-    its last)."""
+    read in symbols of STEP bytes.  Each string is STEP chains of symbols; what
+    is too short for a symbol is 0, and in front of a chain's first symbol
+    stands its last.  ``order``: suffixes by their first STEPS symbols;
+    ``before``: the symbol in front of each suffix in that order."""
 
     def __init__(self, data: np.ndarray, ends: np.ndarray):
         sizes = np.diff(ends, prepend=0)
@@ -223,10 +223,9 @@ def firsts(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     owner = np.repeat(np.arange(len(strings)), np.diff(ends, prepend=0))
     first = owner.copy()
     begin = np.flatnonzero(common < STEPS)
-    least = np.minimum.reduceat(owner[order], begin)
-    whole = np.repeat(ends, np.diff(ends, prepend=0)) - np.arange(len(owner)) >= WINDOW
-    got = np.repeat(least, np.diff(begin, append=len(order)))
-    first[order] = np.where(whole[order], got, owner[order])
+    whole = (np.repeat(ends, np.diff(ends, prepend=0)) - np.arange(len(owner)) >= WINDOW)[order]
+    least = np.minimum.reduceat(np.where(whole, owner[order], len(strings)), begin)
+    first[order] = np.where(whole, np.repeat(least, np.diff(begin, append=len(order))), owner[order])
     return first, ends
 
 
