@@ -20,6 +20,7 @@ import base64
 import re
 from array import array
 from collections.abc import Iterator
+from weakref import WeakValueDictionary
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,9 @@ from pluvio.llm.common import pieces, ship
 
 #: The production vocabulary of the installed ``public_tokenizers`` package.
 VOCABULARY = "byte_bpe_50k.tiktoken"
-CACHE = 400_000               # pieces, and words, that a worker remembers
-PAIRS = 2_000_000             # pairs of tokens that a worker remembers
+CACHE = 60_000                # pieces, and words, that a task remembers
+PAIRS = 200_000               # pairs of tokens that a task remembers
+STATES = 50_000               # states, and four times as many steps, that a task remembers
 CACHED_BYTES = 64             # longer pieces are not remembered
 
 
@@ -67,11 +69,11 @@ class Vocabulary:
 
     START = -1                # stands for "no token before"
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], like: Vocabulary | None = None):
         self.ranks = ranks
-        self.token = {i: b for b, i in ranks.items()}
-        self.longest = max(map(len, ranks), default=0)
-        self._heads = {b[:i] for b in ranks for i in range(len(b) + 1)} | {b""}
+        self.token = like.token if like else {i: b for b, i in ranks.items()}
+        self.longest = like.longest if like else max(map(len, ranks), default=0)
+        self._heads = like._heads if like else {b[:i] for b in ranks for i in range(len(b) + 1)} | {b""}
         # a state is the longest string that a token begins with and that ends
         # at the current byte; states and their steps are built when met
         self._state: dict[bytes, int] = {b"": 0}
@@ -83,6 +85,12 @@ class Vocabulary:
         self._known = 0
         self._halves: dict[int, tuple | None] = {}
 
+    def renewed(self) -> Vocabulary:
+        """Itself, or where it remembers too much the same ranks with nothing
+        remembered.  Prefixes that were built with the old one go on with it."""
+        full = len(self._bytes) > STATES or len(self.steps) > 4 * STATES
+        return Vocabulary(self.ranks, self) if full else self
+
     def step(self, state: int, byte: int) -> int:
         """The state after one more byte."""
         s = self._bytes[state] + bytes((byte,))
@@ -256,6 +264,7 @@ class Encoder:
         if one is not None:
             out = array("i", (one,)).tobytes()
         else:
+            self.v = self.v.renewed()
             last = [Vocabulary.START]
             self.v.last_tokens(raw, last, [0], 0, len(raw))
             out = array("i", self.v.read_back(last)).tobytes()
@@ -294,7 +303,9 @@ class Encoder:
         return self.decode_flat(np.asarray(ids, np.int64))[0].tobytes()
 
 
-_here: dict[tuple, Encoder] = {}
+#: Encoders in use: one goes with the last task that uses it, so a worker that
+#: Spark keeps for later stages holds none.
+_here: WeakValueDictionary[tuple, Encoder] = WeakValueDictionary()
 
 
 def encoder(path: str | None = None, pattern: str | None = None) -> Encoder:
@@ -302,9 +313,10 @@ def encoder(path: str | None = None, pattern: str | None = None) -> Encoder:
     import public_tokenizers
 
     key = (path or vocabulary_path(), pattern or public_tokenizers.PATTERN)
-    if key not in _here:
-        _here[key] = Encoder(read_ranks(key[0]), key[1], key[1] == public_tokenizers.PATTERN)
-    return _here[key]
+    e = _here.get(key)
+    if e is None:
+        e = _here[key] = Encoder(read_ranks(key[0]), key[1], key[1] == public_tokenizers.PATTERN)
+    return e
 
 
 def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:

@@ -1,21 +1,31 @@
-"""Line dedup by content-defined chunks of lines and shortest runs of lines.
-
-Two kinds of runs of lines are keyed by the hash of their bytes.  From every
-line, forwards and backwards, the shortest run with at least PARAGRAPH_WORDS
-words: a passage with so many words that stands in two places holds, around
-each of its lines, such a run that lies wholly inside it, whatever stands next
-to it, so it is found and covered from its first line to its last.  And the
-content-defined chunks of at least two lines with fewer words: a rolling hash
-over two line hashes sets their boundaries; as the hash begins anew at each
-boundary, they fall into step some lines into a passage.
-
-Runs are removed wherever they are repeated anywhere in the table, but for the
-first place; equal hashes are only a hint, the bytes decide.  Hashes are
-shuffled first; texts are shuffled once, and then only the repeated stretches.
+"""Line dedup by content-defined chunks of lines.
+
+A rolling hash over the hashes of ROLL lines on end decides whether a chunk ends
+between the last two of them, by these lines alone: text put in front of a
+passage, or behind it, moves no boundary inside it.  A chunk with words in two
+or more lines counts.  A chunk that counts and stands in several places grows
+line by line to both sides, up to the far ends of the chunks that count before
+and after it; whatever is equal there is repeated as well.
+
+A passage can be too short to hold a whole chunk.  So the shortest runs of lines
+with PARAGRAPH_WORDS words or more, from every line forwards and backwards, are
+looked up too, but only those without a chunk that counts strictly inside.
+Together: a passage of so many words that stands in two places goes whole from
+the later one, from its first line to its last, whatever stands next to it.  If
+it holds a chunk strictly inside, both places have that chunk and grow it to the
+passage's ends; if not, all its shortest runs are looked up in both places.  Of
+shorter repeated passages what lies around a chunk goes.
+
+Stretches of lines are looked up by hashes of their lines, which are shuffled
+first; texts are shuffled once, and then only the repeated stretches: equal
+hashes are only a hint, the bytes decide.  All but the first place of a stretch
+are removed.
 """
 
 from __future__ import annotations
 
+from array import array
+from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -26,7 +36,7 @@ from pyspark.sql import functions as F
 
 from pluvio.llm.common import WORD, materialise, pieces, ship
 
-PARAGRAPH_WORDS = 50          # a line of so many words is a chunk of its own, lines that hold so many a passage
+PARAGRAPH_WORDS = 50          # words that make a run of lines a passage without a chunk
 ROLL = 2                      # lines that the rolling hash covers
 DIVISOR = 2                   # one in so many lines ends a chunk
 
@@ -38,63 +48,37 @@ def _mixed(x: int) -> int:
     return x ^ (x >> 33)
 
 
-def chunks(text: str) -> list[tuple[int, int, bool]]:
+def _line_hashes(lines: list[str]) -> list[int]:
+    return [xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) for x in lines]
+
+
+def chunks(lines: list[str], hashes: list[int] | None = None) -> list[tuple[int, int, bool]]:
     """(first line, line after the last, whether it counts) for each chunk of
-    the text's \\n-split lines.  A chunk counts as a passage if it has two or
-    more lines with words, or is a paragraph line."""
+    the lines: it counts if two or more of them have words."""
+    hashes = _line_hashes(lines) if hashes is None else hashes
     out: list[tuple[int, int, bool]] = []
     begin = with_words = 0
-    window: list[int] = []
-    i = 0
-
-    def close(end: int) -> None:
-        nonlocal begin, with_words
-        if end > begin:
-            out.append((begin, end, with_words >= 2))
-        begin, with_words = end, 0
-        window.clear()
-
-    for i, line in enumerate(text.split("\n")):
-        # a line of fewer bytes cannot hold so many words
-        if len(line) >= 2 * PARAGRAPH_WORDS - 1 and len(line.encode("utf-8", "surrogatepass").split()) >= PARAGRAPH_WORDS:
-            close(i)
-            out.append((i, i + 1, True))
-            begin = i + 1
-            continue
-        h = xxhash.xxh3_64_intdigest(line.encode("utf-8", "surrogatepass"))
-        with_words += bool(line.strip())
-        window.append(h)
-        if len(window) >= ROLL:
+    for i, line in enumerate(lines):
+        if i - begin > 0 and i >= ROLL - 1:
             roll = 0
-            for x in window[-ROLL:]:
+            for x in hashes[i - ROLL + 1:i + 1]:
                 roll = (roll * 0x9E3779B97F4A7C15 + x) & _M
             if _mixed(roll) % DIVISOR == 0:
-                close(i + 1)
-    close(i + 1)
+                out.append((begin, i, with_words >= 2))
+                begin, with_words = i, 0
+        with_words += line.strip(" \t\n\r\x0b\x0c") != ""
+    out.append((begin, len(lines), with_words >= 2))
     return out
 
 
-def _passages(text: str | None) -> Iterator[tuple[int, str]]:
-    """(number of the chunk, its text) for the chunks that count."""
-    if text:
-        lines = text.split("\n")
-        for k, (a, b, counts) in enumerate(chunks(text)):
-            if counts:
-                yield k, "\n".join(lines[a:b])
-
-
-def _key(passage: str) -> bytes:
-    return xxhash.xxh3_128_digest(passage.encode("utf-8", "surrogatepass"))
-
-
 def _text_key(text: str | None) -> int:
     return xxhash.xxh3_64_intdigest((text or "").encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def _runs(lines: list[str], text: str) -> list[tuple[int, int]]:
-    """(first line, line after the last) of the runs that are keyed."""
-    words = [len(x.encode("utf-8", "surrogatepass").split()) for x in lines]
-    upto = [0, *accumulate(words)]
+def _shortest(lines: list[str]) -> set[tuple[int, int]]:
+    """(first line, line after the last) of the shortest runs of PARAGRAPH_WORDS
+    words or more that begin or end with each line."""
+    upto = [0, *accumulate(len(x.encode("utf-8", "surrogatepass").split()) for x in lines)]
     n, out = len(lines), set()
     z = 0
     for a in range(n):
@@ -110,28 +94,48 @@ def _runs(lines: list[str], text: str) -> list[tuple[int, int]]:
         if upto[z] - upto[a] < PARAGRAPH_WORDS:
             break
         out.add((a, z))
-    # a chunk of more words is covered by the runs inside it
-    out.update((a, z) for a, z, counts in chunks(text) if counts and upto[z] - upto[a] < PARAGRAPH_WORDS)
-    return sorted(out)
+    return out
+
+
+def stretches(lines: list[str], hashes: list[int] | None = None) -> Iterator[tuple[int, int, int, int]]:
+    """(first line, line after the last, line that it may grow to, line that it
+    may grow up to) for the chunks that count and the shortest runs without one
+    strictly inside, which do not grow."""
+    counted = [(a, z) for a, z, counts in chunks(lines, hashes) if counts]
+    for k, (a, z) in enumerate(counted):
+        yield a, z, counted[k - 1][0] if k else 0, counted[k + 1][1] if k + 1 < len(counted) else len(lines)
+    begins = [a for a, _ in counted]
+    for a, z in _shortest(lines):
+        k = bisect_right(begins, a)
+        if (k == len(counted) or counted[k][1] >= z) and (a, z) not in counted[max(0, k - 1):k]:
+            yield a, z, a, z
 
 
 def _hash_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every stretch by the hash of its lines; ``left`` and ``right`` are the
+    hashes of what it grows to, line by line."""
+    digest = xxhash.xxh3_64_intdigest
     for b in pieces(batches, 4000):
-        ids, texts, starts, ends, keys = [], [], [], [], []
+        ids, texts, starts, ends, keys, left, right = [], [], [], [], [], [], []
         for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
             if not t:
                 continue
-            lines, h = t.split("\n"), None
-            for a, z in _runs(lines, t):
+            lines = t.split("\n")
+            hashes = _line_hashes(lines)
+            raw, h = array("Q", hashes).tobytes(), None
+            for a, z, lo, hi in stretches(lines, hashes):
                 h = _text_key(t) if h is None else h
                 ids.append(d)
                 texts.append(h)
                 starts.append(a)
                 ends.append(z)
-                keys.append(_key("\n".join(lines[a:z])))
+                keys.append(digest(raw[8 * a:8 * z]))
+                left.append([digest(raw[8 * x:8 * z]) - (1 << 63) for x in range(a - 1, lo - 1, -1)])
+                right.append([digest(raw[8 * a:8 * x]) - (1 << 63) for x in range(z + 1, hi + 1)])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(texts, pa.int64()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32()), pa.array(keys, pa.binary())],
-            names=["doc_id", "tkey", "a", "z", "key"])
+            [pa.array(ids, pa.int64()), pa.array(texts, pa.int64()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32()),
+             pa.array([k - (1 << 63) for k in keys], pa.int64()), pa.array(left, pa.list_(pa.int64())), pa.array(right, pa.list_(pa.int64()))],
+            names=["doc_id", "tkey", "a", "z", "key", "left", "right"])
 
 
 _RUN = pa.struct([("a", pa.int32()), ("z", pa.int32()), ("lo", pa.int32()), ("f_id", pa.int64()), ("f_key", pa.int64()), ("f_a", pa.int32())])
@@ -237,12 +241,23 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), own.alias("r"))
     r_type = rows.schema["r"].dataType.simpleString()
     place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "tkey", "a")
-    found = materialise(rows.select("doc_id", "text").mapInArrow(_hash_runs, "doc_id long, tkey long, a int, z int, key binary"), "line-runs")
-    at = F.xxhash64(F.col("doc_id").isNull(), "doc_id", "tkey", "a")
-    repeated = found.groupBy("key").agg(F.min(at).alias("least"), F.max(at).alias("most")).filter("least <> most").select("key")
-    places = materialise(found.join(repeated, "key"), "line-places")
-    firsts = places.groupBy("key").agg(F.min(place).alias("p"))
-    marks = (places.join(firsts, "key").filter(place != F.col("p"))
+    found = materialise(rows.select("doc_id", "text").mapInArrow(
+        _hash_runs, "doc_id long, tkey long, a int, z int, key long, left array<long>, right array<long>"), "line-runs")
+
+    def repeated(df: DataFrame) -> DataFrame:
+        at = F.xxhash64(F.col("doc_id").isNull(), "doc_id", "tkey", "a")
+        several = df.groupBy("key", "n").agg(F.min(at).alias("least"), F.max(at).alias("most")).filter("least <> most")
+        return df.join(several.select("key", "n"), ["key", "n"])
+
+    seeds = materialise(repeated(found.withColumn("n", F.expr("z - a"))), "line-seeds")
+    step = lambda a, z, h: F.struct(a.cast("int").alias("a"), z.cast("int").alias("z"), h.alias("key"))
+    grown = (seeds.select("doc_id", "tkey", F.explode(F.concat(
+                 F.transform("left", lambda h, i: step(F.col("a") - 1 - i, F.col("z"), h)),
+                 F.transform("right", lambda h, i: step(F.col("a"), F.col("z") + 1 + i, h)))).alias("g"))
+             .select("doc_id", "tkey", "g.a", "g.z", "g.key", F.expr("g.z - g.a").alias("n")))
+    places = materialise(seeds.drop("left", "right").unionByName(repeated(grown)), "line-places")
+    firsts = places.groupBy("key", "n").agg(F.min(place).alias("p"))
+    marks = (places.join(firsts, ["key", "n"]).filter(place != F.col("p"))
              .select(F.col("doc_id").alias("m_id"), F.col("tkey").alias("m_key"),
                      F.struct("a", "z", F.col("p.doc_id").alias("f_id"), F.col("p.tkey").alias("f_key"), F.col("p.a").alias("f_a")).alias("mark"))
              .groupBy("m_id", "m_key").agg(F.collect_set("mark").alias("marks")))

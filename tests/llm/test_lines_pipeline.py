@@ -5,32 +5,13 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from plain_lines import boundaries, dedup as _brute
 from pluvio.llm import line_dedup as L
 from pluvio.llm.common import table
 
 SF = "/root/testdata/sf0.001"
 
 
-def _brute(rows):
-    """rows: (doc_id, text) -> text without chunks that stand at an earlier place."""
-    places = {}
-    for d, t in rows:
-        for k, p in L._passages(t):
-            place = (d is None, d or 0, L._text_key(t), k)
-            places[p] = min(places.get(p, place), place)
-    out = []
-    for d, t in rows:
-        if not t:
-            out.append((d, t))
-            continue
-        lines, kept, own = t.split("\n"), [], dict(L._passages(t))
-        for k, (a, z, _) in enumerate(L.chunks(t)):
-            if k not in own or places[own[k]] == (d is None, d or 0, L._text_key(t), k):
-                kept.extend(lines[a:z])
-        out.append((d, "\n".join(kept)))
-    return sorted(out, key=str)
-
-
 def _got(df):
     return sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=str)
 
@@ -48,13 +29,24 @@ def test_table_against_plain_version(spark):
 def test_chunks_cover_the_text_and_resist_shifts():
     rnd = random.Random(1)
     lines = [_para(rnd, rnd.randrange(0, 12)) for _ in range(300)]
-    text = "\n".join(lines)
-    parts = L.chunks(text)
+    parts = L.chunks(lines)
     assert [a for a, _, _ in parts] == [0] + [z for _, z, _ in parts][:-1] and parts[-1][1] == 300
-    shifted = "\n".join([_para(rnd, 5), _para(rnd, 7), *lines])
-    whole = {p for _, p in L._passages(text)}
-    assert len(whole & {p for _, p in L._passages(shifted)}) >= len(whole) - 2
-    assert L.chunks("") == [(0, 1, False)] and L.chunks("\n\n") and list(L._passages("")) == []
+    assert [a for a, _, _ in parts] == boundaries(lines)[:-1]
+    front = [_para(rnd, 5), _para(rnd, 7)]
+    shifted = L.chunks([*front, *lines])
+    assert {a - 2 for a, _, _ in shifted if a > 2} == {a for a, _, _ in parts if a > 0}    # not one boundary moves
+    assert L.chunks([""]) == [(0, 1, False)]
+
+
+def test_boundary_depends_on_its_own_lines():
+    rnd = random.Random(4)
+    inner = [_para(rnd, 8) for _ in range(6)]
+    seen = set()
+    for _ in range(30):
+        front, back = ([_para(rnd, 6) for _ in range(rnd.randrange(1, 5))] for _ in range(2))
+        n = len(front)
+        seen.add(tuple(a - n for a, _, _ in L.chunks([*front, *inner, *back]) if n < a < n + len(inner)))
+    assert len(seen) == 1
 
 
 def test_passages_go_everywhere_but_once(spark, docs_of):
@@ -67,17 +59,20 @@ def test_passages_go_everywhere_but_once(spark, docs_of):
     assert sum(passage in t for t in out.values()) == 1 and passage in out[0]
     assert all(x in out[i] for i in own for x in own[i])                    # what stands once stays
     assert all(out[100 + i] == rows[40 + i][1] for i in range(10))          # a short common line is no passage
-    share = [len(set(out[i].split("\n")) & set(block.split("\n"))) for i in range(4, 40, 4)]
-    assert max(share) <= 8                                                   # all but the ends of the common block
+    assert not any(set(out[i].split("\n")) & set(block.split("\n")) for i in range(4, 40, 4))
     assert _got(L.dedup_lines(docs_of(rows))) == _brute(rows)
 
 
 def test_equal_hashes_are_not_enough(spark, docs_of, monkeypatch):
-    """With a key that all chunks share nothing but true copies of the first chunk goes."""
+    """With one hash for all stretches nothing but true copies of the first one goes."""
     rnd = random.Random(3)
     a, b = _para(rnd, 60), _para(rnd, 60)
-    monkeypatch.setattr(L, "_key", lambda p: b"same")
+    import types
+
     import pyspark.cloudpickle as cp
+    import xxhash
+    fake = types.SimpleNamespace(xxh3_64_intdigest=lambda raw: 7 if len(raw) % 8 == 0 and len(raw) < 100 else xxhash.xxh3_64_intdigest(raw))
+    monkeypatch.setattr(L, "xxhash", fake)
     cp.register_pickle_by_value(L)
     try:
         out = dict(_got(L.dedup_lines(docs_of([(1, a), (2, b), (3, a), (4, a + "\n" + b)]))))

@@ -3,6 +3,7 @@ import random
 
 import pytest
 
+from plain_lines import dedup as _plain
 from pluvio.llm import line_dedup as L
 from pluvio.llm.common import table
 
@@ -13,39 +14,6 @@ def _line(rnd, n):
     return " ".join(f"w{rnd.randrange(10**6)}" for _ in range(n))
 
 
-def _plain(rows):
-    """(doc_id, text) -> kept text, from all stretches of lines with 50 words or more of which
-    no shorter one at the same start or end has so many, and the counted chunks of fewer."""
-    def stretches(t):
-        lines = t.split("\n")
-        size = [len(x.encode().split()) for x in lines]
-        out = {(a, z) for a, z, counts in L.chunks(t) if counts}
-        for a in range(len(lines)):
-            for z in range(a + 1, len(lines) + 1):
-                n = sum(size[a:z])
-                if n >= 50 and (n - size[z - 1] < 50 or n - size[a] < 50):
-                    out.add((a, z))
-                if n - size[a] >= 50:
-                    break
-        return {(a, z): "\n".join(lines[a:z]) for a, z in out}
-
-    own, first = {}, {}
-    for d, t in rows:
-        at = (d is None, d or 0, L._text_key(t))
-        if t and at not in own:
-            own[at] = stretches(t)
-            for (a, _), p in own[at].items():
-                first[p] = min(first.get(p, (*at, a)), (*at, a))
-    out = []
-    for d, t in rows:
-        at, gone = (d is None, d or 0, L._text_key(t)), set()
-        for (a, z), p in own.get(at, {}).items():
-            if first[p] != (*at, a):
-                gone.update(range(max(a, first[p][3] + z - a) if first[p][:3] == at else a, z))
-        out.append((d, "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone) if t else t))
-    return sorted(out, key=str)
-
-
 def _got(df):
     return sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=str)
 
@@ -89,6 +57,25 @@ def test_table_against_all_stretches(spark):
     assert _got(L.dedup_lines(docs)) == _plain([(r["doc_id"], r["text"]) for r in docs.collect()])
 
 
+def test_shorter_passages_around_a_chunk(spark, docs_of):
+    """Passages under 50 words: what lies around a chunk goes, and nothing else does."""
+    rnd = random.Random(13)
+    rows, inner = [], {}
+    for k in range(60):
+        lines = [_line(rnd, rnd.randrange(2, 6)) for _ in range(rnd.randrange(2, 9))]
+        for _ in range(2):
+            inner[len(rows)] = lines
+            rows.append((len(rows), "\n".join([_line(rnd, 20), *lines, _line(rnd, 20)])))
+    out = dict(_got(L.dedup_lines(docs_of(rows))))
+    assert sorted(out.items(), key=str) == _plain(rows)
+    gone = 0
+    for d, lines in inner.items():
+        whole, left = rows[d][1].split("\n"), out[d].split("\n")
+        assert left == whole if d % 2 == 0 else (left[0], left[-1]) == (whole[0], whole[-1])
+        gone += len(whole) - len(left) == len(lines)
+    assert gone > 15
+
+
 def test_repeats_inside_a_text(spark, docs_of):
     """Of lines that repeat within a text as many stay as the first place of the passage has."""
     rnd = random.Random(12)
