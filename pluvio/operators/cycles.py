@@ -13,14 +13,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pluvio.functions.timefmt import add_hours, cycle_label, utc_day, utc_hour
-from pluvio.plans.catalog import MODELS, bounded
+from pluvio.plans.catalog import MODELS
 
 RUN_KEYS = ["region", "model", "cycle"]
 
 
 def step_expansion(cycles: DataFrame, models_df: DataFrame) -> DataFrame:
     """Each (model, cycle) -> its forecast steps and valid times."""
-    m = bounded(models_df.select("model", "step_start", "step_inc", "n_steps"))
+    m = models_df.select("model", "step_start", "step_inc", "n_steps")
     j = cycles.join(m, ["model"], "inner")
     last = F.col("step_start") + (F.col("n_steps") - 1) * F.col("step_inc")
     j = j.withColumn("step_h", F.explode(F.sequence("step_start", last, "step_inc")))

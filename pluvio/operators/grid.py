@@ -7,8 +7,7 @@ A forecast grid is a long table, one row per cell and step:
 
 stored as Parquet partitioned by region/model/cycle.  Grid geometry is a
 one-row-per-(region, model) dimension ``grid_def(region, model, x0, y_top,
-dx, dy, n_rows, n_cols, factor)``; its size is bounded by the registry, so it
-is broadcast.
+dx, dy, n_rows, n_cols, factor)``.
 """
 
 from __future__ import annotations
@@ -16,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pluvio.plans.catalog import MODELS, bounded
+from pluvio.plans.catalog import MODELS
 
 CELL_KEYS = ["region", "model", "cycle", "var", "level", "row", "col"]
 
@@ -27,7 +26,7 @@ def _common(a: DataFrame, b: DataFrame, keys=("region", "model")) -> list[str]:
 
 def cell_geometry(grid: DataFrame, grid_def: DataFrame) -> DataFrame:
     """Cell-centre lon/lat from the affine geometry (no per-row lookups)."""
-    g = grid.join(bounded(grid_def.select("region", "model", "x0", "y_top", "dx", "dy")),
+    g = grid.join(grid_def.select("region", "model", "x0", "y_top", "dx", "dy"),
                   _common(grid, grid_def), "inner")
     return (g.withColumn("lon", F.col("x0") + (F.col("col") + F.lit(0.5)) * F.col("dx"))
             .withColumn("lat", F.col("y_top") - (F.col("row") + F.lit(0.5)) * F.col("dy"))
@@ -39,7 +38,7 @@ def point_to_cell(points: DataFrame, grid_def: DataFrame, lon: str = "lon", lat:
     keys = _common(points, grid_def)
     gd = grid_def.select(*[c for c in ("region", "model") if c in grid_def.columns],
                          "x0", "y_top", "dx", "dy", "n_rows", "n_cols")
-    p = points.join(bounded(gd), keys, "inner")
+    p = points.join(gd, keys, "inner")
     c = F.floor((F.col(lon) - F.col("x0")) / F.col("dx"))
     r = F.floor((F.col("y_top") - F.col(lat)) / F.col("dy"))
     inside = (c >= 0) & (c < F.col("n_cols")) & (r >= 0) & (r < F.col("n_rows"))
@@ -57,10 +56,9 @@ def bbox_subset(df: DataFrame, left: float, right: float, bottom: float, top: fl
 def bbox_subset_by_region(df: DataFrame, boxes: DataFrame, lon: str = "lon", lat: str = "lat") -> DataFrame:
     """F2 (all regions): equi-join on region with the box dimension, then range test.
 
-    One box per region (registry-sized), so the join is a broadcast hash join
-    on ``region``: no range join, no nested loop.
+    One box per region: no range join, no nested loop.
     """
-    j = df.join(bounded(boxes.select("region", "left", "right", "bottom", "top")), ["region"], "inner")
+    j = df.join(boxes.select("region", "left", "right", "bottom", "top"), ["region"], "inner")
     keep = (F.col(lon).between(F.col("left"), F.col("right"))
             & F.col(lat).between(F.col("bottom"), F.col("top")))
     return j.filter(keep).drop("left", "right", "bottom", "top")
@@ -137,6 +135,26 @@ def deaccumulate(raw: DataFrame, value: str = "value", clamp_negative: bool = Fa
     return raw.withColumn(value, F.when(first, F.col(value)).otherwise(diff))
 
 
+def deaccumulate_from(new: DataFrame, last: DataFrame, value: str = "value",
+                      clamp_negative: bool = False) -> tuple[DataFrame, DataFrame]:
+    """G1 step by step: the increments of ``new`` (running totals of steps not
+    seen before) and the totals to go on from.
+
+    ``last`` holds each cell's latest total before ``new``, with its
+    ``valid_time``; the second table that is returned is the same after ``new``.
+    The steps of ``new`` must be later than those of ``last``, cell by cell.  So
+    a step is differenced from one row per cell, however long the cycle is.
+    """
+    keys = [k for k in CELL_KEYS if k in new.columns]
+    both = (new.withColumn("_new", F.lit(True))
+            .unionByName(last.withColumn("_new", F.lit(False)), allowMissingColumns=True))
+    steps = deaccumulate(both, value, clamp_negative).filter("_new").drop("_new")
+    at = F.struct("valid_time", F.col(value).alias("v"))
+    now = (both.groupBy(*keys).agg(F.max_by(at, "valid_time").alias("_at"))
+           .select(*keys, F.col("_at.valid_time").alias("valid_time"), F.col("_at.v").alias(value)))
+    return steps.select(*new.columns), now
+
+
 def passthrough(raw: DataFrame) -> DataFrame:
     """Interval models (gfs) are used as read — no accumulation takes place."""
     return raw
@@ -157,7 +175,7 @@ def refine_nearest(cells: DataFrame, grid_def: DataFrame) -> DataFrame:
     Fine cell (r, c) takes coarse (r div k, c div k).  Output grows by k^2:
     for zonal statistics this is folded into weights (Z1) instead.
     """
-    gd = bounded(grid_def.select("region", "model", "factor", "x0", "y_top", "dx", "dy"))
+    gd = grid_def.select("region", "model", "factor", "x0", "y_top", "dx", "dy")
     j = cells.join(gd, _common(cells, grid_def), "inner")
     k = F.col("factor")
     j = j.withColumn("fr", F.explode(F.sequence(F.lit(0), k - 1)))
@@ -179,17 +197,17 @@ def time_axis(grid: DataFrame, models_df: DataFrame) -> DataFrame:
     """
     times = grid.select("region", "model", "cycle", "valid_time").distinct()
     w = Window.partitionBy("region", "model", "cycle").orderBy("valid_time")
-    m = bounded(models_df.select("model", "step_start", "step_inc"))
+    m = models_df.select("model", "step_start", "step_inc")
     t = times.withColumn("step_index", F.dense_rank().over(w)).join(m, ["model"], "inner")
     return t.select("region", "model", "cycle", "valid_time", "step_index",
                     (F.col("step_start") + (F.col("step_index") - 1) * F.col("step_inc")).alias("hours"))
 
 
 def step_manifest(grid: DataFrame) -> DataFrame:
-    """The steps present per (region, model, cycle): what the gate needs of a
-    grid.  Written beside a stored grid (``sinks.write_grid``), it spares the
-    gate the scan of every cell."""
-    return grid.groupBy("region", "model", "cycle", "step_h").agg(F.count(F.lit(1)).alias("n_cells"))
+    """The steps present per (region, model, cycle): what the gate, and the rows
+    of catchments without a valid cell, need of a grid.  Written beside a stored
+    grid (``sinks.write_grid``), it spares both the scan of every cell."""
+    return grid.groupBy("region", "model", "cycle", "step_h", "valid_time").agg(F.count(F.lit(1)).alias("n_cells"))
 
 
 def complete_cycles(grid: DataFrame, models_df: DataFrame, exact: bool = False) -> DataFrame:
@@ -200,13 +218,13 @@ def complete_cycles(grid: DataFrame, models_df: DataFrame, exact: bool = False)
     missing one.
     """
     if exact:
-        m = bounded(models_df.select("model", "step_start", "step_inc", "n_steps"))
+        m = models_df.select("model", "step_start", "step_inc", "n_steps")
         k = F.col("step_h") - F.col("step_start")
         grid = (grid.join(m, ["model"], "inner")
                 .filter((k >= 0) & (F.pmod(k, F.col("step_inc")) == 0) & (k < F.col("step_inc") * F.col("n_steps")))
                 .select("region", "model", "cycle", "step_h"))
     seen = grid.groupBy("region", "model", "cycle").agg(F.count_distinct("step_h").alias("n_steps_seen"))
-    m = bounded(models_df.select("model", "n_steps"))
+    m = models_df.select("model", "n_steps")
     return (seen.join(m, ["model"], "inner")
             .filter(F.col("n_steps_seen") >= F.col("n_steps"))
             .select("region", "model", "cycle", "n_steps_seen"))

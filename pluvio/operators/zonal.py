@@ -25,20 +25,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pluvio.functions.rounding import numpy_round1
-from pluvio.plans.catalog import bounded
 
 WEIGHT_KEYS = ["region", "model", "cat_id", "row", "col"]
 
 
-def zonal_weights(edges: DataFrame, grid_def: DataFrame) -> DataFrame:
-    """``(region, model, cat_id, row, col, w)`` from polygon edges.
+def fine_spans(edges: DataFrame, grid_def: DataFrame) -> DataFrame:
+    """The fine cells inside each catchment as spans of fine rows:
+    ``(region, model, cat_id, i, factor, ja, jb)``, ends included, no two of a
+    catchment overlapping.
 
     ``edges``: ``region, cat_id, part, ring, x1, y1, x2, y2`` (S5).
     ``grid_def``: one row per (region, model); each region's edges meet its
-    models' geometries (a registry-sized broadcast).
+    models' geometries.
     """
-    gd = bounded(grid_def.select("region", "model", "x0", "y_top", "dx", "dy",
-                                 "n_rows", "n_cols", "factor"))
+    gd = grid_def.select("region", "model", "x0", "y_top", "dx", "dy", "n_rows", "n_cols", "factor")
     e = edges.join(gd, ["region"], "inner")
     k = F.col("factor")
     fdy = F.col("dy") / k
@@ -73,8 +73,14 @@ def zonal_weights(edges: DataFrame, grid_def: DataFrame) -> DataFrame:
     # parts may overlap: a fine cell counts once, so a span starts after all
     # that earlier spans of its row have covered
     before = Window.partitionBy(*keys).orderBy("ja", "jb").rowsBetween(Window.unboundedPreceding, -1)
-    spans = (spans.withColumn("ja", F.greatest("ja", F.coalesce(F.max("jb").over(before) + 1, F.lit(0))))
-             .filter(F.col("ja") <= F.col("jb")))
+    return (spans.withColumn("ja", F.greatest("ja", F.coalesce(F.max("jb").over(before) + 1, F.lit(0))))
+            .filter(F.col("ja") <= F.col("jb")))
+
+
+def zonal_weights(edges: DataFrame, grid_def: DataFrame) -> DataFrame:
+    """``(region, model, cat_id, row, col, w)`` from polygon edges: a row for
+    each coarse cell that a catchment touches."""
+    spans = fine_spans(edges, grid_def)
     f = F.col("factor")
     cc = F.explode(F.sequence((F.col("ja") / f).cast("long"), (F.col("jb") / f).cast("long")))
     cells = spans.withColumn("c", cc)
@@ -85,12 +91,46 @@ def zonal_weights(edges: DataFrame, grid_def: DataFrame) -> DataFrame:
     # Each fine row's span becomes one row per coarse cell it touches (about k
     # rows per output cell).  They stream straight into the partial aggregation
     # of the same stage, so only about one row per (catchment, coarse cell) and
-    # task reaches the shuffle.  A difference-marker variant (two ends and two
-    # markers per span, runs summed per coarse row) cuts these rows for very
-    # wide catchments, but costs an extra sort and shuffle; measured slower here.
+    # task reaches the shuffle.  For catchments far wider than a coarse cell see
+    # ``zonal_ranges``, whose rows follow the edges and not the area.
     return cells.groupBy(*WEIGHT_KEYS).agg(F.sum("w").alias("w"))
 
 
+def zonal_ranges(edges: DataFrame, grid_def: DataFrame) -> DataFrame:
+    """Z1 by runs: ``(region, model, cat_id, row, c0, c1, w)``, where each of the
+    coarse cells c0 .. c1 of a row has weight ``w``.
+
+    A span of fine cells leaves a marker where its whole coarse cells begin, one
+    behind their end, and what it holds of the two cells at its ends.  Markers
+    are summed per (catchment, coarse row, column); a running sum along the row
+    says how many of the k fine rows hold a cell whole.  Cells between two
+    markers are never rows, so rows grow with the length of the edges.
+    """
+    k = F.col("factor").cast("long")
+    a, b = F.floor(F.col("ja") / k), F.floor(F.col("jb") / k)
+    fa = F.when(F.col("ja") % k == 0, a).otherwise(a + 1)                 # first and last cell that is held whole
+    fb = F.when(F.col("jb") % k == k - 1, b).otherwise(b - 1)
+    none = F.lit(0).cast("long")
+    mark = lambda c, d, p: F.struct(c.cast("int").alias("col"), d.alias("d"), p.cast("long").alias("p"))
+    marks = F.array(
+        F.when(fa <= fb, mark(fa, F.lit(1), none)), F.when(fa <= fb, mark(fb + 1, F.lit(-1), none)),
+        F.when(fa > a, mark(a, F.lit(0), F.least(F.col("jb"), (a + 1) * k - 1) - F.col("ja") + 1)),
+        F.when((fb < b) & ((b > a) | (fa == a)), mark(b, F.lit(0), F.col("jb") - F.greatest(F.col("ja"), b * k) + 1)))
+    keys = ["region", "model", "cat_id", "row"]
+    m = (fine_spans(edges, grid_def)
+         .select("region", "model", "cat_id", F.floor(F.col("i") / k).cast("int").alias("row"), "factor", F.explode(marks).alias("m"))
+         .filter("m is not null")
+         .groupBy(*keys, "factor", "m.col").agg(F.sum("m.d").alias("d"), F.sum("m.p").alias("p")))
+    row = Window.partitionBy(*keys).orderBy("col")
+    m = m.withColumn("whole", F.sum("d").over(row) * F.col("factor")).withColumn("upto", F.lead("col").over(row) - 1)
+    own = F.col("p") > 0
+    begin = F.col("col") + own.cast("int")
+    run = lambda c0, c1, w: F.struct(c0.alias("c0"), c1.alias("c1"), w.cast("long").alias("w"))
+    runs = F.array(F.when(own, run(F.col("col"), F.col("col"), F.col("whole") + F.col("p"))),
+                   F.when((F.col("whole") > 0) & (begin <= F.col("upto")), run(begin, F.col("upto"), F.col("whole"))))
+    return m.select(*keys, F.explode(runs).alias("r")).filter("r is not null").select(*keys, "r.c0", "r.c1", "r.w")
+
+
 def join_weights(grid: DataFrame, weights: DataFrame) -> DataFrame:
     """Z2 join: grid cells with the catchments that cover them.
 
@@ -116,8 +156,28 @@ STEP_KEYS = ["region", "model", "cycle", "step_h", "valid_time"]
 UNIT = 1_000_000_000          # sums run in whole and billionth units, the rest in doubles
 
 
+def _parts(value: str):
+    """A value's whole part, billionths and remainder, and whether it is valid."""
+    v = F.col(value)
+    whole = F.floor(v)
+    units = F.rint((v - whole) * UNIT)
+    return v, v.isNotNull() & ~F.isnan(v), whole, units, v - (whole + units / F.lit(float(UNIT)))
+
+
+def _finished(stats: DataFrame, keys: list[str], grid: DataFrame, catchments: DataFrame | None, steps: DataFrame | None) -> DataFrame:
+    """Sums to count, max and mean; a row for every catchment and step."""
+    if catchments is not None:
+        steps = (grid if steps is None else steps).select(*keys[:-1]).distinct()
+        every = steps.join(catchments.select("region", F.col("cat_id").cast("bigint").alias("cat_id")).distinct(), ["region"])
+        stats = every.join(stats, keys, "left")
+    n = F.coalesce(F.col("count"), F.lit(0)).cast("bigint")
+    total = F.col("_whole").cast("decimal(38,0)") * F.lit(UNIT) + F.col("_units")
+    mean = F.when(n > 0, total.cast("double") / (n.cast("double") * F.lit(float(UNIT))) + F.col("_rest") / n)
+    return stats.select(*keys, n.alias("count"), "max", mean.alias("mean"))
+
+
 def zonal_stats(grid: DataFrame, weights: DataFrame, value: str = "value",
-                catchments: DataFrame | None = None) -> DataFrame:
+                catchments: DataFrame | None = None, steps: DataFrame | None = None) -> DataFrame:
     """Z2 + A1-A3: per (region, model, cycle, valid_time, cat_id): count, max, mean.
 
     * count = sum of weights over valid (non-null, non-NaN) cells (A1);
@@ -130,16 +190,15 @@ def zonal_stats(grid: DataFrame, weights: DataFrame, value: str = "value",
     With ``catchments`` (``region, cat_id``) every catchment of a region has a
     row for each of its steps: one that no valid cell covers has count 0, no
     mean and no max.  The result is as large as steps x catchments by nature.
+    ``steps`` lists the steps (the step keys of ``grid``; a step manifest does),
+    also those none of whose cells are in ``grid``; without it they are learned
+    from the cells of ``grid``, which reads them a second time.
 
     All aggregates are algebraic: partial aggregation runs before the
     shuffle, so a catchment holding a third of all cells costs one row per task.
     """
     j = join_weights(grid, weights)
-    v = F.col(value)
-    valid = v.isNotNull() & ~F.isnan(v)
-    whole = F.floor(v)
-    units = F.rint((v - whole) * UNIT)
-    rest = v - (whole + units / F.lit(float(UNIT)))
+    v, valid, whole, units, rest = _parts(value)
     w = F.col("w")
     keys = [k for k in STEP_KEYS if k in grid.columns] + ["cat_id"]
     stats = j.groupBy(*keys).agg(
@@ -148,14 +207,78 @@ def zonal_stats(grid: DataFrame, weights: DataFrame, value: str = "value",
         F.sum(F.when(valid, w * whole.cast("long"))).alias("_whole"),
         F.sum(F.when(valid, w * units.cast("long"))).alias("_units"),
         F.sum(F.when(valid, w * rest)).alias("_rest"))
-    if catchments is not None:
-        steps = grid.select(*keys[:-1]).distinct()
-        every = steps.join(catchments.select("region", F.col("cat_id").cast("bigint").alias("cat_id")).distinct(), ["region"])
-        stats = every.join(stats, keys, "left")
-    n = F.coalesce(F.col("count"), F.lit(0)).cast("bigint")
-    total = F.col("_whole").cast("decimal(38,0)") * F.lit(UNIT) + F.col("_units")
-    mean = F.when(n > 0, total.cast("double") / (n.cast("double") * F.lit(float(UNIT))) + F.col("_rest") / n)
-    return stats.select(*keys, n.alias("count"), "max", mean.alias("mean"))
+    return _finished(stats, keys, grid, catchments, steps)
+
+
+def row_profiles(grid: DataFrame, grid_def: DataFrame, value: str = "value", levels: int = 12) -> DataFrame:
+    """Each grid row as running sums and range maxima, one row per step and cell.
+
+    ``_n, _whole, _units, _rest``: sums of the valid cells from the first column
+    up to this one.  ``_top``: an array whose element j is the largest valid
+    value of the 2 ** j cells from this one on (a sparse table: each level is
+    made from two entries of the one below).  Rows are filled up to all columns
+    of the grid, so level j looks exactly 2 ** j places ahead.  The window holds
+    one grid row of one step; all its functions share one sort.
+    """
+    steps = [k for k in STEP_KEYS if k in grid.columns]
+    v, valid, whole, units, rest = _parts(value)
+    shape = grid_def.select("region", "model", F.sequence(F.lit(0), F.col("n_cols") - 1).alias("cols"))
+    rows = grid.select(*steps, "row").distinct().join(shape, ["region", "model"]).select(*steps, "row", F.explode("cols").alias("col"))
+    zero = F.lit(0).cast("long")
+    none = F.lit(None).cast("double")
+    cells = grid.select(*steps, "row", "col", valid.cast("long").alias("n"), F.when(valid, whole.cast("long")).otherwise(zero).alias("whole"),
+                        F.when(valid, units.cast("long")).otherwise(zero).alias("units"), F.when(valid, rest).otherwise(0.0).alias("rest"),
+                        F.when(valid, v).alias("top"))
+    full = (cells.unionByName(rows.select(*steps, "row", "col", zero.alias("n"), zero.alias("whole"), zero.alias("units"),
+                                          F.lit(0.0).alias("rest"), none.alias("top")))
+            .groupBy(*steps, "row", "col").agg(*[F.sum(c).alias(c) for c in ("n", "whole", "units", "rest")], F.max("top").alias("t0")))
+    line = Window.partitionBy(*steps, "row").orderBy("col")
+    upto = line.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    full = full.withColumns({f"_{c}": F.sum(c).over(upto) for c in ("n", "whole", "units", "rest")})
+    for j in range(1, levels):
+        full = full.withColumn(f"t{j}", F.greatest(f"t{j - 1}", F.lead(f"t{j - 1}", 1 << (j - 1)).over(line)))
+    return full.select(*steps, "row", "col", "_n", "_whole", "_units", "_rest", F.array(*[f"t{j}" for j in range(levels)]).alias("_top"))
+
+
+def range_probes(ranges: DataFrame) -> DataFrame:
+    """The cells at which a range is looked up: ``(region, model, row, col,
+    cat_id, sign, level)``.  Sums are the profile at c1 less the profile before
+    c0, ``sign`` holds the weight with its sign; the maximum is that of two
+    overlapping blocks of 2 ** level cells."""
+    level = F.floor(F.log2((F.col("c1") - F.col("c0") + 1).cast("double"))).cast("int")
+    at = lambda c, sign, lev: F.struct(c.cast("int").alias("col"), sign.cast("long").alias("sign"), lev.alias("level"))
+    none, w = F.lit(None).cast("int"), F.col("w")
+    second = F.col("c1") - F.pow(F.lit(2.0), level.cast("double")).cast("int") + 1
+    probes = F.array(at(F.col("c1"), w, none), F.when(F.col("c0") > 0, at(F.col("c0") - 1, -w, none)),
+                     at(F.col("c0"), F.lit(0), level), F.when(second > F.col("c0"), at(second, F.lit(0), level)))
+    return (ranges.select("region", "model", "row", "cat_id", F.explode(probes).alias("p")).filter("p is not null")
+            .groupBy("region", "model", "row", "p.col", "cat_id", "p.level").agg(F.sum("p.sign").alias("sign")))
+
+
+def levels_for(grid_def: DataFrame) -> int:
+    """Levels that the widest grid's range maxima need (one number is read back)."""
+    widest = grid_def.agg(F.max("n_cols").alias("n")).first()["n"] or 1
+    return int(widest).bit_length()
+
+
+def zonal_stats_by_ranges(grid: DataFrame, ranges: DataFrame, grid_def: DataFrame, value: str = "value",
+                          catchments: DataFrame | None = None, steps: DataFrame | None = None) -> DataFrame:
+    """Z2 + A1-A3 from ``zonal_ranges``: the rows of ``zonal_stats``.
+
+    Interior cells are never joined: a range costs two look-ups for its sums and
+    two for its maximum, whatever its length.  Sums run in whole numbers, so a
+    difference of running sums is exact.  The grid is shuffled once, by step and
+    row; where the weights are few enough to be broadcast and catchments are
+    small, ``zonal_stats`` is the cheaper form.
+    """
+    profiles = row_profiles(grid, grid_def, value, levels_for(grid_def))
+    keys = [k for k in STEP_KEYS if k in grid.columns] + ["cat_id"]
+    s = F.col("sign")
+    stats = (profiles.join(range_probes(ranges), ["region", "model", "row", "col"])
+             .groupBy(*keys).agg(
+                 F.sum(s * F.col("_n")).alias("count"), F.max(F.expr("_top[level]")).alias("max"),
+                 *[F.sum(s * F.col(c)).alias(c) for c in ("_whole", "_units", "_rest")]))
+    return _finished(stats, keys, grid, catchments, steps)
 
 
 def round_stats(stats: DataFrame) -> DataFrame:

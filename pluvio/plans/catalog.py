@@ -1,8 +1,7 @@
 """Model and region registry.
 
-One row per model / region: these small dimensions have a proven size bound
-(the number of configured models and regions), so they are the only tables
-this package broadcasts by hint.  A new model is a new ``ModelSpec``.
+One row per model / region.  The tables are literal, so the planner knows their
+bytes and broadcasts them by size.  A new model is a new ``ModelSpec``.
 """
 
 from __future__ import annotations
@@ -10,9 +9,10 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pluvio.session import literal_table
+
 
 @dataclass(frozen=True)
 class ModelSpec:
@@ -75,21 +75,16 @@ REGION_SCHEMA = T.StructType([
 def models_df(spark: SparkSession, models: dict | None = None) -> DataFrame:
     rows = [(m.name, m.display, m.step_start, m.step_inc, m.n_steps, list(m.cycle_hours),
              m.ready_lag_h, m.factor, m.accumulation) for m in (models or MODELS).values()]
-    return spark.createDataFrame(rows, MODEL_SCHEMA)
+    return literal_table(spark, rows, MODEL_SCHEMA)
 
 
 def regions_df(spark: SparkSession, regions: dict | None = None) -> DataFrame:
     rows = [(r.name, r.display, r.left, r.right, r.bottom, r.top)
             for r in (regions or REGIONS).values()]
-    return spark.createDataFrame(rows, REGION_SCHEMA)
+    return literal_table(spark, rows, REGION_SCHEMA)
 
 
 def region_models_df(spark: SparkSession, regions: dict | None = None) -> DataFrame:
     """Which models run for which region (the region -> model choice)."""
     rows = [(r.name, m) for r in (regions or REGIONS).values() for m in r.models]
-    return spark.createDataFrame(rows, "region string, model string")
-
-
-def bounded(df: DataFrame) -> DataFrame:
-    """Broadcast hint for a registry-sized dimension (rows = models/regions)."""
-    return F.broadcast(df)
+    return literal_table(spark, rows, "region string, model string")

@@ -47,22 +47,23 @@ def run_cycles(spark: SparkSession, raw_grid: DataFrame, polygons: DataFrame, gr
                out: str, model_specs: dict | None = None, region_models: DataFrame | None = None,
                thresholds: DataFrame | None = None, product: str | None = None,
                reference_csv: bool = False, regions: DataFrame | None = None,
-               manifest: DataFrame | None = None, wanted: DataFrame | None = None) -> DataFrame:
+               manifest: DataFrame | None = None, wanted: DataFrame | None = None, ranges: bool = False) -> DataFrame:
     """Process every pending cycle of ``raw_grid``; returns the (region, model,
     cycle) rows recorded done.
 
     The pending cycles are a small written table that the grid is joined with,
     so Spark prunes the stored partitions by it, however many are pending;
     nothing of it passes through the driver.  Results are written once; all
-    that follows reads the partitions this run has written.  A cycle is
-    recorded, last of all, in the regions whose results were written.
+    that follows reads the partitions this run has written.  A cycle that was
+    ready is recorded, last of all, also where it has no rows (a region without
+    catchments): it was done, and is not pending for ever.
 
     With ``thresholds`` (long form, S2) the run also writes the threshold
     comparison (R4), the time to threshold (R5) and every chart (K3);
     ``reference_csv`` exports the current cycle's results and colour scales in
     the reference's CSV layout (F6, K2), one row per catchment in the scales.
     ``current/`` holds the results of each region's and model's current cycle
-    (K7).  ``manifest``: the grid's step manifest (F8); ``wanted``: its
+    (K7).  ``ranges``: weigh by runs of cells.  ``manifest``: the grid's step manifest (F8); ``wanted``: its
     partition listing, else the distinct keys are read from the grid.
     """
     ensure_utc(spark)
@@ -78,17 +79,21 @@ def run_cycles(spark: SparkSession, raw_grid: DataFrame, polygons: DataFrame, gr
     grid = workflow.prepared(spark, in_partitions(raw_grid, todo), grid_def, region_models, regions)
     # the cycles that this run can do: pending, configured and complete
     ready_path = work_path(spark, "ready")
-    steps = grid if manifest is None else workflow.configured(
+    steps = workflow.written_manifest(spark, grid) if manifest is None else workflow.configured(
         in_partitions(manifest, todo), region_models_df(spark) if region_models is None else region_models)
     complete_cycles(steps, mdf).select(*RUN_KEYS).write.parquet(ready_path)
     ready = spark.read.parquet(ready_path)
     if ready.isEmpty():
         return ready
-    weights = workflow.cached_weights(spark, polygons, grid_def, f"{out}/weights")
+    weights = workflow.cached_weights(spark, polygons, grid_def, f"{out}/weights", ranges)
     results = workflow.zonal_results(in_partitions(grid, ready), weights, mdf, specs, gate=False,
-                                     catchments=polygons.select("region", "cat_id"))
+                                     manifest=in_partitions(steps, ready), catchments=polygons.select("region", "cat_id"), grid_def=grid_def)
     write_table(results, f"{out}/results")
 
+    if read_parquet_or_none(spark, f"{out}/results") is None:       # no catchment in any region so far
+        record_runs(spark, ready, runs_path)
+        return ready
+
     # all that follows reads this run's partitions back, nothing is computed twice
     results_w = in_partitions(read_table(spark, f"{out}/results"), ready)
     write_table(catchment_summary(results_w), f"{out}/scales")
@@ -105,11 +110,8 @@ def run_cycles(spark: SparkSession, raw_grid: DataFrame, polygons: DataFrame, gr
         now = retain_latest(read_table(spark, f"{out}/scales"), listing)
         write_table(to_reference_scales(now).drop("cycle"), f"{out}/csv/colorscales",
                     ["region", "model"], fmt="csv", replace="static")
-    done_path = work_path(spark, "done")
-    scales_w.select(*RUN_KEYS).distinct().write.parquet(done_path)
-    done = spark.read.parquet(done_path)
-    record_runs(spark, done, runs_path)
-    return done
+    record_runs(spark, ready, runs_path)
+    return ready
 
 
 def main(argv=None) -> None:
@@ -125,6 +127,7 @@ def main(argv=None) -> None:
     ap.add_argument("--out", required=True, help="output folder: results/, scales/, runs/")
     ap.add_argument("--thresholds", default=None, help="threshold CSV (BASIN + product columns)")
     ap.add_argument("--product", default=None, help="threshold column to use (default: all)")
+    ap.add_argument("--ranges", action="store_true", help="weigh by runs of cells (catchments many cells wide)")
     ap.add_argument("--csv", action="store_true", help="also export the reference's CSV layout")
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
@@ -142,7 +145,7 @@ def main(argv=None) -> None:
     manifest = read_table(spark, a.manifest) if a.manifest else None
     thr = thresholds_long(read_thresholds(spark, a.thresholds)) if a.thresholds else None
     run_cycles(spark, raw, polys, grid_def, a.out, thresholds=thr, product=a.product, reference_csv=a.csv,
-               manifest=manifest, wanted=partition_listing(spark, a.grid))
+               manifest=manifest, wanted=partition_listing(spark, a.grid), ranges=a.ranges)
 
 
 if __name__ == "__main__":

@@ -12,10 +12,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvio.operators.grid import deaccumulate, only_complete, passthrough, variable_subset
+from pluvio.operators.grid import deaccumulate, only_complete, passthrough, step_manifest, variable_subset
 from pluvio.operators.risk import catchment_summary
-from pluvio.operators.zonal import covered_cells, round_stats, zonal_stats, zonal_weights
-from pluvio.plans.catalog import MODELS, bounded, models_df, region_models_df, regions_df
+from pluvio.operators.zonal import covered_cells, round_stats, zonal_ranges, zonal_stats, zonal_stats_by_ranges, zonal_weights
+from pluvio.plans.catalog import MODELS, models_df, region_models_df, regions_df
 from pluvio.session import ensure_utc, read_parquet_or_none, work_path
 from pluvio.sources.polygons import polygon_edges
 from pluvio.sources.sinks import read_table, write_table
@@ -42,20 +42,31 @@ def subset(raw_grid: DataFrame, grid_def: DataFrame, regions: DataFrame | None =
 
 def zonal_results(raw_grid: DataFrame, weights: DataFrame, models: DataFrame,
                   model_specs: dict | None = None, gate: bool = True, manifest: DataFrame | None = None,
-                  catchments: DataFrame | None = None) -> DataFrame:
+                  catchments: DataFrame | None = None, grid_def: DataFrame | None = None) -> DataFrame:
     """Raw grids -> rounded zonal results.
 
-    The completeness gate runs first (from the step manifest where there is
-    one).  Running-total models pass the covered-cell filter before their
-    per-cell shuffle, the de-accumulation window; interval models go straight
-    to the weights join, which makes the same test.  Each stored row is read
-    by one of the two branches.
+    The completeness gate runs first, from the step manifest.  Running-total
+    models pass the covered-cell filter before their per-cell shuffle, the
+    de-accumulation window; interval models go straight to the weights join,
+    which makes the same test.  Each stored row is read by one of the two
+    branches.  The manifest also says which steps there are, so a step none of
+    whose covered cells arrived still has its rows.  Without a manifest the
+    steps are counted from ``raw_grid``, which reads its keys once more.
+
+    ``weights`` are cell weights or, with ``grid_def``, range weights (with
+    columns ``c0, c1``): the same results; see ``zonal_stats_by_ranges``.
     """
+    manifest = step_manifest(raw_grid) if manifest is None else manifest
     grid = only_complete(raw_grid, models, manifest) if gate else raw_grid
+    steps = only_complete(manifest, models, manifest) if gate else manifest
     running = [m.name for m in (model_specs or MODELS).values() if m.accumulation == "running"]
-    run = deaccumulate(covered_cells(grid.filter(F.col("model").isin(running)), weights))
+    run = grid.filter(F.col("model").isin(running))
     rest = passthrough(grid.filter(~F.col("model").isin(running)))
-    return round_stats(zonal_stats(run.unionByName(rest), weights, catchments=catchments))
+    if "c0" in weights.columns:
+        stats = zonal_stats_by_ranges(deaccumulate(run).unionByName(rest), weights, grid_def, catchments=catchments, steps=steps)
+        return round_stats(stats)
+    run = deaccumulate(covered_cells(run, weights))
+    return round_stats(zonal_stats(run.unionByName(rest), weights, catchments=catchments, steps=steps))
 
 
 def weights_fingerprint(polygons: DataFrame, grid_def: DataFrame) -> str:
@@ -74,7 +85,7 @@ def weights_fingerprint(polygons: DataFrame, grid_def: DataFrame) -> str:
     return format(int(total or 0) % (1 << 64), "016x")
 
 
-def cached_weights(spark: SparkSession, polygons: DataFrame, grid_def: DataFrame, root: str) -> DataFrame:
+def cached_weights(spark: SparkSession, polygons: DataFrame, grid_def: DataFrame, root: str, ranges: bool = False) -> DataFrame:
     """Z1 reused across runs: weights live under ``root/fp=<fingerprint>``
     and are recomputed only when polygons or grid geometry change.
 
@@ -82,32 +93,32 @@ def cached_weights(spark: SparkSession, polygons: DataFrame, grid_def: DataFrame
     missing, or whose rows are not as many as it says, are a write that did
     not end: they are written anew.
     """
-    base = f"{root}/fp={weights_fingerprint(polygons, grid_def)}"
+    base = f"{root}/fp={weights_fingerprint(polygons, grid_def)}" + ("-ranges" if ranges else "")
     said = read_parquet_or_none(spark, f"{base}/manifest", "n long")
     found = read_parquet_or_none(spark, f"{base}/data") if said is not None else None
     if found is not None:
         n = said.first()
         if n is not None and found.count() == n["n"]:
             return found
-    weights = materialise_weights(spark, polygons, grid_def, f"{base}/data")
+    weights = materialise_weights(spark, polygons, grid_def, f"{base}/data", ranges)
     weights.agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{base}/manifest")
     return weights
 
 
 def materialise_weights(spark: SparkSession, polygons: DataFrame, grid_def: DataFrame,
-                        path: str | None = None) -> DataFrame:
+                        path: str | None = None, ranges: bool = False) -> DataFrame:
     """Z1 once per (region, model, polygon set), written and read back: the
     table cuts the lineage, survives executor loss, and has a known size that
-    joins with it are planned by."""
+    joins with it are planned by.  ``ranges``: as runs of cells."""
     path = path or work_path(spark, "weights")
-    w = zonal_weights(polygon_edges(polygons), grid_def)
+    w = (zonal_ranges if ranges else zonal_weights)(polygon_edges(polygons), grid_def)
     write_table(w, path, partition_by=["region", "model"], replace="static")
     return read_table(spark, path)
 
 
 def configured(raw_grid: DataFrame, region_models: DataFrame) -> DataFrame:
-    """Keep the (region, model) pairs the catalog runs (registry-sized broadcast)."""
-    return raw_grid.join(bounded(region_models.select("region", "model")), ["region", "model"], "left_semi")
+    """Keep the (region, model) pairs the catalog runs."""
+    return raw_grid.join(region_models.select("region", "model"), ["region", "model"], "left_semi")
 
 
 def prepared(spark: SparkSession, raw_grid: DataFrame, grid_def: DataFrame, region_models: DataFrame | None = None,
@@ -119,24 +130,35 @@ def prepared(spark: SparkSession, raw_grid: DataFrame, grid_def: DataFrame, regi
     return subset(configured(raw_grid, region_models), grid_def, regions)
 
 
+def written_manifest(spark: SparkSession, grid: DataFrame) -> DataFrame:
+    """The steps of a grid as a written table: its keys are read once, for the
+    gate and for the steps of the results."""
+    path = work_path(spark, "steps")
+    step_manifest(grid).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def run_results(spark: SparkSession, raw_grid: DataFrame, polygons: DataFrame, grid_def: DataFrame,
                 model_specs: dict | None = None, region_models: DataFrame | None = None,
                 weights_root: str | None = None, regions: DataFrame | None = None,
-                manifest: DataFrame | None = None) -> DataFrame:
+                manifest: DataFrame | None = None, ranges: bool = False) -> DataFrame:
     """R9 up to the results table: every region, model and cycle of
     ``raw_grid``, one row per catchment and step.
 
     ``regions``: boxes to subset by (default: the catalog's, for the regions
     it knows).  ``weights_root``: keep the weights there and reuse them while
-    the polygons and grid geometry are unchanged.
+    the polygons and grid geometry are unchanged.  ``ranges``: weigh by runs of
+    cells, for catchments many cells wide.
     """
     ensure_utc(spark)
     specs = model_specs or MODELS
-    weights = (cached_weights(spark, polygons, grid_def, weights_root) if weights_root is not None
-               else materialise_weights(spark, polygons, grid_def))
+    weights = (cached_weights(spark, polygons, grid_def, weights_root, ranges) if weights_root is not None
+               else materialise_weights(spark, polygons, grid_def, ranges=ranges))
     grid = prepared(spark, raw_grid, grid_def, region_models, regions)
+    manifest = (written_manifest(spark, grid) if manifest is None
+                else configured(manifest, region_models_df(spark) if region_models is None else region_models))
     return zonal_results(grid, weights, models_df(spark, specs), specs, manifest=manifest,
-                         catchments=polygons.select("region", "cat_id"))
+                         catchments=polygons.select("region", "cat_id"), grid_def=grid_def)
 
 
 def run(spark: SparkSession, raw_grid: DataFrame, polygons: DataFrame, grid_def: DataFrame,

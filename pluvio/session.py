@@ -5,14 +5,16 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Settings the library relies on.  AQE re-plans joins at runtime: a join side
 # whose *measured* shuffle output is below the broadcast threshold becomes a
 # broadcast-hash join, anything larger stays a sort-merge join, and skewed
-# partitions are split.  That is the size check behind every data-dependent
-# join in this package; only dimensions with a proven bound (one row per
-# model, region or grid) are broadcast by hint.
+# partitions are split.  That is the size check behind every join in this
+# package: no table is broadcast by hint.
 SCALE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -79,6 +81,16 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{base}/pluvio/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def literal_table(spark: SparkSession, rows: list[tuple], schema: T.StructType | str):
+    """A table of values given in the program.  It is handed over as an Arrow
+    table, which Spark keeps as a local relation: its size is known to the
+    planner, so joins with it are broadcast by measured bytes, without a hint."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    columns = list(zip(*rows)) if rows else [()] * len(schema)
+    arrow = to_arrow_schema(schema)
+    return spark.createDataFrame(pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow), schema)
+
+
 def read_parquet_or_none(spark: SparkSession, path: str, schema=None):
     """A Parquet table at ``path`` on any storage Spark reads, or ``None``
     when nothing is there yet (no local file-system checks)."""

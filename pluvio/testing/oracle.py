@@ -198,6 +198,14 @@ polygons_mr AS (
   SELECT region, cat_id, name, 0 AS part, cx, cy, hw, hh FROM polygons UNION ALL
   SELECT '{REGION2}' AS region, cat_id, name, 0 AS part, cx, cy, hw, hh FROM polygons),
 {weights_ctes('c', 'cpoly', 'grid_def')},
+basin_poly AS (
+  SELECT '{REGION}' AS region, CAST(s_suppkey AS BIGINT) AS cat_id, 0 AS part,
+         CAST(s_suppkey % 7 AS DOUBLE) * 0.8713::DOUBLE + 4.7671::DOUBLE AS cx,
+         7.1::DOUBLE - CAST(s_suppkey // 10 AS DOUBLE) + 0.0213::DOUBLE AS cy,
+         4.3107::DOUBLE + CAST(s_suppkey % 5 AS DOUBLE) * 0.6171::DOUBLE AS hw,
+         3.1093::DOUBLE + CAST(s_suppkey % 3 AS DOUBLE) * 0.4719::DOUBLE AS hh
+  FROM supplier),
+{weights_ctes('w', 'basin_poly', 'grid_def')},
 {weights_ctes('b', 'polygons_mr', 'grid_def_mr')},
 points AS (
   SELECT event_id, '{REGION}' AS region, fmod(value, 16.0::DOUBLE) - 0.5::DOUBLE AS lon,
@@ -215,6 +223,34 @@ zcells AS (
 zstats AS (
   SELECT f.region, f.model, f.cycle_s, f.step_h, f.vt_s, f.cat_id, CAST(coalesce(z.n, 0) AS BIGINT) AS count, z.max, z.mean
   FROM zframe f LEFT JOIN zcells z USING (region, model, cycle_s, step_h, vt_s, cat_id)),
+bstats AS (
+  SELECT f.region, f.model, f.cycle_s, f.step_h, f.vt_s, f.cat_id, CAST(coalesce(z.n, 0) AS BIGINT) AS count, z.max, z.mean
+  FROM zframe f LEFT JOIN (
+    SELECT g.region, g.model, g.cycle_s, g.step_h, g.vt_s, w.cat_id, sum(w.w) AS n, max(g.value) AS max,
+           fsum(w.w * g.value) / sum(w.w) AS mean
+    FROM grid g JOIN wweights w ON g.region = w.region AND g.model = w.model AND g."row" = w."row" AND g.col = w.col
+    WHERE g.value IS NOT NULL GROUP BY ALL) z USING (region, model, cycle_s, step_h, vt_s, cat_id)),
+cstats AS (
+  SELECT f.region, f.model, f.cycle_s, f.step_h, f.vt_s, c.c_custkey AS cat_id, CAST(coalesce(z.n, 0) AS BIGINT) AS count, z.max, z.mean
+  FROM (SELECT DISTINCT region, model, cycle_s, step_h, vt_s FROM grid) f CROSS JOIN customer c LEFT JOIN (
+    SELECT g.region, g.model, g.cycle_s, g.step_h, g.vt_s, w.cat_id, sum(w.w) AS n, max(g.value) AS max,
+           fsum(w.w * g.value) / sum(w.w) AS mean
+    FROM grid g JOIN cweights w ON g.region = w.region AND g.model = w.model AND g."row" = w."row" AND g.col = w.col
+    WHERE g.value IS NOT NULL GROUP BY ALL) z
+  ON z.region = f.region AND z.model = f.model AND z.cycle_s = f.cycle_s AND z.step_h = f.step_h AND z.vt_s = f.vt_s
+     AND z.cat_id = c.c_custkey),
+tied AS (
+  SELECT region, model, cycle_s, step_h, vt_s, "row", col,
+         CASE WHEN model = 'wrfpr' THEN CASE WHEN row_number() OVER w = 1 THEN v ELSE v - lag(v) OVER w END ELSE v END AS v
+  FROM (SELECT *, CAST(floor(value * 4.0::DOUBLE) / 4.0::DOUBLE AS DECIMAL(18,2)) AS v FROM raw_grid)
+  WINDOW w AS (PARTITION BY region, model, cycle_s, "row", col ORDER BY vt_s)),
+tied_stats AS (
+  SELECT f.region, f.model, f.cycle_s, f.step_h, f.vt_s, f.cat_id, CAST(coalesce(z.n, 0) AS BIGINT) AS count, z.max, z.mean
+  FROM zframe f LEFT JOIN (
+    SELECT g.region, g.model, g.cycle_s, g.step_h, g.vt_s, w.cat_id, sum(w.w) AS n, CAST(max(g.v) AS DOUBLE) AS max,
+           CAST(sum(w.w * g.v) AS DOUBLE) / CAST(sum(w.w) AS DOUBLE) AS mean
+    FROM tied g JOIN bweights w ON g.region = w.region AND g.model = w.model AND g."row" = w."row" AND g.col = w.col
+    WHERE g.v IS NOT NULL GROUP BY ALL) z USING (region, model, cycle_s, step_h, vt_s, cat_id)),
 deacc AS (
   SELECT region, model, cycle_s, step_h, vt_s, "row", col,
          CASE WHEN model = 'wrfpr' THEN

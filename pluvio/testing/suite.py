@@ -119,7 +119,7 @@ def _no_nan(df, *cols):
 
 
 def _zonal(spark, sf_dir):
-    return Z.zonal_stats(V.grid(spark, sf_dir), _weights(spark, sf_dir), catchments=_polys(spark, sf_dir))
+    return Z.zonal_stats(V.grid(spark, sf_dir), _weights(spark, sf_dir), catchments=_polys(spark, sf_dir), steps=V.steps(spark, sf_dir))
 
 
 def _polys(spark, sf_dir):
@@ -496,6 +496,53 @@ def a4_round_stats(spark, sf_dir):
     return ms(Z.round_stats(_zonal(spark, sf_dir)))
 
 
+STATS_E7 = """
+SELECT region, model, cycle_s * 1000 AS cycle_ms, step_h, vt_s * 1000 AS ts_ms, cat_id, count, max,
+       CAST(round(mean * 1e7::DOUBLE) AS BIGINT) AS mean_e7
+"""
+
+
+def _e7(stats):
+    """The mean in ten-millionths (values such as 500 / 1000003 lie next to a tie in billionths)."""
+    return ms(stats.withColumn("mean_e7", F.round(F.col("mean") * 1e7).cast("bigint")).drop("mean"))
+
+
+@query("z1_zonal_ranges", "SELECT region, model, cat_id, \"row\", col, w FROM wweights")
+def z1_zonal_ranges(spark, sf_dir):
+    """Wide catchments as runs of cells of one weight, taken apart into cells."""
+    r = Z.zonal_ranges(PG.polygon_edges(V.basins(spark, sf_dir)), V.grid_def(spark, sf_dir))
+    return (r.select("region", "model", "cat_id", "row", F.explode(F.sequence("c0", "c1")).alias("col"), "w")
+            .groupBy("region", "model", "cat_id", "row", "col").agg(F.sum("w").alias("w")))
+
+
+@query("z2_range_stats", STATS_E7 + "FROM bstats")
+def z2_range_stats(spark, sf_dir):
+    """Counts, maxima and means of wide catchments from running sums and range maxima."""
+    basins, gd = V.basins(spark, sf_dir), V.grid_def(spark, sf_dir)
+    return _e7(Z.zonal_stats_by_ranges(V.grid(spark, sf_dir), Z.zonal_ranges(PG.polygon_edges(basins), gd), gd,
+                                       catchments=basins, steps=V.steps(spark, sf_dir)))
+
+
+@query("z2_customer_stats", STATS_E7 + "FROM cstats")
+def z2_customer_stats(spark, sf_dir):
+    """The larger catchment set: one per customer, with overlapping parts."""
+    cats = V.catchments(spark, sf_dir)
+    weights = Z.zonal_weights(PG.polygon_edges(cats), V.grid_def(spark, sf_dir))
+    return _e7(Z.zonal_stats(V.grid(spark, sf_dir), weights, catchments=cats, steps=V.steps(spark, sf_dir)))
+
+
+@query("a4_tied_means", f"""
+SELECT region, model, cycle_s * 1000 AS cycle_ms, step_h, vt_s * 1000 AS ts_ms, cat_id, count,
+       {nround1('max')} AS max, {nround1('mean')} AS mean
+FROM tied_stats
+""")
+def a4_tied_means(spark, sf_dir):
+    """Rounded statistics of a de-accumulated grid whose means often lie on a
+    rounding tie; the oracle averages decimals."""
+    grid = G.by_accumulation(V.tied_raw_grid(spark, sf_dir))
+    return ms(Z.round_stats(Z.zonal_stats(grid, _weights(spark, sf_dir), catchments=_polys(spark, sf_dir), steps=V.steps(spark, sf_dir))))
+
+
 @query("a6_distinct_catchments", "SELECT DISTINCT region, model, cat_id FROM results")
 def a6_distinct_catchments(spark, sf_dir):
     return risk.distinct_catchments(V.results(spark, sf_dir))
@@ -837,11 +884,21 @@ SELECT region, model, cycle_s * 1000 AS cycle_ms, step_h, vt_s * 1000 AS ts_ms,
 FROM gresults_mr WHERE region = '{V.REGION}'
 """)
 def t1_incremental_ingest(spark, sf_dir):
+    """The steps of every cycle land in four waves, each ingested before the
+    next lands.  In one cycle of three, some steps of the second wave come with
+    the last one."""
     landing, out, ck = (work_path(spark, "t1-landing"), work_path(spark, "t1-results"),
                         work_path(spark, "t1-checkpoint"))
-    SK.write_grid(V.raw_grid_vars(spark, sf_dir), landing)          # files as they land
     polys, gd = _polys(spark, sf_dir), V.grid_def(spark, sf_dir)
     weights = WF.materialise_weights(spark, polys, gd)
-    ST.ingest(spark, landing, out, ck, weights, max_files_per_trigger=4, runs_path=work_path(spark, "t1-runs"),
-              catchments=polys, grid_def=gd, regions=V.boxes(spark))
+    raw_path = work_path(spark, "t1-raw")
+    last = F.when(F.col("model") == "gfs", F.lit(168)).otherwise(F.lit(48))
+    wave = F.least(F.floor((F.col("step_h") - 1) * 4 / last), F.lit(3))
+    late = (F.pmod(F.unix_date(F.to_date("cycle")), F.lit(3)) == 0) & (wave == 1) & (F.col("step_h") % 4 == 0)
+    V.raw_grid_vars(spark, sf_dir).withColumn("wave", F.when(late, F.lit(3)).otherwise(wave).cast("int")) \
+        .write.partitionBy("wave").parquet(raw_path)
+    for k in range(4):
+        SK.write_table(spark.read.parquet(raw_path).filter(F.col("wave") == k).drop("wave"), landing, mode="append")
+        ST.ingest(spark, landing, out, ck, weights, max_files_per_trigger=10_000, runs_path=work_path(spark, "t1-runs"),
+                  catchments=polys, grid_def=gd, regions=V.boxes(spark))
     return ms(SK.read_table(spark, out))

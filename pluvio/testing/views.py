@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pluvio.functions.rounding import half_even_div
+from pluvio.session import literal_table
 
 REGION = "testbasin"
 REGION2 = "testbasin2"             # the same data on a grid shifted half a cell west
@@ -84,6 +85,20 @@ def _cells(spark: SparkSession, sf_dir: str, model: str) -> DataFrame:
             .withColumn("model", F.lit(model)))
 
 
+def steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The steps that any event falls into, as a step manifest has them."""
+    us = micros("ts")
+    out = None
+    for model, (bucket, cyc, off) in BUCKETS.items():
+        vt = (fdiv(us, bucket * 1_000_000) + 1) * bucket
+        s = table(spark, sf_dir, "events").select(vt.alias("vt_s")).distinct()
+        c = fdiv(F.col("vt_s") - F.lit(bucket + off), cyc) * F.lit(cyc) + F.lit(off)
+        s = s.select(region_of("vt_s").alias("region"), F.lit(model).alias("model"), F.timestamp_seconds(c).alias("cycle"),
+                     fdiv(F.col("vt_s") - c, 3600).cast("int").alias("step_h"), F.timestamp_seconds("vt_s").alias("valid_time"))
+        out = s if out is None else out.unionByName(s)
+    return out
+
+
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cells(spark, sf_dir, "gfs").unionByName(_cells(spark, sf_dir, "wrfpr"))
 
@@ -202,6 +217,27 @@ def polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.create_map(F.lit("NAME"), F.col("s_name")).alias("props"), geometry.alias("geometry"))
 
 
+def basins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide catchments: one diamond per supplier, several coarse cells across,
+    whose inner cells by far outnumber those on its edge."""
+    su = table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey")
+    cx = F.pmod(k, F.lit(7)).cast("double") * 0.8713 + 4.7671
+    cy = F.lit(7.1) - fdiv(k.cast("long"), 10).cast("double") + 0.0213
+    hw = F.lit(4.3107) + F.pmod(k, F.lit(5)).cast("double") * F.lit(0.6171)
+    hh = F.lit(3.1093) + F.pmod(k, F.lit(3)).cast("double") * F.lit(0.4719)
+    return su.select(region_of(k).alias("region"), k.cast("bigint").alias("cat_id"),
+                     F.create_map(F.lit("NAME"), F.col("s_name")).alias("props"),
+                     F.array(F.array(_diamond(cx, cy, hw, hh))).alias("coordinates"))
+
+
+def tied_raw_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The delivered grid in quarters: differences and sums are exact in doubles,
+    and many zonal means lie on a tie of the rounding to one decimal."""
+    g = raw_grid(spark, sf_dir).drop("var", "level")
+    return g.withColumn("value", F.floor(F.col("value") * 4) / F.lit(4.0))
+
+
 def catchments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A larger catchment set: two overlapping diamonds per customer.
 
@@ -256,7 +292,7 @@ def both_regions(df: DataFrame) -> DataFrame:
 
 def boxes(spark: SparkSession) -> DataFrame:
     """Subset boxes of both regions: the outer columns of the grid lie outside."""
-    return spark.createDataFrame([(REGION, 1.2, 13.4, -1e6, 20.0), (REGION2, 0.4, 12.0, -1e6, 20.0)],
+    return literal_table(spark, [(REGION, 1.2, 13.4, -1e6, 20.0), (REGION2, 0.4, 12.0, -1e6, 20.0)],
                                  "region string, left double, right double, bottom double, top double")
 
 
@@ -283,5 +319,5 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bbox(spark: SparkSession) -> DataFrame:
     """Subset box of the test region."""
-    return spark.createDataFrame([(REGION, 2.0, 12.0, 1.0, 8.5)],
+    return literal_table(spark, [(REGION, 2.0, 12.0, 1.0, 8.5)],
                                  "region string, left double, right double, bottom double, top double")

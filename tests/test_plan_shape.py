@@ -83,9 +83,11 @@ def test_run_reads_each_grid_row_once(spark):
     sinks.write_grid(V.raw_grid(spark, SF).drop("var", "level"), path, manifest=manifest)
     ready_path = work_path(spark, "shape-ready")
     keys = ["region", "model", "cycle"]
-    complete_cycles(sinks.read_table(spark, manifest), models_df(spark)).select(*keys).write.parquet(ready_path)
-    grid = sinks.in_partitions(sinks.read_table(spark, path), spark.read.parquet(ready_path))
-    df = WF.zonal_results(grid, _weights(spark), models_df(spark), gate=False)
+    steps = sinks.read_table(spark, manifest)
+    complete_cycles(steps, models_df(spark)).select(*keys).write.parquet(ready_path)
+    ready = spark.read.parquet(ready_path)
+    df = WF.zonal_results(sinks.in_partitions(sinks.read_table(spark, path), ready), _weights(spark), models_df(spark), gate=False,
+                          manifest=sinks.in_partitions(steps, ready), catchments=_polys(spark, SF))
     text = _formatted(spark, df).split("===== Subqueries =====")[0]      # those only reuse broadcasts
     scans = [part for part in text.split("\n\n") if "shape-once" in part and "Scan parquet" in part]
     assert len(scans) == 2
