@@ -239,6 +239,20 @@ cstats AS (
     WHERE g.value IS NOT NULL GROUP BY ALL) z
   ON z.region = f.region AND z.model = f.model AND z.cycle_s = f.cycle_s AND z.step_h = f.step_h AND z.vt_s = f.vt_s
      AND z.cat_id = c.c_custkey),
+tile_cells AS (
+  SELECT t.region, t.model, t.cycle_s, t.step_h, t.vt_s, c."row", c.col, g.value
+  FROM (SELECT DISTINCT region, model, cycle_s, step_h, vt_s, "row" // 4 AS tr, col // 4 AS tc FROM raw_grid) t
+  JOIN (SELECT DISTINCT region, model, cycle_s, "row", col FROM raw_grid) c
+    ON c.region = t.region AND c.model = t.model AND c.cycle_s = t.cycle_s AND c."row" // 4 = t.tr AND c.col // 4 = t.tc
+  LEFT JOIN raw_grid g ON g.region = t.region AND g.model = t.model AND g.cycle_s = t.cycle_s AND g.step_h = t.step_h
+    AND g."row" = c."row" AND g.col = c.col),
+tile_deacc AS (
+  SELECT region, model, cycle_s, step_h, vt_s, "row", col,
+         CASE WHEN model = 'wrfpr' THEN
+              CASE WHEN row_number() OVER w = 1 THEN value ELSE value - lag(value) OVER w END
+              ELSE value END AS value
+  FROM tile_cells
+  WINDOW w AS (PARTITION BY region, model, cycle_s, "row", col ORDER BY vt_s)),
 tied AS (
   SELECT region, model, cycle_s, step_h, vt_s, "row", col,
          CASE WHEN model = 'wrfpr' THEN CASE WHEN row_number() OVER w = 1 THEN v ELSE v - lag(v) OVER w END ELSE v END AS v

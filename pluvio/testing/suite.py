@@ -18,6 +18,7 @@ from pluvio.operators import cycles as CY
 from pluvio.operators import grid as G
 from pluvio.operators import risk
 from pluvio.operators import series as SE
+from pluvio.operators import tiles as TL
 from pluvio.operators import zonal as Z
 from pluvio.plans import run_cycles as RC
 from pluvio.plans import workflow as WF
@@ -543,6 +544,22 @@ def a4_tied_means(spark, sf_dir):
     return ms(Z.round_stats(Z.zonal_stats(grid, _weights(spark, sf_dir), catchments=_polys(spark, sf_dir), steps=V.steps(spark, sf_dir))))
 
 
+@query("s4_tile_stats", STATS_E7 + """
+FROM (
+  SELECT f.region, f.model, f.cycle_s, f.step_h, f.vt_s, f.cat_id, CAST(coalesce(z.n, 0) AS BIGINT) AS count, z.max, z.mean
+  FROM zframe f LEFT JOIN (
+    SELECT g.region, g.model, g.cycle_s, g.step_h, g.vt_s, w.cat_id, sum(w.w) AS n, max(g.value) AS max,
+           fsum(w.w * g.value) / sum(w.w) AS mean
+    FROM tile_deacc g JOIN bweights w ON g.region = w.region AND g.model = w.model AND g."row" = w."row" AND g.col = w.col
+    WHERE g.value IS NOT NULL GROUP BY ALL) z USING (region, model, cycle_s, step_h, vt_s, cat_id))
+""")
+def s4_tile_stats(spark, sf_dir):
+    """Delivered grids as 4 x 4 tiles, de-accumulated and weighed as arrays."""
+    tiles = TL.tiles_by_accumulation(GS.make_tiles(V.raw_grid(spark, sf_dir).drop("var", "level"), size=4))
+    return _e7(TL.zonal_stats_of_tiles(tiles, TL.tile_weights(_weights(spark, sf_dir), 4), catchments=_polys(spark, sf_dir),
+                                       steps=V.steps(spark, sf_dir)))
+
+
 @query("a6_distinct_catchments", "SELECT DISTINCT region, model, cat_id FROM results")
 def a6_distinct_catchments(spark, sf_dir):
     return risk.distinct_catchments(V.results(spark, sf_dir))
