@@ -12,12 +12,12 @@ parameters, so the model that is broadcast has a fixed size.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,14 +26,14 @@ from pluvio.llm.common import learning_row, ship
 SAMPLE_ROWS = 20_000          # labelled rows that the counts are taken from (expected number)
 MAX_WORDS = 40_000
 MAX_GRAMS = 40_000
-MAX_LANGS = 200
 LONGEST = 4
 SMOOTH = 0.5
 UNKNOWN = "und"
 REMEMBERED = 200_000          # unseen words a worker remembers
 SURE = 30                     # words whose evidence a score counts at most
 
-_WORDS = re.compile(r"[^\W\d_]+").findall
+#: Letters only: numerals such as a half, a superscript or a Roman numeral sign are none.
+_WORDS = regex.compile(r"\p{L}+").findall
 
 
 def grams(word: str, n: int) -> list[str]:
@@ -63,12 +63,20 @@ class Model:
 
         self.row = {w: i for i, (w, _) in enumerate(words)}
         self.known = len(words)
-        self.table = np.vstack([logs(words), np.zeros((REMEMBERED, k))])
+        self.table = logs(words)
         self.grams = {}
         for n, rows in grams_by_n.items():
             self.grams[n] = dict(zip([g for g, _ in rows], logs(rows)))
         self.new: dict[str, int] = {}
 
+    def _room(self, n: int) -> None:
+        """Rows for n remembered words, in this process: they are no part of the
+        model that is sent."""
+        need = self.known + n
+        if len(self.table) < need:
+            more = min(self.known + REMEMBERED, max(need, 2 * len(self.table)))
+            self.table = np.vstack([self.table, np.zeros((more - len(self.table), self.table.shape[1]))])
+
     def backoff(self, word: str) -> np.ndarray:
         """Mean log frequency of the word's longest known n-grams."""
         for n in range(LONGEST, 0, -1):
@@ -84,6 +92,7 @@ class Model:
             if len(self.new) >= REMEMBERED:
                 self.new.clear()
             i = self.new[word] = self.known + len(self.new)
+            self._room(len(self.new))
             self.table[i] = self.backoff(word)
         return i
 
@@ -93,7 +102,8 @@ class Model:
             return UNKNOWN, 0.0
         total, row, unseen = np.zeros(len(self.langs)), self.row, self._unseen
         for at in range(0, len(words), 50_000):
-            total += self.table[[row[w] if w in row else unseen(w) for w in words[at : at + 50_000]]].sum(axis=0)
+            rows = [row[w] if w in row else unseen(w) for w in words[at : at + 50_000]]
+            total += self.table[rows].sum(axis=0)
         z = total / len(words) * min(len(words), SURE)
         p = np.exp(z - z.max())
         i = int(p.argmax())
@@ -123,14 +133,14 @@ def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def fit(docs: DataFrame) -> Model:
     """A model from the rows of ``docs`` that may be learned from and have a
-    language.  Of more than MAX_LANGS languages the most frequent are learned."""
+    language: every language of the sample is learned."""
     ship(docs.sparkSession)
     rows = docs.select("doc_id", "text", "lang").filter(learning_row(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     rows = sampled(rows, SAMPLE_ROWS, "lang")
     schema = "lang string, gram string, n int, c long"
     words = rows.select("lang", "text").mapInPandas(_count_words, schema).groupBy("lang", "gram", "n").agg(F.sum("c").alias("c")).persist()
     try:
-        langs = sorted(r["lang"] for r in words.groupBy("lang").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "lang").limit(MAX_LANGS).collect())
+        langs = sorted(r["lang"] for r in words.select("lang").distinct().collect())
 
         def most(counts: DataFrame, limit: int) -> list[tuple[int, str, list[int]]]:
             by = F.map_from_entries(F.collect_list(F.struct("lang", "c")))

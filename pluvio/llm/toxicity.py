@@ -16,6 +16,7 @@ parameters, so what is fitted on the driver and broadcast has a fixed size.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,12 +30,14 @@ from pluvio.llm.language_id import sampled
 SAMPLE_LABELLED = 16_000      # labelled rows that voters and features are found in (expected number)
 SAMPLE_UNLABELLED = 8_000     # further rows that the label model reads (expected number)
 MAX_FEATURES = 4_000
-LEAST_GAIN = 15.0             # log likelihood ratio of a feature; chance seldom reaches it
+LEAST_GAIN = 11.0             # log likelihood ratio of a feature; chance seldom reaches it
 MAX_FAMILIES = 64             # voters found in labelled rows
 BEGINNINGS = (4, 5, 6)        # lengths of word beginnings
 ROUNDS = 40                   # of expectation maximisation
 STEPS = 500                   # of the classifier's descent
 MARK_ACCURACY = 0.98          # of the mark of a labelled row, as a voter
+CLEAN_SHARE = 0.007           # of the labelled clean rows that may lie above the cut
+MARGIN = 1.0                  # log odds between a text that shows nothing and the cut, at least
 REMEMBERED = 300_000          # words a worker remembers
 
 #: Lexicon voters: words that insult, by kind and language.
@@ -69,6 +72,21 @@ def distinct_words(text: str | None) -> set[str]:
     return set(_WORDS(text.lower())) if text else set()
 
 
+def shown_features(text: str | None) -> set[str]:
+    """All features of a text: those of its words, and for each beginning that
+    two or more of its different words share one marked by two stars (a word of
+    a family may be chance, several are not)."""
+    words = distinct_words(text)
+    out = set(words)
+    for n in BEGINNINGS:
+        begins = [w[:n] for w in words if len(w) >= n]
+        once = set(begins)
+        out.update(b + "*" for b in once)
+        if len(once) < len(begins):
+            out.update(b + "**" for b, c in Counter(begins).items() if c > 1)
+    return out
+
+
 class Reader:
     """What a text shows: which voters fire, which chosen features it has."""
 
@@ -76,29 +94,38 @@ class Reader:
         self.families = {f: len(LEXICONS) + len(PATTERNS) + i for i, f in enumerate(families)}
         self.voters = len(LEXICONS) + len(PATTERNS) + len(families)
         self.features = {f: i for i, f in enumerate(features)}
+        # beginnings that count from the second word on: (voter or -1, feature or -1)
+        self.twice = {f[:-2]: (self.families.get(f, -1), self.features.get(f, -1)) for f in [*families, *features] if f.endswith("**")}
         self._seen: dict[str, tuple] = {}
 
     def _word(self, word: str) -> tuple:
-        """(voters, features) of one word."""
+        """(voters, features, beginnings that count from the second word on) of one word."""
         votes = [i for i, s in enumerate(_LEXICON_SETS) if word in s]
         shown = features_of(word)
         out = (tuple(votes + [self.families[f] for f in shown if f in self.families]),
-               tuple(self.features[f] for f in shown if f in self.features))
+               tuple(self.features[f] for f in shown if f in self.features),
+               tuple(word[:n] for n in BEGINNINGS if len(word) >= n and word[:n] in self.twice))
         if len(self._seen) >= REMEMBERED:
             self._seen.clear()
         self._seen[word] = out
         return out
 
     def read(self, text: str | None) -> tuple[set[int], set[int]]:
-        votes, found = set(), set()
+        votes, found, begun = set(), set(), set()
         if text:
             seen, slow = self._seen, self._word
             for w in distinct_words(text):
-                v, f = seen[w] if w in seen else slow(w)
+                v, f, two = seen[w] if w in seen else slow(w)
                 if v:
                     votes.update(v)
                 if f:
                     found.update(f)
+                for b in two:
+                    if b in begun:
+                        v, f = self.twice[b]
+                        votes.update(() if v < 0 else (v,))
+                        found.update(() if f < 0 else (f,))
+                    begun.add(b)
             votes.update(len(LEXICONS) + i for i, p in enumerate(PATTERNS.values()) if p(text))
         return votes, found
 
@@ -162,7 +189,7 @@ def _count_features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for y, part in b.groupby("toxic"):
             c: dict[str, int] = {}
             for t in part["text"]:
-                for f in {f for w in distinct_words(t) for f in features_of(w)}:
+                for f in shown_features(t):
                     c[f] = c.get(f, 0) + 1
             if c:
                 yield pd.DataFrame({"feature": list(c), "pos": list(c.values()) if y else 0, "neg": 0 if y else list(c.values())})
@@ -220,8 +247,19 @@ def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
     y, _, _ = label_model(votes, start, label)
     lists = [np.concatenate([np.asarray(v, np.int64), np.asarray(f, np.int64) + reader.voters]) for v, f in zip(seen["votes"], seen["found"])]
     at = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    weights, bias = train_linear(at, np.concatenate(lists), y, reader.voters + len(features))
-    return Classifier(reader, weights, bias)
+    columns = np.concatenate(lists)
+    weights, bias = train_linear(at, columns, y, reader.voters + len(features))
+    z = np.bincount(at, weights=weights[columns], minlength=len(lists)) + bias
+    return Classifier(reader, weights, bias - cut(z, label, bias))
+
+
+def cut(z: np.ndarray, label: np.ndarray, bias: float) -> float:
+    """The log odds that become a score of 0.5: those which all but CLEAN_SHARE
+    of the labelled clean rows stay under, but not less than MARGIN above a text
+    that shows nothing, and 0 at most.  Soft labels of a rare class pull scores
+    down; the order of the texts does not change."""
+    clean = z[label == 0]
+    return min(0.0, max(bias + MARGIN, float(np.quantile(clean, 1.0 - CLEAN_SHARE)))) if len(clean) else 0.0
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame | None = None, model: Classifier | None = None) -> DataFrame:

@@ -27,11 +27,53 @@ def test_words_first_then_shorter_grams():
     assert m.predict("wxyzw")[0] == "bb"           # none of four, one of three
     assert m.predict("zquz")[0] == "aa"            # one of two
     assert m.predict("zéz")[0] == "bb"             # a single character
-    for text in (None, "", "12 34 !?", "_ 5"):
-        assert m.predict(text) == ("und", 0.0)
+    for text in (None, "", "12 34 !?", "_ 5", "½ ²", "²", "Ⅷ ⅔", "€ ° ©", "\u0301", "٣ 四".replace("四", "")):
+        assert m.predict(text) == ("und", 0.0), text
+    assert m.predict("² known ½")[0] == "aa" and m.predict("四")[0] != "und"
     assert language_id.Model([], [], {}).predict("word") == ("und", 0.0)
 
 
+def test_predictions_against_a_plain_scorer(spark):
+    """Word by word: log frequencies of known words, else of the longest known n-grams."""
+    import math
+
+    import regex
+    docs = table(spark, SF, "documents")
+    m = language_id.fit(docs)
+    assert len(m.table) == m.known                                 # nothing but the model is sent
+    known = {w: m.table[i].tolist() for w, i in m.row.items()}
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language_id.identify(docs, m).collect()}
+    for r in docs.filter("doc_id < 150").collect():
+        total, n = [0.0] * len(m.langs), 0
+        for w in regex.findall(r"\p{L}+", (r["text"] or "").lower()):
+            n += 1
+            logs = known.get(w)
+            if logs is None:
+                for size in (4, 3, 2, 1):
+                    s = w if size == 1 else f"^{w}$"
+                    hits = [m.grams[size][s[i:i + size]] for i in range(len(s) - size + 1) if s[i:i + size] in m.grams.get(size, {})]
+                    if hits:
+                        logs = [sum(h[k] for h in hits) / len(hits) for k in range(len(m.langs))]
+                        break
+            total = [a + b for a, b in zip(total, logs or [0.0] * len(m.langs))]
+        if not n:
+            assert got[r["doc_id"]] == ("und", 0.0)
+            continue
+        z = [t / n * min(n, 30) for t in total]
+        p = [math.exp(x - max(z)) for x in z]
+        best = max(range(len(p)), key=lambda k: p[k])
+        assert got[r["doc_id"]][0] == m.langs[best] and abs(got[r["doc_id"]][1] - p[best] / sum(p)) < 1e-6
+
+
+def test_every_language_of_the_sample_can_be_predicted(spark, docs_of):
+    word = lambda k: "".join(chr(97 + int(d)) for d in f"{k:03d}") + "wort"
+    rows = [(i, f"{word(i % 250)} {word(i % 250)}", "s", f"l{i % 250:03d}") for i in range(1500)]
+    docs = docs_of(rows)
+    m = language_id.fit(docs)
+    assert len(m.langs) == 250
+    assert all(m.predict(word(k))[0] == f"l{k:03d}" for k in (0, 7, 249))
+
+
 def test_languages_of_odd_rows(spark, odd, docs_of):
     rows = language_id.identify(odd).collect()
     assert len(rows) == 12 and {r["lang_pred"] for r in rows if r["doc_id"] in (1, 2, 3)} == {"und"}
