@@ -6,11 +6,12 @@ and cycles are ordinary keys, so one job serves them all (R9).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pluvio.functions.classes import DEFAULT_INTERVAL, class_of, colour_of, reference_class
 from pluvio.functions.rounding import decimal_sum1, py_round1
+from pluvio.functions.timefmt import parse_stamp
 
 RUN_KEYS = ["region", "model", "cycle"]
 RESULT_TYPES = ["cum_mean", "mean"]          # map colouring choices (F5)
@@ -83,6 +84,39 @@ def threshold_lookup(keyed: DataFrame, thresholds: DataFrame, product: str | Non
     return keyed.join(t, _join_keys(keyed, t), "inner")
 
 
+def issued_thresholds(thresholds: DataFrame) -> DataFrame:
+    """Thresholds by issue: ``([region,] cat_id, family, issued, until, threshold)``.
+
+    A product's name ends in the time it was issued (``01FFG2018021312``: family
+    01FFG, 2018-02-13 12 UTC); names without such an ending are no issues.  An
+    issue holds for a catchment until the next one that has a value for it.  The
+    window holds one catchment's issues.
+    """
+    name = F.regexp_extract("product", r"^(.*?)(\d{10})$", 1)
+    stamp = F.regexp_extract("product", r"^(.*?)(\d{10})$", 2)
+    t = (thresholds.filter(F.col("threshold").isNotNull() & (stamp != ""))
+         .withColumn("family", name).withColumn("issued", parse_stamp(stamp)).filter(F.col("issued").isNotNull()))
+    keys = _keys(t, ["region"]) + ["cat_id", "family", "issued"]
+    pick = F.min_by("threshold", "ordinal") if "ordinal" in t.columns else F.min("threshold")
+    one = t.groupBy(*keys).agg(pick.alias("threshold"))
+    until = F.lead("issued").over(Window.partitionBy(*keys[:-1]).orderBy("issued"))
+    return one.withColumn("until", until)
+
+
+def threshold_as_of(keyed: DataFrame, thresholds: DataFrame, rounded: bool = True) -> DataFrame:
+    """J1 by issue time: each key's threshold from the latest issue not after its
+    cycle, with ``family`` and ``issued`` (inner: no issue so far, no row).
+
+    An equi-join on the catchment; the issues' periods do not overlap, so a key
+    meets one of them, whatever their number.
+    """
+    t = issued_thresholds(thresholds)
+    if rounded:
+        t = t.withColumn("threshold", py_round1("threshold"))
+    holds = (F.col("cycle") >= F.col("issued")) & (F.col("until").isNull() | (F.col("cycle") < F.col("until")))
+    return keyed.join(t, _join_keys(keyed, t), "inner").filter(holds).drop("until")
+
+
 def missing_thresholds(keyed: DataFrame, thresholds: DataFrame, product: str | None = None) -> DataFrame:
     """Catchments without a threshold (the reference raised an error)."""
     t = first_thresholds(thresholds, product)
@@ -115,14 +149,22 @@ def valid_threshold(col="threshold"):
     return F.when(c >= 0, c)
 
 
-def threshold_compare(scales: DataFrame, thresholds: DataFrame, product: str | None = None) -> DataFrame:
+def _with_threshold(keyed: DataFrame, thresholds: DataFrame, product: str | None, as_of: bool) -> DataFrame:
+    """``keyed`` with its valid threshold: that of a product, or as of its cycle."""
+    if as_of:
+        return threshold_as_of(keyed, thresholds, rounded=False).withColumn("threshold", valid_threshold())
+    t = first_thresholds(thresholds, product).withColumn("threshold", valid_threshold())
+    return keyed.join(t, _join_keys(keyed, t), "inner")
+
+
+def threshold_compare(scales: DataFrame, thresholds: DataFrame, product: str | None = None, as_of: bool = False) -> DataFrame:
     """Which catchments reach their flash-flood threshold.
 
     Compares total (``cum_mean``), largest interval mean and largest cell
     maximum with the threshold; sentinel thresholds and missing rain give nulls.
+    ``as_of``: the threshold of the latest issue not after the cycle.
     """
-    t = first_thresholds(thresholds, product).withColumn("threshold", valid_threshold())
-    j = scales.join(t, _join_keys(scales, t), "inner")
+    j = _with_threshold(scales, thresholds, product, as_of)
     return j.select("*",
                     (number("cum_mean") >= F.col("threshold")).alias("cum_exceeds"),
                     (number("mean") >= F.col("threshold")).alias("mean_exceeds"),
@@ -130,16 +172,15 @@ def threshold_compare(scales: DataFrame, thresholds: DataFrame, product: str | N
 
 
 def time_to_threshold(running: DataFrame, thresholds: DataFrame, product: str | None = None,
-                      value: str = "cum") -> DataFrame:
+                      value: str = "cum", as_of: bool = False) -> DataFrame:
     """First valid time at which the running total reaches the threshold.
 
     ``running`` holds one row per catchment and step with the running total
     (W1).  The minimum is algebraic (partial aggregation); catchments that
     never reach it keep a null time.  ``lead_h`` is hours after the cycle.
     """
-    t = first_thresholds(thresholds, product).withColumn("threshold", valid_threshold())
-    j = running.join(t, _join_keys(running, t), "inner")
-    keys = _keys(running) + ["cat_id"] + (["product"] if "product" in t.columns else [])
+    j = _with_threshold(running, thresholds, product, as_of)
+    keys = _keys(running) + ["cat_id"] + [c for c in ("product", "family", "issued") if c in j.columns and c not in running.columns]
     hit = F.when(number(value) >= F.col("threshold"), F.col("valid_time"))
     out = j.groupBy(*keys).agg(F.max("threshold").alias("threshold"),
                                F.min(hit).alias("reached_at"))

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pluvio.operators.cycles import RUN_KEYS, pending_cycles, record_runs
@@ -47,7 +47,8 @@ def run_cycles(spark: SparkSession, raw_grid: DataFrame, polygons: DataFrame, gr
                out: str, model_specs: dict | None = None, region_models: DataFrame | None = None,
                thresholds: DataFrame | None = None, product: str | None = None,
                reference_csv: bool = False, regions: DataFrame | None = None,
-               manifest: DataFrame | None = None, wanted: DataFrame | None = None, ranges: bool = False) -> DataFrame:
+               manifest: DataFrame | None = None, wanted: DataFrame | None = None, ranges: bool = False,
+               as_of: bool = False, wave: int | None = None) -> DataFrame:
     """Process every pending cycle of ``raw_grid``; returns the (region, model,
     cycle) rows recorded done.
 
@@ -65,6 +66,12 @@ def run_cycles(spark: SparkSession, raw_grid: DataFrame, polygons: DataFrame, gr
     ``current/`` holds the results of each region's and model's current cycle
     (K7).  ``ranges``: weigh by runs of cells.  ``manifest``: the grid's step manifest (F8); ``wanted``: its
     partition listing, else the distinct keys are read from the grid.
+    ``as_of``: compare with the threshold issue that held at each cycle.
+
+    With ``wave`` a backlog is worked off in waves of at most so many cycles of
+    each region and model, oldest first.  A wave is a run of its own, its state
+    recorded at its end, so a run that breaks off goes on with the wave it was
+    in, and a plan or a commit never spans more partitions than a wave has.
     """
     ensure_utc(spark)
     runs_path = f"{out}/runs"
@@ -74,7 +81,27 @@ def run_cycles(spark: SparkSession, raw_grid: DataFrame, polygons: DataFrame, gr
     todo = spark.read.parquet(todo_path).select(*RUN_KEYS)
     if todo.isEmpty():
         return spark.createDataFrame([], "region string, model string, cycle timestamp")
-    specs = model_specs or MODELS
+    one = lambda keys: _run(spark, raw_grid, polygons, grid_def, out, keys, model_specs or MODELS, region_models, thresholds,
+                            product, reference_csv, regions, manifest, ranges, as_of)
+    if wave is None:
+        return one(todo)
+    # only the number of waves is read back
+    waves_path = work_path(spark, "waves")
+    place = F.row_number().over(Window.partitionBy("region", "model").orderBy("cycle")) - 1
+    todo.withColumn("wave", F.floor(place / wave).cast("int")).write.parquet(waves_path)
+    waves = spark.read.parquet(waves_path)
+    done = None
+    for k in range(waves.agg(F.max("wave").alias("n")).first()["n"] + 1):
+        now = one(waves.filter(F.col("wave") == k).select(*RUN_KEYS))
+        done = now if done is None else done.unionByName(now)
+    return done
+
+
+def _run(spark: SparkSession, raw_grid: DataFrame, polygons: DataFrame, grid_def: DataFrame, out: str, todo: DataFrame, specs: dict,
+         region_models: DataFrame | None, thresholds: DataFrame | None, product: str | None, reference_csv: bool,
+         regions: DataFrame | None, manifest: DataFrame | None, ranges: bool, as_of: bool) -> DataFrame:
+    """One run over the cycles ``todo``; returns those recorded done."""
+    runs_path = f"{out}/runs"
     mdf = models_df(spark, specs)
     grid = workflow.prepared(spark, in_partitions(raw_grid, todo), grid_def, region_models, regions)
     # the cycles that this run can do: pending, configured and complete
@@ -99,8 +126,8 @@ def run_cycles(spark: SparkSession, raw_grid: DataFrame, polygons: DataFrame, gr
     write_table(catchment_summary(results_w), f"{out}/scales")
     scales_w = in_partitions(read_table(spark, f"{out}/scales"), ready)
     if thresholds is not None:
-        write_table(threshold_compare(scales_w, thresholds, product), f"{out}/exceedance")
-        write_table(time_to_threshold(running_total(results_w), thresholds, product), f"{out}/time_to_threshold")
+        write_table(threshold_compare(scales_w, thresholds, product, as_of), f"{out}/exceedance")
+        write_table(time_to_threshold(running_total(results_w), thresholds, product, as_of=as_of), f"{out}/time_to_threshold")
         write_table(chart_documents(results_w, thresholds, product), f"{out}/charts")
     listing = partition_listing(spark, f"{out}/results")
     apply_retention(spark, f"{out}/results", f"{out}/current")
@@ -127,6 +154,8 @@ def main(argv=None) -> None:
     ap.add_argument("--out", required=True, help="output folder: results/, scales/, runs/")
     ap.add_argument("--thresholds", default=None, help="threshold CSV (BASIN + product columns)")
     ap.add_argument("--product", default=None, help="threshold column to use (default: all)")
+    ap.add_argument("--as-of", action="store_true", help="compare with the threshold issue that held at each cycle")
+    ap.add_argument("--wave", type=int, default=None, help="cycles of a region and model that one run of a backlog takes")
     ap.add_argument("--ranges", action="store_true", help="weigh by runs of cells (catchments many cells wide)")
     ap.add_argument("--csv", action="store_true", help="also export the reference's CSV layout")
     ap.add_argument("--master", default=None)
@@ -145,7 +174,7 @@ def main(argv=None) -> None:
     manifest = read_table(spark, a.manifest) if a.manifest else None
     thr = thresholds_long(read_thresholds(spark, a.thresholds)) if a.thresholds else None
     run_cycles(spark, raw, polys, grid_def, a.out, thresholds=thr, product=a.product, reference_csv=a.csv,
-               manifest=manifest, wanted=partition_listing(spark, a.grid), ranges=a.ranges)
+               manifest=manifest, wanted=partition_listing(spark, a.grid), ranges=a.ranges, as_of=a.as_of, wave=a.wave)
 
 
 if __name__ == "__main__":

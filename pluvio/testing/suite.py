@@ -84,6 +84,40 @@ def j1_threshold_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ms(risk.threshold_lookup(keyed, src.thresholds_long(V.region_thresholds(spark, sf_dir)), V.PRODUCT))
 
 
+AS_OF_SQL = """
+, issues AS (
+  SELECT c_custkey AS cat_id, '01FFG' AS family, 1704045600::BIGINT AS issued_s, c_acctbal / 20.0::DOUBLE AS thr FROM customer UNION ALL
+  SELECT c_custkey, '01FFG', 1704888000, c_acctbal / 20.0::DOUBLE * 1.5::DOUBLE FROM customer WHERE c_custkey % 5 <> 0 UNION ALL
+  SELECT c_custkey, '01FFG', 1705708800, c_acctbal / 20.0::DOUBLE * 0.5::DOUBLE FROM customer UNION ALL
+  SELECT c_custkey, '03FFG', 1704693600, c_acctbal / 20.0::DOUBLE * 2.0::DOUBLE FROM customer)
+"""
+
+
+@query("j1_threshold_as_of", AS_OF_SQL + f"""
+SELECT region, model, cycle_ms, cat_id, family, max(issued_s) * 1000 AS issued_ms, {pyround1('arg_max(thr, issued_s)')} AS threshold
+FROM (SELECT DISTINCT region, model, cycle_s * 1000 AS cycle_ms, cycle_s, cat_id FROM results) k JOIN issues i USING (cat_id)
+WHERE i.issued_s <= k.cycle_s GROUP BY ALL
+""")
+def j1_threshold_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three issues of one product and one of another: each cycle takes the
+    latest issue not after it."""
+    keyed = V.results(spark, sf_dir).select("region", "model", "cycle", "cat_id").distinct()
+    return ms(risk.threshold_as_of(keyed, src.thresholds_long(V.threshold_issues(spark, sf_dir))))
+
+
+@query("r4_threshold_as_of", AS_OF_SQL + """
+SELECT s.region, s.model, s.cycle_s * 1000 AS cycle_ms, s.cat_id, s.cum_mean, s.mean, s.max, t.family, t.issued_s * 1000 AS issued_ms,
+       t.thr AS threshold, s.cum_mean >= t.thr AS cum_exceeds, s.mean >= t.thr AS mean_exceeds, s.max >= t.thr AS max_exceeds
+FROM scales s JOIN (
+  SELECT cycle_s, cat_id, family, max(issued_s) AS issued_s,
+         CASE WHEN arg_max(thr, issued_s) >= 0 THEN arg_max(thr, issued_s) END AS thr
+  FROM (SELECT DISTINCT cycle_s FROM results) k JOIN issues i ON i.issued_s <= k.cycle_s GROUP BY ALL) t
+  ON s.cat_id = t.cat_id AND s.cycle_s = t.cycle_s
+""")
+def r4_threshold_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ms(risk.threshold_compare(_scales(spark, sf_dir), src.thresholds_long(V.threshold_issues(spark, sf_dir)), as_of=True))
+
+
 @query("r4_threshold_compare", """
 SELECT s.region, s.model, s.cycle_s * 1000 AS cycle_ms, s.cat_id, s.cum_mean, s.mean, s.max,
        t.thr AS threshold, s.cum_mean >= t.thr AS cum_exceeds, s.mean >= t.thr AS mean_exceeds,

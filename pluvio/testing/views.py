@@ -309,6 +309,15 @@ def region_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.when(F.col("ordinal") == 2, F.lit(-999.0)).otherwise(v * F.col("r")).alias(PRODUCT))
 
 
+def threshold_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide thresholds of two families: three issues of the one, in the second of
+    which some catchments have no value, and one of the other."""
+    w = thresholds_wide(spark, sf_dir)
+    v, k = F.col(PRODUCT), F.col("BASIN")
+    return w.select("BASIN", v.alias("01FFG2023123118"), F.when(F.pmod(k, F.lit(5)) != 0, v * 1.5).alias("01FFG2024011012"),
+                    (v * 0.5).alias("01FFG2024012000"), (v * 2.0).alias("03FFG2024010806"))
+
+
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gauge points (lon, lat), one per event."""
     ev = table(spark, sf_dir, "events")
