@@ -112,7 +112,7 @@ def mixed_documents(docs: DataFrame, seed: int = 29) -> DataFrame:
              .groupBy("mix_id", "text_md5", "mix_source").agg(F.sum("times").alias("times")))
     # rows equal in id, text and source share their copies: one of them carries all
     whole = docs.select(F.struct("*").alias("r"), F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_md5"))
-    one = W.partitionBy("r.doc_id", "text_md5", "r.source").orderBy(F.lit(0))
+    one = W.partitionBy("r.doc_id", "text_md5", "r.source").orderBy(F.xxhash64("r"))
     whole = whole.withColumn("one", F.row_number().over(one)).filter("one = 1")
     on = F.col("r.doc_id").eqNullSafe(F.col("mix_id")) & (whole["text_md5"] == times["text_md5"]) & F.col("r.source").eqNullSafe(F.col("mix_source"))
     return (whole.join(times, on).select("r", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("copy"))

@@ -31,18 +31,20 @@ def interleaved_shards(docs: DataFrame, n_shards: int = 16, seed: int = 17, buck
     the unsigned CRC-32 of those bytes (null: that of no bytes, 0).  ``slot``
     counts from 0 without gaps in each shard.  Row counts of shards differ by
     one at most; with fewer rows than shards some shards are empty.  A null
-    source is a source of its own, sorted last.  A null ``doc_id`` is ordered
-    as the text 'null'.  Rows equal in id and text are interchangeable: they
-    get neighbouring ranks in either order.  An empty table gives no rows.
+    source is a source of its own, sorted last.  The order is that of a digest
+    of id and text, so rows without an id, or with one id, spread over all
+    buckets.  Rows equal in id and text are interchangeable: they get
+    neighbouring ranks in either order.  An empty table gives no rows.
     """
     b = buckets or buckets_for(docs.sparkSession)
-    order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).cast("binary"))
+    order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")),
+                              F.xxhash64("text").cast("string")).cast("binary"))
     keyed = docs.select(
         "doc_id", "source", source_key(F.col("source")).alias("sk"), order.alias("o"), "text",
     ).withColumn("b", F.conv(F.substring("o", 1, 8), 16, 10).cast("long") * b / F.lit(2 ** 32)) \
      .withColumn("b", F.floor("b").cast("int"))
 
-    # rows of each source before each bucket; reads no text
+    # rows of each source before each bucket
     per = W.partitionBy("sk")
     counts = (keyed.groupBy("sk", "b").agg(F.count(F.lit(1)).alias("c"))
               .select("sk", "b",

@@ -47,6 +47,42 @@ def test_shards_do_not_depend_on_buckets_or_order(spark):
     assert a != key(sharding.interleaved_shards(docs, 16, seed=18))
 
 
+def test_placement_against_a_plain_version(spark):
+    """Ranks, fractions and cuts rebuilt row by row."""
+    import hashlib
+    from fractions import Fraction
+
+    import xxhash
+    docs = table(spark, SF, "documents")
+    by_source = defaultdict(list)
+    for r in docs.collect():
+        digest = xxhash.xxh64((r["text"] or "").encode(), seed=42).intdigest()
+        digest = 42 if r["text"] is None else digest - (1 << 64) * (digest >> 63)
+        o = hashlib.md5(f"17:{r['doc_id']}:{digest}".encode()).hexdigest()
+        by_source["1" if r["source"] is None else "0" + r["source"]].append((o, r["doc_id"]))
+    line = sorted((Fraction(2 * k + 1, 2 * len(rows)), sk, d) for sk, rows in by_source.items() for k, (_, d) in enumerate(sorted(rows)))
+    for n_shards in (16, 7):
+        want, filled = {}, defaultdict(int)
+        for at, (_, _, d) in enumerate(line):
+            shard = at * n_shards // len(line)
+            want[d] = (shard, filled[shard])
+            filled[shard] += 1
+        got = {r["doc_id"]: (r["shard"], r["slot"]) for r in sharding.interleaved_shards(docs, n_shards).collect()}
+        assert got == want
+
+
+def test_rows_without_an_id_spread_over_the_buckets(spark, docs_of):
+    rows = [(None if i % 3 == 0 else 5 if i % 3 == 1 else i, f"text number {i}") for i in range(3000)]
+    out = sharding.interleaved_shards(docs_of(rows), 8, buckets=30).collect()
+    where = defaultdict(list)
+    for r in out:
+        where[r["shard"]].append(r)
+    for x in where.values():
+        assert sorted(r["slot"] for r in x) == list(range(375))
+        assert 80 < sum(r["doc_id"] is None for r in x) < 170                # a third of each shard, not one block
+        assert 80 < sum(r["doc_id"] == 5 for r in x) < 170
+
+
 def test_shards_of_odd_rows(spark, odd, docs_of):
     rows = sharding.interleaved_shards(odd, 4).collect()
     assert len(rows) == 12 and sorted(r["shard"] for r in rows) == [0] * 3 + [1] * 3 + [2] * 3 + [3] * 3
