@@ -167,15 +167,25 @@ def _parts(value: str):
 def _finished(stats: DataFrame, keys: list[str], grid: DataFrame, catchments: DataFrame | None, steps: DataFrame | None) -> DataFrame:
     """Sums to count, max and mean; a row for every catchment and step."""
     if catchments is not None:
-        steps = (grid if steps is None else steps).select(*keys[:-1]).distinct()
-        every = steps.join(catchments.select("region", F.col("cat_id").cast("bigint").alias("cat_id")).distinct(), ["region"])
-        stats = every.join(stats, keys, "left")
+        stats = _frame(grid if steps is None else steps, catchments, keys).join(stats, keys, "left")
     n = F.coalesce(F.col("count"), F.lit(0)).cast("bigint")
     total = F.col("_whole").cast("decimal(38,0)") * F.lit(UNIT) + F.col("_units")
     mean = F.when(n > 0, total.cast("double") / (n.cast("double") * F.lit(float(UNIT))) + F.col("_rest") / n)
     return stats.select(*keys, n.alias("count"), "max", mean.alias("mean"))
 
 
+def _frame(steps: DataFrame, catchments: DataFrame, keys: list[str]) -> DataFrame:
+    cats = catchments.select("region", F.col("cat_id").cast("bigint").alias("cat_id")).distinct()
+    return steps.select(*[k for k in keys if k != "cat_id"]).distinct().join(cats, ["region"])
+
+
+def every_row(stats: DataFrame, steps: DataFrame, catchments: DataFrame) -> DataFrame:
+    """Finished statistics with a row for every catchment of a region and each of
+    its steps; one that has none yet gets count 0."""
+    keys = [k for k in STEP_KEYS if k in stats.columns] + ["cat_id"]
+    return _frame(steps, catchments, keys).join(stats, keys, "left").withColumn("count", F.coalesce("count", F.lit(0).cast("bigint")))
+
+
 def zonal_stats(grid: DataFrame, weights: DataFrame, value: str = "value",
                 catchments: DataFrame | None = None, steps: DataFrame | None = None) -> DataFrame:
     """Z2 + A1-A3: per (region, model, cycle, valid_time, cat_id): count, max, mean.

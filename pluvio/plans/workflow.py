@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from pluvio.operators.grid import deaccumulate, only_complete, passthrough, step_manifest, variable_subset
 from pluvio.operators.risk import catchment_summary
-from pluvio.operators.zonal import covered_cells, round_stats, zonal_ranges, zonal_stats, zonal_stats_by_ranges, zonal_weights
+from pluvio.operators.zonal import covered_cells, every_row, round_stats, zonal_ranges, zonal_stats, zonal_stats_by_ranges, zonal_weights
 from pluvio.plans.catalog import MODELS, models_df, region_models_df, regions_df
 from pluvio.session import ensure_utc, read_parquet_or_none, work_path
 from pluvio.sources.polygons import polygon_edges
@@ -69,6 +69,22 @@ def zonal_results(raw_grid: DataFrame, weights: DataFrame, models: DataFrame,
     return round_stats(zonal_stats(run.unionByName(rest), weights, catchments=catchments, steps=steps))
 
 
+def bucketed_results(cells: DataFrame, weights: DataFrame, models: DataFrame, manifest: DataFrame,
+                     catchments: DataFrame, model_specs: dict | None = None) -> DataFrame:
+    """``zonal_results`` of a grid and weights that are bucketed by cell
+    (``sources.buckets``): neither moves, only statistics are shuffled.
+
+    The two kinds of models are summed apart, as a union of them would no longer
+    be known to lie by cell; their rows meet in the frame of steps x catchments.
+    """
+    running = [m.name for m in (model_specs or MODELS).values() if m.accumulation == "running"]
+    grid = only_complete(cells, models, manifest)
+    run = deaccumulate(covered_cells(grid.filter(F.col("model").isin(running)), weights))
+    rest = passthrough(grid.filter(~F.col("model").isin(running)))
+    stats = zonal_stats(run, weights).unionByName(zonal_stats(rest, weights))
+    return round_stats(every_row(stats, only_complete(manifest, models, manifest), catchments))
+
+
 def weights_fingerprint(polygons: DataFrame, grid_def: DataFrame) -> str:
     """Content hash of the inputs of Z1 (polygon edges and grid geometry).
 

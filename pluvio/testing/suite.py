@@ -24,6 +24,7 @@ from pluvio.plans import run_cycles as RC
 from pluvio.plans import workflow as WF
 from pluvio.plans.catalog import RegionSpec, models_df, region_models_df
 from pluvio.session import work_path
+from pluvio.sources import buckets as BK
 from pluvio.sources import grids as GS
 from pluvio.sources import polygons as PG
 from pluvio.sources import results as src
@@ -930,6 +931,20 @@ def _two_regions(spark, sf_dir):
 # --------------------------------------------------------------------------
 # T: streaming
 # --------------------------------------------------------------------------
+@query("k5_bucketed_run", f"""
+SELECT region, model, cycle_s * 1000 AS cycle_ms, step_h, vt_s * 1000 AS ts_ms, cat_id, count, max, mean
+FROM gresults_mr WHERE region = '{V.REGION}'
+""")
+def k5_bucketed_run(spark, sf_dir):
+    """The run over a grid and weights that are stored bucketed by cell."""
+    tag = work_path(spark, "k5").rsplit("-", 1)[1]
+    polys, gd = _polys(spark, sf_dir), V.grid_def(spark, sf_dir)
+    grid = WF.subset(V.raw_grid_vars(spark, sf_dir), gd, V.boxes(spark))
+    cells = BK.write_cells(grid, f"k5_cells_{tag}", work_path(spark, "k5-cells"), 8)
+    weights = BK.write_cell_weights(Z.zonal_weights(PG.polygon_edges(polys), gd), f"k5_weights_{tag}", work_path(spark, "k5-weights"), 8)
+    return ms(WF.bucketed_results(cells, weights, models_df(spark), WF.written_manifest(spark, cells), polys))
+
+
 @query("t1_incremental_ingest", f"""
 SELECT region, model, cycle_s * 1000 AS cycle_ms, step_h, vt_s * 1000 AS ts_ms, cat_id, count, max, mean
 FROM gresults_mr WHERE region = '{V.REGION}'
