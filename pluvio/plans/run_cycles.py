@@ -28,6 +28,7 @@ from pluvio.plans import workflow
 from pluvio.plans.catalog import MODELS, models_df, region_models_df
 from pluvio.plans.charts import chart_documents
 from pluvio.session import build_session, ensure_utc, read_parquet_or_none, work_path
+from pluvio.sources import snapshots as SN
 from pluvio.sources.polygons import read_geojson
 from pluvio.sources.results import read_thresholds, thresholds_long, to_reference_form
 from pluvio.sources.sinks import (apply_retention, in_partitions, partition_listing, read_table, retain_latest,
@@ -48,7 +49,7 @@ def run_cycles(spark: SparkSession, raw_grid: DataFrame, polygons: DataFrame, gr
                thresholds: DataFrame | None = None, product: str | None = None,
                reference_csv: bool = False, regions: DataFrame | None = None,
                manifest: DataFrame | None = None, wanted: DataFrame | None = None, ranges: bool = False,
-               as_of: bool = False, wave: int | None = None) -> DataFrame:
+               as_of: bool = False, wave: int | None = None, snapshots: bool = False) -> DataFrame:
     """Process every pending cycle of ``raw_grid``; returns the (region, model,
     cycle) rows recorded done.
 
@@ -68,21 +69,25 @@ def run_cycles(spark: SparkSession, raw_grid: DataFrame, polygons: DataFrame, gr
     partition listing, else the distinct keys are read from the grid.
     ``as_of``: compare with the threshold issue that held at each cycle.
 
+    With ``snapshots`` all tables of a run, and its state, become visible in one
+    step (``sources.snapshots``; read them with ``read_snapshot``); there is then
+    no ``current/`` folder, which is a way of reading.
+
     With ``wave`` a backlog is worked off in waves of at most so many cycles of
     each region and model, oldest first.  A wave is a run of its own, its state
     recorded at its end, so a run that breaks off goes on with the wave it was
     in, and a plan or a commit never spans more partitions than a wave has.
     """
     ensure_utc(spark)
-    runs_path = f"{out}/runs"
     wanted = raw_grid.select(*RUN_KEYS).distinct() if wanted is None else wanted
     todo_path = work_path(spark, "pending")
-    pending_cycles(wanted, read_runs(spark, runs_path)).write.parquet(todo_path)
+    runs = SN.pointer(spark, out) if snapshots else read_runs(spark, f"{out}/runs")
+    pending_cycles(wanted, runs).write.parquet(todo_path)
     todo = spark.read.parquet(todo_path).select(*RUN_KEYS)
     if todo.isEmpty():
         return spark.createDataFrame([], "region string, model string, cycle timestamp")
     one = lambda keys: _run(spark, raw_grid, polygons, grid_def, out, keys, model_specs or MODELS, region_models, thresholds,
-                            product, reference_csv, regions, manifest, ranges, as_of)
+                            product, reference_csv, regions, manifest, ranges, as_of, snapshots)
     if wave is None:
         return one(todo)
     # only the number of waves is read back
@@ -99,9 +104,27 @@ def run_cycles(spark: SparkSession, raw_grid: DataFrame, polygons: DataFrame, gr
 
 def _run(spark: SparkSession, raw_grid: DataFrame, polygons: DataFrame, grid_def: DataFrame, out: str, todo: DataFrame, specs: dict,
          region_models: DataFrame | None, thresholds: DataFrame | None, product: str | None, reference_csv: bool,
-         regions: DataFrame | None, manifest: DataFrame | None, ranges: bool, as_of: bool) -> DataFrame:
+         regions: DataFrame | None, manifest: DataFrame | None, ranges: bool, as_of: bool, snapshots: bool) -> DataFrame:
     """One run over the cycles ``todo``; returns those recorded done."""
-    runs_path = f"{out}/runs"
+    version = SN.new_version() if snapshots else None
+
+    def put(df: DataFrame, table: str) -> None:
+        if snapshots:
+            SN.write_version(df, out, table, version)
+        else:
+            write_table(df, f"{out}/{table}")
+
+    def back(table: str) -> DataFrame:
+        """This run's rows of a table."""
+        return SN.read_version(spark, out, table, version) if snapshots else in_partitions(read_table(spark, f"{out}/{table}"), ready)
+
+    def record() -> DataFrame:
+        if snapshots:
+            SN.publish(ready, out, version)
+        else:
+            record_runs(spark, ready, f"{out}/runs")
+        return ready
+
     mdf = models_df(spark, specs)
     grid = workflow.prepared(spark, in_partitions(raw_grid, todo), grid_def, region_models, regions)
     # the cycles that this run can do: pending, configured and complete
@@ -115,30 +138,34 @@ def _run(spark: SparkSession, raw_grid: DataFrame, polygons: DataFrame, grid_def
     weights = workflow.cached_weights(spark, polygons, grid_def, f"{out}/weights", ranges)
     results = workflow.zonal_results(in_partitions(grid, ready), weights, mdf, specs, gate=False,
                                      manifest=in_partitions(steps, ready), catchments=polygons.select("region", "cat_id"), grid_def=grid_def)
-    write_table(results, f"{out}/results")
-
+    put(results, "results")
     if read_parquet_or_none(spark, f"{out}/results") is None:       # no catchment in any region so far
-        record_runs(spark, ready, runs_path)
-        return ready
+        return record()
 
     # all that follows reads this run's partitions back, nothing is computed twice
-    results_w = in_partitions(read_table(spark, f"{out}/results"), ready)
-    write_table(catchment_summary(results_w), f"{out}/scales")
-    scales_w = in_partitions(read_table(spark, f"{out}/scales"), ready)
+    results_w = back("results")
+    put(catchment_summary(results_w), "scales")
+    scales_w = back("scales")
     if thresholds is not None:
-        write_table(threshold_compare(scales_w, thresholds, product, as_of), f"{out}/exceedance")
-        write_table(time_to_threshold(running_total(results_w), thresholds, product, as_of=as_of), f"{out}/time_to_threshold")
-        write_table(chart_documents(results_w, thresholds, product), f"{out}/charts")
+        put(threshold_compare(scales_w, thresholds, product, as_of), "exceedance")
+        put(time_to_threshold(running_total(results_w), thresholds, product, as_of=as_of), "time_to_threshold")
+        put(chart_documents(results_w, thresholds, product), "charts")
+    if snapshots:
+        record()
+        if reference_csv:
+            _export(SN.read_snapshot(spark, out, "results", current=True), SN.read_snapshot(spark, out, "scales", current=True), out)
+        return ready
     listing = partition_listing(spark, f"{out}/results")
     apply_retention(spark, f"{out}/results", f"{out}/current")
     if reference_csv:
-        write_table(to_reference_form(read_table(spark, f"{out}/current")), f"{out}/csv/results",
-                    ["region", "model"], fmt="csv", replace="static")
-        now = retain_latest(read_table(spark, f"{out}/scales"), listing)
-        write_table(to_reference_scales(now).drop("cycle"), f"{out}/csv/colorscales",
-                    ["region", "model"], fmt="csv", replace="static")
-    record_runs(spark, ready, runs_path)
-    return ready
+        _export(read_table(spark, f"{out}/current"), retain_latest(read_table(spark, f"{out}/scales"), listing), out)
+    return record()
+
+
+def _export(results: DataFrame, scales: DataFrame, out: str) -> None:
+    """The current cycle in the reference's CSV layout."""
+    write_table(to_reference_form(results), f"{out}/csv/results", ["region", "model"], fmt="csv", replace="static")
+    write_table(to_reference_scales(scales).drop("cycle"), f"{out}/csv/colorscales", ["region", "model"], fmt="csv", replace="static")
 
 
 def main(argv=None) -> None:
@@ -156,6 +183,7 @@ def main(argv=None) -> None:
     ap.add_argument("--product", default=None, help="threshold column to use (default: all)")
     ap.add_argument("--as-of", action="store_true", help="compare with the threshold issue that held at each cycle")
     ap.add_argument("--wave", type=int, default=None, help="cycles of a region and model that one run of a backlog takes")
+    ap.add_argument("--snapshots", action="store_true", help="publish all tables of a run in one step")
     ap.add_argument("--ranges", action="store_true", help="weigh by runs of cells (catchments many cells wide)")
     ap.add_argument("--csv", action="store_true", help="also export the reference's CSV layout")
     ap.add_argument("--master", default=None)
@@ -174,7 +202,8 @@ def main(argv=None) -> None:
     manifest = read_table(spark, a.manifest) if a.manifest else None
     thr = thresholds_long(read_thresholds(spark, a.thresholds)) if a.thresholds else None
     run_cycles(spark, raw, polys, grid_def, a.out, thresholds=thr, product=a.product, reference_csv=a.csv,
-               manifest=manifest, wanted=partition_listing(spark, a.grid), ranges=a.ranges, as_of=a.as_of, wave=a.wave)
+               manifest=manifest, wanted=partition_listing(spark, a.grid), ranges=a.ranges, as_of=a.as_of, wave=a.wave,
+               snapshots=a.snapshots)
 
 
 if __name__ == "__main__":

@@ -29,6 +29,7 @@ from pluvio.sources import grids as GS
 from pluvio.sources import polygons as PG
 from pluvio.sources import results as src
 from pluvio.sources import sinks as SK
+from pluvio.sources import snapshots as SN
 from pluvio.streaming import ingest as ST
 from pluvio.testing import views as V
 from pluvio.testing.oracle import nround1, pyround1, q, stamp
@@ -945,6 +946,34 @@ def k5_bucketed_run(spark, sf_dir):
     return ms(WF.bucketed_results(cells, weights, models_df(spark), WF.written_manifest(spark, cells), polys))
 
 
+@query("k1_snapshot_read", f"""
+SELECT r.region, r.model, r.cycle_s * 1000 AS cycle_ms, r.cat_id, count(*) AS n_steps, max(r.max) AS max,
+       max(s.cum_mean) AS cum_mean
+FROM gresults_mr r JOIN (
+  SELECT region, model, cycle_s, cat_id,
+         CASE WHEN count(*) = count(mean) THEN CAST(sum(CAST(mean AS DECIMAL(18,1))) AS DOUBLE) END AS cum_mean
+  FROM gresults_mr GROUP BY ALL) s USING (region, model, cycle_s, cat_id)
+WHERE r.region = '{V.REGION}' GROUP BY ALL
+""")
+def k1_snapshot_read(spark, sf_dir):
+    """Two runs with one publish each; the second redoes the clobbered cycles.
+    Results and scales are read as of one state of the pointer."""
+    grid_path, out = work_path(spark, "k1-grid"), work_path(spark, "k1-out")
+    SK.write_grid(V.raw_grid_vars(spark, sf_dir), grid_path)
+    raw = SK.read_table(spark, grid_path)
+    _, _, options = _two_regions(spark, sf_dir)
+    polys, gd = _polys(spark, sf_dir), V.grid_def(spark, sf_dir)
+    RC.run_cycles(spark, raw, polys, gd, out, snapshots=True, **options)
+    oldest = SN.snapshot(spark, out).groupBy("region", "model").agg(F.min("cycle").alias("cycle"))
+    SN.publish(spark.createDataFrame(oldest.collect(), oldest.schema), out, "", "clobbered")
+    RC.run_cycles(spark, raw, polys, gd, out, snapshots=True, **options)
+    at = SN.snapshot(spark, out)
+    keys = ["region", "model", "cycle", "cat_id"]
+    scales = SN.read_snapshot(spark, out, "scales", at).select(*keys, "cum_mean")
+    return ms(SN.read_snapshot(spark, out, "results", at).join(scales, keys).groupBy(*keys)
+              .agg(F.count(F.lit(1)).alias("n_steps"), F.max("max").alias("max"), F.max("cum_mean").alias("cum_mean")))
+
+
 @query("t1_incremental_ingest", f"""
 SELECT region, model, cycle_s * 1000 AS cycle_ms, step_h, vt_s * 1000 AS ts_ms, cat_id, count, max, mean
 FROM gresults_mr WHERE region = '{V.REGION}'
