@@ -354,9 +354,10 @@ def mine(points: DataFrame, every: int = 100, positives: int = 5, negatives: int
     firsts = found.withColumn("n", rank).filter(F.col("n") <= positives)
     asks = materialise(firsts.groupBy("anchor_id").agg(F.collect_list(F.struct("id", "score")).alias("ask")), "negatives-positives")
     # scores looked for lie between the lowest and the highest end of the windows
-    ends = [F.transform("ask", lambda p, k=k: p["score"].cast("double") * (k / 100)) for k in (low, high)]
+    score = F.transform("ask", lambda p: p["score"].cast("double"))
     asked = (anchors.join(asks, F.col("vec_id") == F.col("anchor_id"))
-             .select("vec_id", "label", "x", F.array_min(ends[0]).alias("low"), F.array_max(ends[1]).alias("high"), "ask"))
+             .select("vec_id", "label", "x", (F.array_min(score) * (low / 100)).alias("low"),
+                     (F.array_max(score) * (high / 100)).alias("high"), "ask"))
 
     def first_negatives(tree, ids, labels, scores, r, q):
         wins = [(p["id"], p["score"], Best(negatives, -(-low * p["score"] // 100), high * p["score"] // 100)) for p in r.ask]
