@@ -32,8 +32,8 @@ from pluvio.llm.common import pieces, ship
 
 #: The production vocabulary of the installed ``public_tokenizers`` package.
 VOCABULARY = "byte_bpe_50k.tiktoken"
-CACHE = 60_000                # pieces, and words, that a task remembers
-PAIRS = 200_000               # pairs of tokens that a task remembers
+CACHE = 120_000               # pieces, and words, that a task remembers
+PAIRS = 400_000               # pairs of tokens that a task remembers
 STATES = 50_000               # states, and four times as many steps, that a task remembers
 CACHED_BYTES = 64             # longer pieces are not remembered
 
@@ -73,7 +73,7 @@ class Vocabulary:
         self.ranks = ranks
         self.token = like.token if like else {i: b for b, i in ranks.items()}
         self.longest = like.longest if like else max(map(len, ranks), default=0)
-        self._heads = like._heads if like else {b[:i] for b in ranks for i in range(len(b) + 1)} | {b""}
+        self._heads: set[bytes] = like._heads if like else set()     # made when first asked for: decoding needs none
         # a state is the longest string that a token begins with and that ends
         # at the current byte; states and their steps are built when met
         self._state: dict[bytes, int] = {b"": 0}
@@ -93,6 +93,8 @@ class Vocabulary:
 
     def step(self, state: int, byte: int) -> int:
         """The state after one more byte."""
+        if not self._heads:
+            self._heads.update((b[:i] for b in self.ranks for i in range(len(b) + 1)), (b"",))
         s = self._bytes[state] + bytes((byte,))
         while s not in self._heads:
             s = s[1:]

@@ -22,10 +22,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Bytes of an Arrow batch on its way to a Python worker: with long texts the
+#: default of 64 MB stands several times in each worker and its executor.
+BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the Python workers, once for each context, the way
-    ``--py-files`` does: Spark's own file server carries it to the executors."""
+    ``--py-files`` does: Spark's own file server carries it to the executors.
+    Arrow batches are kept small, unless the cluster has set their size."""
     sc = spark.sparkContext
+    if sc.getConf().get(BATCH_BYTES[0]) is None:
+        spark.conf.set(*BATCH_BYTES)
     if getattr(sc, "_pluvio_shipped", False):
         return
     top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
