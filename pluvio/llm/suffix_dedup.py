@@ -12,7 +12,7 @@ that are equal as a whole count once, under their first place, before any text
 is shuffled.
 
 What repeats: contexts of an anchor are dealt into shards.  Texts are read in
-symbols of STEP bytes (by 64-bit hashes), so a string of WINDOW bytes is its
+symbols of STEP bytes (by 32-bit hashes), so a string of WINDOW bytes is its
 suffix's first STEPS symbols.  Each shard gets its Burrows-Wheeler transform;
 the transforms of all shards are merged by refining the interleave of their
 suffixes: a round reads the transforms in the order so far and deals their
@@ -127,13 +127,9 @@ def _packed(place: np.ndarray, far: np.ndarray, near: np.ndarray) -> np.ndarray:
     return (place << 14) | (far << 7) | near
 
 
-def _utf8(text: str | None) -> bytes:
-    return text.encode("utf-8", "surrogatepass") if text else b""
-
-
 def _find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in pieces(batches, 2000):
-        texts = [_utf8(t) for t in b.column("text").to_pylist()]
+        texts = [t or b"" for t in b.column("text").to_pylist()]
         ids, keys = b.column("doc_id"), b.column("tkey").to_numpy(zero_copy_only=False)
         for parts in _chunks(texts):
             raw = b"".join([texts[i][a:z] for i, a, z in parts])
@@ -151,6 +147,13 @@ def _find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                  pa.array(_packed(place + shift[part], place - lo, place - hi))], names=["h", "ctx", "doc_id", "tkey", "at"])
 
 
+def _deal_out(symbols: np.ndarray) -> np.ndarray:
+    """The stable order of small whole numbers, 16 bits at a time."""
+    order = np.argsort((symbols & 0xFFFF).astype(np.uint16), kind="stable")
+    high = (symbols >> 16).astype(np.uint16)
+    return order[np.argsort(high[order], kind="stable")] if high.any() else order
+
+
 class Shard:
     """The Burrows-Wheeler transform of strings on end, ``data`` cut at ``ends``,
     read in symbols of STEP bytes.  Each string is STEP chains of symbols; what
@@ -162,35 +165,31 @@ class Shard:
         sizes = np.diff(ends, prepend=0)
         end, size = np.repeat(ends, sizes), np.repeat(sizes, sizes)
         at = np.arange(len(data))
-        symbol = np.zeros(len(data), np.uint64)
-        h = block_hashes(data, STEP)
+        symbol = np.zeros(len(data), np.uint32)
+        h = (block_hashes(data, STEP) >> _U(32)).astype(np.uint32)
         whole = at[: len(h)] + STEP <= end[: len(h)]
-        symbol[: len(h)][whole] = h[whole] | _U(1)
+        symbol[: len(h)][whole] = h[whole] | np.uint32(1)
         rel = at - (end - size)
         front = np.where(rel >= STEP, at - STEP, at + STEP * ((size - 1 - rel) // STEP))
-        self.symbols, s = np.unique(symbol, return_inverse=True)
-        s = s.astype(np.int32)
         order = at
         for _ in range(STEPS):
             order = front[order]
-            order = order[np.argsort(s[order], kind="stable")]
-        self.order, self.before = order, s[front[order]]
+            order = order[_deal_out(symbol[order])]
+        self.order, self.before = order, symbol[front[order]]
 
 
 def merge(shards: list[Shard]) -> tuple[np.ndarray, np.ndarray]:
     """The interleave of the shards' suffixes by their first STEPS symbols, as
     the shard at each place, and how many symbols each place has in common with
     the one before it (STEPS: all that were compared)."""
-    alphabet = np.unique(np.concatenate([x.symbols for x in shards]))
-    before = [np.searchsorted(alphabet, x.symbols).astype(np.int32)[x.before] for x in shards]
     interleave = np.repeat(np.arange(len(shards), dtype=np.int16), [len(x.order) for x in shards])
     common = np.full(len(interleave), STEPS, np.int8)
     block = np.zeros(len(interleave), np.int32)
     for r in range(STEPS):
-        front = np.empty(len(interleave), np.int32)
-        for z, b in enumerate(before):
-            front[interleave == z] = b
-        deal = np.argsort(front, kind="stable")
+        front = np.empty(len(interleave), np.uint32)
+        for z, x in enumerate(shards):
+            front[interleave == z] = x.before
+        deal = _deal_out(front)
         interleave, front, block = interleave[deal], front[deal], block[deal]
         part = np.empty(len(deal), bool)
         part[:1] = True
@@ -250,7 +249,7 @@ def repeats(strings: list[bytes], far: np.ndarray, group: np.ndarray) -> list[tu
     for i, j, x, y in zip(k.tolist(), f.tolist(), (a[found] - begins[k]).tolist(), (z[found] - begins[k]).tolist()):
         shift = int(far[j] - far[i])
         if group[i] != group[j] or x + shift < 0 or strings[i][x:y + WINDOW] != strings[j][x + shift:y + shift + WINDOW]:
-            wrong.add(int(group[i]))                            # two blocks with one hash
+            wrong.add(int(group[i]))                            # two blocks of STEP bytes with one hash
         out.append((i, x, y, j))
     if wrong:
         out = [r for r in out if int(group[r[0]]) not in wrong]
@@ -322,7 +321,7 @@ def _cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for b in pieces(batches, 500):
         rows, got, strings = [], {k: [] for k in ("h", "ctx", "n", "at")}, []
         for i, (t, wanted) in enumerate(zip(b.column("text").to_pylist(), b.column("wanted").to_pylist())):
-            raw = _utf8(t)
+            raw = t or b""
             for w in wanted:
                 p, far, near = w["at"] >> 14, (w["at"] >> 7) & 127, w["at"] & 127
                 rows.append(i)
@@ -342,7 +341,7 @@ def _cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in pieces(batches, 500):
         spans, kept, sizes = [], [], []
         for t, hits in zip(b.column("text").to_pylist(), b.column("hits").to_pylist()):
-            raw = _utf8(t)
+            raw = t or b""
             mine: list[dict] = []
             for x in sorted(hits or (), key=lambda x: x["start"]):
                 if mine and x["start"] <= mine[-1]["end"]:
@@ -352,7 +351,7 @@ def _cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             edges = [0, *(e for x in mine for e in (x["start"], x["end"])), len(raw)]
             spans.append(mine)
             sizes.append(len(raw))
-            kept.append(b"".join(raw[a:z] for a, z in zip(edges[::2], edges[1::2])))
+            kept.append(b"".join(raw[a:z] for a, z in zip(edges[::2], edges[1::2])) if mine else raw)
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(spans, _SPANS), pa.array(kept, pa.binary())],
                                          names=["doc_id", "n_bytes", "spans", "kept"])
 
@@ -375,13 +374,13 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     shared = materialise(base.groupBy("doc_id").agg(F.min(text_key).alias("a"), F.max(text_key).alias("z"))
                          .filter("a <> z").select(F.col("doc_id").alias("s_id"), F.lit(True).alias("s")), "suffix-shared")
     rows = (base.join(shared, F.col("doc_id").eqNullSafe(F.col("s_id")), "left")
-            .select("doc_id", "text", F.when(F.col("s"), text_key).otherwise(F.lit(0)).cast("long").alias("tkey")))
+            .select("doc_id", F.col("text").cast("binary").alias("text"), F.when(F.col("s"), text_key).otherwise(F.lit(0)).cast("long").alias("tkey")))
 
     found = rows.mapInArrow(_find_anchors, "h long, ctx long, doc_id long, tkey long, at long")
     twice = materialise(found.groupBy("h").count().filter("count > 1").select("h"), "suffix-anchors")
     places = materialise(found.join(twice, "h", "left_semi"), "suffix-places")
     place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "tkey", "at")
-    contexts = materialise(places.groupBy("h", "ctx").agg(F.min(place).alias("f")), "suffix-contexts")
+    contexts = materialise(places.groupBy("h", "ctx").agg(F.min(place).alias("f"), F.count(F.lit(1)).alias("c")), "suffix-contexts")
     several = contexts.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     wanted = (contexts.join(several, "h").groupBy(F.col("f.doc_id").alias("w_id"), F.col("f.tkey").alias("w_key"))
               .agg(F.collect_list(F.struct("h", "ctx", "n", F.col("f.at").alias("at"))).alias("wanted")))
@@ -407,12 +406,14 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                          F.shiftright("f.at", 14).alias("p"))).cast(_RUN_SQL),
         F.coalesce("runs", F.array().cast(_RUN_SQL))),
         lambda r: ~(r["doc_id"].eqNullSafe(F.col("doc_id")) & (r["tkey"] == F.col("tkey")) & (r["p"] == F.shiftright("at", 14))))
+    # written, so that the join below is one of two plain shuffles, whose hot keys Spark splits
+    told = materialise(contexts.join(inside, ["h", "ctx"], "left").filter("c > 1 or runs is not null").drop("c"), "suffix-firsts")
     p, far, near = F.shiftright("at", 14), F.shiftright("at", 7).bitwiseAND(F.lit(127)), F.col("at").bitwiseAND(F.lit(127))
-    hits = (places.join(contexts.join(inside, ["h", "ctx"], "left"), ["h", "ctx"])
+    hits = (places.join(told, ["h", "ctx"])
             .select("doc_id", "tkey", p.alias("p"), far.alias("far"), near.alias("near"), F.explode(other).alias("r"))
             .select("doc_id", "tkey", F.struct((F.col("p") - F.least("far", F.col("r.z").cast("long"))).alias("start"),
                                                (F.col("p") - F.greatest("near", F.col("r.a").cast("long")) + WINDOW).alias("end")).alias("hit"))
-            .groupBy(F.col("doc_id").alias("g_id"), F.col("tkey").alias("g_key")).agg(F.collect_set("hit").alias("hits")))
+            .groupBy(F.col("doc_id").alias("g_id"), F.col("tkey").alias("g_key")).agg(F.collect_list("hit").alias("hits")))
     return (rows.join(hits, F.col("doc_id").eqNullSafe(F.col("g_id")) & (F.col("tkey") == F.col("g_key")), "left")
             .select("doc_id", "text", "hits")
             .mapInArrow(_cut_texts, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary"))
