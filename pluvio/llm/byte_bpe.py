@@ -32,8 +32,8 @@ from pluvio.llm.common import pieces, ship
 
 #: The production vocabulary of the installed ``public_tokenizers`` package.
 VOCABULARY = "byte_bpe_50k.tiktoken"
-CACHE = 120_000               # pieces, and words, that a task remembers
-PAIRS = 400_000               # pairs of tokens that a task remembers
+CACHE = 240_000               # pieces, and words, that a task remembers
+PAIRS = 600_000               # pairs of tokens that a task remembers
 STATES = 50_000               # states, and four times as many steps, that a task remembers
 CACHED_BYTES = 64             # longer pieces are not remembered
 
