@@ -116,3 +116,21 @@ def test_no_row_for_an_interior_cell(spark):
     ranges = spark.createDataFrame([("r", "m", i, 0, 0, 4 ** i, 1) for i in range(6)],
                                    "region string, model string, cat_id long, row int, c0 int, c1 int, w long")
     assert Z.range_probes(ranges).groupBy("cat_id").count().agg(F.max("count")).first()[0] <= 4
+
+
+def test_catchments_over_several_bands(spark, monkeypatch):
+    """A band's cells are one row a step, absent cells are none; a catchment that
+    lies in three bands, looked up a step at a time, has the statistics of its cells."""
+    monkeypatch.setattr(Z, "BAND_CELLS", 1)
+    rnd = random.Random(7)
+    rows, cols = 2 * Z.BAND_ROWS + 9, 6
+    gd = spark.createDataFrame([("r", "m", 0.0, float(rows), 1.0, 1.0, rows, cols, 2)], GD_SCHEMA)
+    edges = _edges(spark, [(1, [[_square(0.3, 5.2, 1.1, rows - 2.2)]]), (2, [[_square(2.0, 3.0, 4.0, 7.0)]])])
+    values = lambda: rnd.choice([None, float("nan"), float(rnd.randint(-50, 500)) / 8])
+    grid = spark.createDataFrame([("r", "m", s, a, b, values()) for s in (1, 2, 3) for a in range(rows) for b in range(cols)
+                                  if rnd.random() < 0.3], "region string, model string, step_h int, row int, col int, value double")
+    assert Z.row_profiles(grid).count() == 9
+    a = Z.zonal_stats(grid, Z.zonal_weights(edges, gd)).orderBy("step_h", "cat_id").collect()
+    b = Z.zonal_stats_by_ranges(grid, Z.zonal_ranges(edges, gd), gd).orderBy("step_h", "cat_id").collect()
+    _close([r for r in a if r["count"]], [r for r in b if r["count"]])
+    assert sum(r["count"] > 0 for r in a) >= 3
