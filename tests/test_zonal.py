@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from pluvio.operators.grid import refine_nearest
+from pluvio.operators import zonal as Z
 from pluvio.operators.zonal import round_stats, zonal_stats, zonal_weights
 from pluvio.sources.polygons import polygon_edges
 
@@ -142,3 +143,23 @@ def test_every_catchment_has_a_row_for_every_step(spark):
     cats = spark.createDataFrame([("r", 7), ("r", 9), ("other", 1)], "region string, cat_id long")
     got = sorted((r["step_h"], r["cat_id"], r["count"], r["mean"]) for r in zonal_stats(grid, w, catchments=cats).collect())
     assert [g[:3] for g in got] == [(1, 7, 3), (1, 9, 0), (2, 7, 3), (2, 9, 0)]
+
+
+def test_the_frame_of_steps_is_made_behind_the_join(spark):
+    """Rows of catchments and steps without a cell: no task sorts or shuffles the
+    frame, which became rows before its join and then in one task; steps that are
+    not listed, and catchments that are not, have no rows."""
+    grid = spark.createDataFrame([("r", "m", s, s * 10, 0, 0, float(s)) for s in (1, 2, 3)],
+                                 "region string, model string, cycle int, step_h int, row int, col int, value double")
+    weights = spark.createDataFrame([("r", "m", 1, 0, 0, 4), ("r", "m", 9, 0, 0, 4)],
+                                    "region string, model string, cat_id long, row int, col int, w long")
+    cats = spark.createDataFrame([("r", 1), ("r", 2), ("r", 2), ("q", 3)], "region string, cat_id long")
+    steps = spark.createDataFrame([("r", "m", c, c * 10 + d) for c in (1, 2) for d in (0, 0, 5)] + [("r", "m", 4, None), (None, "m", 1, 10)],
+                                  "region string, model string, cycle int, step_h int")
+    df = Z.zonal_stats(grid, weights, catchments=cats, steps=steps)
+    got = sorted((r["cycle"], r["step_h"] or 0, r["cat_id"], r["count"], r["max"], r["mean"]) for r in df.collect())
+    assert got == [(1, 10, 1, 4, 1.0, 1.0), (1, 10, 2, 0, None, None), (1, 15, 1, 0, None, None), (1, 15, 2, 0, None, None),
+                   (2, 20, 1, 4, 2.0, 2.0), (2, 20, 2, 0, None, None), (2, 25, 1, 0, None, None), (2, 25, 2, 0, None, None),
+                   (4, 0, 1, 0, None, None), (4, 0, 2, 0, None, None)]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 <= plan.find("Generate explode") < plan.find("Join LeftOuter")
