@@ -66,6 +66,12 @@ def _typed(df: DataFrame) -> DataFrame:
     return df.withColumn("cycle", parse_stamp(F.col("cycle")))
 
 
+def _kept(session: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    path = work_path(session, name)
+    df.write.parquet(path)
+    return session.read.parquet(path)
+
+
 class _State:
     """The tables of a stream as one batch sees them.  ``steps`` is written last
     and tells which batch holds the last word on a cycle and on a step."""
@@ -81,15 +87,22 @@ class _State:
             found = self.spark.createDataFrame([], TABLES[name])
         return in_partitions(_typed(found.filter(F.col(BATCH) <= upto)), cycles)
 
+    def latest(self, cycles: DataFrame, key: list[str], upto: int) -> DataFrame:
+        """The batch that holds the last word on each ``key``, as a written table:
+        its size is known, so joins with it are broadcast and never move a cycle's
+        totals or statistics to one task."""
+        by = self.read("steps", cycles, upto).groupBy(*key).agg(F.max(BATCH).alias(BATCH))
+        return _kept(self.spark, by, "latest")
+
     def last_totals(self, cycles: DataFrame) -> DataFrame:
         """Each cell's last running total before this batch."""
-        by = self.read("steps", cycles, self.batch - 1).groupBy(*PARTS).agg(F.max(BATCH).alias(BATCH))
+        by = self.latest(cycles, PARTS, self.batch - 1)
         return self.read("totals", cycles, self.batch - 1).join(by, [*PARTS, BATCH], "left_semi").drop(BATCH)
 
     def statistics(self, cycles: DataFrame) -> DataFrame:
         """The statistics of every step, this batch's included."""
         key = [*PARTS, "step_h", "valid_time"]
-        by = self.read("steps", cycles, self.batch).groupBy(*key).agg(F.max(BATCH).alias(BATCH))
+        by = self.latest(cycles, key, self.batch)
         return self.read("staged", cycles, self.batch).join(by, [*key, BATCH], "left_semi").drop(BATCH)
 
     def write(self, name: str, df: DataFrame) -> None:
@@ -115,21 +128,16 @@ def ingest(spark: SparkSession, landing: str, results_path: str, checkpoint: str
     running = [m.name for m in specs.values() if m.accumulation == "running"]
     state_root = state_path or f"{checkpoint.rstrip('/')}-state"
 
-    def kept(session: SparkSession, df: DataFrame, name: str) -> DataFrame:
-        path = work_path(session, name)
-        df.write.parquet(path)
-        return session.read.parquet(path)
-
     def batch(df: DataFrame, epoch_id: int) -> None:
         session = df.sparkSession
         state = _State(session, state_root, epoch_id)
         boxes = regions if grid_def is not None else None
         # the one read of the new files
-        new = kept(session, subset(_typed(df), grid_def, boxes), "new-steps")
-        manifest = kept(session, step_manifest(new), "manifest")
+        new = _kept(session, subset(_typed(df), grid_def, boxes), "new-steps")
+        manifest = _kept(session, step_manifest(new), "manifest")
         touched = manifest.select(*PARTS).distinct()
         seen = state.read("steps", touched, epoch_id - 1).groupBy(*PARTS).agg(F.max("valid_time").alias("seen"))
-        late = kept(session, manifest.join(seen, PARTS).filter(F.col("valid_time") <= F.col("seen")).select(*PARTS).distinct(), "late")
+        late = _kept(session, manifest.join(seen, PARTS).filter(F.col("valid_time") <= F.col("seen")).select(*PARTS).distinct(), "late")
 
         # steps in order: differences from the cells' last totals
         in_order = new.join(late, PARTS, "left_anti")
@@ -150,7 +158,7 @@ def ingest(spark: SparkSession, landing: str, results_path: str, checkpoint: str
         state.write("steps", steps)
 
         # complete cycles are published from the staged statistics
-        ready = kept(session, complete_cycles(state.read("steps", touched, epoch_id), mdf).select(*PARTS), "ready")
+        ready = _kept(session, complete_cycles(state.read("steps", touched, epoch_id), mdf).select(*PARTS), "ready")
         write_table(round_stats(state.statistics(ready)), results_path)
         if runs_path is not None:
             record_runs(session, ready, runs_path)

@@ -104,3 +104,35 @@ def test_retention_learns_cycles_from_the_listing(spark):
     kept = sinks.read_table(spark, dst).select("region", "model", "cycle").distinct().collect()
     want = sinks.latest_cycles(listing).select("region", "model", "cycle").collect()
     assert sorted(map(tuple, kept)) == sorted(map(tuple, want))
+
+
+def test_no_exchange_by_cycle_alone(spark):
+    """The gate does not move a whole cycle to one task, however the planner
+    estimates the grid's steps; nor do an ingest's last totals and statistics."""
+    from pluvio.operators.grid import step_manifest
+    from pluvio.streaming import ingest as ST
+    grid = V.raw_grid(spark, SF).drop("var", "level")
+    from pluvio.plans.catalog import RegionSpec, region_models_df
+    rm = region_models_df(spark, {V.REGION: RegionSpec(V.REGION, "1", 0.0, 15.0, -1e6, 20.0, ("gfs", "wrfpr"))})
+    path = work_path(spark, "shape-gate")
+    sinks.write_table(grid, path)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
+    try:
+        results = WF.run_results(spark, sinks.read_table(spark, path), _polys(spark, SF), V.grid_def(spark, SF), region_models=rm,
+                                 regions=V.boxes(spark))
+        gates = [x for x in _plan(results).splitlines() if "LeftSemi" in x and "cycle" in x]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert gates and all("BroadcastHashJoin" in x for x in gates)
+    state = ST._State(spark, work_path(spark, "shape-state"), 1)
+    cycles = grid.select("region", "model", "cycle").distinct()
+    path = work_path(spark, "shape-cycles")
+    cycles.write.parquet(path)
+    cycles = spark.read.parquet(path)
+    state.batch = 0
+    state.write("steps", step_manifest(grid))
+    state.write("totals", grid.select("row", "col", "valid_time", "value", "region", "model", "cycle"))
+    state.batch = 1
+    p = _plan(state.last_totals(cycles))
+    assert "SortMergeJoin" not in p and "ShuffledHashJoin" not in p
