@@ -135,3 +135,17 @@ def test_reference_csv_layout_roundtrip(spark, tmp_path):
     assert out["lead_h"] == 114
     proj = read_results(spark, str(res_csv), "csv", columns=["cat_id", "mean", "max", "Timestep"])
     assert proj.columns == ["cat_id", "mean", "max", "Timestep"]
+
+
+def test_stored_cycles_are_read_and_written_as_numbers(spark):
+    """A number's stamp is what its text is, null where it is no stamp; the year decides how a stamp is written."""
+    from pyspark.sql import functions as F
+
+    from pluvio.functions.timefmt import STAMP, fmt, parse_stamp_number
+    want = {2024010100: 1704067200, 2024022923: 1709247600, 9999123123: 253402297200, 2023022900: None, 2024010124: None, 2024130100: None,
+            2024043100: None, 2024000100: None, 999999999: None, -2024010100: None, 20240101001: None, None: None}
+    df = spark.createDataFrame([(n,) for n in want], "c long")
+    got = df.select("c", F.unix_seconds(parse_stamp_number("c")).alias("a"), F.unix_seconds(parse_stamp(F.col("c").cast("string"))).alias("b")).collect()
+    assert {r["c"]: r["a"] for r in got} == want == {r["c"]: r["b"] for r in got}
+    ts = spark.createDataFrame([(s,) for s in (1704067200, -62135593200, -1, 253402297200, None)], "s long").select(F.timestamp_seconds("s").alias("t"))
+    assert [r[0] for r in ts.select(fmt("t", STAMP)).collect()] == ["2024010100", "0001010101", "1969123123", "9999123123", None]

@@ -136,3 +136,15 @@ def test_no_exchange_by_cycle_alone(spark):
     state.batch = 1
     p = _plan(state.last_totals(cycles))
     assert "SortMergeJoin" not in p and "ShuffledHashJoin" not in p
+
+
+def test_stored_grid_is_ordered_by_variable(spark):
+    """A scan for one variable skips the pages of others."""
+    path = work_path(spark, "var-order")
+    sinks.write_grid(V.raw_grid_vars(spark, SF), path)
+    plan = spark.read.parquet(path)
+    from pyspark.sql import functions as F
+    first = plan.select("var", F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("i")) \
+                .groupBy("f").agg(F.max(F.when(F.col("var") == "APCP", F.col("i"))).alias("a"), F.min(F.when(F.col("var") == "TMP", F.col("i"))).alias("t"))
+    assert first.filter("a is not null and t is not null").count() > 0
+    assert first.filter("a > t").count() == 0

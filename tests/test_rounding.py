@@ -55,3 +55,20 @@ def test_py_round1_large_magnitudes(spark):
     df = spark.createDataFrame([(x,) for x in xs], "x double")
     got = [r[0] for r in df.select(py_round1("x")).collect()]
     assert got == [round(x, 1) for x in xs]
+
+
+def test_one_decimal_sums_avoid_decimals_row_by_row(spark):
+    """Whole tenths are summed as whole numbers; values of other forms as decimals, to the same total."""
+    from pyspark.sql import functions as F
+
+    from pluvio.functions.rounding import decimal1, decimal_sum1
+    rows = [(1, 0.1), (1, 0.2), (1, 1e9), (2, None), (2, 0.3), (3, float("nan")), (3, 2.5), (4, 0.25), (4, 0.1), (4, -0.05), (5, None),
+            (6, 1.25e11), (6, -0.1), (7, -0.0)]
+    df = spark.createDataFrame(rows, "g int, x double")
+    for poison in (True, False):
+        missing = F.sum(F.when(F.col("x").isNull() | F.isnan("x"), 1).otherwise(0)) if poison else F.lit(0)
+        out = df.groupBy("g").agg(decimal_sum1("x", poison).alias("got"),
+                                  F.when(missing == 0, F.sum(decimal1("x")).cast("double")).alias("want")).collect()
+        assert len(out) == 7 and all(r["got"] == r["want"] for r in out)
+    plan = df.groupBy("g").agg(decimal_sum1("x"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "as bigint" in plan
