@@ -138,6 +138,28 @@ def test_no_exchange_by_cycle_alone(spark):
     assert "SortMergeJoin" not in p and "ShuffledHashJoin" not in p
 
 
+def test_retention_opens_only_current_partitions(spark):
+    """The current cycles reach the scan as a partition filter, also where the listing looks large to the planner."""
+    src, dst = work_path(spark, "prune-src"), work_path(spark, "prune-dst")
+    sinks.write_table(V.results(spark, SF), src)
+    seen = []
+    write, sinks.write_table = sinks.write_table, lambda df, *a, **k: (seen.append(_formatted(spark, df)), write(df, *a, **k))[1]
+    try:
+        sinks.apply_retention(spark, src, dst)
+    finally:
+        sinks.write_table = write
+    assert "dynamicpruning" in next(x for x in seen[-1].splitlines() if "PartitionFilters" in x)
+
+
+def test_input_of_two_regions_and_variables_is_made_once(spark):
+    """Each events scan of the delivered grid stands once in the plan, whatever number of variables and regions it is given."""
+    raw = V.raw_grid(spark, SF)
+    both = V.both_regions(V.raw_grid_vars(spark, SF))
+    scans = lambda df: _formatted(spark, df).split("\n\n")[0].count("Scan parquet")
+    assert scans(both) == scans(raw) and both.columns == raw.columns
+    assert both.count() == 4 * raw.count()
+
+
 def test_stored_grid_is_ordered_by_variable(spark):
     """A scan for one variable skips the pages of others."""
     path = work_path(spark, "var-order")
