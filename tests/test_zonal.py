@@ -3,12 +3,14 @@ import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from pluvio.operators.grid import refine_nearest
 from pluvio.operators import zonal as Z
 from pluvio.operators.zonal import round_stats, zonal_stats, zonal_weights
 from pluvio.sources.polygons import polygon_edges
+from pluvio.testing import suite
 
 GD = ("r", "m", 0.0, 6.0, 1.0, 1.0, 6, 8, 7)   # x0, y_top, dx, dy, n_rows, n_cols, factor
 GD_SCHEMA = ("region string, model string, x0 double, y_top double, dx double, dy double, "
@@ -163,3 +165,82 @@ def test_the_frame_of_steps_is_made_behind_the_join(spark):
                    (4, 0, 1, 0, None, None), (4, 0, 2, 0, None, None)]
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert 0 <= plan.find("Generate explode") < plan.find("Join LeftOuter")
+
+
+def _odd_grid(spark, rnd):
+    """Two regions and models, cycles weeks apart and without a time, cells that are absent, invalid, repeated or nowhere."""
+    rows = []
+    for region, model in (("r", "m"), ("r", "n"), ("q", "m"), (None, "m"), ("r", None)):
+        for cycle in (0, 3, 40, 41, None):
+            for step in (6, 12, 18, None):
+                for row in (*range(45), None):
+                    for col in (*range(0, 40, 3), 17, 17, None):
+                        if rnd.random() < 0.3:
+                            v = rnd.choice([None, float("nan"), 1e-12, -3.25, rnd.uniform(0, 500), rnd.uniform(0, 5)])
+                            c = None if cycle is None else cycle * 86400
+                            rows.append((region, model, c, step, None if None in (c, step) else c + step * 3600, row, col, v))
+    g = spark.createDataFrame(rows, "region string, model string, c long, step_h int, v long, row int, col int, value double")
+    return g.withColumn("cycle", F.timestamp_seconds("c")).withColumn("valid_time", F.timestamp_seconds("v")).drop("c", "v")
+
+
+def test_cells_that_go_home_give_the_same_rows(spark):
+    """``at_home`` against the join by cell: catchments over several tiles, of one
+    cell, without a cell, not asked for, twice or without an id; steps that are not
+    listed, listed twice or without a time."""
+    rnd = random.Random(11)
+    grid = _odd_grid(spark, rnd)
+    weights = {("r", m, cat, cat * 2 % 41 + i, cat * 3 % 37 + j): rnd.randint(1, 49)
+               for m in ("m", "n") for cat in range(1, 25) for i in range(1 + cat % 20) for j in range(1 + cat % 18) if rnd.random() < 0.6}
+    weights |= {("q", "m", 2, 40, 39): 5, ("q", "m", None, 3, 3): 1, ("r", "m", 99, 0, 0): 7}
+    w = spark.createDataFrame([(*k, n) for k, n in weights.items()], "region string, model string, cat_id long, row int, col int, w long")
+    cats = spark.createDataFrame([("r", c) for c in (*range(1, 30), 3, None)] + [("q", 2), ("q", 3), ("z", 1), (None, 4)], "region string, cat_id long")
+    listed = grid.filter("step_h is null or step_h < 18").select("region", "model", "cycle", "step_h", "valid_time")
+    key = lambda r: tuple((x is not None, x) for x in r[:6])
+    for steps in (listed, None):
+        a = sorted(map(tuple, Z.zonal_stats(grid, w, catchments=cats, steps=steps).collect()), key=key)
+        df = Z.zonal_stats(grid, w, catchments=cats, steps=steps, at_home=True)
+        b = sorted(map(tuple, df.collect()), key=key)
+        assert len(a) == len(b) > 1000 and [x[:8] for x in a] == [x[:8] for x in b]
+        assert all((x[8] is None) == (y[8] is None) and (x[8] is None or math.isclose(x[8], y[8], rel_tol=1e-12)) for x, y in zip(a, b))
+        assert df.dtypes == Z.zonal_stats(grid, w, catchments=cats, steps=steps).dtypes
+
+
+def test_portions_of_catchments_at_home(spark, monkeypatch):
+    """A home in many portions, and cycles that are no timestamps."""
+    rnd = random.Random(5)
+    grid = _odd_grid(spark, rnd).filter("region = 'r' and model = 'm'").withColumn("cycle", F.unix_seconds("cycle").cast("int")).drop("valid_time")
+    w = spark.createDataFrame([("r", "m", c, c % 7 + i, c % 11 + j, 1 + i) for c in range(40) for i in range(3) for j in range(4)],
+                              "region string, model string, cat_id long, row int, col int, w long")
+    cats = spark.createDataFrame([("r", c) for c in range(41)], "region string, cat_id long")
+    key = lambda r: tuple((x is not None, x) for x in r[:5])
+    a = sorted(map(tuple, Z.zonal_stats(grid, w, catchments=cats).collect()), key=key)
+    monkeypatch.setattr(Z, "MEET_CELLS", 3)
+    b = sorted(map(tuple, Z.zonal_stats(grid, w, catchments=cats, at_home=True).collect()), key=key)
+    assert [x[:7] for x in a] == [x[:7] for x in b]
+
+
+def test_totals_that_fit_no_long_are_refused_at_home(spark):
+    grid = spark.createDataFrame([("r", "m", 1, 0, 0, 1e18)], "region string, model string, step_h int, row int, col int, value double")
+    w = spark.createDataFrame([("r", "m", 7, 0, 0, 100)], "region string, model string, cat_id long, row int, col int, w long")
+    cats = spark.createDataFrame([("r", 7)], "region string, cat_id long")
+    with pytest.raises(Exception, match="does not fit a long"):
+        Z.zonal_stats(grid, w, catchments=cats, at_home=True).collect()
+
+
+def test_no_statistic_of_the_customers_is_shuffled(spark):
+    """A row for each customer, step and task, and one for each customer and step
+    again, were what filled the disk: behind the meeting of cells and catchments
+    there is no exchange, before it none is as large."""
+    plan = suite.z2_customer_stats(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FlatMapCoGroupsInArrow") == 1
+    assert "Exchange" not in plan[:plan.index("FlatMapCoGroupsInArrow")] and "partial_sum(CASE" not in plan
+
+
+def test_crossings_leave_as_columns(spark):
+    """What the windows' shuffle moves: the crossing's column, no geometry of the grid."""
+    rows = [("r", 1, [[[[1.0, 1.0], [4.0, 1.0], [4.0, 4.0], [1.0, 1.0]]]])]
+    df = spark.createDataFrame(rows, "region string, cat_id long, coordinates array<array<array<array<double>>>>")
+    node = Z.fine_spans(polygon_edges(df), spark.createDataFrame([GD], GD_SCHEMA))._jdf.queryExecution().optimizedPlan()
+    while not node.nodeName().startswith("RepartitionByExpression"):
+        node = node.children().apply(0)
+    assert [node.output().apply(i).name() for i in range(node.output().size())] == ["region", "model", "cat_id", "part", "i", "factor", "u"]
