@@ -221,8 +221,10 @@ def test_portions_of_catchments_at_home(spark, monkeypatch):
 
 def test_totals_that_fit_no_long_are_refused_at_home(spark):
     grid = spark.createDataFrame([("r", "m", 1, 0, 0, 1e18)], "region string, model string, step_h int, row int, col int, value double")
-    w = spark.createDataFrame([("r", "m", 7, 0, 0, 100)], "region string, model string, cat_id long, row int, col int, w long")
+    weigh = lambda n: spark.createDataFrame([("r", "m", 7, 0, 0, n), ("r", "m", 7, 0, 1, 100)], "region string, model string, cat_id long, row int, col int, w long")
     cats = spark.createDataFrame([("r", 7)], "region string, cat_id long")
+    assert Z.zonal_stats(grid, weigh(9), catchments=cats, at_home=True).first()["mean"] == 1e18
+    w = weigh(100)
     with pytest.raises(Exception, match="does not fit a long"):
         Z.zonal_stats(grid, w, catchments=cats, at_home=True).collect()
 
